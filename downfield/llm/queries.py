@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language_id, mixing, quality_model, quality_rules, url_filter
+from . import chat, language_id, minhash, mixing, quality_model, quality_rules, suffix_dedup, url_filter
 from .common import table
 from .linear import crc_mod
 
@@ -18,6 +18,14 @@ def op1_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -48,6 +56,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score_quality(docs, model)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_perspectives, op5_url_filter, op6_mix_sources, op7_language_id, op8_quality_classifier, op9_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_perspectives, op2_minhash_dedup, op3_suffix_dedup, op5_url_filter, op6_mix_sources, op7_language_id, op8_quality_classifier, op9_quality_rules)}
 
 ORACLES: dict[str, str] = {}
