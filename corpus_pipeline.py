@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from downfield.llm import language_id, mixing
-from downfield.llm.common import cut, table
+from downfield.llm import bpe, language_id, minhash, mixing, suffix_dedup
+from downfield.llm.common import cut, some, table
 from downfield.llm.linear import crc_mod
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -21,14 +21,41 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language_id.predict_language(docs, model).where(F.col("lang_pred") != language_id.UNKNOWN).select(*COLUMNS)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document of the smallest id stays."""
+    gone = cut(minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct(), "pipeline-copies")
+    return some(docs, gone, "left_anti").select(*COLUMNS)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts repeated passages out of the texts; a document of which nothing is left goes.
+
+    Cuts are in bytes, so an end of a cut may split a character: such a rest of a character goes too."""
+    hit = cut(suffix_dedup.remove_repeats(docs, text_out=True).where("n_removed > 0").select("doc_id", "kept").dropDuplicates(["doc_id"]), "pipeline-repeats")
+    untouched = some(docs, hit.select("doc_id"), "left_anti").select(*COLUMNS)
+    # U+FFFD is what mending puts in for a rest of a character; a text that is valid keeps its own
+    kept = F.col("kept").cast("string")
+    mended = F.coalesce(F.try_validate_utf8(kept), F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit("")))
+    rest = some(docs, hit.select("doc_id"), "left_semi").drop("text", "n_chars").join(hit.where("kept <> X''"), "doc_id").withColumn("text", mended)
+    return untouched.unionByName(rest.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources: a row for each copy that a shard takes; sources over their target are thinned."""
     return mixing.mixed(docs).select(*COLUMNS)
 
 
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each copy, and the text that they decode to."""
+    return bpe.encode_documents(docs.select("doc_id", "text", "lang", "source"), ("n_tokens", "ids", "decoded"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", identify_language),
+    ("near_copies", drop_near_copies),
+    ("repeats", drop_repeats),
     ("mix", mix),
+    ("tokens", tokenize),
 ]
 
 #: SQL cannot express the learned language stage or the tokenizer.

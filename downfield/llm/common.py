@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: A side of a join is broadcast up to so many rows; beyond it the join shuffles.
 BROADCAST_ROWS = 20_000
+#: A list of ids is broadcast up to so many (8 bytes each), else the join shuffles.
+BROADCAST_IDS = 1_000_000
 #: Bytes of text that one vectorised step handles at a time; a longer document is handled alone.
 CHUNK_BYTES = 1 << 20
 #: Where scratch tables go if the session names no shared folder (local tests).
@@ -45,6 +47,11 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+def some(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Documents in (left_semi) or not in (left_anti) a scratch table of ``doc_id``; its counted size picks the join."""
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
+
+
 def ascii_lower(c: Column | str) -> Column:
     """A-Z only; other letters stay."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

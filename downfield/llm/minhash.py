@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lower_bytes, mix64, prefix_hash, small, span_hash, texts, word_spans
+from .common import cut, lower_bytes, mix64, prefix_hash, some, span_hash, texts, word_spans
 from .components import components
 
 WORDS = 5
@@ -30,8 +30,6 @@ REGISTERS, BANDS, MANTISSA = 128, 32, 10
 SLACK = 0.19
 #: Members and shingles a block of a family has at most, about.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 400_000
-#: A list of ids is broadcast up to so many (8 bytes each), else the join shuffles.
-BROADCAST_IDS = 1_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -185,9 +183,7 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     members = banded.join(leaders, ["band", "key"]).select("leader", "cls").distinct()
     members = cut(members.join(classes.select("cls", "n_shingles").dropDuplicates(["cls"]), "cls"), "minhash-members")  # leaders lead themselves
     wanted = cut(members.select(F.col("cls").alias("doc_id")).distinct(), "minhash-wanted")
-    n_wanted = wanted.count()
-    ids = F.broadcast(wanted) if n_wanted <= BROADCAST_IDS else wanted
-    bodies = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    bodies = some(docs.select("doc_id", "text"), wanted, "left_semi").dropDuplicates(["doc_id"])
     bodies = cut(bodies.join(classes.select(F.col("cls").alias("doc_id"), "sketch", "n_shingles").dropDuplicates(["doc_id"]), "doc_id"), "minhash-bodies")
 
     sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))

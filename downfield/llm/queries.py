@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language_id, minhash, mixing, quality_model, quality_rules, suffix_dedup, url_filter
+from . import bpe, chat, language_id, minhash, mixing, quality_model, quality_rules, suffix_dedup, url_filter
 from .common import table
 from .linear import crc_mod
 
@@ -26,6 +26,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_documents(docs, ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -56,6 +61,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score_quality(docs, model)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_perspectives, op2_minhash_dedup, op3_suffix_dedup, op5_url_filter, op6_mix_sources, op7_language_id, op8_quality_classifier, op9_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_perspectives, op2_minhash_dedup, op3_suffix_dedup, op4_bpe_roundtrip, op5_url_filter, op6_mix_sources, op7_language_id, op8_quality_classifier, op9_quality_rules)}
 
 ORACLES: dict[str, str] = {}
