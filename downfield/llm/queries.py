@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, language_id, minhash, mixing, quality_model, quality_rules, suffix_dedup, url_filter
+from . import bpe, chat, language_id, media, minhash, mixing, quality_model, quality_rules, suffix_dedup, url_filter
 from .common import table
 from .linear import crc_mod
 
@@ -61,6 +61,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score_quality(docs, model)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_perspectives, op2_minhash_dedup, op3_suffix_dedup, op4_bpe_roundtrip, op5_url_filter, op6_mix_sources, op7_language_id, op8_quality_classifier, op9_quality_rules)}
+def op10_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.image_copies(media.vector_images(table(spark, sf_dir, "embeddings")))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_perspectives, op2_minhash_dedup, op3_suffix_dedup, op4_bpe_roundtrip, op5_url_filter, op6_mix_sources, op7_language_id, op8_quality_classifier, op9_quality_rules, op10_media_copies)}
 
 ORACLES: dict[str, str] = {}
