@@ -24,21 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, cut, mix64, prefix_hash, texts
+from .common import BROADCAST_IDS, Powers, cut, mix64, prefix_hash, some, texts
 
 THRESHOLD, SEED = 100, 32
 #: Rows of round 2 that one task ranks at a time, about.
-RANKED_ROWS = 20_000
-#: A list of ids is broadcast up to so many (8 bytes each), else the join shuffles.
-BROADCAST_IDS = 1_000_000
+RANKED_ROWS = 10_000
+#: Strings that are ranked together before a batch's rows are shuffled.
+BATCH_STRINGS = 250_000
 _PLACE = np.uint64((1 << 28) - 1)
 
 
-def _some(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents in (left_semi) or not in (left_anti) a scratch table of ids, whose counted size picks the join."""
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
-
-
 def _names(data: np.ndarray, length: int) -> np.ndarray:
     """A name for the string of ``length`` bytes at each position."""
     prefix = prefix_hash(data)
@@ -131,15 +126,32 @@ def _rank(name: np.ndarray, doc: np.ndarray, start: np.ndarray, lengths: np.ndar
     return who[hit[begin]], at[hit[begin]], at[hit[np.append(begin[1:], len(hit)) - 1]] + threshold, firsts
 
 
+def _first_rows(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """Ranks rows of round 2 among themselves: spans of repeats come out at once, and of the rows only those that hold
+    a first occurrence go on."""
+    name, doc, start, length, data = (np.concatenate(x) for x in zip(*parts, strict=True))
+    who, begin, end, firsts = _rank(name, doc, start, length, data, THRESHOLD)
+    edge = np.concatenate([[0], np.cumsum(length)])
+    rows = np.flatnonzero(firsts)
+    raw = data.tobytes()
+    columns = ["name", "doc_id", "start", "context", "first", "end"]
+    if len(rows):
+        none = pa.nulls(len(rows), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(name[rows].view(np.int64)), pa.array(doc[rows]), pa.array(start[rows]), pa.array([raw[edge[r] : edge[r + 1]] for r in rows], pa.binary()), none, none], columns)
+    if len(who):
+        none = pa.nulls(len(who), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.array(who), none, pa.nulls(len(who), pa.binary()), pa.array(begin), pa.array(end)], columns)
+
+
 def _contexts(found: DataFrame) -> DataFrame:
-    """Rows of round 2 around the seeds in ``names`` of each (doc_id, text, names); repeats within a batch come out as
-    spans at once, and only rows with a first occurrence go on: a hot string is a row a batch."""
+    """Rows of round 2 around the seeds in ``names`` of each (doc_id, text, names), pre-aggregated by BATCH_STRINGS."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, ...]] = []
+        strings = 0
         for batch in batches:
             ids = batch["doc_id"].to_numpy()
             lists = batch["names"]
-            parts: list[tuple[np.ndarray, ...]] = []
             for at, to, data, bounds in texts(batch, "text"):
                 place, name, first, last = seeds(data, bounds)
                 of = np.searchsorted(bounds, place, "right") - 1
@@ -151,36 +163,55 @@ def _contexts(found: DataFrame) -> DataFrame:
                 length = last - first + THRESHOLD
                 take = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
                 parts.append((name, ids[at + of], first - bounds[of], length, data[take]))
-            if not parts:
-                continue
-            name, doc, start, length, data = (np.concatenate(x) for x in zip(*parts, strict=True))
-            who, begin, end, firsts = _rank(name, doc, start, length, data, THRESHOLD)
-            edge = np.concatenate([[0], np.cumsum(length)])
-            rows = np.flatnonzero(firsts)
-            raw = data.tobytes()
-            nulls = lambda n, kind: pa.nulls(n, kind)
-            if len(rows):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(name[rows].view(np.int64)), pa.array(doc[rows]), pa.array(start[rows]), pa.array([raw[edge[r] : edge[r + 1]] for r in rows], pa.binary()), nulls(len(rows), pa.int64()), nulls(len(rows), pa.int64())], ["name", "doc_id", "start", "context", "first", "end"]
-                )
-            if len(who):
-                yield pa.RecordBatch.from_arrays([nulls(len(who), pa.int64()), pa.array(who), nulls(len(who), pa.int64()), nulls(len(who), pa.binary()), pa.array(begin), pa.array(end)], ["name", "doc_id", "start", "context", "first", "end"])
+                strings += int((length - THRESHOLD + 1).sum())
+                if strings >= BATCH_STRINGS:
+                    yield from _first_rows(parts)
+                    parts, strings = [], 0
+        if parts:
+            yield from _first_rows(parts)
 
     return found.select("doc_id", "text", "names").mapInArrow(make, f"{_ROW}, {_SPAN}")
 
 
+def _arrays(group: pa.Table) -> tuple[np.ndarray, ...]:
+    context = group["context"].combine_chunks()
+    edges = np.frombuffer(context.buffers()[1], np.int32)[context.offset : context.offset + len(context) + 1]
+    data = np.frombuffer(context.buffers()[2], np.uint8)[edges[0] : edges[-1]]
+    return group["name"].to_numpy(), group["doc_id"].to_numpy(), group["start"].to_numpy(), np.diff(edges).astype(np.int64), data
+
+
 def _ranked(rows: DataFrame) -> DataFrame:
-    n = rows.count()
-    buckets = max(1, -(-n // RANKED_ROWS))
+    """Spans of repeats among the rows of round 2 (a scratch table). Buckets of names have about RANKED_ROWS rows; names
+    with more rows than that are dealt by document first, and only rows with a first occurrence meet again, as long as
+    this lowers their number."""
+
+    def thin(group: pa.Table) -> pa.Table:
+        if not len(group):
+            return pa.table({c: pa.array([], t) for c, t in zip(("name", "doc_id", "start", "context", "first", "end"), (*[pa.int64()] * 3, pa.binary(), *[pa.int64()] * 2), strict=True)})
+        return pa.Table.from_batches(_first_rows([_arrays(group)]))
 
     def rank(group: pa.Table) -> pa.Table:
-        context = group["context"].combine_chunks()
-        edges = np.frombuffer(context.buffers()[1], np.int32)[context.offset : context.offset + len(context) + 1]
-        data = np.frombuffer(context.buffers()[2], np.uint8)[edges[0] : edges[-1]]
-        who, begin, end, _ = _rank(group["name"].to_numpy(), group["doc_id"].to_numpy(), group["start"].to_numpy(), np.diff(edges).astype(np.int64), data, THRESHOLD)
+        who, begin, end, _ = _rank(*_arrays(group), THRESHOLD)
         return pa.table({"doc_id": pa.array(who), "first": pa.array(begin), "end": pa.array(end)})
 
-    return rows.withColumn("bucket", F.pmod("name", F.lit(buckets))).groupBy("bucket").applyInArrow(rank, f"doc_id long, {_SPAN}")
+    spans: list[DataFrame] = []
+    while True:
+        hot = cut(rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > RANKED_ROWS), "suffix-hot")  # at most rows / RANKED_ROWS names
+        n_hot = hot.agg(F.sum("n")).first()[0] or 0
+        if not n_hot:
+            break
+        dealt = rows.join(F.broadcast(hot) if hot.count() <= BROADCAST_IDS else hot, "name").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.ceil(F.col("n") / RANKED_ROWS)))
+        thinned = cut(dealt.groupBy("name", "salt").applyInArrow(thin, f"{_ROW}, {_SPAN}"), "suffix-thin")
+        spans.append(thinned.where("first is not null").select("doc_id", "first", "end"))
+        less = thinned.where("first is null").select("name", "doc_id", "start", "context")
+        rows = cut(rows.join(hot.select("name"), "name", "left_anti").unionByName(less), "suffix-rows")
+        if less.count() > n_hot // 2:
+            break
+    buckets = max(1, -(-rows.count() // RANKED_ROWS))
+    out = rows.withColumn("bucket", F.pmod("name", F.lit(buckets))).groupBy("bucket").applyInArrow(rank, f"doc_id long, {_SPAN}")
+    for more in spans:
+        out = out.unionByName(more)
+    return out
 
 
 def _removal(found: DataFrame) -> DataFrame:
@@ -214,14 +245,14 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     long_ones = basics.where(f"n_bytes >= {THRESHOLD} and doc_id is not null")
     earliest = long_ones.groupBy("whole_sha256").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
     copies = cut(long_ones.join(earliest, "whole_sha256").where("doc_id > least").select("doc_id").distinct(), "suffix-copies")
-    once = _some(docs.select("doc_id", "text").where(f"doc_id is not null and octet_length(text) >= {THRESHOLD}"), copies, "left_anti")
+    once = some(docs.select("doc_id", "text").where(f"doc_id is not null and octet_length(text) >= {THRESHOLD}"), copies, "left_anti")
     # round 1
     names = cut(_seed_names(once, False).groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name"), "suffix-names")
     found = _seed_names(once, True).join(names, "name", "left_semi").groupBy("doc_id").agg(F.collect_list("name").alias("names"))
     found = cut(found, "suffix-found")
     # round 2
-    around = _some(once, cut(found.select("doc_id"), "suffix-ids"), "left_semi").join(found, "doc_id")
-    rows = cut(_contexts(around), "suffix-rows")
+    around = some(once, cut(found.select("doc_id"), "suffix-ids"), "left_semi").join(found, "doc_id")
+    rows = cut(_contexts(around), "suffix-contexts")
     spans = _ranked(rows.where("first is null").select("name", "doc_id", "start", "context")).unionByName(rows.where("first is not null").select("doc_id", "first", "end"))
     spans = cut(spans.groupBy("doc_id").agg(F.collect_list(F.struct("first", "end")).alias("spans")), "suffix-spans")
     return basics, copies, spans
@@ -237,7 +268,7 @@ def remove_repeats(docs: DataFrame, text_out: bool = False) -> DataFrame:
     table gives no rows; other columns are not read.
     """
     basics, copies, spans = repeated_spans(docs)
-    hit = _some(docs.select("doc_id", "text"), cut(spans.select("doc_id"), "suffix-hit"), "left_semi").dropDuplicates(["doc_id"]).join(spans, "doc_id")
+    hit = some(docs.select("doc_id", "text"), cut(spans.select("doc_id"), "suffix-hit"), "left_semi").dropDuplicates(["doc_id"]).join(spans, "doc_id")
     removed = _removal(hit) if text_out else _removal(hit).drop("kept")
     empty = hashlib.sha256(b"").hexdigest()
     out = basics.alias("b").join(copies.select(F.col("doc_id").alias("copy")), F.col("doc_id") == F.col("copy"), "left").join(removed.alias("r"), F.col("b.doc_id") == F.col("r.doc_id"), "left")
