@@ -40,8 +40,9 @@ def brier(predicted: Column, actual: Column) -> Column:
 
 def pearson(a: Column, b: Column) -> Column:
     """Correlation; 0 if either is constant."""
-    constant = (F.min(a) == F.max(a)) | (F.min(b) == F.max(b))
-    return F.when(constant, F.lit(0.0)).otherwise(F.corr(a, b))
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    constant = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
+    return F.when(constant, F.lit(0.0)).otherwise(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
 
 
 def weighted_pearson(a: Column, b: Column, w: Column) -> Column:

@@ -322,7 +322,7 @@ def sign_flip(spark, sf_dir):
     return rows.select("c_custkey", X.sign_flip("c_acctbal", home).alias("view"), F.when(home, "home").otherwise("away").alias("side"))
 
 
-@query("""SELECT l_orderkey, l_partkey, l_suppkey, (round(least(greatest(q, 5), 40)) - 5)::BIGINT AS label FROM (SELECT *, nullif(l_quantity, 13) AS q FROM lineitem)""")
+@query("""SELECT l_orderkey, l_partkey, l_suppkey, CASE WHEN q IS NOT NULL THEN (round(least(greatest(q, 5), 40)) - 5)::BIGINT END AS label FROM (SELECT *, nullif(l_quantity, 13) AS q FROM lineitem)""")
 def clamp_shift_label(spark, sf_dir):
     rows = t(spark, sf_dir, "lineitem")
     return rows.select("l_orderkey", "l_partkey", "l_suppkey", long(F.round(X.clip(F.nullif("l_quantity", F.lit(13.0)), 5, 40)) - 5).alias("label"))
@@ -393,7 +393,7 @@ def ordered_fold(spark, sf_dir):
 
 
 @query("""
-WITH f AS (SELECT user_id, event_type, min((ts, event_id)) AS at FROM events GROUP BY 1, 2), s AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at) AS k FROM f)
+WITH f AS (SELECT user_id, event_type, min((ts, event_id)) AS seen FROM events GROUP BY 1, 2), s AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seen) AS k FROM f)
 SELECT user_id, max(event_type) FILTER (k = 1) AS kind1, max(event_type) FILTER (k = 2) AS kind2, max(event_type) FILTER (k = 3) AS kind3 FROM s GROUP BY 1""")
 def slot_fill(spark, sf_dir):
     return fold.slots(t(spark, sf_dir, "events"), ["user_id"], "event_type", ["ts", "event_id"], 3, "kind")
@@ -493,7 +493,7 @@ def manifest_upsert(spark, sf_dir):
     return joins.upsert(old, old.where("season % 5 = 0").withColumn("row_count", F.col("row_count") + 100), ["season"])
 
 
-@query("""SELECT vec_id, len(embedding)::BIGINT AS size, CASE WHEN len(embedding) = 0 THEN NULL ELSE '[' || array_to_string(list_transform(embedding[1:4], x -> (round(x * 1000))::BIGINT::VARCHAR), ',') || ']' END AS head FROM embeddings""")
+@query("""SELECT vec_id, len(embedding)::BIGINT AS size, CASE WHEN len(embedding) = 0 THEN NULL ELSE '[' || array_to_string(list_transform(embedding[1:4], lambda x: (round(x * 1000))::BIGINT::VARCHAR), ',') || ']' END AS head FROM embeddings""")
 def list_stringify(spark, sf_dir):
     head = F.transform(F.slice("embedding", 1, 4), lambda x: F.round(x.cast("double") * 1000).cast("long"))
     return t(spark, sf_dir, "embeddings").select("vec_id", long(F.size("embedding")).alias("size"), tables.list_text(head).alias("head"))
@@ -509,7 +509,7 @@ def sha_digest(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), long(F.octet_length("text")).alias("size"))
 
 
-@query("""SELECT vec_id, round(list_sum(list_transform(range(1, len(embedding) + 1), i -> embedding[i]::DOUBLE * i)), 6) AS expected FROM embeddings""")
+@query("""SELECT vec_id, round(list_sum(list_transform(range(1, len(embedding) + 1), lambda i: embedding[i]::DOUBLE * i)), 6) AS expected FROM embeddings""")
 def dot_expected(spark, sf_dir):
     values = F.transform("embedding", lambda x: x.cast("double"))
     return t(spark, sf_dir, "embeddings").select("vec_id", r6(X.expected(values, F.transform("embedding", lambda _, i: (i + 1).cast("double")))).alias("expected"))
