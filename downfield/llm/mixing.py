@@ -108,6 +108,9 @@ def mix_sources(docs: DataFrame, shards: int = 16, weights: Sequence[float] = WE
         upto = F.sum(F.when(fits, F.col("words"))).over(inside.orderBy("order_key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0))
         part = part.withColumn("_mix_now", fits & (upto <= F.col("left_over")))
         part = part.withColumn("left_over", F.col("left_over") - F.coalesce(F.sum(F.when(F.col("_mix_now"), F.col("words"))).over(inside), F.lit(0))).withColumn("more", F.col("more") | F.col("_mix_now")).drop("_mix_now")
+    # the document nearest to the gap that is left, if it brings the source nearer to its target
+    nearest = F.row_number().over(W.partitionBy("source", "block").orderBy(F.when(~F.col("more") & (F.col("words") > 0), F.abs(F.col("words") - F.col("left_over"))).asc_nulls_last(), "order_key", "doc_id", "size"))
+    part = part.withColumn("_mix_nearest", nearest).withColumn("more", F.col("more") | ((F.col("_mix_nearest") == 1) & F.col("words").between(1, 2 * F.col("left_over")))).drop("_mix_nearest")
     unit = unit.where("state <> 'part'").unionByName(part)
     plan = unit.select("doc_id", "source", "size", "source_size", "target", F.when(F.col("more"), F.col("dealt")).otherwise(F.slice("dealt", F.lit(1), F.col("base").cast("int"))).alias("shards"))
     d, p = docs.alias("_mix_d"), plan.alias("_mix_p")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import bpe, chat, language_id, media, minhash, mixing, quality_model, quality_rules, suffix_dedup, url_filter
 from .common import table
 from .linear import crc_mod
+from .oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,4 +68,4 @@ def op10_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_perspectives, op2_minhash_dedup, op3_suffix_dedup, op4_bpe_roundtrip, op5_url_filter, op6_mix_sources, op7_language_id, op8_quality_classifier, op9_quality_rules, op10_media_copies)}
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
