@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, prefix_hash, span_hash, texts, word_spans
+from .common import map_batches, mix64, prefix_hash, span_hash, texts, word_spans
 from .linear import Grams, sigmoid, training_set
 
 GRAMS = Grams(14, chars=(3, 4), words=(1, 2))
@@ -69,13 +69,13 @@ def base_counts(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     letters = (np.cumsum(inside[:-1], dtype=np.int8) > 0) & ((data & 0xC0) != 0x80)
     prefix = prefix_hash(data)
     # lines: between newlines, and never over a border
-    edge = np.unique(np.concatenate([np.flatnonzero(data == 10), bounds[1:]]))
-    first = np.unique(np.concatenate([np.flatnonzero(data == 10) + 1, bounds[:-1]]))
+    newline = np.flatnonzero(data == 10)
+    first = np.unique(np.concatenate([newline + 1, bounds[:-1]]))
     first = first[first < len(data)]
-    last = edge[np.searchsorted(edge, first)] if len(first) else first
-    worded = np.searchsorted(start, first) < np.searchsorted(start, last)
-    first, last = first[worded], last[worded]
     line_of = np.searchsorted(bounds, first, "right") - 1
+    last = np.minimum(np.append(newline, len(data))[np.searchsorted(newline, first)], bounds[line_of + 1])
+    worded = np.searchsorted(start, first) < np.searchsorted(start, last)
+    first, last, line_of = first[worded], last[worded], line_of[worded]
     kinds = np.unique(np.stack([line_of.astype(np.uint64), span_hash(prefix, first, last), (last - first).astype(np.uint64)]), axis=1)
     dup_lines = count(line_of) - count(kinds[0].astype(np.int64))
     # windows of three words
@@ -118,4 +118,4 @@ def score_quality(docs: DataFrame, model: QualityModel, keep_at: float = KEEP_AT
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double")
+    return map_batches(docs.select("doc_id", "text"), score, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double")

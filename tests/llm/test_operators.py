@@ -170,9 +170,9 @@ def test_bpe_equals_the_library(spark, base, odd, none):
 
 def test_mix_meets_targets_and_shards_share_them(base):
     mix = mixing.mix_sources(base, shards=4).persist()
-    rows = mix.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("size") * F.size("shards")).alias("taken"), F.sum("size").alias("size")).collect()
+    rows = mix.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("size") * F.size("shards")).alias("taken"), F.sum("size").alias("size"), F.max("size").alias("most")).collect()
     assert sum(r.target for r in rows) == pytest.approx(1.5 * sum(r.size for r in rows))
-    assert all(r.target <= 2 * r.size + 1e-6 and abs(r.taken - r.target) <= 0.05 * r.target + 100 for r in rows)
+    assert all(r.target <= 2 * r.size + 1e-6 and abs(r.taken - r.target) <= max(0.04 * r.target, r.most / 2) for r in rows)
     assert mix.where(F.size("shards") > 2).count() == 0
     assert mixing.mixed(base, shards=4).count() == mix.agg(F.sum(F.size("shards"))).first()[0]
     assert sorted(map(str, mix.select("doc_id", "shards").collect())) == sorted(map(str, mixing.mix_sources(base, shards=4).select("doc_id", "shards").collect()))
