@@ -83,18 +83,20 @@ def total_variation(p: DataFrame, q: DataFrame, keys: Sequence[str], support: Se
 def bandwidth(value: Column) -> Column:
     """Normal reference bandwidth: 4.24 * min(sd, iqr / 1.349) * n ** -0.2."""
     spread = (F.percentile(value, F.lit(0.75)) - F.percentile(value, F.lit(0.25))) / F.lit(1.349)
-    return F.lit(4.24) * F.least(F.stddev_samp(value), spread) * F.pow(F.count(value), F.lit(-0.2))
+    return F.lit(4.24) * F.least(F.stddev_samp(value), F.nullif(spread, F.lit(0.0))) * F.pow(F.count(value), F.lit(-0.2))
 
 
 def density_grid(points: DataFrame, x: str, y: str, hx: Column | float, hy: Column | float, nx: int, ny: int, ends: DataFrame) -> DataFrame:
     """Density of points on a grid, a product of two normal kernels, summed in one direction and then in the other:
-    distinct values times grid lines, never points times cells. ``ends``: one row x0, x1, y0, y1 of the grid."""
-    hx, hy = (F.lit(h) if not isinstance(h, Column) else h for h in (hx, hy))
+    distinct values times grid lines, never points times cells. ``ends``: one row x0, x1, y0, y1 of the grid, to which
+    ``hx`` and ``hy`` may refer."""
     kernel = lambda g, v, h: F.exp(-0.5 * F.pow((g - v) / h, F.lit(2.0))) / F.sqrt(F.lit(2.0) * F.pi())
     line = lambda lo, hi, n, k: F.col(lo) + (F.col(hi) - F.col(lo)) / (n - 1) * F.col(k)
     counts = points.groupBy(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).agg(F.count(F.lit(1)).alias("_c"))
-    rows = counts.crossJoin(F.broadcast(ends)).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(ny - 1))))
-    across = rows.groupBy("_x", "j", "x0", "x1").agg(F.sum(F.col("_c") * kernel(line("y0", "y1", ny, "j"), F.col("_y"), hy) / hy).alias("_a"), F.sum("_c").alias("_n"))
+    widths = {"_hx": hx if isinstance(hx, Column) else F.lit(hx), "_hy": hy if isinstance(hy, Column) else F.lit(hy)}
+    rows = counts.crossJoin(F.broadcast(ends)).withColumns(widths).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(ny - 1))))
+    hx, hy = F.col("_hx"), F.col("_hy")
+    across = rows.groupBy("_x", "j", "x0", "x1", "_hx").agg(F.sum(F.col("_c") * kernel(line("y0", "y1", ny, "j"), F.col("_y"), hy) / hy).alias("_a"), F.sum("_c").alias("_n"))
     cells = across.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(nx - 1))))
     return cells.groupBy("i", "j").agg((F.sum(F.col("_a") * kernel(line("x0", "x1", nx, "i"), F.col("_x"), hx) / hx) / F.sum("_n")).alias("density"))
 
