@@ -41,14 +41,14 @@ def r6(c):
 
 
 USER = (["user_id"], ["ts", "event_id"])
-SCORES = F.col("event_type").isin("purchase", "error")
+SCORES = ("purchase", "error")
 
 # ---- windows --------------------------------------------------------------------------------------------------------
 
 
 def _next_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kind of the next scoring event, seen from this event: the same kind, another, or none."""
-    rows = N.next_value(t(spark, sf_dir, "events"), {"next_type": F.when(SCORES, F.col("event_type")), "next_value": F.when(SCORES, F.col("value"))}, *USER)
+    rows = N.next_value(t(spark, sf_dir, "events"), {f"next_{n}": F.when(F.col("event_type").isin(*SCORES), F.col(c)) for n, c in (("type", "event_type"), ("value", "value"))}, *USER)
     label = F.when(F.col("next_type").isNull(), "None").when(F.col("next_type") == F.col("event_type"), F.col("next_type")).otherwise(F.concat(F.lit("Other_"), "next_type"))
     return rows.withColumn("label", label)
 
