@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-from .common import texts
+from .common import map_batches, texts
 
 #: Words that a worker keeps at most; then its table starts anew.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 #: Bytes of text that are encoded at a time.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 #: The pattern of the vocabulary's words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: UTF-8 texts without a byte from here on have only characters below U+0340, which every version assigns.
@@ -229,7 +229,7 @@ def encode_documents(docs: DataFrame, outputs: Sequence[str] = ("n_tokens", "ids
     schema = docs.select(*kept).schema
     for o in outputs:
         schema = schema.add(o, OUTPUTS[o])
-    return docs.select(*kept, "text").mapInArrow(encode, schema)
+    return map_batches(docs.select(*kept, "text"), encode, schema)
 
 
 def decode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -242,4 +242,4 @@ def decode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
             decoded = [decode(x.values.to_numpy().astype(np.int64), vocab.value) if x.is_valid else "" for x in batch["ids"]]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(decoded, pa.string())], [*kept, "decoded"])
 
-    return docs.select(*kept, "ids").mapInArrow(text, docs.select(*kept).schema.add("decoded", "string"))
+    return map_batches(docs.select(*kept, "ids"), text, docs.select(*kept).schema.add("decoded", "string"))

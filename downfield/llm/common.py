@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,9 @@ BROADCAST_ROWS = 20_000
 #: A list of ids is broadcast up to so many (8 bytes each), else the join shuffles.
 BROADCAST_IDS = 1_000_000
 #: Bytes of text that one vectorised step handles at a time; a longer document is handled alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+#: What a batch that goes to Python holds at most, for the memory of executors that run several workers.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 #: Where scratch tables go if the session names no shared folder (local tests).
 LOCAL_SCRATCH = "/tmp/checkpoints"
 
@@ -52,6 +54,16 @@ def some(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
 
 
+def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with the session's batches made no larger than BATCH_ROWS and BATCH_BYTES."""
+    conf = df.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(f"spark.sql.execution.arrow.{key}", None) or ""
+        if not (now.isdigit() and 0 < int(now) <= most):
+            conf.set(f"spark.sql.execution.arrow.{key}", str(most))
+    return df.mapInArrow(f, schema)
+
+
 def ascii_lower(c: Column | str) -> Column:
     """A-Z only; other letters stay."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -12,7 +12,7 @@ from pyspark.ml.classification import LinearSVC
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import map_batches, texts
 from .linear import Grams, sigmoid, training_set
 
 GRAMS = Grams(12, chars=(1, 2, 3), words=(1,))
@@ -109,4 +109,4 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), pa.array(np.where(letters, lang, UNKNOWN), pa.string()), pa.array(np.where(letters, score, 0.0))], [*kept, "lang_pred", "score"])
 
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(predict, schema)
+    return map_batches(rows, predict, schema)

@@ -10,7 +10,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lower_bytes, mix64, prefix_hash, span_hash, texts, word_spans
+from .common import cut, lower_bytes, map_batches, mix64, prefix_hash, span_hash, texts, word_spans
 
 _to_sparse = F.udf(lambda size, index, value: Vectors.sparse(size, index, value), VectorUDT())
 
@@ -89,7 +89,7 @@ def training_set(docs: DataFrame, labels: DataFrame, grams: Grams, limit: int, n
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["label"], pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float64()))], ["doc_id", "label", "index", "value"])
 
     kinds = dict(rows.dtypes)
-    made = rows.mapInArrow(vectors, f"doc_id {kinds['doc_id']}, label {kinds['label']}, index array<int>, value array<double>")
+    made = map_batches(rows, vectors, f"doc_id {kinds['doc_id']}, label {kinds['label']}, index array<int>, value array<double>")
     return cut(made, f"{name}-vectors").select("doc_id", "label", _to_sparse(F.lit(grams.size), "index", "value").alias("features"))
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, Powers, cut, mix64, prefix_hash, some, texts
+from .common import BROADCAST_IDS, cut, map_batches, mix64, prefix_hash, some, texts, Powers
 
 THRESHOLD, SEED = 100, 32
 #: Rows of round 2 that one task ranks at a time, about.
@@ -87,7 +87,7 @@ def _seed_names(docs: DataFrame, with_ids: bool) -> DataFrame:
                     name, n = np.unique(name, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(n.astype(np.int64))], ["name", "n"])
 
-    return docs.select("doc_id", "text").mapInArrow(make, "name long, doc_id long" if with_ids else "name long, n long")
+    return map_batches(docs.select("doc_id", "text"), make, "name long, doc_id long" if with_ids else "name long, n long")
 
 
 _ROW = "name long, doc_id long, start long, context binary"
@@ -170,7 +170,7 @@ def _contexts(found: DataFrame) -> DataFrame:
         if parts:
             yield from _first_rows(parts)
 
-    return found.select("doc_id", "text", "names").mapInArrow(make, f"{_ROW}, {_SPAN}")
+    return map_batches(found.select("doc_id", "text", "names"), make, f"{_ROW}, {_SPAN}")
 
 
 def _arrays(group: pa.Table) -> tuple[np.ndarray, ...]:
@@ -234,7 +234,7 @@ def _removal(found: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.string())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))], ["doc_id", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    return found.select("doc_id", "text", "spans").mapInArrow(make, "doc_id long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return map_batches(found.select("doc_id", "text", "spans"), make, "doc_id long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
