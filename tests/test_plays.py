@@ -168,7 +168,7 @@ def test_sources(spark, tmp_path):
 
 
 def test_model_round(spark):
-    df = spark.range(200).select((F.col("id") % 10).cast("double").alias("a"), (F.col("id") % 2).cast("int").alias("season"), ((F.col("id") % 10) > 4).cast("double").alias("label"))
+    df = spark.range(200).select((F.col("id") % 10).cast("double").alias("a"), F.floor(F.col("id") / 100).cast("int").alias("season"), ((F.col("id") % 10) > 4).cast("double").alias("label"))
     out = models.leave_one_out(df, "season", lambda rows: models.fit_binary(rows, ["a"], rounds=3))
     assert out.count() == 200 and models.gate(out, least_r=0.9, most_brier=0.1)["passed"]
     assert json.loads(models.card("cp", ["a"], [2001, 2003]))["seasons"] == [2001, 2003]
