@@ -2,7 +2,8 @@
 
 Corners are found at several scales; around each, pairs of pixels are compared along its own direction, which gives 128
 bits that brightness and rotation hardly change. Tables keyed by 32 of the bits bring equal parts together; a match has
-to agree in most bits, and a pair of images in many matches that tell the same shift, turn and scale.
+to agree in most bits, and a pair of images in many matches that tell the same shift, turn and scale. Every pair that
+shares a key is compared: pairs of rare keys as rows, images of hot keys block by block.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ HAMMING, MATCHES = 20, 6
 TURN, OCTAVE, SHIFT = 30.0, 0.6, 10.0
 #: Images that are handled at a time.
 STACK = 128
-#: Leaders that a key of a table has: the least id by each of so many orders.
-ORDERS = 3
+#: A key of more images than this is hot; images with a hot key are compared in blocks of about so many images, of
+#: which PART meet the other block at a time.
+HOT, BLOCK_IMAGES, PART = 64, 2048, 32
 
 
 def _tests() -> np.ndarray:
@@ -133,47 +135,189 @@ def describe(images: DataFrame) -> DataFrame:
     return map_batches(images.select("media_id", "width", "height", "pixels"), make, _SCHEMA)
 
 
-def _candidates(points: DataFrame) -> DataFrame:
-    """Matches between an image and the leaders of the keys that its descriptors fall on: (a, b, points of both). The
-    leaders of a key are aggregates, so a key that every image has gives ORDERS rows for each, never pairs of all."""
-    keyed = points.withColumn("point", F.struct("media_id", "x", "y", "scale", "angle", "d0", "d1", "d2", "d3"))
-    keyed = keyed.select("point", F.posexplode(F.array("d0", "d1", "d2", "d3")).alias("table", "key"))
-    order = [F.min(F.struct(F.xxhash64("point.media_id", F.lit(k)) if k else F.col("point.media_id"), F.col("point")))["point"] for k in range(ORDERS)]
-    leaders = keyed.groupBy("table", "key").agg(F.array_distinct(F.array(*order)).alias("leaders"), F.min("point.media_id").alias("least"), F.max("point.media_id").alias("most")).where("least < most")
-    met = keyed.join(leaders.select("table", "key", "leaders"), ["table", "key"]).select("point", F.explode("leaders").alias("leader")).where("point.media_id <> leader.media_id")
-    off = sum((F.bit_count(F.col(f"point.d{k}").bitwiseXOR(F.col(f"leader.d{k}"))) for k in range(4)), F.lit(0))
+def _shifts(a: tuple, b: tuple, cell: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shift in cells that takes corner (x, y) ``a`` to ``b`` after the turn of the cell and the scale."""
+    rad = np.radians(cell * TURN)
+    dx = b[0] - ratio * (a[0] * np.cos(rad) - a[1] * np.sin(rad))
+    dy = b[1] - ratio * (a[0] * np.sin(rad) + a[1] * np.cos(rad))
+    return dx / SHIFT, dy / SHIFT
+
+
+def block_links(ids: np.ndarray, side: np.ndarray, lists: pa.ListArray, matches: int = MATCHES) -> tuple[np.ndarray, np.ndarray]:
+    """All links (u, v: rows) between images with these corners; with two sides, only between different sides. The
+    image of the smaller id is the first of a pair."""
+    per = np.diff(lists.offsets.to_numpy())
+    image = np.repeat(np.arange(len(ids)), per)
+    flat = lists.flatten()
+    x, y, scale, angle = (flat.field(c).to_numpy() for c in ("x", "y", "scale", "angle"))
+    words = np.stack([flat.field(f"d{k}").to_numpy() for k in range(4)], axis=1)
+    bits = np.ascontiguousarray(words).view(np.uint64)
+    octave = np.log2(scale) / OCTAVE
+    # corners of an image at one place count once
+    _, place = np.unique(np.stack([image, x, y], axis=1), axis=0, return_inverse=True) if len(image) else (None, image)
+    place = place.reshape(-1)
+    two = len(side) > 0 and side.min() != side.max()
+    right = np.flatnonzero(side[image] == side.max()) if two else np.arange(len(image))
+    orders = [right[np.argsort(words[right, k], kind="stable")] for k in range(4)]
+    keys = [words[o, k] for k, o in enumerate(orders)]
+    lefts = np.flatnonzero(side == side.min()) if len(side) else np.zeros(0, int)
+    edge = np.concatenate([[0], np.cumsum(per)])
+    turns, octaves = round(360 / TURN), 2 * int(np.ceil(np.log2(max(SCALES)) / OCTAVE)) + 1
+    us, vs = [], []
+    for at in range(0, len(lefts), PART):
+        mine = lefts[at : at + PART]
+        points = np.concatenate([np.arange(edge[m], edge[m + 1]) for m in mine])
+        found = []
+        for k in range(4):
+            low, high = (np.searchsorted(keys[k], words[points, k], s) for s in ("left", "right"))
+            n = high - low
+            one = np.repeat(points, n)
+            two_ = orders[k][np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            if not two:  # each pair once
+                keep = ids[image[one]] < ids[image[two_]]
+                one, two_ = one[keep], two_[keep]
+            off = bits[one] ^ bits[two_]
+            keep = np.bitwise_count(off).sum(axis=1, dtype=np.int64) <= HAMMING
+            for j in range(k):  # pairs that an earlier table has found
+                keep &= words[one, j] != words[two_, j]
+            found.append((one[keep], two_[keep]))
+        one, two_ = (np.concatenate(z) for z in zip(*found, strict=True))
+        if not len(one):
+            continue
+        pair = np.searchsorted(mine, image[one]) * len(ids) + image[two_]
+        swap = ids[image[one]] > ids[image[two_]]
+        a, b = np.where(swap, two_, one), np.where(swap, one, two_)
+        cell = np.floor(np.degrees(angle[b] - angle[a]) % 360.0 / TURN + 0.5).astype(int) % turns
+        step = np.rint(octave[b] - octave[a]).astype(int) + octaves // 2
+        group = (pair * turns + cell) * octaves + step
+        for last in (False, True):  # a pair without enough matches of one turn and scale has no geometry
+            if last:
+                _, group, n = np.unique(group, return_inverse=True, return_counts=True)
+                keep = n[group] >= matches
+            else:
+                keep = np.bincount(pair)[pair] >= matches
+            a, b, pair, cell, group = a[keep], b[keep], pair[keep], cell[keep], group[keep]
+        if not len(a):
+            continue
+        dx, dy = _shifts((x[a], y[a]), (x[b], y[b]), cell, scale[b] / scale[a])
+        # four grids, shifted by half a cell, so that no border splits a geometry in all of them
+        for p in (0.0, 0.5):
+            for q in (0.0, 0.5):
+                rows = np.unique(np.stack([group, np.floor(dx + p).astype(int), np.floor(dy + q).astype(int), place[a], pair], axis=1), axis=0)
+                new = np.ones(len(rows), bool)
+                new[1:] = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
+                start = np.flatnonzero(new)
+                good = np.unique(rows[start[np.diff(np.append(start, len(rows))) >= matches], 4])
+                us.append(mine[good // len(ids)])
+                vs.append(good % len(ids))
+    if not us:
+        return np.zeros(0, int), np.zeros(0, int)
+    both = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], axis=1), axis=0)
+    return both[:, 0], both[:, 1]
+
+
+def _forest(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """Which links make a spanning forest of ``n`` rows."""
+    parent = list(range(n))
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    take = np.zeros(len(u), bool)
+    for k, (a, b) in enumerate(zip(u.tolist(), v.tolist(), strict=True)):
+        a, b = root(a), root(b)
+        if a != b:
+            parent[b] = a
+            take[k] = True
+    return take
+
+
+def _compared(blocks: DataFrame, matches: int) -> DataFrame:
+    """(u, v, n) for groups (low, high) of images: a spanning forest of the links as (u, v, null), and for each image of
+    a link the images that its links lead to, copies and all, as (u, null, n)."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        ids, times = group["media_id"].to_numpy(), group["times"].to_numpy()
+        u, v = block_links(ids, group["side"].to_numpy(), group["corners"].combine_chunks(), matches)
+        n = (np.bincount(u, times[v], len(ids)) + np.bincount(v, times[u], len(ids))).astype(np.int64)
+        some, take = np.flatnonzero(n), _forest(u, v, len(ids))
+        links, counts = int(take.sum()), len(some)
+        return pa.table({
+            "u": pa.array(np.concatenate([ids[u[take]], ids[some]])),
+            "v": pa.concat_arrays([pa.array(ids[v[take]]), pa.nulls(counts, pa.int64())]),
+            "n": pa.concat_arrays([pa.nulls(links, pa.int64()), pa.array(n[some])]),
+        })
+
+    return blocks.groupBy("low", "high").applyInArrow(compare, "u long, v long, n long")
+
+
+def copy_links(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
+    """(u, v, n) as of :func:`_compared` for a scratch table of (media_id, times, corners): every two images with at
+    least ``matches`` corners of one geometry whose descriptors share a word are linked.
+
+    A key of at most HOT images gives its pairs of corners, if an image of the two has no hot key. Images with a hot key
+    are compared block by block, on all their corners, so no pair of a hot key becomes a row."""
+    point = F.explode("corners").alias("c")
+    keyed = classes.select("media_id", point).select("media_id", F.posexplode(F.array("c.d0", "c.d1", "c.d2", "c.d3")).alias("table", "key")).distinct()
+    keys = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("images")).where("images > 1")
+    keyed = cut(keyed.join(keys, ["table", "key"]), "media-keyed")
+    hot = cut(keyed.where(F.col("images") > HOT).select("media_id").distinct(), "media-hot")
+
+    n_hot = hot.count()
+    blocks = max(1, -(-n_hot // BLOCK_IMAGES))
+    packed = classes.join(hot, "media_id").withColumn("block", F.pmod(F.xxhash64("media_id"), F.lit(blocks)).cast("int"))
+    paired = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    paired = paired.select("media_id", "times", "corners", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"))
+    found = _compared(paired, matches)
+
+    # keys without a hot image on one side
+    flagged = keyed.where(F.col("images") <= HOT).join(hot.withColumn("hot", F.lit(True)), "media_id", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    wanted = flagged.groupBy("table", "key").agg(F.min("hot").alias("all_hot")).where("not all_hot").select("table", "key")
+    flagged = flagged.join(wanted, ["table", "key"]).select("media_id", "table", "key", "hot")
+    corner = classes.select("media_id", "times", point).select("media_id", "times", "c", F.posexplode(F.array("c.d0", "c.d1", "c.d2", "c.d3")).alias("table", "key"))
+    corner = corner.join(flagged, ["media_id", "table", "key"]).select("table", "key", F.struct("media_id", "times", "hot", "c.*").alias("p"))
+    met = corner.withColumnRenamed("p", "a").join(corner.withColumnRenamed("p", "b"), ["table", "key"]).where("a.media_id < b.media_id and not (a.hot and b.hot)")
+    off = sum((F.bit_count(F.col(f"a.d{k}").bitwiseXOR(F.col(f"b.d{k}"))) for k in range(4)), F.lit(0))
     met = met.where(off <= HAMMING)
-    swap = F.col("point.media_id") > F.col("leader.media_id")
-    return met.select(F.when(swap, F.col("leader")).otherwise(F.col("point")).alias("a"), F.when(swap, F.col("point")).otherwise(F.col("leader")).alias("b"))
-
-
-def copy_links(points: DataFrame, matches: int = MATCHES) -> DataFrame:
-    """(u, v): images with at least ``matches`` corners that tell one geometry."""
     turn = F.pmod(F.degrees(F.col("b.angle") - F.col("a.angle")), F.lit(360.0))
-    ratio = F.col("b.scale") / F.col("a.scale")
-    met = _candidates(points).withColumns({"turn": turn, "ratio": ratio})
+    met = met.withColumns({"turn": turn, "ratio": F.col("b.scale") / F.col("a.scale")})
     # the cell of the turn decides the turn that shifts are computed with, so that one geometry has one shift
     met = met.withColumn("cell", F.pmod(F.round(F.col("turn") / TURN), F.lit(360.0 / TURN))).withColumn("rad", F.radians(F.col("cell") * TURN))
     dx = F.col("b.x") - F.col("ratio") * (F.col("a.x") * F.cos("rad") - F.col("a.y") * F.sin("rad"))
     dy = F.col("b.y") - F.col("ratio") * (F.col("a.x") * F.sin("rad") + F.col("a.y") * F.cos("rad"))
-    met = met.select(F.col("a.media_id").alias("u"), F.col("b.media_id").alias("v"), F.struct("a.x", "a.y").alias("corner"), "cell", F.round(F.log2("ratio") / OCTAVE).alias("octave"), (dx / SHIFT).alias("dx"), (dy / SHIFT).alias("dy"))
+    met = met.select(F.col("a.media_id").alias("u"), F.col("b.media_id").alias("v"), F.col("a.times").alias("nu"), F.col("b.times").alias("nv"), F.struct("a.x", "a.y").alias("corner"), "cell", F.round(F.log2("ratio") / OCTAVE).alias("octave"), (dx / SHIFT).alias("dx"), (dy / SHIFT).alias("dy"))
     # four grids, shifted by half a cell, so that no border splits a geometry in all of them
     grids = F.explode(F.array(*(F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p in (0.0, 0.5) for q in (0.0, 0.5))))
-    met = met.withColumn("grid", grids).select("u", "v", "cell", "octave", "grid", F.floor(F.col("dx") + F.col("grid.p")).alias("sx"), F.floor(F.col("dy") + F.col("grid.q")).alias("sy"), "corner").distinct()
-    return met.groupBy("u", "v", "cell", "octave", "grid", "sx", "sy").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= matches).select("u", "v").distinct()
+    met = met.withColumn("grid", grids).select("u", "v", "nu", "nv", "cell", "octave", "grid", F.floor(F.col("dx") + F.col("grid.p")).alias("sx"), F.floor(F.col("dy") + F.col("grid.q")).alias("sy"), "corner").distinct()
+    pairs = met.groupBy("u", "v", "nu", "nv", "cell", "octave", "grid", "sx", "sy").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= matches).select("u", "v", "nu", "nv").distinct()
+    none = F.lit(None).cast("long")
+    rows = F.inline(F.array(F.struct(F.col("u").alias("u"), F.col("v").alias("v"), none.alias("n")), F.struct("u", none.alias("v"), F.col("nv").alias("n")), F.struct(F.col("v").alias("u"), none.alias("v"), F.col("nu").alias("n"))))
+    return found.unionByName(pairs.select(rows))
 
 
 def image_copies(images: DataFrame) -> DataFrame:
     """(media_id, n_corners, n_links, component_id, kept) for each row of ``images``: component_id is the least id that
-    links lead to. An image without corners is linked with nothing; rows of one id count as one image and each give a
-    row; a null id has a null component_id and is kept; other columns are not read; an empty table gives no rows."""
-    points = cut(describe(images).dropDuplicates(), "media-points")
-    links = cut(copy_links(points), "media-links")
-    roots = components(links, "media")
-    counts = points.groupBy("media_id").agg(F.count(F.lit(1)).alias("n_corners"))
-    degree = links.select(F.explode(F.array("u", "v")).alias("media_id")).groupBy("media_id").agg(F.count(F.lit(1)).alias("n_links"))
-    out = images.select("media_id").join(counts, "media_id", "left").join(degree, "media_id", "left").join(roots.select(F.col("u").alias("media_id"), "v"), "media_id", "left")
-    component = F.coalesce("v", "media_id")
+    links lead to, n_links the number of images that are linked. An image without corners is linked with nothing; images
+    of equal corners are compared as one; rows of one id count as one image and each give a row; a null id has a null
+    component_id and is kept; other columns are not read; an empty table gives no rows."""
+    corner = F.struct("x", "y", "scale", "angle", "d0", "d1", "d2", "d3")
+    packs = describe(images).groupBy("media_id").agg(F.array_sort(F.collect_set(corner)).alias("corners"))
+    packs = cut(packs.withColumns({"h0": F.xxhash64(F.lit(0), "corners"), "h1": F.xxhash64(F.lit(1), "corners")}), "media-packs")
+    classes = packs.groupBy("h0", "h1").agg(F.min("media_id").alias("least"), F.count(F.lit(1)).alias("times"))
+    places = F.size(F.array_distinct(F.transform("corners", lambda c: F.struct(c["x"], c["y"]))))
+    able = packs.where(places >= MATCHES).join(classes, ["h0", "h1"]).where("media_id = least")
+    able = cut(able.select("media_id", "times", "corners", "h0", "h1"), "media-classes")
+    found = cut(copy_links(able.drop("h0", "h1")), "media-links")
+    roots = components(found.where("v is not null").select("u", "v"), "media").select(F.col("u").alias("least"), "v")
+    degree = found.where("n is not null").groupBy(F.col("u").alias("least")).agg(F.sum("n").alias("more"))
+    named = able.select("h0", "h1", F.col("media_id").alias("least"), "times").join(roots, "least", "left").join(degree, "least", "left")
+    named = named.select("h0", "h1", F.coalesce("v", "least").alias("root"), (F.col("times") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
+    counts = packs.select("media_id", F.size("corners").alias("n_corners"), "h0", "h1").join(named, ["h0", "h1"], "left")
+    out = images.select("media_id").join(counts, "media_id", "left")
+    component = F.coalesce("root", "media_id")
     return out.select("media_id", F.coalesce("n_corners", F.lit(0)).cast("long").alias("n_corners"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("media_id") == component, F.lit(True)).alias("kept"))
 
 

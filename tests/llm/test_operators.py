@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -286,3 +287,41 @@ def test_image_copies(spark):
     rows += [(90, None, 3, bytearray(b"abc")), (91, 5, 5, bytearray(b"x")), (92, 100, 100, bytearray(10000)), (None, 1, 1, bytearray(b"x")), (93, 2, 2, None)]
     out = media.image_copies(spark.createDataFrame(rows, "media_id long, width int, height int, pixels binary")).collect()
     assert len(out) == len(rows) and all(r.component_id == truth.get(r.media_id, r.media_id) for r in out)
+
+
+def brute_links(points):
+    """All pairs of images by the definition: MATCHES corners of the first in one cell of the geometry."""
+    links, by = set(), collections.defaultdict(list)
+    for p in points:
+        by[p.media_id].append(p)
+    for u in by:
+        for v in (v for v in by if v > u):
+            cells = collections.defaultdict(set)
+            for a in by[u]:
+                for b in by[v]:
+                    words = [(a[k] & 0xFFFFFFFF) ^ (b[k] & 0xFFFFFFFF) for k in ("d0", "d1", "d2", "d3")]
+                    if 0 in words and sum(w.bit_count() for w in words) <= media.HAMMING:
+                        cell, r = int(math.degrees(b.angle - a.angle) % 360 / media.TURN + 0.5) % 12, b.scale / a.scale
+                        s, c = math.sin(math.radians(cell * media.TURN)), math.cos(math.radians(cell * media.TURN))
+                        dx, dy = (b.x - r * (a.x * c - a.y * s)) / media.SHIFT, (b.y - r * (a.x * s + a.y * c)) / media.SHIFT
+                        for p, q in ((0, 0), (0, 0.5), (0.5, 0), (0.5, 0.5)):
+                            cells[cell, round(math.log2(r) / media.OCTAVE), p, q, math.floor(dx + p), math.floor(dy + q)].add((a.x, a.y))
+            if any(len(c) >= media.MATCHES for c in cells.values()):
+                links.add((u, v))
+    return links
+
+
+@pytest.mark.parametrize("hot", [0, 12, 10**6])
+def test_image_copies_of_hot_keys_match_brute_force(spark, data, monkeypatch, hot):
+    monkeypatch.setattr(media, "HOT", hot)
+    monkeypatch.setattr(media, "BLOCK_IMAGES", 15)
+    vectors = [list(r.embedding) for r in spark.read.parquet(f"{data}/embeddings.parquet").orderBy("vec_id").limit(40).collect()]
+    vectors += [v[:-8] + [-x for x in v[-8:]] for v in vectors[:6]] + vectors[:3]  # copies with another last row, and equal ones
+    images = media.vector_images(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")).cache()
+    links = brute_links(media.describe(images).collect())
+    degree, group = collections.Counter(x for link in links for x in link), list(range(len(vectors)))
+    for _ in range(len(vectors)):
+        for u, v in links:
+            group[u] = group[v] = min(group[u], group[v])
+    assert len(links) > 9
+    assert {r.media_id: (r.n_links, r.component_id) for r in media.image_copies(images).collect()} == {k: (degree[k], group[k]) for k in range(len(vectors))}
