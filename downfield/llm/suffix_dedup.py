@@ -180,10 +180,37 @@ def _arrays(group: pa.Table) -> tuple[np.ndarray, ...]:
     return group["name"].to_numpy(), group["doc_id"].to_numpy(), group["start"].to_numpy(), np.diff(edges).astype(np.int64), data
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Spans of repeats among rows of round 2 whose names have too many for one task: each string is a row, and meets
+    only the least document and start of its own kind."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            name, doc, start, lengths, data = _arrays(pa.Table.from_batches([batch]))
+            offset = np.cumsum(lengths) - lengths
+            count = lengths - THRESHOLD + 1
+            row = np.repeat(np.arange(len(name)), count)
+            step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            string = _names(data, THRESHOLD)[offset[row] + step]
+            yield pa.RecordBatch.from_arrays([pa.array(name[row]), pa.array(string.view(np.int64)), pa.array(doc[row]), pa.array(start[row] + step)], ["name", "string", "doc_id", "start"])
+
+    key = ["name", "string"]
+    strings = cut(map_batches(rows.select("name", "doc_id", "start", "context"), make, "name long, string long, doc_id long, start long"), "suffix-strings")
+    least = strings.groupBy(*key).agg(F.min(F.struct("doc_id", "start")).alias("least"), F.max(F.struct("doc_id", "start")).alias("most"), F.count(F.lit(1)).alias("n"))
+    least = cut(least.where("least <> most").drop("most"), "suffix-least")
+    # a string of very many rows is looked up by broadcast, so that its rows don't meet in the join either
+    hot = cut(least.where(F.col("n") > RANKED_ROWS), "suffix-strings-hot")  # at most strings / RANKED_ROWS
+    hot = F.broadcast(hot) if hot.count() <= BROADCAST_IDS else hot
+    again = strings.join(hot, key).unionByName(strings.join(hot.select(*key), key, "left_anti").join(least.where(F.col("n") <= RANKED_ROWS), key))
+    return again.where("struct(doc_id, start) <> least").select("doc_id", F.col("start").alias("first"), (F.col("start") + THRESHOLD).alias("end"))
+
+
 def _ranked(rows: DataFrame) -> DataFrame:
     """Spans of repeats among the rows of round 2 (a scratch table). Buckets of names have about RANKED_ROWS rows; names
     with more rows than that are dealt by document first, and only rows with a first occurrence meet again, as long as
-    this lowers their number."""
+    this lowers their number. Names that then still have more are ranked string by string."""
 
     def thin(group: pa.Table) -> pa.Table:
         if not len(group):
@@ -206,6 +233,10 @@ def _ranked(rows: DataFrame) -> DataFrame:
         less = thinned.where("first is null").select("name", "doc_id", "start", "context")
         rows = cut(rows.join(hot.select("name"), "name", "left_anti").unionByName(less), "suffix-rows")
         if less.count() > n_hot // 2:
+            stay = cut(rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > RANKED_ROWS).select("name"), "suffix-stay")
+            stay = F.broadcast(stay) if stay.count() <= BROADCAST_IDS else stay
+            spans.append(_spread(rows.join(stay, "name", "left_semi")))
+            rows = cut(rows.join(stay, "name", "left_anti"), "suffix-rows")
             break
     buckets = max(1, -(-rows.count() // RANKED_ROWS))
     out = rows.withColumn("bucket", F.pmod("name", F.lit(buckets))).groupBy("bucket").applyInArrow(rank, f"doc_id long, {_SPAN}")

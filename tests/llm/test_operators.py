@@ -140,6 +140,25 @@ def test_repeats_within_a_document_and_hot_strings(spark, monkeypatch):
     assert out == brute_repeats(texts)
 
 
+def test_repeats_of_a_line_in_many_documents_meet_in_no_large_group(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "RANKED_ROWS", 20)
+    kind, most = type(spark.range(1).groupBy("id")), []
+    real = kind.applyInArrow
+
+    def watched(self, *args):
+        most.append(self.count().agg(F.max("count")).first()[0] or 0)
+        return real(self, *args)
+
+    monkeypatch.setattr(kind, "applyInArrow", watched)
+    own = lambda d, k: hashlib.sha256(f"{d} {k}".encode()).hexdigest() * 2
+    # windows around the line reach into each document's own text; every tenth document repeats some of that, too
+    line = "This line of about seventy bytes stands in each and every document. "
+    texts = {d: f"{own(d, 0)} {line}{own(d - (d % 10 == 1), 1)}" for d in range(200)} | {200: line * 3, 201: own(0, 0) + line * 3}
+    out = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert out == brute_repeats(texts) and sum(r[1] > 0 for r in out.values()) > 20
+    assert max(most) < 100
+
+
 def test_repeats_odd_rows(odd, none):
     out = suffix_dedup.remove_repeats(odd).collect()
     by = {r.doc_id: r for r in out}
