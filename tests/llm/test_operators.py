@@ -334,8 +334,9 @@ def brute_links(points):
 def test_image_copies_of_hot_keys_match_brute_force(spark, data, monkeypatch, hot):
     monkeypatch.setattr(media, "HOT", hot)
     monkeypatch.setattr(media, "BLOCK_IMAGES", 15)
-    vectors = [list(r.embedding) for r in spark.read.parquet(f"{data}/embeddings.parquet").orderBy("vec_id").limit(40).collect()]
-    vectors += [v[:-8] + [-x for x in v[-8:]] for v in vectors[:6]] + vectors[:3]  # copies with another last row, and equal ones
+    vectors = [list(r.embedding) for r in spark.read.parquet(f"{data}/embeddings.parquet").orderBy("vec_id").limit(8).collect()]
+    vectors += [v[:-8] + [-x for x in v[-8:]] for v in vectors[:3]] + vectors[:3]  # copies with another last row, and equal ones
+    vectors += [v[:-8] + [x * s for x in v[-8:]] for v in vectors[:2] for s in (-3, -0.5, 0, 0.5, 3)]  # groups beyond any few leaders
     images = media.vector_images(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")).cache()
     links = brute_links(media.describe(images).collect())
     degree, group = collections.Counter(x for link in links for x in link), list(range(len(vectors)))
