@@ -7,10 +7,27 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-#: Rounds at most; each at least halves the depth of what is left, so this is beyond any graph that fits a cluster.
+#: Rounds after which to give up; each about halves the depth of what is left, so no real graph comes near.
 ROUNDS = 60
 
 
+class Forest:
+    """Sets of the numbers below ``n`` that are joined one by one."""
+
+    def __init__(self, n: int):
+        self.parent = list(range(n))
+
+    def root(self, k: int) -> int:
+        parent = self.parent
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    def join(self, a: int, b: int) -> None:
+        self.parent[self.root(b)] = self.root(a)
+
+
 def _stars(edges: DataFrame) -> DataFrame:
     """A large-star and a small-star step on (u, v) with u > v."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -29,6 +46,6 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     for _ in range(ROUNDS):
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
-            break
+            return edges
         edges, before = cut(_stars(edges), f"{name}-stars"), now
-    return edges
+    raise RuntimeError(f"components of {name} are not finished after {ROUNDS} rounds")

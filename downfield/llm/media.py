@@ -1,9 +1,12 @@
 """Media columns: copies of images by local descriptors.
 
 Corners are found at several scales; around each, pairs of pixels are compared along its own direction, which gives 128
-bits that brightness and rotation hardly change. Tables keyed by 32 of the bits bring equal parts together; a match has
-to agree in most bits, and a pair of images in many matches that tell the same shift, turn and scale. Every pair that
-shares a key is compared: pairs of rare keys as rows, images of hot keys block by block.
+bits that brightness and turning hardly change. Tables keyed by 32 of the bits bring like corners of different images
+together. Images with two such matches of one turn and scale are candidates; a candidate is confirmed by one geometry
+(turn, scale and shift) that takes many corners of the one image to their matches in the other.
+
+Pairs of rare keys become rows and are confirmed one by one. Images with hot keys are compared block by block, so no
+pair of a hot key ever is a row.
 """
 
 from __future__ import annotations
@@ -15,21 +18,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches
-from .components import components
-
-#: Octave factors of the scales, and corners an image keeps at each, strongest first.
-SCALES, CORNERS = (1.0, 1.5, 2.25), 16
-BITS, RADIUS, BORDER = 128, 9, 11
-#: A match differs in so many bits at most; a pair of images needs so many matches of one geometry.
-HAMMING, MATCHES = 20, 6
-#: Cells of the geometry: turn in degrees, scale in octaves, shift in pixels.
-TURN, OCTAVE, SHIFT = 30.0, 0.6, 10.0
-#: Images that are handled at a time.
-STACK = 128
-#: A key of more images than this is hot; images with a hot key are compared in blocks of about so many images, of
-#: which PART meet the other block at a time.
-HOT, BLOCK_IMAGES, PART = 64, 2048, 32
+from .common import BROADCAST_IDS, cut, map_batches
+from .components import Forest, components
+
+
+#: Factors by which the levels are made smaller; larger pictures are reduced to SIDE pixels first.
+SCALES, SIDE = (1.0, 1.26, 1.59, 2.0), 512
+#: Bits of a descriptor, radius of its tests, distance of corners from the edge, and from a stronger corner.
+BITS, RADIUS, BORDER, APART = 128, 15, 17, 3
+#: A match differs in so many bits at most; one geometry has to join so many corners, and this part of the corners of
+#: the region that the two images share, so that a common mark alone makes no copy.
+HAMMING, MATCHES, PART = 24, 6, 0.3
+#: Matches that share a word, in one cell of the geometry, that make a candidate; cells of a turn, pixels of a shift.
+MET, TURNS, SHIFT = 3, 24, 32
+#: Pixels that a match may be off, and matches that are tried as the lead of a geometry, nearest first.
+OFF, LEADS = 2.0, 48
+#: Pixels that are handled at a time, and pairs of corners.
+STACK_PIXELS, PAIRS = 1 << 19, 1 << 18
+#: A key of more corners than this is hot; images with hot keys are compared in blocks of about so many corners.
+HOT, BLOCK_CORNERS = 16, 350_000
+#: A corner: place in 1/UNITS pixels, number of its scale, direction in 1/256 turns, bits as four words.
+UNITS = 16
+POINT = np.dtype([("x", "<u2"), ("y", "<u2"), ("level", "u1"), ("turn", "u1"), ("bits", "<u4", 4)])
+_SCALE = np.array(SCALES)
 
 
 def _tests() -> np.ndarray:
@@ -39,286 +50,377 @@ def _tests() -> np.ndarray:
 
 
 _POINTS = _tests()
+_DISC_Y, _DISC_X = (v[np.hypot(*np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1]) <= RADIUS] for v in np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1])
 
 
-def _smooth(x: np.ndarray) -> np.ndarray:
+def smooth(x: np.ndarray) -> np.ndarray:
     """Binomial filter of width 5 over the last two axes of a stack."""
     for axis in (1, 2):
-        pad = np.pad(x, [(2, 2) if a == axis else (0, 0) for a in range(3)], "edge")
-        n = x.shape[axis]
-        take = lambda k, pad=pad, n=n, axis=axis: pad.take(range(k, k + n), axis=axis)
-        x = (take(0) + take(4) + 4 * (take(1) + take(3)) + 6 * take(2)) / 16
+        pad = np.moveaxis(np.pad(x, [(2, 2) if a == axis else (0, 0) for a in range(3)], "edge"), axis, 0)
+        n = len(pad) - 4
+        y = pad[2 : n + 2] * x.dtype.type(6 / 16)
+        y += (pad[1 : n + 1] + pad[3 : n + 3]) * x.dtype.type(4 / 16)
+        y += (pad[:n] + pad[4:]) * x.dtype.type(1 / 16)
+        x = np.moveaxis(y, 0, axis)
     return x
 
 
-def _resized(x: np.ndarray, factor: float) -> np.ndarray:
-    """A stack made smaller by ``factor``, with bilinear weights."""
-    if factor == 1:
-        return x
-    for axis in (1, 2):
+def resized(x: np.ndarray, factor: float) -> np.ndarray:
+    """A stack made smaller by ``factor``: means of whole pixels, then bilinear weights for what is left of it."""
+    whole = max(1, int(factor))
+    if whole > 1:
+        n, h, w = x.shape[0], x.shape[1] // whole, x.shape[2] // whole
+        x = x[:, : h * whole, : w * whole].reshape(n, h, whole, w, whole).mean(axis=(2, 4), dtype=np.float32)
+        factor /= whole
+    x = x.astype(np.float32)
+    for axis in (1, 2) if factor > 1 else ():
         n = x.shape[axis]
         at = np.clip((np.arange(max(1, int(n / factor))) + 0.5) * factor - 0.5, 0, n - 1)
         low = np.minimum(at.astype(int), max(n - 2, 0))
-        weight = (at - low).reshape([-1 if a == axis else 1 for a in range(3)])
+        weight = (at - low).astype(np.float32).reshape([-1 if a == axis else 1 for a in range(3)])
         x = x.take(low, axis=axis) * (1 - weight) + x.take(np.minimum(low + 1, n - 1), axis=axis) * weight
     return x
 
 
-def corners(stack: np.ndarray, keep: int = CORNERS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Image, y and x of the strongest corners of each image of a stack: local maxima of the structure tensor."""
-    dy, dx = np.gradient(stack, axis=(1, 2))
-    yy, xx, xy = _smooth(dy * dy), _smooth(dx * dx), _smooth(dy * dx)
-    power = yy * xx - xy * xy - 0.05 * (yy + xx) ** 2
-    n, h, w = power.shape
-    inner = power[:, BORDER : h - BORDER, BORDER : w - BORDER]
-    if inner.size == 0:
+def _window_max(x: np.ndarray, reach: int) -> np.ndarray:
+    """Maximum over the square of ``reach`` places around each place that has a whole square."""
+    for axis in (1, 2):
+        x = np.moveaxis(x, axis, 0)
+        n = len(x) - 2 * reach
+        x = np.moveaxis(np.maximum.reduce([x[k : k + n] for k in range(2 * reach + 1)]), 0, axis)
+    return x
+
+
+def corners(level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Image, y and x of the corners of a stack: places where the structure tensor beats all others within APART. Their
+    number grows with the area, and a crop keeps those of its part."""
+    n, h, w = level.shape
+    if min(h, w) <= 2 * BORDER:
         return (np.zeros(0, int),) * 3
-    top = np.full(inner.shape, -np.inf)
-    for a in (-1, 0, 1):
-        for b in (-1, 0, 1):
-            if a or b:
-                top = np.maximum(top, power[:, BORDER + a : h - BORDER + a, BORDER + b : w - BORDER + b])
-    found = np.where((inner > top) & (inner > 1e-3), inner, 0).reshape(n, -1)
-    best = np.argsort(-found, axis=1, kind="stable")[:, :keep]
-    image, rank = np.nonzero(np.take_along_axis(found, best, 1) > 0)
-    place = best[image, rank]
-    return image, place // inner.shape[2] + BORDER, place % inner.shape[2] + BORDER
-
-
-def describe_stack(stack: np.ndarray) -> tuple[np.ndarray, ...]:
-    """For corners of all scales: image, x, y (in pixels of the image), scale, angle, bits (corners by 4 ints)."""
-    out: list[tuple[np.ndarray, ...]] = []
-    disc_y, disc_x = np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1]
-    disc = disc_y**2 + disc_x**2 <= RADIUS**2
-    for scale in SCALES:
-        level = _smooth(_resized(stack, scale))
-        if min(level.shape[1:]) <= 2 * BORDER + 2:
-            continue
+    dy, dx = np.gradient(level, axis=(1, 2))
+    yy, xx, xy = smooth(dy * dy), smooth(dx * dx), smooth(dy * dx)
+    power = yy * xx - xy * xy - np.float32(0.05) * (yy + xx) ** 2
+    edge = BORDER - APART
+    top = _window_max(power[:, edge : h - edge, edge : w - edge], APART)
+    inner = power[:, BORDER : h - BORDER, BORDER : w - BORDER]
+    image, y, x = np.nonzero((inner == top) & (inner > 1))
+    return image, y + BORDER, x + BORDER
+
+
+def describe_stack(stack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The image of each corner of all scales, and the corners as POINT, sorted by image."""
+    shrink = max(1.0, max(stack.shape[1:]) / SIDE)
+    base = resized(stack, shrink)
+    images, points = [np.zeros(0, int)], [np.zeros(0, POINT)]
+    for number, scale in enumerate(SCALES):
+        level = smooth(resized(base, scale))
         image, y, x = corners(level)
-        patch = level[image[:, None], y[:, None] + disc_y[disc], x[:, None] + disc_x[disc]]
-        angle = np.arctan2((patch * disc_y[disc]).sum(axis=1), (patch * disc_x[disc]).sum(axis=1))
+        if not len(image):
+            continue
+        level = np.rint(smooth(level) * 8).astype(np.int32)  # whole numbers, so that even areas compare alike everywhere
+        _, h, w = level.shape
+        flat, centre = level.reshape(-1), (image * h + y) * w + x
+        patch = flat[centre[:, None] + (_DISC_Y * w + _DISC_X)]
+        angle = np.arctan2((patch @ _DISC_Y).astype(float), (patch @ _DISC_X).astype(float))
+        point = np.zeros(len(image), POINT)
+        point["turn"] = np.rint(angle / (2 * np.pi) * 256).astype(np.int64) & 255
         s, c = np.sin(angle)[:, None], np.cos(angle)[:, None]
         value = []
         for k in range(2):
             py, px = _POINTS[:, k, 0], _POINTS[:, k, 1]
-            value.append(level[image[:, None], y[:, None] + np.rint(s * px + c * py).astype(int), x[:, None] + np.rint(c * px - s * py).astype(int)])
-        bits = np.packbits(value[0] < value[1], axis=1).view("<i4")
-        out.append((image, (x + 0.5) * scale, (y + 0.5) * scale, np.full(len(x), scale), angle, bits))
-    if not out:
-        none = np.zeros(0)
-        return none.astype(int), none, none, none, none, np.zeros((0, 4), np.int32)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-_SCHEMA = "media_id long, x double, y double, scale double, angle double, d0 int, d1 int, d2 int, d3 int"
+            value.append(flat[centre[:, None] + np.rint(s * px + c * py).astype(int) * w + np.rint(c * px - s * py).astype(int)])
+        point["bits"] = np.packbits(value[0] < value[1], axis=1).view("<u4")
+        point["x"], point["y"] = (np.rint((v + 0.5) * scale * UNITS) for v in (x, y))
+        point["level"] = number
+        images.append(image)
+        points.append(point)
+    image, point = np.concatenate(images), np.concatenate(points)
+    order = np.argsort(image, kind="stable")
+    return image[order], point[order]
 
 
 def describe(images: DataFrame) -> DataFrame:
-    """A row for each corner of (long media_id, width, height, pixels: 8-bit grey values, row by row). Images that are
-    null, empty, not of the size they state or too small have no corners."""
+    """(media_id, wide, tall, points) for each of (long media_id, width, height, pixels: 8-bit grey values, row by row)
+    that has corners; ``points`` holds them as POINT, wide and tall are of the reduced picture. Images that are null,
+    empty, not of the size they state or too small have no row."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             by_size: dict[tuple[int, int], list[int]] = {}
-            for k, (m, w, h, p) in enumerate(zip(*(batch[c].to_pylist() for c in ("media_id", "width", "height")), batch["pixels"], strict=True)):
-                if m is not None and w and h and p.is_valid and w * h == p.as_buffer().size:
+            for k, (m, w, h) in enumerate(zip(*(batch[c].to_pylist() for c in ("media_id", "width", "height")), strict=True)):
+                p = batch["pixels"][k]
+                if m is not None and w and h and min(w, h) > 2 * BORDER and p.is_valid and w * h == p.as_buffer().size:
                     by_size.setdefault((h, w), []).append(k)
             ids = batch["media_id"].fill_null(-1).to_numpy()
             for (h, w), rows in by_size.items():
-                step = max(1, min(STACK, (STACK * 96 * 96) // (h * w)))
+                step, shrink = max(1, STACK_PIXELS // (h * w)), max(1.0, max(h, w) / SIDE)
                 for at in range(0, len(rows), step):
                     some = rows[at : at + step]
-                    stack = np.stack([np.frombuffer(batch["pixels"][k].as_buffer(), np.uint8).reshape(h, w) for k in some]).astype(np.float64)
-                    image, x, y, scale, angle, bits = describe_stack(stack)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[np.array(some)[image]]), *(pa.array(v) for v in (x, y, scale, angle)), *(pa.array(bits[:, j].copy()) for j in range(4))], ["media_id", "x", "y", "scale", "angle", "d0", "d1", "d2", "d3"])
-
-    return map_batches(images.select("media_id", "width", "height", "pixels"), make, _SCHEMA)
-
-
-def _shifts(a: tuple, b: tuple, cell: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shift in cells that takes corner (x, y) ``a`` to ``b`` after the turn of the cell and the scale."""
-    rad = np.radians(cell * TURN)
-    dx = b[0] - ratio * (a[0] * np.cos(rad) - a[1] * np.sin(rad))
-    dy = b[1] - ratio * (a[0] * np.sin(rad) + a[1] * np.cos(rad))
-    return dx / SHIFT, dy / SHIFT
-
-
-def block_links(ids: np.ndarray, side: np.ndarray, lists: pa.ListArray, matches: int = MATCHES) -> tuple[np.ndarray, np.ndarray]:
-    """All links (u, v: rows) between images with these corners; with two sides, only between different sides. The
-    image of the smaller id is the first of a pair."""
-    per = np.diff(lists.offsets.to_numpy())
-    image = np.repeat(np.arange(len(ids)), per)
-    flat = lists.flatten()
-    x, y, scale, angle = (flat.field(c).to_numpy() for c in ("x", "y", "scale", "angle"))
-    words = np.stack([flat.field(f"d{k}").to_numpy() for k in range(4)], axis=1)
-    bits = np.ascontiguousarray(words).view(np.uint64)
-    octave = np.log2(scale) / OCTAVE
-    # corners of an image at one place count once
-    _, place = np.unique(np.stack([image, x, y], axis=1), axis=0, return_inverse=True) if len(image) else (None, image)
-    place = place.reshape(-1)
-    two = len(side) > 0 and side.min() != side.max()
-    right = np.flatnonzero(side[image] == side.max()) if two else np.arange(len(image))
-    orders = [right[np.argsort(words[right, k], kind="stable")] for k in range(4)]
-    keys = [words[o, k] for k, o in enumerate(orders)]
-    lefts = np.flatnonzero(side == side.min()) if len(side) else np.zeros(0, int)
-    edge = np.concatenate([[0], np.cumsum(per)])
-    turns, octaves = round(360 / TURN), 2 * int(np.ceil(np.log2(max(SCALES)) / OCTAVE)) + 1
-    us, vs = [], []
-    for at in range(0, len(lefts), PART):
-        mine = lefts[at : at + PART]
-        points = np.concatenate([np.arange(edge[m], edge[m + 1]) for m in mine])
-        found = []
-        for k in range(4):
-            low, high = (np.searchsorted(keys[k], words[points, k], s) for s in ("left", "right"))
-            n = high - low
-            one = np.repeat(points, n)
-            two_ = orders[k][np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-            if not two:  # each pair once
-                keep = ids[image[one]] < ids[image[two_]]
-                one, two_ = one[keep], two_[keep]
-            off = bits[one] ^ bits[two_]
-            keep = np.bitwise_count(off).sum(axis=1, dtype=np.int64) <= HAMMING
-            for j in range(k):  # pairs that an earlier table has found
-                keep &= words[one, j] != words[two_, j]
-            found.append((one[keep], two_[keep]))
-        one, two_ = (np.concatenate(z) for z in zip(*found, strict=True))
-        if not len(one):
-            continue
-        pair = np.searchsorted(mine, image[one]) * len(ids) + image[two_]
-        swap = ids[image[one]] > ids[image[two_]]
-        a, b = np.where(swap, two_, one), np.where(swap, one, two_)
-        cell = np.floor(np.degrees(angle[b] - angle[a]) % 360.0 / TURN + 0.5).astype(int) % turns
-        step = np.rint(octave[b] - octave[a]).astype(int) + octaves // 2
-        group = (pair * turns + cell) * octaves + step
-        for last in (False, True):  # a pair without enough matches of one turn and scale has no geometry
-            if last:
-                _, group, n = np.unique(group, return_inverse=True, return_counts=True)
-                keep = n[group] >= matches
+                    image, point = describe_stack(np.stack([np.frombuffer(batch["pixels"][k].as_buffer(), np.uint8).reshape(h, w) for k in some]))
+                    edge = np.searchsorted(image, np.arange(len(some) + 1))
+                    have = np.flatnonzero(np.diff(edge))
+                    size = [pa.array(np.full(len(have), int(v / shrink), np.int32)) for v in (w, h)]
+                    packed = pa.array([point[edge[k] : edge[k + 1]].tobytes() for k in have], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[np.array(some)[have]]), *size, packed], ["media_id", "wide", "tall", "points"])
+
+    return map_batches(images.select("media_id", "width", "height", "pixels"), make, "media_id long, wide int, tall int, points binary")
+
+
+def same_picture(a: np.ndarray, b: np.ndarray, size_a: tuple[int, int], size_b: tuple[int, int]) -> bool:
+    """Whether one geometry takes enough corners of image ``a`` (POINT) to their matches in ``b``; sizes: wide, tall."""
+    off = np.zeros((len(a), len(b)), np.uint8)
+    for k in range(4):
+        off += np.bitwise_count(a["bits"][:, None, k] ^ b["bits"][None, :, k])
+    # a corner's best matches only, from both sides
+    most = np.minimum(np.minimum(off.min(axis=1, initial=BITS)[:, None], off.min(axis=0, initial=BITS)[None]) + 1, HAMMING)
+    i, j = np.nonzero(off <= most)
+    if len(i) < MATCHES:
+        return False
+    order = np.argsort(off[i, j], kind="stable")
+    i, j = i[order], j[order]
+    at, to = ((p["x"] + 1j * p["y"]) / UNITS for p in (a, b))
+    scale = _SCALE
+    turn = (b["turn"][j].astype(float) - a["turn"][i]) / 256 * 2 * np.pi
+    zoom = scale[b["level"][j]] / scale[a["level"][i]] * np.exp(1j * turn)  # as the match alone tells
+    p, q = at[i], to[j]
+    size = np.maximum(scale[b["level"][j]], scale[a["level"][i]] * np.abs(zoom))
+
+    def fits(z: np.ndarray, from_p: np.ndarray, to_q: np.ndarray, loose: float) -> np.ndarray:
+        far = p - from_p
+        return (np.abs(z * far + to_q - q) <= OFF * size + loose * np.abs(z * far)) & (np.abs(zoom / z - 1) < 0.45)
+
+    lead = np.arange(min(len(i), LEADS))[:, None]
+    agree = fits(zoom[lead], p[lead], q[lead], 0.2)
+    best = agree[agree.sum(axis=1).argmax()]
+    for _ in range(4):
+        if best.sum() < MATCHES:
+            return False
+        mp, mq = p[best].mean(), q[best].mean()
+        spread = (np.abs(p[best] - mp) ** 2).sum()
+        z = ((q[best] - mq) * np.conj(p[best] - mp)).sum() / max(spread, 1e-9)
+        if abs(z) < 0.1:
+            return False
+        best = fits(z, mp, mq, 0.0)
+    cells = lambda x: len(np.unique(np.rint(x / 4)))  # noqa: E731  a corner found at several scales counts once
+    n = min(cells(p[best]), cells(q[best]))
+
+    def seen(x: np.ndarray, level: np.ndarray, size: tuple[int, int]) -> np.ndarray:
+        edge = BORDER * scale[level]
+        return x[(x.real >= edge) & (x.real <= size[0] - edge) & (x.imag >= edge) & (x.imag <= size[1] - edge)]
+
+    shared = min(cells(seen(z * (at - mp) + mq, a["level"], size_b)), cells(seen((to - mq) / z + mp, b["level"], size_a)))
+    return n >= MATCHES and n >= PART * shared
+
+
+def _votes(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+    """The cell of the geometry of each match of ``a`` to ``b`` (POINT) as one number: turn, scale, shift in x and y.
+    Two grids, apart by half a cell, so that few geometries fall on a border in both."""
+    cell = ((b["turn"].astype(np.int64) - a["turn"]) % 256 * TURNS + 128) // 256 % TURNS
+    ratio = _SCALE[b["level"]] / _SCALE[a["level"]]
+    c, s = (f(np.arange(TURNS) * (2 * np.pi / TURNS))[cell] for f in (np.cos, np.sin))
+    dx, dy = b["x"] - ratio * (a["x"] * c - a["y"] * s), b["y"] - ratio * (a["x"] * s + a["y"] * c)
+    step = b["level"].astype(np.int64) - a["level"] + len(SCALES)
+    out = []
+    for grid in (0.0, 0.5):
+        x, y = (np.floor(v / (SHIFT * UNITS) + grid).astype(np.int64) + 512 for v in (dx, dy))
+        out.append(((cell * 2 * len(SCALES) + step) * 1024 + x) * 1024 + y)
+    return out
+
+
+class _Block:
+    """Images of a group: their ids, corners and where each image's corners begin."""
+
+    def __init__(self, points: pa.ChunkedArray):
+        packed = [np.frombuffer(p.as_buffer(), POINT) for p in points]
+        self.edge = np.concatenate([[0], np.cumsum([len(p) for p in packed])]).astype(np.int64)
+        self.points = np.concatenate([np.zeros(0, POINT), *packed])
+        self.image = np.repeat(np.arange(len(packed)), np.diff(self.edge))
+        self.words = np.ascontiguousarray(self.points["bits"])
+        self.place = self.points["x"].astype(np.int64) << 16 | self.points["y"]
+
+    def of(self, k: int) -> np.ndarray:
+        return self.points[self.edge[k] : self.edge[k + 1]]
+
+    def candidates(self, lefts: np.ndarray, rights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of images (left, right), left before right in the block, with MET matches in one cell. About PAIRS pairs of corners
+        are handled at a time; an image that has more meets the others by halves."""
+        inside = np.flatnonzero(np.isin(self.image, rights))
+        orders = [inside[np.argsort(self.words[inside, k], kind="stable")] for k in range(4)]
+        keys = [self.words[o, k] for k, o in enumerate(orders)]
+        mine = np.flatnonzero(np.isin(self.image, lefts))
+        ends = [tuple(np.searchsorted(keys[k], self.words[mine, k], s) for s in ("left", "right")) for k in range(4)]
+        total = np.bincount(self.image[mine], sum(high - low for low, high in ends), len(self.edge) - 1)
+        at = 0
+        while at < len(lefts):
+            to = at + max(1, int(np.searchsorted(np.cumsum(total[lefts[at:]]), PAIRS, "right")))
+            if total[lefts[at]] > PAIRS and len(rights) > 1:
+                for half in np.array_split(rights, 2):
+                    yield from self.candidates(lefts[at : at + 1], half)
             else:
-                keep = np.bincount(pair)[pair] >= matches
-            a, b, pair, cell, group = a[keep], b[keep], pair[keep], cell[keep], group[keep]
-        if not len(a):
-            continue
-        dx, dy = _shifts((x[a], y[a]), (x[b], y[b]), cell, scale[b] / scale[a])
-        # four grids, shifted by half a cell, so that no border splits a geometry in all of them
-        for p in (0.0, 0.5):
-            for q in (0.0, 0.5):
-                rows = np.unique(np.stack([group, np.floor(dx + p).astype(int), np.floor(dy + q).astype(int), place[a], pair], axis=1), axis=0)
-                new = np.ones(len(rows), bool)
-                new[1:] = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
-                start = np.flatnonzero(new)
-                good = np.unique(rows[start[np.diff(np.append(start, len(rows))) >= matches], 4])
-                us.append(mine[good // len(ids)])
-                vs.append(good % len(ids))
-    if not us:
-        return np.zeros(0, int), np.zeros(0, int)
-    both = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], axis=1), axis=0)
-    return both[:, 0], both[:, 1]
-
-
-def _forest(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
-    """Which links make a spanning forest of ``n`` rows."""
-    parent = list(range(n))
-
-    def root(k: int) -> int:
-        while parent[k] != k:
-            parent[k] = parent[parent[k]]
-            k = parent[k]
-        return k
-
-    take = np.zeros(len(u), bool)
-    for k, (a, b) in enumerate(zip(u.tolist(), v.tolist(), strict=True)):
-        a, b = root(a), root(b)
-        if a != b:
-            parent[b] = a
-            take[k] = True
-    return take
-
-
-def _compared(blocks: DataFrame, matches: int) -> DataFrame:
-    """(u, v, n) for groups (low, high) of images: a spanning forest of the links as (u, v, null), and for each image of
-    a link the images that its links lead to, copies and all, as (u, null, n)."""
+                some = slice(*np.searchsorted(self.image[mine], [lefts[at], lefts[to - 1] + 1]))
+                yield self._met(mine[some], [(low[some], high[some]) for low, high in ends], orders)
+            at = to
+
+    def _met(self, mine: np.ndarray, ends: list, orders: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        n, parts = len(self.edge) - 1, []
+        first = int(self.image[mine].min()) if len(mine) else 0
+        for k, (low, high) in enumerate(ends):
+            count = high - low
+            a = np.repeat(mine, count)
+            b = orders[k][np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
+            parts.append((a, b, (self.image[a] - first) * n + self.image[b], np.full(len(a), k, np.int8)))
+        a, b, pair, table = (np.concatenate(x) for x in zip(*parts, strict=True))
+        keep = np.flatnonzero((np.bincount(pair, minlength=1)[pair] >= MET) & (self.image[a] < self.image[b]))
+        # of the pairs that share words often enough, those of like corners, each once
+        a, b, pair = a[keep], b[keep], pair[keep]
+        off = self.words[a] ^ self.words[b]
+        keep = (np.bitwise_count(off).sum(axis=1, dtype=np.uint8) <= HAMMING) & ((off == 0).argmax(axis=1) == table[keep])
+        a, b, pair = a[keep], b[keep], pair[keep]
+        keep = np.bincount(pair, minlength=1)[pair] >= MET
+        a, b, pair = a[keep], b[keep], pair[keep]
+        good = [np.zeros(0, np.int64)]
+        for vote in _votes(self.points[a], self.points[b]):
+            _, pair_number = np.unique(pair, return_inverse=True)
+            key = pair_number << 34 | vote
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(order)])
+            many = np.diff(np.append(begin, len(order))) >= MET
+            if many.any():
+                ok = many
+                for side in (self.place[a[order]], self.place[b[order]]):
+                    ok &= np.minimum.reduceat(side, begin) < np.maximum.reduceat(side, begin)
+                good.append(pair[order[begin[ok]]])
+        found = np.unique(np.concatenate(good))
+        return found // n + first, found % n
+
+
+_LINKS = "u long, v long"
+
+
+def _compared(blocks: DataFrame) -> DataFrame:
+    """(u, v): a spanning forest of the links in each group (low, high) of (media_id, wide, tall, points, side); with
+    two sides, only images of different sides are compared."""
 
     def compare(group: pa.Table) -> pa.Table:
-        ids, times = group["media_id"].to_numpy(), group["times"].to_numpy()
-        u, v = block_links(ids, group["side"].to_numpy(), group["corners"].combine_chunks(), matches)
-        n = (np.bincount(u, times[v], len(ids)) + np.bincount(v, times[u], len(ids))).astype(np.int64)
-        some, take = np.flatnonzero(n), _forest(u, v, len(ids))
-        links, counts = int(take.sum()), len(some)
-        return pa.table({
-            "u": pa.array(np.concatenate([ids[u[take]], ids[some]])),
-            "v": pa.concat_arrays([pa.array(ids[v[take]]), pa.nulls(counts, pa.int64())]),
-            "n": pa.concat_arrays([pa.nulls(links, pa.int64()), pa.array(n[some])]),
-        })
-
-    return blocks.groupBy("low", "high").applyInArrow(compare, "u long, v long, n long")
-
-
-def copy_links(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
-    """(u, v, n) as of :func:`_compared` for a scratch table of (media_id, times, corners): every two images with at
-    least ``matches`` corners of one geometry whose descriptors share a word are linked.
-
-    A key of at most HOT images gives its pairs of corners, if an image of the two has no hot key. Images with a hot key
-    are compared block by block, on all their corners, so no pair of a hot key becomes a row."""
-    point = F.explode("corners").alias("c")
-    keyed = classes.select("media_id", point).select("media_id", F.posexplode(F.array("c.d0", "c.d1", "c.d2", "c.d3")).alias("table", "key")).distinct()
-    keys = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("images")).where("images > 1")
-    keyed = cut(keyed.join(keys, ["table", "key"]), "media-keyed")
-    hot = cut(keyed.where(F.col("images") > HOT).select("media_id").distinct(), "media-hot")
-
-    n_hot = hot.count()
-    blocks = max(1, -(-n_hot // BLOCK_IMAGES))
-    packed = classes.join(hot, "media_id").withColumn("block", F.pmod(F.xxhash64("media_id"), F.lit(blocks)).cast("int"))
+        group = group.sort_by([("side", "ascending"), ("media_id", "ascending")])
+        ids, side = group["media_id"].to_numpy(), group["side"].to_numpy()
+        size = list(zip(group["wide"].to_pylist(), group["tall"].to_pylist(), strict=True))
+        block, joined = _Block(group["points"]), Forest(len(ids))
+        two = len(side) > 0 and side[0] != side[-1]
+        lefts, rights = (np.flatnonzero(side == side[0]), np.flatnonzero(side == side[-1])) if two else (np.arange(len(ids)),) * 2
+        links = []
+        for us, vs in block.candidates(lefts, rights):
+            for u, v in zip(us.tolist(), vs.tolist(), strict=True):
+                if joined.root(u) != joined.root(v) and same_picture(block.of(u), block.of(v), size[u], size[v]):
+                    joined.join(u, v)
+                    links.append((ids[u], ids[v]))
+        u, v = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.table({"u": pa.array(u), "v": pa.array(v)})
+
+    return blocks.groupBy("low", "high").applyInArrow(compare, _LINKS)
+
+
+def _keyed(classes: DataFrame, points: bool = False) -> DataFrame:
+    """(key, media_id) for each word of each corner, the number of the word in the key's upper bits; with ``points``
+    also the corner: x, y, level, turn, b0, b1."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for media_id, packed in zip(batch["media_id"], batch["points"], strict=True):
+                p = np.frombuffer(packed.as_buffer(), POINT)
+                for k in range(4):
+                    key = p["bits"][:, k].astype(np.int64) | k << 32
+                    columns = {"key": pa.array(key), "media_id": pa.repeat(media_id, len(p))}
+                    if points:
+                        columns |= {c: pa.array(p[c].astype(np.int32)) for c in ("x", "y", "level", "turn")}
+                        columns |= {f"b{h}": pa.array(np.ascontiguousarray(p["bits"]).view(np.int64)[:, h].copy()) for h in range(2)}
+                    yield pa.RecordBatch.from_pydict(columns)
+
+    more = ", x int, y int, level int, turn int, b0 long, b1 long" if points else ""
+    return map_batches(classes.select("media_id", "points"), make, f"key long, media_id long{more}")
+
+
+def _fits(ids: DataFrame) -> DataFrame:
+    """A scratch table of one long column, hinted as broadcast only up to BROADCAST_IDS rows."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _rare_candidates(cold: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
+    """(u, v), u < v: candidates of which one image is in ``cold``, that is, has no hot key; so they share rare keys only."""
+    wanted = _fits(cut(_keyed(cold).select("key").distinct().join(keys.where(F.col("n") <= HOT).select("key"), "key"), "media-wanted"))
+    some = classes.join(cold.select("media_id", F.lit(True).alias("is_cold")), "media_id", "left")
+    corner = _keyed(classes, True).join(wanted, "key", "left_semi")
+    side = corner.join(some.select("media_id", F.coalesce("is_cold", F.lit(False)).alias("is_cold")), "media_id")
+    side = side.select("key", F.struct("media_id", "is_cold", "x", "y", "level", "turn", "b0", "b1").alias("p"))
+    met = side.withColumnRenamed("p", "a").join(side.withColumnRenamed("p", "b"), "key").where("a.media_id < b.media_id and (a.is_cold or b.is_cold)")
+    off = [F.col(f"a.b{h}").bitwiseXOR(F.col(f"b.b{h}")) for h in range(2)]
+    equal = [f(o) == 0 for o in off for f in (lambda o: o.bitwiseAND(F.lit(0xFFFFFFFF)), lambda o: F.shiftrightunsigned(o, 32))]
+    first = F.when(equal[0], 0).when(equal[1], 1).when(equal[2], 2).otherwise(3)  # each pair of corners once
+    met = met.where((F.bit_count(off[0]) + F.bit_count(off[1]) <= HAMMING) & (first == F.shiftright("key", 32)))
+    scale = F.array(*map(F.lit, SCALES))
+    cell = F.floor((F.pmod(F.col("b.turn") - F.col("a.turn"), F.lit(256)) * TURNS + 128) / 256) % TURNS
+    met = met.withColumns({"cell": cell, "step": F.col("b.level") - F.col("a.level"), "ratio": scale[F.col("b.level")] / scale[F.col("a.level")]})
+    met = met.withColumns({"c": F.cos(F.col("cell") * (2 * np.pi / TURNS)), "s": F.sin(F.col("cell") * (2 * np.pi / TURNS)), "grid": F.explode(F.array(F.lit(0.0), F.lit(0.5)))})
+    shift = [F.col("b.x") - F.col("ratio") * (F.col("a.x") * F.col("c") - F.col("a.y") * F.col("s")), F.col("b.y") - F.col("ratio") * (F.col("a.x") * F.col("s") + F.col("a.y") * F.col("c"))]
+    places = [F.col(f"{p}.x") * 65536 + F.col(f"{p}.y") for p in "ab"]
+    met = met.select(F.col("a.media_id").alias("u"), F.col("b.media_id").alias("v"), "cell", "step", "grid", *(F.floor(d / (SHIFT * UNITS) + F.col("grid")).alias(f"d{k}") for k, d in enumerate(shift)), *(p.alias(f"p{k}") for k, p in enumerate(places)))
+    counted = met.groupBy("u", "v", "cell", "step", "grid", "d0", "d1").agg(F.count(F.lit(1)).alias("n"), *(f(f"p{k}").alias(f"{f.__name__}{k}") for k in range(2) for f in (F.min, F.max)))
+    return counted.where((F.col("n") >= MET) & (F.col("min0") < F.col("max0")) & (F.col("min1") < F.col("max1"))).select("u", "v").distinct()
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (u, v) of images that one geometry joins."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            good = [same_picture(np.frombuffer(r["points"], POINT), np.frombuffer(r["points2"], POINT), (r["wide"], r["tall"]), (r["wide2"], r["tall2"])) for r in rows]
+            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+
+    body = classes.select("media_id", "wide", "tall", "points")
+    both = pairs.join(body.withColumnRenamed("media_id", "u"), "u").join(body.toDF("v", "wide2", "tall2", "points2"), "v")
+    return map_batches(both.select("u", "v", "wide", "tall", "points", "wide2", "tall2", "points2"), check, _LINKS)
+
+
+def copy_links(classes: DataFrame) -> DataFrame:
+    """(u, v) for a scratch table of (media_id, wide, tall, points): links that join every two images with MET matches that share a
+    word and lie in one cell of the geometry, if :func:`same_picture` confirms them. Between images with hot keys only a spanning forest of a
+    block's links comes out."""
+    keys = cut(_keyed(classes).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "media-keys")
+    hot_keys = _fits(cut(keys.where(F.col("n") > HOT).select("key"), "media-hot-keys"))
+    hot = cut(_keyed(classes).join(hot_keys, "key", "left_semi").select("media_id").distinct(), "media-hot")
+    packed = classes.join(_fits(hot), "media_id")
+    cold = cut(classes.join(_fits(hot), "media_id", "left_anti"), "media-cold")
+    total = packed.agg(F.sum(F.octet_length("points"))).first()[0] or 0
+    blocks = max(1, -(-total // (BLOCK_CORNERS * POINT.itemsize)))
+    packed = packed.withColumn("block", F.pmod(F.xxhash64("media_id"), F.lit(blocks)).cast("int"))
     paired = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    paired = paired.select("media_id", "times", "corners", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"))
-    found = _compared(paired, matches)
-
-    # keys without a hot image on one side
-    flagged = keyed.where(F.col("images") <= HOT).join(hot.withColumn("hot", F.lit(True)), "media_id", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    wanted = flagged.groupBy("table", "key").agg(F.min("hot").alias("all_hot")).where("not all_hot").select("table", "key")
-    flagged = flagged.join(wanted, ["table", "key"]).select("media_id", "table", "key", "hot")
-    corner = classes.select("media_id", "times", point).select("media_id", "times", "c", F.posexplode(F.array("c.d0", "c.d1", "c.d2", "c.d3")).alias("table", "key"))
-    corner = corner.join(flagged, ["media_id", "table", "key"]).select("table", "key", F.struct("media_id", "times", "hot", "c.*").alias("p"))
-    met = corner.withColumnRenamed("p", "a").join(corner.withColumnRenamed("p", "b"), ["table", "key"]).where("a.media_id < b.media_id and not (a.hot and b.hot)")
-    off = sum((F.bit_count(F.col(f"a.d{k}").bitwiseXOR(F.col(f"b.d{k}"))) for k in range(4)), F.lit(0))
-    met = met.where(off <= HAMMING)
-    turn = F.pmod(F.degrees(F.col("b.angle") - F.col("a.angle")), F.lit(360.0))
-    met = met.withColumns({"turn": turn, "ratio": F.col("b.scale") / F.col("a.scale")})
-    # the cell of the turn decides the turn that shifts are computed with, so that one geometry has one shift
-    met = met.withColumn("cell", F.pmod(F.round(F.col("turn") / TURN), F.lit(360.0 / TURN))).withColumn("rad", F.radians(F.col("cell") * TURN))
-    dx = F.col("b.x") - F.col("ratio") * (F.col("a.x") * F.cos("rad") - F.col("a.y") * F.sin("rad"))
-    dy = F.col("b.y") - F.col("ratio") * (F.col("a.x") * F.sin("rad") + F.col("a.y") * F.cos("rad"))
-    met = met.select(F.col("a.media_id").alias("u"), F.col("b.media_id").alias("v"), F.col("a.times").alias("nu"), F.col("b.times").alias("nv"), F.struct("a.x", "a.y").alias("corner"), "cell", F.round(F.log2("ratio") / OCTAVE).alias("octave"), (dx / SHIFT).alias("dx"), (dy / SHIFT).alias("dy"))
-    # four grids, shifted by half a cell, so that no border splits a geometry in all of them
-    grids = F.explode(F.array(*(F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p in (0.0, 0.5) for q in (0.0, 0.5))))
-    met = met.withColumn("grid", grids).select("u", "v", "nu", "nv", "cell", "octave", "grid", F.floor(F.col("dx") + F.col("grid.p")).alias("sx"), F.floor(F.col("dy") + F.col("grid.q")).alias("sy"), "corner").distinct()
-    pairs = met.groupBy("u", "v", "nu", "nv", "cell", "octave", "grid", "sx", "sy").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= matches).select("u", "v", "nu", "nv").distinct()
-    none = F.lit(None).cast("long")
-    rows = F.inline(F.array(F.struct(F.col("u").alias("u"), F.col("v").alias("v"), none.alias("n")), F.struct("u", none.alias("v"), F.col("nv").alias("n")), F.struct(F.col("v").alias("u"), none.alias("v"), F.col("nu").alias("n"))))
-    return found.unionByName(pairs.select(rows))
+    paired = paired.select("media_id", "wide", "tall", "points", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"))
+    found = _compared(paired.repartition(2 * blocks * (blocks + 1), "low", "high"))  # groups take long and are few: one a task
+    rare = cut(_rare_candidates(cold, classes, keys), "media-candidates")
+    return found.unionByName(_confirmed(rare, classes))
 
 
 def image_copies(images: DataFrame) -> DataFrame:
-    """(media_id, n_corners, n_links, component_id, kept) for each row of ``images``: component_id is the least id that
-    links lead to, n_links the number of images that are linked. An image without corners is linked with nothing; images
-    of equal corners are compared as one; rows of one id count as one image and each give a row; a null id has a null
-    component_id and is kept; other columns are not read; an empty table gives no rows."""
-    corner = F.struct("x", "y", "scale", "angle", "d0", "d1", "d2", "d3")
-    packs = describe(images).groupBy("media_id").agg(F.array_sort(F.collect_set(corner)).alias("corners"))
-    packs = cut(packs.withColumns({"h0": F.xxhash64(F.lit(0), "corners"), "h1": F.xxhash64(F.lit(1), "corners")}), "media-packs")
-    classes = packs.groupBy("h0", "h1").agg(F.min("media_id").alias("least"), F.count(F.lit(1)).alias("times"))
-    places = F.size(F.array_distinct(F.transform("corners", lambda c: F.struct(c["x"], c["y"]))))
-    able = packs.where(places >= MATCHES).join(classes, ["h0", "h1"]).where("media_id = least")
-    able = cut(able.select("media_id", "times", "corners", "h0", "h1"), "media-classes")
-    found = cut(copy_links(able.drop("h0", "h1")), "media-links")
-    roots = components(found.where("v is not null").select("u", "v"), "media").select(F.col("u").alias("least"), "v")
-    degree = found.where("n is not null").groupBy(F.col("u").alias("least")).agg(F.sum("n").alias("more"))
-    named = able.select("h0", "h1", F.col("media_id").alias("least"), "times").join(roots, "least", "left").join(degree, "least", "left")
-    named = named.select("h0", "h1", F.coalesce("v", "least").alias("root"), (F.col("times") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
-    counts = packs.select("media_id", F.size("corners").alias("n_corners"), "h0", "h1").join(named, ["h0", "h1"], "left")
+    """(media_id, n_corners, component_id, kept) for each row of ``images``: component_id is the least id that links
+    lead to. An image without corners is linked with nothing; images of equal corners are compared as one; of different
+    pictures of one id only that of the least digest counts, and each row of the id gives a row; a null id has a null component_id
+    and is kept; other columns are not read; an empty table gives no rows."""
+    packs = describe(images)
+    packs = cut(packs.withColumns({f"h{k}": F.xxhash64(F.lit(k), "wide", "tall", "points") for k in range(2)}), "media-packs")
+    named = packs.groupBy("media_id").agg(F.min(F.struct("h0", "h1")).alias("h")).select("media_id", "h.h0", "h.h1")
+    classes = cut(named.groupBy("h0", "h1").agg(F.min("media_id").alias("least")), "media-classes")
+    bodies = packs.join(classes.withColumnRenamed("least", "media_id"), ["media_id", "h0", "h1"]).dropDuplicates(["media_id"])
+    able = cut(bodies.where(F.octet_length("points") >= MATCHES * POINT.itemsize).select("media_id", "wide", "tall", "points"), "media-bodies")
+    links = cut(copy_links(able), "media-links")
+    roots = components(links, "media").select(F.col("u").alias("least"), "v")
+    classes = classes.join(roots, "least", "left").select("h0", "h1", F.coalesce("v", "least").alias("root"))
+    sizes = packs.select("media_id", "h0", "h1", (F.octet_length("points") / POINT.itemsize).cast("long").alias("n_corners")).distinct()
+    counts = named.join(sizes, ["media_id", "h0", "h1"]).join(classes, ["h0", "h1"]).select("media_id", "n_corners", "root")
     out = images.select("media_id").join(counts, "media_id", "left")
     component = F.coalesce("root", "media_id")
-    return out.select("media_id", F.coalesce("n_corners", F.lit(0)).cast("long").alias("n_corners"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("media_id") == component, F.lit(True)).alias("kept"))
+    return out.select("media_id", F.coalesce("n_corners", F.lit(0)).cast("long").alias("n_corners"), component.alias("component_id"), F.coalesce(F.col("media_id") == component, F.lit(True)).alias("kept"))
 
 
 def vector_images(vectors: DataFrame, block: int = 10) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, lower_bytes, map_batches, mix64, prefix_hash, some, span_hash, texts, word_spans
-from .components import components
+from .components import Forest, components
 
 WORDS = 5
 #: Link at 100 * intersection >= LINK * union.
@@ -117,17 +117,10 @@ def _links(members: pa.Table, link: int) -> tuple[list[int], list[int]]:
     four, fifth = (members[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("sketch", "fifth"))
     sketches = np.concatenate([four.view(np.uint16).reshape(n, -1), fifth.view(np.uint16).reshape(n, -1)], axis=1)
     _, group = np.unique(members["group"].to_numpy(), return_inverse=True)
-    parent = list(range(n))
-    first: dict[int, int] = {}
-
-    def root(k: int) -> int:
-        while parent[k] != k:
-            parent[k] = parent[parent[k]]
-            k = parent[k]
-        return k
-
+    joined, first = Forest(n), {}
+    root = joined.root
     for k in range(n):
-        parent[k] = first.setdefault(int(group[k]), k)
+        joined.join(first.setdefault(int(group[k]), k), k)
     label = np.array([root(k) for k in range(n)])
     whole = pa.record_batch([members["text"].combine_chunks()], ["text"])
     sets: list[np.ndarray] = [np.zeros(0, np.uint64)] * n
@@ -155,7 +148,7 @@ def _links(members: pa.Table, link: int) -> tuple[list[int], list[int]]:
         hit = np.add.reduceat((sets[a][place] == together).astype(np.int64), np.concatenate([[0], np.cumsum(lengths)[:-1]]))
         for b in ahead[100 * hit >= link * (len(sets[a]) + lengths - hit)]:
             if root(a) != root(int(b)):
-                parent[root(int(b))] = root(a)
+                joined.join(a, int(b))
                 u.append(int(ids[a]))
                 v.append(int(ids[b]))
         label = np.array([root(k) for k in range(n)]) if u else label
