@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: Roles that speak in every perspective as themselves and have none of their own.
 NARRATORS = ("system",)
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
@@ -34,34 +36,46 @@ def rotate_perspectives(turns: DataFrame, narrators: tuple[str, ...] = NARRATORS
     none and gives no rows, as an empty table does; null conv_id is a conversation like others. Other columns are not
     read.
 
-    A participant list is a set of the conversation's roles, gathered with partial aggregation; long conversations are
-    cut into blocks of turns, so that no task has to sort a whole one (rows of one turn number stay in a task).
+    A conversation is cut into blocks of turns. Offsets are summed from lengths alone: over the blocks first, which are
+    few rows, then within a block; so each text is shuffled once, with its block, before it is rendered for the
+    perspectives, and no task has to hold a whole conversation (rows of one turn number stay in a task).
     """
-    rows = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), F.col("text").isNull().alias("_no_text"))
-    speaks = F.col("role").isNotNull() & ~F.col("role").isin(*narrators)
-    cast = rows.where(speaks).groupBy("conv_id").agg(F.sort_array(F.collect_set("role")).alias("_cast"))
-    seen = rows.alias("r").join(cast.alias("c"), F.col("r.conv_id").eqNullSafe(F.col("c.conv_id"))).select("r.*", F.explode("c._cast").alias("perspective"))
-    own = F.coalesce(F.col("role") == F.col("perspective"), F.lit(False))
-    narrated = F.coalesce(F.col("role").isin(*narrators), F.lit(False))
-    as_role = F.when(own, "assistant").when(narrated, F.col("role")).otherwise("user")
-    name = F.when(~own & ~narrated, F.coalesce("role", F.lit(NOBODY)))
-    head = F.concat(F.lit(OPEN), as_role, F.coalesce(F.concat(F.lit(" name="), name), F.lit("")), F.lit("\n"))
-    said = seen.select(
-        "conv_id", "perspective", "turn", F.col("role").alias("_role"), "text", "_no_text", own.alias("_own"), as_role.alias("role"), name.alias("name"), F.concat(head, "text", F.lit(CLOSE)).alias("rendered"), F.length(head).alias("_head"), F.floor(F.col("turn") / block).alias("_block")
-    )
+    conv = F.concat_ws(":", F.col("conv_id").isNull().cast("string"), F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
+    number = F.floor(F.col("turn") / block)
+    rows = turns.select(
+        "conv_id", "turn", F.col("role").alias("_role"), F.coalesce("text", F.lit("")).alias("text"), F.col("text").isNull().alias("_no_text"),
+        conv.alias("_conv"), number.alias("_block"), F.concat_ws(":", F.coalesce(number.cast("string"), F.lit("")), conv).alias("_at"),
+    )
+    narrated = F.coalesce(F.col("_role").isin(*narrators), F.lit(False))
+    name = F.coalesce("_role", F.lit(NOBODY))
+    others = F.concat(F.lit(OPEN), F.when(narrated, F.col("_role")).otherwise(F.concat(F.lit("user name="), name)), F.lit("\n"))
+    mine = F.lit(f"{OPEN}assistant\n")
+    body = F.length("text") + F.length(F.lit(CLOSE))
+
+    # lengths by block and role; a perspective's block is as long as for others, but for what its own messages differ by
+    by_role = rows.groupBy("_conv", "_at", "_block", "_role").agg(F.sum(F.length(others) + body).alias("_others"), F.sum(F.length(mine) + body).alias("_mine"), F.count(F.lit(1)).alias("_rows"))
+    by_role = cut(by_role, "chat-lengths")
+    cast = by_role.where(F.col("_role").isNotNull() & ~F.col("_role").isin(*narrators)).select("_conv", F.col("_role").alias("perspective")).distinct()
+    blocks = by_role.groupBy("_conv", "_at", "_block").agg(F.sum("_others").alias("_length"), F.sum("_rows").alias("_rows")).join(cast, "_conv")
+    own = by_role.select("_at", F.col("_role").alias("perspective"), (F.col("_mine") - F.col("_others")).alias("_more"))
+    blocks = blocks.join(own, ["_at", "perspective"], "left").withColumn("_length", F.col("_length") + F.coalesce("_more", F.lit(0)))
+    over = W.partitionBy("_conv", "perspective").orderBy(F.col("_block").asc_nulls_first())
+    blocks = blocks.select("_at", "perspective", _sum_before(F.col("_length"), over).alias("_from"), _sum_before(F.col("_rows"), over).alias("_before"))
+
+    # a broadcast would shuffle the rendered rows instead of the messages
+    said = rows.join(blocks.hint("merge"), "_at")
+    is_own = F.coalesce(F.col("_role") == F.col("perspective"), F.lit(False))
+    head = F.when(is_own, mine).otherwise(others)
+    said = said.withColumns({"_own": is_own, "_head": F.length(head), "rendered": F.concat(head, "text", F.lit(CLOSE))})
+    inside = W.partitionBy("_at", "perspective").orderBy(*(F.col(c).asc_nulls_first() for c in ("turn", "_role")), F.col("_no_text").desc(), "text")
     length = F.length("rendered")
-    blocks = said.groupBy("conv_id", "perspective", "_block").agg(F.sum(length).alias("_length"), F.count(F.lit(1)).alias("_rows"))
-    over = W.partitionBy("conv_id", "perspective").orderBy(F.col("_block").asc_nulls_first())
-    blocks = blocks.select("conv_id", "perspective", "_block", _sum_before(F.col("_length"), over).alias("_from"), _sum_before(F.col("_rows"), over).alias("_before"))
-    inside = W.partitionBy("conv_id", "perspective", "_block").orderBy(*(F.col(c).asc_nulls_first() for c in ("turn", "_role")), F.col("_no_text").desc(), "text")
-    placed = said.withColumns({"_start": _sum_before(length, inside), "_seq": _sum_before(F.lit(1), inside)})
-    same = F.col("s.conv_id").eqNullSafe(F.col("b.conv_id")) & (F.col("s.perspective") == F.col("b.perspective")) & F.col("s._block").eqNullSafe(F.col("b._block"))
-    start = F.col("b._from") + F.col("s._start")
-    placed = placed.alias("s").join(blocks.alias("b"), same).select("s.*", start.alias("start"), (F.col("b._before") + F.col("s._seq")).alias("seq"))
-    end = F.col("start") + F.length("rendered") - 1  # the line end after the end mark is not trained on
+    placed = said.withColumns({"start": F.col("_from") + _sum_before(length, inside), "seq": F.col("_before") + _sum_before(F.lit(1), inside)})
+    end = F.col("start") + length - 1  # the line end after the end mark is not trained on
     return placed.select(
-        "conv_id", "perspective", "seq", "turn", "role", "name", "rendered", "start", F.when(F.col("_own"), F.col("start") + F.col("_head")).otherwise(F.col("start")).alias("mask_start"), F.when(F.col("_own"), end).otherwise(F.col("start")).alias("mask_end")
-    )
+        "conv_id", "perspective", "seq", "turn", F.when(F.col("_own"), "assistant").when(narrated, F.col("_role")).otherwise("user").alias("role"),
+        F.when(~F.col("_own") & ~narrated, name).alias("name"), "rendered", "start",
+        F.when(F.col("_own"), F.col("start") + F.col("_head")).otherwise(F.col("start")).alias("mask_start"), F.when(F.col("_own"), end).otherwise(F.col("start")).alias("mask_end"),
+    )
 
 
 def training_texts(messages: DataFrame) -> DataFrame:

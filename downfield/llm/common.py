@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -20,8 +22,6 @@ BROADCAST_IDS = 1_000_000
 CHUNK_BYTES = 1 << 19
 #: What a batch that goes to Python holds at most, for the memory of executors that run several workers.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
-#: Where scratch tables go if the session names no shared folder (local tests).
-LOCAL_SCRATCH = "/tmp/checkpoints"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +29,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``, in it one folder for each application."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SCRATCH
+    """The shared folder of ``spark.checkpoint.dir``, in it one folder for each application. Only a session in one
+    process may do without the setting: it gets a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        root = f"{tempfile.gettempdir()}/downfield-scratch"
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes the scratch tables of this application, once its results are written: results that aren't read them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared scratch folder and read it again: the lineage ends there, so a lost
     executor costs a read of the table and no recomputation."""
@@ -49,9 +60,16 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+def fits(rows: DataFrame) -> DataFrame:
+    """A scratch table as the smaller side of a join: broadcast up to BROADCAST_ROWS rows, or, if it holds one number a row,
+    up to BROADCAST_IDS. Beyond that it is a plain side, and as it is a table, Spark can split the other side's hot keys."""
+    light = all(kind in ("bigint", "int") for _, kind in rows.dtypes) and len(rows.columns) == 1
+    return F.broadcast(rows) if rows.count() <= (BROADCAST_IDS if light else BROADCAST_ROWS) else rows
+
+
 def some(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Documents in (left_semi) or not in (left_anti) a scratch table of ``doc_id``; its counted size picks the join."""
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
+    return docs.join(fits(ids), "doc_id", how)
 
 
 def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:

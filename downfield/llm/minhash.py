@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lower_bytes, map_batches, mix64, prefix_hash, some, span_hash, texts, word_spans
+from .common import cut, fits, lower_bytes, map_batches, mix64, prefix_hash, some, span_hash, texts, word_spans
 from .components import Forest, components
 
 WORDS = 5
@@ -168,25 +168,28 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
 
     Documents with 100 * intersection >= ``link`` * union of their sets are linked; component_id is the least doc_id
     reachable. Null and empty texts and texts without words have no shingles and are linked with nothing. Rows of one
-    doc_id count as one document (they should repeat one text) and each give a row. A null doc_id has a null
+    doc_id count as one document (they should repeat one text; of different ones the one with the least set counts)
+    and each give a row. A null doc_id has a null
     component_id and is kept. An empty table gives no rows; other columns are not read.
     """
     sketches = cut(sketch(docs), "minhash-sketches")
+    keys = ["n_shingles", "set_sum", "set_mix"]
     usable = sketches.where("n_shingles > 0 and doc_id is not null")
-    least = usable.groupBy("n_shingles", "set_sum", "set_mix").agg(F.min(F.struct("doc_id", "sketch", "fifth")).alias("x"))
-    classes = cut(least.select("n_shingles", "set_sum", "set_mix", F.col("x.doc_id").alias("cls"), "x.sketch", "x.fifth"), "minhash-classes")
-
-    banded = classes.select("cls", F.posexplode(F.arrays_zip("sketch", "fifth")).alias("band", "r")).where("r.sketch <> 0 or r.fifth <> 0").select("cls", "band", F.xxhash64("r.sketch", "r.fifth").alias("key"))
-    leaders = banded.groupBy("band", "key").agg(F.min("cls").alias("leader"), F.max("cls").alias("last")).where("leader < last").drop("last")
-    members = banded.join(leaders, ["band", "key"]).select("leader", "cls").distinct()
-    members = cut(members.join(classes.select("cls", "n_shingles").dropDuplicates(["cls"]), "cls"), "minhash-members")  # leaders lead themselves
+    one_each = usable.groupBy("doc_id").agg(F.min(F.struct(*keys)).alias("k")).select("doc_id", "k.*")
+    classes = cut(one_each.groupBy(*keys).agg(F.min("doc_id").alias("cls")), "minhash-classes")
+    led = some(usable, classes.select(F.col("cls").alias("doc_id")), "left_semi")
+
+    banded = led.select(F.col("doc_id").alias("cls"), F.posexplode(F.arrays_zip("sketch", "fifth")).alias("band", "r")).where("r.sketch <> 0 or r.fifth <> 0").select("cls", "band", F.xxhash64("r.sketch", "r.fifth").alias("key"))
+    leaders = cut(banded.groupBy("band", "key").agg(F.min("cls").alias("leader"), F.max("cls").alias("last")).where("leader < last").drop("last"), "minhash-leaders")
+    members = cut(banded.join(fits(leaders), ["band", "key"]).select("leader", "cls").distinct(), "minhash-pairs")  # leaders lead themselves
+    members = cut(members.join(fits(classes.select("cls", "n_shingles")), "cls"), "minhash-members")
     wanted = cut(members.select(F.col("cls").alias("doc_id")).distinct(), "minhash-wanted")
     bodies = some(docs.select("doc_id", "text"), wanted, "left_semi").dropDuplicates(["doc_id"])
-    bodies = cut(bodies.join(classes.select(F.col("cls").alias("doc_id"), "sketch", "fifth", "n_shingles").dropDuplicates(["doc_id"]), "doc_id"), "minhash-bodies")
+    bodies = cut(bodies.join(some(led, wanted, "left_semi").select("doc_id", "sketch", "fifth", "n_shingles").dropDuplicates(["doc_id"]), "doc_id"), "minhash-bodies")
 
     sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
-    sizes = sizes.select("leader", F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = cut(members.join(sizes, "leader").select("leader", "cls", "blocks", F.pmod(F.xxhash64("cls", "leader"), "blocks").cast("int").alias("block")), "minhash-placed")
+    sizes = cut(sizes.select("leader", F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "minhash-sizes")
+    placed = cut(members.join(fits(sizes), "leader").select("leader", "cls", "blocks", F.pmod(F.xxhash64("cls", "leader"), "blocks").cast("int").alias("block")), "minhash-placed")
     filled = placed.join(bodies, F.col("cls") == F.col("doc_id")).select("leader", "block", "doc_id", "text", "sketch", "fifth", "n_shingles", F.col("doc_id").alias("group"), F.lit(0).alias("side"))
     links = cut(_confirm(filled, ["leader", "block"], link), "minhash-links-1")
     roots = components(links, "minhash-1")
@@ -210,9 +213,8 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     if not more.isEmpty():
         roots = components(links.unionByName(more), "minhash-2")
 
-    keys = ["n_shingles", "set_sum", "set_mix"]
-    named = classes.join(roots.select(F.col("u").alias("cls"), "v"), "cls", "left").select(*keys, F.coalesce("v", "cls").alias("component_id"))
-    out = sketches.select("doc_id", *keys).join(named, keys, "left")
-    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
-    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    named = cut(classes.join(roots.select(F.col("u").alias("cls"), "v"), "cls", "left").select(*keys, F.coalesce("v", "cls").alias("component_id")), "minhash-named")
+    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)  # beside the join: they may be very many
+    out = sketches.where(~alone).select("doc_id", *keys).join(fits(named), keys, "left").select("doc_id", "n_shingles", "component_id")
+    out = out.unionByName(sketches.where(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

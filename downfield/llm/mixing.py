@@ -1,9 +1,10 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree, in DataFrame operations only.
 
 Every source is cut into blocks of its permuted documents (the permutation is a digest of the doc_id). A source's
-target gives an exact quota of block draws. A binary tree then deals all draws to the output shards: at each node the
-pooled draws are ranked by a digest and the first half goes left, which is a multivariate hypergeometric sample of the
-sources' counts without replacement. A shard so holds disjoint permuted blocks; inside it rows have a digest to sort by.
+target gives an exact quota of block draws. A binary tree splits these quotas: at each node half of the draws go left,
+and how many of each source is one multivariate hypergeometric sample, drawn source by source from counts alone. At the
+leaves, the shards, each source has an exact count; its permuted draws are dealt to the shards in that order. So shards
+hold disjoint blocks; :func:`mixed` brings the rows of a shard together and sorts them by a digest.
 
 Defined results: null text or no word: size 0; null source is a source of its own, last in order; repeated rows (same
 doc_id, source and size) share one fate; a null doc_id is a document like others; an empty table gives an empty result;
@@ -12,7 +13,9 @@ other columns are kept and never read (clashing names are safe: inner columns st
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -54,16 +57,84 @@ def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
     return levelled.withColumn("target", F.when(F.col("_mix_full"), F.col("_mix_cap")).otherwise(first * F.col("_mix_weight"))).select("source", "n_docs", "source_size", "target")
 
 
-def deal(draws: DataFrame, shards: int, seed: str) -> DataFrame:
-    """The splitting tree: adds ``shard`` to (source, block, copy). At a node with draws of many sources the left half
-    is a sample without replacement, level by level until each leaf is a shard. Rows here are blocks, not documents."""
-    node = draws.withColumn("shard", F.lit(0))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out and planned once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _log_factorial(n: Column) -> Column:
+    """By Stirling's series at n + 8, and the factors in between."""
+
+    def series(x: Column) -> Column:
+        stirling = (x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+        return stirling - F.log(reduce(lambda a, k: a * (x - float(k)), range(2, 8), x - 1.0))
+
+    return _let(n + 8.0, series)
+
+
+def hypergeometric(good: Column, total: Column, draws: Column, u: Column) -> Column:
+    """How many of ``draws`` out of ``total`` are among the ``good`` ones: the inverse of the distribution at ``u`` in
+    [0, 1). All counts are longs; the work is in proportion to ``good``."""
+
+    def step(s: Column, k: Column) -> Column:
+        """From k - 1 to k, as long as the sum is not beyond u."""
+        log = s["log"] + F.log((s["good"] - k + 1) * (s["draws"] - k + 1) / (k * (s["bad"] - s["draws"] + k)))
+        more = _let(log, lambda x: F.struct(s["good"].alias("good"), s["bad"].alias("bad"), s["draws"].alias("draws"), s["u"].alias("u"), x.alias("log"), (s["sum"] + F.exp(x)).alias("sum"), k.alias("at")))
+        return F.when(s["sum"] > s["u"], s).otherwise(more)
+
+    def walk(c: Column) -> Column:
+        log = reduce(lambda a, n: a - _log_factorial(n), (c["at"], c["good"] - c["at"], c["draws"] - c["at"], c["bad"] - c["draws"] + c["at"]), F.lit(0.0))
+        log = log + reduce(lambda a, n: a + _log_factorial(n), (c["good"], c["bad"], c["draws"], c["good"] + c["bad"] - c["draws"]), F.lit(0.0)) - _log_factorial(c["good"] + c["bad"])
+        high = F.least(c["good"], c["draws"])
+        steps = F.when(high > c["at"], F.sequence(c["at"] + 1, high)).otherwise(F.array().cast("array<bigint>"))
+        first = _let(log, lambda x: F.struct(*(c[n].alias(n) for n in ("good", "bad", "draws", "u")), x.alias("log"), F.exp(x).alias("sum"), c["at"].alias("at")))
+        return F.aggregate(steps, first, step, lambda s: s["at"])
+
+    bad = total - good
+    low = F.greatest(F.lit(0).cast("long"), draws - bad)
+    return _let(F.struct(good.alias("good"), bad.alias("bad"), draws.alias("draws"), u.alias("u"), low.alias("at")), walk)
+
+
+def split_quotas(quotas: DataFrame, shards: int, seed: str) -> DataFrame:
+    """The splitting tree: (shard, source, n) from (source, n), the numbers of draws. At a node the left half's draws of
+    one source after the other are hypergeometric, given what the sources before have taken. A node is one row, with
+    an array of one struct a source."""
+    entry = F.struct(F.col("source"), F.col("n").cast("long").alias("n"))
+    nodes = quotas.where("n > 0").agg(F.array_sort(F.collect_list(entry)).alias("parts")).withColumn("shard", F.lit(0))
+    empty = F.array().cast(f"array<struct<source:{dict(quotas.dtypes)['source']},n:bigint,left:bigint>>")
     for level in range(max(0, (shards - 1).bit_length())):
-        inside = W.partitionBy("shard")
-        key = _digest(F.lit(f"{seed}/{level}"), "source", "block", "copy")
-        left = F.row_number().over(inside.orderBy(key, "source", "block", "copy")) * 2 <= F.count(F.lit(1)).over(inside)
-        node = node.withColumn("_mix_left", left).withColumn("shard", F.col("shard") * 2 + F.when(F.col("_mix_left"), 0).otherwise(1)).drop("_mix_left")
-    return node
+        total, key = F.aggregate("parts", F.lit(0).cast("long"), lambda t, p: t + p["n"]), F.lit(f"{seed}/{level}")
+
+        def draw(state: Column, part: Column) -> Column:
+            digest = _digest(key, F.col("shard"), part["source"])  # noqa: B023  used at once
+            u = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+            left = hypergeometric(part["n"], state["total"], state["draws"], u)
+
+            def after(taken: Column) -> Column:
+                struct = F.struct(part["source"].alias("source"), part["n"].alias("n"), taken.alias("left"))
+                return F.struct((state["total"] - part["n"]).alias("total"), (state["draws"] - taken).alias("draws"), F.array_append(state["parts"], struct).alias("parts"))
+
+            return _let(left, after)
+
+        first = F.struct(total.alias("total"), F.floor(total / 2).cast("long").alias("draws"), empty.alias("parts"))
+        drawn = nodes.select("shard", F.aggregate("parts", first, draw, lambda s: s["parts"]).alias("parts"))
+        left = F.transform("parts", lambda p: F.struct(p["source"].alias("source"), p["left"].alias("n")))
+        right = F.transform("parts", lambda p: F.struct(p["source"].alias("source"), (p["n"] - p["left"]).alias("n")))
+        halves = [F.struct((F.col("shard") * 2 + side).alias("shard"), parts.alias("parts")) for side, parts in enumerate((left, right))]
+        nodes = drawn.select(F.inline(F.array(*halves)))
+    return nodes.select("shard", F.inline("parts")).where("n > 0")
+
+
+def deal(draws: DataFrame, shards: int, seed: str) -> DataFrame:
+    """Adds ``shard`` to (source, block, copy): the tree says how many draws of a source a shard gets, and the source's
+    draws, permuted by a digest, fill the shards in turn. Windows see the draws of one source; a row is a block."""
+    quotas = cut(split_quotas(draws.groupBy("source").agg(F.count(F.lit(1)).alias("n")), shards, seed), "mix-shards")
+    upto = F.sum("n").over(W.partitionBy("source").orderBy("shard"))
+    spans = quotas.select("source", "shard", (upto - F.col("n")).alias("_mix_from"), upto.alias("_mix_to"))
+    place = F.row_number().over(W.partitionBy("source").orderBy(_digest(F.lit(seed), "source", "block", "copy"), "block", "copy"))
+    placed = draws.withColumn("_mix_place", place)
+    same = F.col("d.source").eqNullSafe(F.col("q.source")) & (F.col("d._mix_place") > F.col("q._mix_from")) & (F.col("d._mix_place") <= F.col("q._mix_to"))
+    return placed.alias("d").join(spans.alias("q"), same).select("d.source", "d.block", "d.copy", "q.shard")
 
 
 def mix_sources(docs: DataFrame, shards: int = 16, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = "mix") -> DataFrame:
@@ -118,7 +189,10 @@ def mix_sources(docs: DataFrame, shards: int = 16, weights: Sequence[float] = WE
     return d.join(p, same[0] & same[1] & same[2]).select("_mix_d.*", "_mix_p.source_size", "_mix_p.target", "_mix_p.shards")
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: a row for each copy, its shard in ``shard``; written ``partitionBy("shard")`` and sorted by
-    ``order_key`` within, each shard is a shuffled sample with the mix's proportions."""
-    return mix_sources(docs, **options).withColumn("shard", F.explode("shards")).drop("shards")
+def mixed(docs: DataFrame, pieces: int = 16, **options) -> DataFrame:
+    """The mix itself: a row for each copy, its shard in ``shard``, each shard shuffled: its rows are dealt to ``pieces``
+    ranges of ``order_key``, so that no task has to hold a shard, and sorted by it. Written ``partitionBy("shard")``, a
+    shard's files in order of their first key are the shuffled shard."""
+    copies = mix_sources(docs, **options).withColumn("shard", F.explode("shards")).drop("shards")
+    piece = F.floor(F.conv(F.substring("order_key", 1, 4), 16, 10).cast("long") * pieces / (1 << 16))
+    return copies.repartition("shard", piece).sortWithinPartitions("shard", "order_key", "doc_id")

@@ -2,13 +2,14 @@
 
 Doubling gives equal strings equal names: first short ones, then, from pairs of names at growing offsets, longer ones;
 a position whose name is unique drops out, and the rounds end at the threshold. Done for every byte that is one
-shuffled row a byte and round. Here a round sees fewer positions, and the result is the same:
+shuffled row a byte and round. Here the rounds see only seeds: of all SEED-byte strings within a THRESHOLD-byte string,
+its seed is the one with the least hash. Equal strings have equal seeds at equal places, so nothing is lost.
 
-* Round 1 names strings of SEED bytes, only at seeds: of all SEED-byte strings within a THRESHOLD-byte string, its seed
-  is the one with the least hash. Equal strings have equal seeds at equal places, so a string that repeats has a
-  repeating seed; seeds whose name is unique drop out with all strings around them.
-* Round 2 names the THRESHOLD-byte strings around the seeds that are left, where past the seed they differ, and ranks
-  equal names by document and start. All but the first are repeats, and their bytes are removed.
+* Round 1 names the SEED bytes at each seed; Spark counts the names, and seeds whose name is unique drop out.
+* Round 2 pairs the name at a seed with the name at the offset SEED to either side. A THRESHOLD-byte string around the
+  seed holds one of the two doubled strings whole; where its pair is unique, it drops out.
+* Round 3 ends at the threshold: the strings around the seeds that are left are sorted by seed, name, document and
+  start. All but the first of equal ones are repeats, and their bytes are removed once they have been compared.
 
 Documents that are whole copies of an earlier one need no positions; they go by their digest first.
 """
@@ -24,14 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, cut, map_batches, mix64, prefix_hash, some, texts, Powers
+from .common import Powers, cut, fits, map_batches, mix64, prefix_hash, some, texts
 
 THRESHOLD, SEED = 100, 32
-#: Rows of round 2 that one task ranks at a time, about.
+#: Bytes of one text whose seeds are found at a time.
+SEGMENT = 1 << 24
+#: Rows of round 3 that one task ranks at a time, about.
 RANKED_ROWS = 10_000
 #: Strings that are ranked together before a batch's rows are shuffled.
 BATCH_STRINGS = 250_000
 _PLACE = np.uint64((1 << 28) - 1)
+#: Other values for the bytes, so that a second name is independent of the first.
+_OTHER = np.random.RandomState(11).permutation(256).astype(np.uint8)
 
 
 def _names(data: np.ndarray, length: int) -> np.ndarray:
@@ -45,6 +50,13 @@ def seeds(data: np.ndarray, bounds: np.ndarray, threshold: int = THRESHOLD, seed
     none = np.zeros(0, np.int64)
     if len(data) < threshold:
         return none, none.astype(np.uint64), none, none
+    if len(data) > SEGMENT + threshold - 1:
+        parts = []
+        for at in range(0, len(data) - threshold + 1, SEGMENT):
+            to = min(len(data), at + SEGMENT + threshold - 1)
+            place, name, first, last = seeds(data[at:to], np.clip(bounds - at, 0, to - at), threshold, seed)
+            parts.append((place + at, name, first + at, last + at))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
     name = _names(data, seed)
     least = (name & ~_PLACE) | np.arange(len(name), dtype=np.uint64)  # by hash, then by place
     width, want = 1, threshold - seed + 1
@@ -68,15 +80,40 @@ def seeds(data: np.ndarray, bounds: np.ndarray, threshold: int = THRESHOLD, seed
     return place[at], name[place[at]], starts[at], last
 
 
+def _doubled(data: np.ndarray, place: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Round 2: for each seed the pair of its name and the name SEED bytes on, and the pair of the name SEED bytes before
+    and its own, each as one number. Where the text ends first there is no string to pair with, and the number is as good as unique."""
+    every = _names(data, SEED)
+    after, before = place + SEED, place - SEED
+    right = np.where(after < len(every), every[np.minimum(after, len(every) - 1)], mix64(place.astype(np.uint64)))
+    left = np.where(before >= 0, every[np.maximum(before, 0)], mix64(place.astype(np.uint64)))
+    odd = np.uint64(0x9E3779B97F4A7C15)
+    return mix64(name * odd + right), mix64(mix64(left * odd + name) + np.uint64(1))
+
+
+def _listed(lists: pa.ListArray, of: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """Whether each row's name is in the list of its document ``of`` (sorted)."""
+    keep = np.zeros(len(name), bool)
+    edges = np.searchsorted(of, np.arange(len(lists) + 1))
+    for k in range(len(lists)):
+        keep[edges[k] : edges[k + 1]] = np.isin(name[edges[k] : edges[k + 1]], lists[k].values.to_numpy().view(np.uint64))
+    return keep
+
+
 def _seed_names(docs: DataFrame, with_ids: bool) -> DataFrame:
-    """Round 1: names of seeds, (name, n) pre-aggregated by batch, or (name, doc_id), once a document."""
+    """Names of seeds, (name, n) pre-aggregated by batch, or (name, doc_id), once a document. Without a column ``names``
+    these are of round 1; with it, the pairs of round 2 at the seeds with these names."""
+    second = "names" in docs.columns
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, data, bounds in texts(batch, "text"):
                 place, name, _, _ = seeds(data, bounds)
+                of = np.searchsorted(bounds, place, "right") - 1
+                if second:
+                    keep = _listed(batch["names"].slice(at, to - at), of, name)
+                    name, of = np.concatenate(_doubled(data, place[keep], name[keep])), np.tile(of[keep], 2)
                 if with_ids:
-                    of = np.searchsorted(bounds, place, "right") - 1
                     order = np.lexsort((name, of))
                     name, of = name[order], of[order]
                     new = np.ones(len(name), bool)
@@ -87,15 +124,35 @@ def _seed_names(docs: DataFrame, with_ids: bool) -> DataFrame:
                     name, n = np.unique(name, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(n.astype(np.int64))], ["name", "n"])
 
-    return map_batches(docs.select("doc_id", "text"), make, "name long, doc_id long" if with_ids else "name long, n long")
+    columns = ["doc_id", "text", "names"][: 2 + second]
+    return map_batches(docs.select(*columns), make, "name long, doc_id long" if with_ids else "name long, n long")
+
+
+def _round(docs: DataFrame, name: str) -> DataFrame:
+    """One round: a scratch table of the documents (doc_id) that hold names met twice or more, with these ``names``."""
+    again = cut(_seed_names(docs, False).groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name"), f"suffix-{name}-names")
+    held = _seed_names(docs, True).join(fits(again), "name", "left_semi")
+    return cut(held.groupBy("doc_id").agg(F.collect_list("name").alias("names")), f"suffix-{name}-found")
 
 
 _ROW = "name long, doc_id long, start long, context binary"
 _SPAN = "first long, end long"
 
 
+def _equal(data: np.ndarray, one: np.ndarray, two: np.ndarray, length: int) -> bool:
+    """Whether the strings that begin at ``one`` and ``two`` are equal, byte by byte. Where both go on by one byte from the
+    row before, only the last byte is new."""
+    new = np.ones(len(one), bool)
+    new[1:] = (one[1:] != one[:-1] + 1) | (two[1:] != two[:-1] + 1)
+    if (data[one + length - 1] != data[two + length - 1]).any():
+        return False
+    new &= one != two
+    one, two = one[new], two[new]
+    return not any((data[one + k] != data[two + k]).any() for k in range(length - 1))
+
+
 def _rank(name: np.ndarray, doc: np.ndarray, start: np.ndarray, lengths: np.ndarray, data: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Round 2 on rows: the context of row k is ``lengths[k]`` bytes of ``data`` and begins at ``start[k]`` of document
+    """Round 3 on rows: the context of row k is ``lengths[k]`` bytes of ``data`` and begins at ``start[k]`` of document
     ``doc[k]``. Returns spans of repeats (document, first byte, end) and the rows that hold a first occurrence."""
     if not len(name):
         none = np.zeros(0, np.int64)
@@ -104,16 +161,22 @@ def _rank(name: np.ndarray, doc: np.ndarray, start: np.ndarray, lengths: np.ndar
     count = lengths - threshold + 1
     row = np.repeat(np.arange(len(name)), count)
     step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    string = _names(data, threshold)[offset[row] + step]
+    begin = offset[row] + step
+    string = _names(data, threshold)[begin]
     who, at = doc[row], start[row] + step
-    order = np.lexsort((at, who, string))
-    again = np.zeros(len(order), bool)
-    same = string[order[1:]] == string[order[:-1]]
-    # one document and start can come twice only if a row does; such a pair is one occurrence
+    order = np.lexsort((at, who, string, name[row]))
+    same = (string[order[1:]] == string[order[:-1]]) & (name[row[order[1:]]] == name[row[order[:-1]]])
     leader = np.arange(len(order))
     leader[1:][same] = 0
     leader = np.maximum.accumulate(leader)
-    again[order] = (who[order] != who[order[leader]]) | (at[order] != at[order[leader]])
+    first_of = np.empty(len(order), np.int64)
+    first_of[order] = order[leader]
+    if not _equal(data, begin, begin[first_of], threshold):  # unlike strings of one name: go by the bytes
+        raw, seen = data.tobytes(), {}
+        for k in np.lexsort((at, who)).tolist():
+            first_of[k] = seen.setdefault(raw[begin[k] : begin[k] + threshold], k)
+    # one document and start can come twice only if a row does; such a pair is one occurrence
+    again = (who != who[first_of]) | (at != at[first_of])
     firsts = np.bincount(row[~again], minlength=len(name)) > 0
     hit = np.flatnonzero(again)
     if not len(hit):
@@ -127,7 +190,7 @@ def _rank(name: np.ndarray, doc: np.ndarray, start: np.ndarray, lengths: np.ndar
 
 
 def _first_rows(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-    """Ranks rows of round 2 among themselves: spans of repeats come out at once, and of the rows only those that hold
+    """Ranks rows of round 3 among themselves: spans of repeats come out at once, and of the rows only those that hold
     a first occurrence go on."""
     name, doc, start, length, data = (np.concatenate(x) for x in zip(*parts, strict=True))
     who, begin, end, firsts = _rank(name, doc, start, length, data, THRESHOLD)
@@ -144,21 +207,22 @@ def _first_rows(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]
 
 
 def _contexts(found: DataFrame) -> DataFrame:
-    """Rows of round 2 around the seeds in ``names`` of each (doc_id, text, names), pre-aggregated by BATCH_STRINGS."""
+    """Rows of round 3 around the seeds of each (doc_id, text, names: pairs of round 2), pre-aggregated by
+    BATCH_STRINGS. Strings that hold the doubled string to the right of the seed need its pair in ``names``, the others that to the left."""
+    reach = THRESHOLD - 2 * SEED  # how far before its seed a string may start and hold the right one
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, ...]] = []
         strings = 0
         for batch in batches:
             ids = batch["doc_id"].to_numpy()
-            lists = batch["names"]
             for at, to, data, bounds in texts(batch, "text"):
                 place, name, first, last = seeds(data, bounds)
                 of = np.searchsorted(bounds, place, "right") - 1
-                keep = np.zeros(len(place), bool)
-                edges = np.searchsorted(of, np.arange(to - at + 1))
-                for k in range(to - at):
-                    keep[edges[k] : edges[k + 1]] = np.isin(name[edges[k] : edges[k + 1]], lists[at + k].values.to_numpy().view(np.uint64))
+                right, left = (_listed(batch["names"].slice(at, to - at), of, pair) for pair in _doubled(data, place, name))
+                first = np.where(left, first, np.maximum(first, place - reach))
+                last = np.where(right, last, np.minimum(last, place - reach - 1))
+                keep = (left | right) & (first <= last)
                 name, first, last, of = name[keep], first[keep], last[keep], of[keep]
                 length = last - first + THRESHOLD
                 take = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
@@ -181,7 +245,7 @@ def _arrays(group: pa.Table) -> tuple[np.ndarray, ...]:
 
 
 def _spread(rows: DataFrame) -> DataFrame:
-    """Spans of repeats among rows of round 2 whose names have too many for one task: each string is a row, and meets
+    """Spans of repeats among rows of round 3 whose names have too many for one task: each string is a row, and meets
     only the least document and start of its own kind."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,22 +257,22 @@ def _spread(rows: DataFrame) -> DataFrame:
             count = lengths - THRESHOLD + 1
             row = np.repeat(np.arange(len(name)), count)
             step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            string = _names(data, THRESHOLD)[offset[row] + step]
-            yield pa.RecordBatch.from_arrays([pa.array(name[row]), pa.array(string.view(np.int64)), pa.array(doc[row]), pa.array(start[row] + step)], ["name", "string", "doc_id", "start"])
+            string, twice = (_names(kind, THRESHOLD)[offset[row] + step] for kind in (data, _OTHER[data]))
+            yield pa.RecordBatch.from_arrays([pa.array(string.view(np.int64)), pa.array(twice.view(np.int64)), pa.array(doc[row]), pa.array(start[row] + step)], ["string", "twice", "doc_id", "start"])
 
-    key = ["name", "string"]
-    strings = cut(map_batches(rows.select("name", "doc_id", "start", "context"), make, "name long, string long, doc_id long, start long"), "suffix-strings")
+    key = ["string", "twice"]  # 128 bits
+    strings = cut(map_batches(rows.select("name", "doc_id", "start", "context"), make, "string long, twice long, doc_id long, start long"), "suffix-strings")
     least = strings.groupBy(*key).agg(F.min(F.struct("doc_id", "start")).alias("least"), F.max(F.struct("doc_id", "start")).alias("most"), F.count(F.lit(1)).alias("n"))
     least = cut(least.where("least <> most").drop("most"), "suffix-least")
     # a string of very many rows is looked up by broadcast, so that its rows don't meet in the join either
     hot = cut(least.where(F.col("n") > RANKED_ROWS), "suffix-strings-hot")  # at most strings / RANKED_ROWS
-    hot = F.broadcast(hot) if hot.count() <= BROADCAST_IDS else hot
+    hot = fits(hot)
     again = strings.join(hot, key).unionByName(strings.join(hot.select(*key), key, "left_anti").join(least.where(F.col("n") <= RANKED_ROWS), key))
     return again.where("struct(doc_id, start) <> least").select("doc_id", F.col("start").alias("first"), (F.col("start") + THRESHOLD).alias("end"))
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
-    """Spans of repeats among the rows of round 2 (a scratch table). Buckets of names have about RANKED_ROWS rows; names
+    """Spans of repeats among the rows of round 3 (a scratch table). Buckets of names have about RANKED_ROWS rows; names
     with more rows than that are dealt by document first, and only rows with a first occurrence meet again, as long as
     this lowers their number. Names that then still have more are ranked string by string."""
 
@@ -227,14 +291,14 @@ def _ranked(rows: DataFrame) -> DataFrame:
         n_hot = hot.agg(F.sum("n")).first()[0] or 0
         if not n_hot:
             break
-        dealt = rows.join(F.broadcast(hot) if hot.count() <= BROADCAST_IDS else hot, "name").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.ceil(F.col("n") / RANKED_ROWS)))
+        dealt = rows.join(fits(hot), "name").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.ceil(F.col("n") / RANKED_ROWS)))
         thinned = cut(dealt.groupBy("name", "salt").applyInArrow(thin, f"{_ROW}, {_SPAN}"), "suffix-thin")
         spans.append(thinned.where("first is not null").select("doc_id", "first", "end"))
         less = thinned.where("first is null").select("name", "doc_id", "start", "context")
-        rows = cut(rows.join(hot.select("name"), "name", "left_anti").unionByName(less), "suffix-rows")
+        rows = cut(rows.join(fits(hot.select("name")), "name", "left_anti").unionByName(less), "suffix-rows")
         if less.count() > n_hot // 2:
             stay = cut(rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > RANKED_ROWS).select("name"), "suffix-stay")
-            stay = F.broadcast(stay) if stay.count() <= BROADCAST_IDS else stay
+            stay = fits(stay)
             spans.append(_spread(rows.join(stay, "name", "left_semi")))
             rows = cut(rows.join(stay, "name", "left_anti"), "suffix-rows")
             break
@@ -274,16 +338,13 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     text = F.coalesce("text", F.lit(""))
     basics = cut(docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("whole_sha256")), "suffix-basics")
     long_ones = basics.where(f"n_bytes >= {THRESHOLD} and doc_id is not null")
-    earliest = long_ones.groupBy("whole_sha256").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    copies = cut(long_ones.join(earliest, "whole_sha256").where("doc_id > least").select("doc_id").distinct(), "suffix-copies")
-    once = some(docs.select("doc_id", "text").where(f"doc_id is not null and octet_length(text) >= {THRESHOLD}"), copies, "left_anti")
-    # round 1
-    names = cut(_seed_names(once, False).groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name"), "suffix-names")
-    found = _seed_names(once, True).join(names, "name", "left_semi").groupBy("doc_id").agg(F.collect_list("name").alias("names"))
-    found = cut(found, "suffix-found")
-    # round 2
-    around = some(once, cut(found.select("doc_id"), "suffix-ids"), "left_semi").join(found, "doc_id")
-    rows = cut(_contexts(around), "suffix-contexts")
+    earliest = cut(long_ones.groupBy("whole_sha256").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most"), "suffix-earliest")
+    copies = cut(long_ones.join(fits(earliest), "whole_sha256").where("doc_id > least").select("doc_id").distinct(), "suffix-copies")
+    docs = some(docs.select("doc_id", "text").where(f"doc_id is not null and octet_length(text) >= {THRESHOLD}"), copies, "left_anti")
+    found = _round(docs, "single")
+    around = cut(some(docs, found.select("doc_id"), "left_semi").join(found, "doc_id"), "suffix-around")
+    found = _round(around, "double")
+    rows = cut(_contexts(some(around.drop("names"), found.select("doc_id"), "left_semi").join(found, "doc_id")), "suffix-contexts")
     spans = _ranked(rows.where("first is null").select("name", "doc_id", "start", "context")).unionByName(rows.where("first is not null").select("doc_id", "first", "end"))
     spans = cut(spans.groupBy("doc_id").agg(F.collect_list(F.struct("first", "end")).alias("spans")), "suffix-spans")
     return basics, copies, spans

@@ -159,6 +159,26 @@ def test_repeats_of_a_line_in_many_documents_meet_in_no_large_group(spark, monke
     assert max(most) < 100
 
 
+def test_seeds_of_a_long_text_in_segments(monkeypatch):
+    data, bounds = np.random.RandomState(0).randint(97, 100, 5000).astype(np.uint8), np.array([0, 5000])
+    starts = lambda found: sorted((int(n), int(p), s) for p, n, a, b in zip(*found, strict=True) for s in range(a, b + 1))
+    whole = starts(suffix_dedup.seeds(data, bounds))
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 700)
+    assert starts(suffix_dedup.seeds(data, bounds)) == whole and len(whole) == 4901
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_ranking_compares_bytes(monkeypatch, collide):
+    real, base = suffix_dedup._names, np.random.RandomState(1).randint(97, 99, 300).astype(np.uint8)
+    if collide:
+        monkeypatch.setattr(suffix_dedup, "_names", lambda data, length: real(data, length) & np.uint64(1))
+    rows = [base[k % 7 : k % 7 + 110 + k % 5] for k in range(40)]
+    lengths = np.array([len(r) for r in rows])
+    who, begin, end, _ = suffix_dedup._rank(np.zeros(40, np.uint64), np.arange(40), np.zeros(40, int), lengths, np.concatenate(rows), 100)
+    texts = {k: r.tobytes().decode() for k, r in enumerate(rows)}
+    assert {k: sum(e - b for w, b, e in zip(who, begin, end, strict=True) if w == k) for k in texts} == {k: v[1] for k, v in brute_repeats(texts).items()}
+
+
 def test_repeats_odd_rows(odd, none):
     out = suffix_dedup.remove_repeats(odd).collect()
     by = {r.doc_id: r for r in out}
@@ -198,6 +218,35 @@ def test_mix_meets_targets_and_shards_share_them(base):
     assert sorted(map(str, mix.select("doc_id", "shards").collect())) == sorted(map(str, mixing.mix_sources(base, shards=4).select("doc_id", "shards").collect()))
 
 
+def test_hypergeometric_has_its_moments(spark):
+    n = lambda v: F.lit(v).cast("long")
+    rows = spark.range(4000).select(((F.col("id") + 0.5) / 4000).alias("u"))
+    for good, total, draws in ((300, 1000, 500), (1, 9, 4), (7, 7, 3), (0, 5, 2), (5000, 9000, 4500)):
+        x = np.array([r[0] for r in rows.select(mixing.hypergeometric(n(good), n(total), n(draws), F.col("u"))).collect()])
+        share = good / total
+        assert x.mean() == pytest.approx(draws * share, abs=0.1) and x.min() >= max(0, draws + good - total) and x.max() <= min(good, draws)
+        assert x.var() == pytest.approx(draws * share * (1 - share) * (total - draws) / (total - 1), rel=0.05, abs=1e-9)
+
+
+def test_quotas_are_split_exactly(spark):
+    quotas = spark.createDataFrame([("a", 40), ("b", 7), (None, 3), ("c", 90), ("d", 0)], "source string, n long")
+    out = mixing.split_quotas(quotas, 8, "s").collect()
+    sources, shards = collections.Counter(), collections.Counter()
+    for r in out:
+        sources[r.source] += r.n
+        shards[r.shard] += r.n
+    assert sources == {"a": 40, "b": 7, None: 3, "c": 90} and set(shards.values()) <= {17, 18}
+    assert mixing.split_quotas(quotas.limit(0), 8, "s").count() == 0
+
+
+def test_mixed_shards_are_sorted_by_key(base):
+    mix = mixing.mixed(base, shards=2, pieces=3)
+    parts = collections.defaultdict(list)
+    for r in mix.select(F.spark_partition_id().alias("part"), "shard", "order_key", "doc_id").collect():
+        parts[r.part, r.shard].append((r.order_key, r.doc_id))
+    assert all(keys == sorted(keys) for keys in parts.values()) and {s for _, s in parts} == {0, 1}
+
+
 def test_deal_is_even_and_without_replacement(spark):
     draws = spark.range(64).select((F.col("id") % 3).cast("string").alias("source"), F.col("id").alias("block"), F.lit(0).alias("copy"))
     dealt = mixing.deal(draws, 8, "s")
@@ -295,53 +344,117 @@ def test_chat_rotation(spark):
     assert chat.rotate_perspectives(turns.limit(0)).count() == 0
 
 
-def test_image_copies(spark):
-    rng, rows, truth = np.random.RandomState(0), [], {}
-    for g in range(8):
-        base = media._smooth(rng.uniform(0, 255, (1, 120, 120)))[0]
-        base = (base - base.min()) / np.ptp(base) * 255
-        for image in (base, base[10:110, 15:115], np.clip(base * 0.8 + 20, 0, 255), np.clip(base + rng.normal(0, 4, base.shape), 0, 255)[5:, 5:]):
-            truth[len(rows)] = 4 * g
-            rows.append((len(rows), image.shape[1], image.shape[0], bytearray(image.astype(np.uint8).tobytes())))
-    rows += [(90, None, 3, bytearray(b"abc")), (91, 5, 5, bytearray(b"x")), (92, 100, 100, bytearray(10000)), (None, 1, 1, bytearray(b"x")), (93, 2, 2, None)]
-    out = media.image_copies(spark.createDataFrame(rows, "media_id long, width int, height int, pixels binary")).collect()
-    assert len(out) == len(rows) and all(r.component_id == truth.get(r.media_id, r.media_id) for r in out)
-
-
-def brute_links(points):
-    """All pairs of images by the definition: MATCHES corners of the first in one cell of the geometry."""
-    links, by = set(), collections.defaultdict(list)
-    for p in points:
-        by[p.media_id].append(p)
-    for u in by:
-        for v in (v for v in by if v > u):
-            cells = collections.defaultdict(set)
-            for a in by[u]:
-                for b in by[v]:
-                    words = [(a[k] & 0xFFFFFFFF) ^ (b[k] & 0xFFFFFFFF) for k in ("d0", "d1", "d2", "d3")]
+def picture(rng, side=140):
+    """Soft noise of all scales under some rectangles and discs."""
+    y, x = np.meshgrid(np.fft.fftfreq(side), np.fft.fftfreq(side), indexing="ij")
+    out = np.fft.ifft2(np.fft.fft2(rng.normal(size=(side, side))) / np.maximum(np.hypot(y, x), 1 / side)).real
+    out = out / out.std()
+    yy, xx = np.mgrid[:side, :side]
+    for k in range(12):
+        cy, cx, h, w = *rng.randint(0, side, 2), *rng.randint(5, 40, 2)
+        inside = (abs(yy - cy) < h) & (abs(xx - cx) < w) if k % 2 else (yy - cy) ** 2 + (xx - cx) ** 2 < h * h
+        out[inside] += rng.normal() * 1.2
+    return np.clip(128 + 45 * out, 0, 255).astype(np.uint8)
+
+
+def turned(image, degrees):
+    side = len(image)
+    c, t = (side - 1) / 2, math.radians(degrees)
+    y, x = np.mgrid[:side, :side] - c
+    sy, sx = (np.clip(v, 0, side - 1.001) for v in (c + math.cos(t) * y + math.sin(t) * x, c - math.sin(t) * y + math.cos(t) * x))
+    y0, x0 = sy.astype(int), sx.astype(int)
+    a, b, v = sy - y0, sx - x0, image.astype(float)
+    return ((v[y0, x0] * (1 - b) + v[y0, x0 + 1] * b) * (1 - a) + (v[y0 + 1, x0] * (1 - b) + v[y0 + 1, x0 + 1] * b) * a).round().astype(np.uint8)
+
+
+def edits(image, rng):
+    shrunk = lambda x, f: media.resized(x[None], f)[0].round().astype(np.uint8)
+    noisy = lambda x, s: np.clip(x + rng.normal(0, s, x.shape), 0, 255).astype(np.uint8)
+    return {
+        "brighter": np.clip(image * 0.8 + 20, 0, 255).astype(np.uint8), "turned by 90": np.rot90(image).copy(), "turned by 20": turned(image, 20), "noise 10": noisy(image, 10), "crop 100": image[20:120, 30:130],
+        "crop 80": image[30:110, 50:130], "shrunk 1.2": shrunk(image, 1.2), "shrunk 1.5": shrunk(image, 1.5), "shrunk 2": shrunk(image, 2.0), "crop, shrunk": shrunk(image[20:120, 30:130], 1.25), "crop, noise": noisy(image[10:100, 20:110], 5),
+    }
+
+
+def rows_of(images):
+    return [(k, x.shape[1], x.shape[0], bytearray(x.tobytes())) for k, x in images]
+
+
+IMAGE = "media_id long, width int, height int, pixels binary"
+
+
+def test_recall_of_edited_copies(spark):
+    """Every edit is linked to its original, and nothing else is, in at least nine of ten cases; a common mark makes no copy."""
+    rng, images, truth, kinds = np.random.RandomState(0), [], {}, {}
+    mark = picture(rng, 48)
+    for g in range(10):
+        base = picture(rng)
+        if g < 5:
+            base[80:128, 80:128] = mark
+        for k, (kind, image) in enumerate([("original", base), *edits(base, rng).items()]):
+            truth[100 * g + k], kinds[100 * g + k] = 100 * g, kind
+            images.append((100 * g + k, np.ascontiguousarray(image)))
+    out = {r.media_id: r.component_id for r in media.image_copies(spark.createDataFrame(rows_of(images), IMAGE)).collect()}
+    found = collections.Counter(kinds[k] for k in truth if out[k] == truth[k])
+    assert all(found[kind] >= 9 for kind in set(kinds.values())), found
+    assert all(out[k] in (truth[k], k) for k in truth)
+
+
+def test_image_copies_odd_rows(spark):
+    rng = np.random.RandomState(1)
+    one, two = picture(rng, 100), picture(rng, 100)
+    rows = [(*r, "x") for r in rows_of([(5, one), (7, one), (7, two), (3, two), (3, two)])]
+    rows += [(90, None, 3, bytearray(b"abc"), None), (91, 5, 5, bytearray(b"x"), None), (92, 100, 100, bytearray(10000), ""), (None, 1, 1, bytearray(b"x"), "y"), (93, 2, 2, None, None)]
+    wide = np.tile(picture(rng, 200), (4, 40))  # larger than SIDE, with repeats of its own
+    rows += [(*r, None) for r in rows_of([(95, wide), (96, np.ascontiguousarray(wide[:, :6000]))])]
+    images = spark.createDataFrame(rows, IMAGE + ", component_id string")
+    out = media.image_copies(images).collect()
+    assert len(out) == len(rows)
+    by = {r.media_id: r for r in out}
+    assert by[5].component_id in (5, 3) and by[3].component_id == 3 and by[7].component_id in (3, 5) and not by[7].kept
+    assert all(by[k].component_id == k and by[k].n_corners == 0 and by[k].kept for k in (None, 90, 91, 92, 93)) and by[95].n_corners > 0
+    assert media.image_copies(images.limit(0)).count() == 0
+
+
+def brute_components_of_images(packs):
+    """All pairs by the definition: MET matches that share a word in one cell of two grids, then one geometry."""
+    points = {r.media_id: np.frombuffer(bytes(r.points), media.POINT) for r in packs}
+    size, parent, links = {r.media_id: (r.wide, r.tall) for r in packs}, {m: m for m in points}, 0
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for u in points:
+        for v in (v for v in points if v > u):
+            cells = collections.defaultdict(list)
+            for a in points[u]:
+                for b in points[v]:
+                    words = [int(p) ^ int(q) for p, q in zip(a["bits"], b["bits"], strict=True)]
                     if 0 in words and sum(w.bit_count() for w in words) <= media.HAMMING:
-                        cell, r = int(math.degrees(b.angle - a.angle) % 360 / media.TURN + 0.5) % 12, b.scale / a.scale
-                        s, c = math.sin(math.radians(cell * media.TURN)), math.cos(math.radians(cell * media.TURN))
-                        dx, dy = (b.x - r * (a.x * c - a.y * s)) / media.SHIFT, (b.y - r * (a.x * s + a.y * c)) / media.SHIFT
-                        for p, q in ((0, 0), (0, 0.5), (0.5, 0), (0.5, 0.5)):
-                            cells[cell, round(math.log2(r) / media.OCTAVE), p, q, math.floor(dx + p), math.floor(dy + q)].add((a.x, a.y))
-            if any(len(c) >= media.MATCHES for c in cells.values()):
-                links.add((u, v))
-    return links
-
-
-@pytest.mark.parametrize("hot", [0, 12, 10**6])
-def test_image_copies_of_hot_keys_match_brute_force(spark, data, monkeypatch, hot):
+                        turn = ((int(b["turn"]) - int(a["turn"])) % 256 * media.TURNS + 128) // 256 % media.TURNS
+                        r, s, c = media.SCALES[b["level"]] / media.SCALES[a["level"]], math.sin(turn * 2 * math.pi / media.TURNS), math.cos(turn * 2 * math.pi / media.TURNS)
+                        dx, dy = int(b["x"]) - r * (int(a["x"]) * c - int(a["y"]) * s), int(b["y"]) - r * (int(a["x"]) * s + int(a["y"]) * c)
+                        for g in (0, 0.5):
+                            unit = media.SHIFT * media.UNITS
+                            cells[turn, int(b["level"]) - int(a["level"]), g, math.floor(dx / unit + g), math.floor(dy / unit + g)].append(((a["x"], a["y"]), (b["x"], b["y"])))
+            met = any(len(c) >= media.MET and len({p for p, _ in c}) > 1 and len({q for _, q in c}) > 1 for c in cells.values())
+            if met and media.same_picture(points[u], points[v], size[u], size[v]):
+                links += 1
+                parent[max(root(u), root(v))] = min(root(u), root(v))
+    return {m: root(m) for m in points}, links
+
+
+@pytest.mark.parametrize(("hot", "pairs"), [(0, 50), (12, 1 << 18), (10**6, 1 << 18)])
+def test_image_copies_of_hot_keys_match_brute_force(spark, data, monkeypatch, hot, pairs):
     monkeypatch.setattr(media, "HOT", hot)
-    monkeypatch.setattr(media, "BLOCK_IMAGES", 15)
+    monkeypatch.setattr(media, "BLOCK_CORNERS", 400)
+    monkeypatch.setattr(media, "PAIRS", pairs)
     vectors = [list(r.embedding) for r in spark.read.parquet(f"{data}/embeddings.parquet").orderBy("vec_id").limit(8).collect()]
     vectors += [v[:-8] + [-x for x in v[-8:]] for v in vectors[:3]] + vectors[:3]  # copies with another last row, and equal ones
-    vectors += [v[:-8] + [x * s for x in v[-8:]] for v in vectors[:2] for s in (-3, -0.5, 0, 0.5, 3)]  # groups beyond any few leaders
+    vectors += [v[:-8] + [x * s for x in v[-8:]] for v in vectors[:2] for s in (-3, -0.5, 0, 0.5, 3)]
     images = media.vector_images(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")).cache()
-    links = brute_links(media.describe(images).collect())
-    degree, group = collections.Counter(x for link in links for x in link), list(range(len(vectors)))
-    for _ in range(len(vectors)):
-        for u, v in links:
-            group[u] = group[v] = min(group[u], group[v])
-    assert len(links) > 9
-    assert {r.media_id: (r.n_links, r.component_id) for r in media.image_copies(images).collect()} == {k: (degree[k], group[k]) for k in range(len(vectors))}
+    wanted, links = brute_components_of_images(media.describe(images).collect())
+    assert links > 9
+    assert {r.media_id: r.component_id for r in media.image_copies(images).collect()} == wanted
