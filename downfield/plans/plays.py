@@ -19,7 +19,8 @@ GAMEBOOK = {"LAR": "LA", "JAC": "JAX", "BLT": "BAL", "CLV": "CLE"}
 POINTS = {"TD": 6, "PAT": 1, "PAT2": 2, "FG": 3, "SAFETY": 2}
 SPECIAL = ("extra_point", "field_goal", "kickoff", "punt")
 SCRIMMAGE = ("punt", "pass", "run", "field_goal")
-PLAY = ("game_id", "play_id")
+#: What tells plays apart: ids of the feed may be null or repeat, so places in the feed do.
+PLAY = ("game_id", "feed_pos")
 
 
 def yardline_100(line: Column, team: Column) -> Column:
@@ -38,16 +39,17 @@ def seconds_left(quarter: Column, in_quarter: Column) -> tuple[Column, Column]:
 
 def flatten(games: DataFrame) -> DataFrame:
     """A row for each play that isn't deleted, with the teams of the game and the drive's team: the first drive in feed
-    order whose range holds the play. Arrays stay nested, so nothing is shuffled."""
+    order whose range holds the play; an id that is neither team's gives null. Arrays stay nested, so nothing is
+    shuffled."""
     g = games.select("*", F.posexplode("driveChart.plays").alias("feed_pos", "p")).where(~F.coalesce(F.col("p.playDeleted"), F.lit(False)))
     team = lambda side: team_of(F.col(f"{side}Team.currentLogo"), F.col("season"))
     g = g.withColumns({"home_team": team("home"), "away_team": team("away")})
     id_of = lambda side: F.coalesce(F.col(f"summary.{side}Team.teamId"), F.col(f"{side}Team.teamId"))
     g = g.withColumns({"_home_id": id_of("home"), "_away_id": id_of("away")})
-    named = lambda c: F.when(c == F.col("_home_id"), F.col("home_team")).when(c == F.col("_away_id"), F.col("away_team")).otherwise(c)
+    known = lambda c: F.when(c == F.col("_home_id"), F.col("home_team")).when(c == F.col("_away_id"), F.col("away_team"))
     seq = F.col("p.playSequenceNumber")
     holds = F.filter("driveChart.drives", lambda d: d["startedPlaySequenceNumber"].isNotNull() & d["endedPlaySequenceNumber"].isNotNull() & seq.between(d["startedPlaySequenceNumber"], d["endedPlaySequenceNumber"]))
-    g = g.withColumn("posteam", named(F.get(holds, F.lit(0))["teamId"]))
+    g = g.withColumn("posteam", known(F.get(holds, F.lit(0))["teamId"]))
     clock = X.clock_seconds("p.clockTime")
     half, game = seconds_left(F.col("p.quarter"), clock)
     points = F.when(F.col("p.playScored"), F.coalesce(F.create_map(*(F.lit(x) for kv in POINTS.items() for x in kv))[F.col("p.scoringPlayType")], F.lit(0))).otherwise(0)
@@ -66,11 +68,11 @@ def flatten(games: DataFrame) -> DataFrame:
 
 
 def fold_stats(plays: DataFrame) -> DataFrame:
-    """Stat entries of (game_id, play_id, _stats) folded into columns, in feed order.
+    """Stat entries of (game_id, feed_pos, _stats) folded into columns, in feed order.
 
     Entries meet their effects (a broadcast dimension of fixed size), one aggregate a play and column finds what is
-    written last, and a second one with the same partitioning makes the columns. A later null overwrites; a write with
-    the sign ``?`` fills only what is empty at that moment."""
+    written last, and a second one with the same partitioning makes the columns. A later null overwrites; an _IFNA write fills
+    only what is empty at that moment."""
     spark = plays.sparkSession
     entries = plays.select(*PLAY, F.posexplode("_stats").alias("pos", "s"))
     wanted = [*C.INDICATORS, *C.NUMERICS, *C.COUNTS, *C.PLAYERS]
@@ -80,11 +82,11 @@ def fold_stats(plays: DataFrame) -> DataFrame:
     keep = F.endswith(token, F.lit("_IFNA"))
     writes = writes.withColumns({"at": at, "kind": F.regexp_replace(token, "_IFNA$", ""), "keep": keep})
     writes = writes.withColumns({
-        "num": F.when(F.col("kind") == "ONE", 1.0).when(F.col("kind") == "ZERO", 0.0).when(F.col("kind") == "COUNT", 1.0).when(F.col("kind").isin("YARDS", "SUM"), F.col("s.yards")),
+        "num": F.when(F.col("kind") == "ONE", 1.0).when(F.col("kind") == "ZERO", 0.0).when(F.col("kind") == "COUNT", 1.0).when(F.col("kind").isin("YARDS", "SUMYARDS"), F.col("s.yards")),
         "txt": F.when(F.col("kind") == "PID", F.col("s.gsisPlayerId")).when(F.col("kind") == "PNAME", F.col("s.gsisPlayerName")).when(F.col("kind") == "TEAM", F.col("s.teamId")),
         "last": F.max(F.when(~keep, at)).over(W.partitionBy(*PLAY, "column")),
     })
-    adds = F.col("kind").isin("SUM", "COUNT")
+    adds = F.col("kind").isin("SUMYARDS", "COUNT")
     written = lambda c: fold.write_or_keep(F.col(c), ~F.col("keep"), F.col("keep"), F.col("at"), F.col("last"))
     cells = writes.groupBy(*PLAY, "column").agg(F.when(F.max(adds), F.sum(F.coalesce("num", F.lit(0.0)))).otherwise(written("num")).alias("num"), written("txt").alias("txt"))
     entry = F.struct("column", F.struct("num", "txt").alias("cell"))
@@ -97,17 +99,20 @@ def fold_stats(plays: DataFrame) -> DataFrame:
 
 
 def fill_slots(entries: DataFrame, effects: DataFrame) -> DataFrame:
-    """Players of each kind in order of first appearance, a player once; entries without an id take no slot."""
-    rows = entries.join(F.broadcast(effects.where("token = 'SLOT'")), F.col("s.statType") == F.col("statType")).where("s.gsisPlayerId is not null")
-    first = rows.groupBy(*PLAY, "column", F.col("s.gsisPlayerId").alias("id")).agg(F.min_by("s", F.struct("pos", "ord")).alias("s"), F.min(F.struct("pos", "ord")).alias("at"))
-    placed = first.withColumn("slot", F.row_number().over(W.partitionBy(*PLAY, "column").orderBy("at")))
+    """Slots of each kind, filled in feed order, each field by its own (see ``fold.slots_by_field``). A play has a few
+    dozen entries at most, so they are gathered in one row."""
+    kinds = effects.where("column like '%_FILL_player_id'").select("statType", F.regexp_replace("column", "_FILL_player_id$", "").alias("kind"))
+    rows = entries.join(F.broadcast(kinds), F.col("s.statType") == F.col("statType"))
+    entry = F.struct("pos", F.col("s.gsisPlayerId").alias("player_id"), F.col("s.gsisPlayerName").alias("player_name"), F.col("s.teamId").alias("team"), F.col("s.yards").alias("yards"))
+    gathered = rows.groupBy(*PLAY, "kind").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    size = F.create_map(*(F.lit(x) for kind, (n, _) in SLOTS.items() for x in (kind, n)))[F.col("kind")]
+    filled = gathered.select(*PLAY, "kind", fold.slots_by_field(F.col("entries"), size, ("player_id", "player_name", "team", "yards")).alias("f"))
     made: list[Column] = []
-    for kind, (size, more) in SLOTS.items():
-        for k in range(1, size + 1):
-            here = (F.col("column") == kind) & (F.col("slot") == k)
-            made += [F.max(F.when(here, F.col("s.gsisPlayerId"))).alias(f"{kind}_{k}_player_id"), F.max(F.when(here, F.col("s.gsisPlayerName"))).alias(f"{kind}_{k}_player_name")]
-            made += [F.max(F.when(here, F.col("s.teamId" if x == "team" else "s.yards"))).alias(f"{kind}_{k}_{x}") for x in more]
-    return placed.groupBy(*PLAY).agg(*made)
+    for kind, (n, more) in SLOTS.items():
+        for k in range(n):
+            cell = lambda field, k=k, kind=kind: F.max(F.when(F.col("kind") == kind, F.get(F.col("f")[field], F.lit(k))))
+            made += [cell(field).cast("double" if field == "yards" else "string").alias(f"{kind}_{k + 1}_{field}") for field in ("player_id", "player_name", *more)]
+    return filled.groupBy(*PLAY).agg(*made)
 
 
 def play_type(feed: Column) -> Column:
@@ -150,6 +155,7 @@ def add_results(plays: DataFrame) -> DataFrame:
 def add_text(plays: DataFrame) -> DataFrame:
     """Features of the description; kneels and spikes are play types of their own."""
     d, run = F.coalesce("desc", F.lit("")), F.col("play_type") == "run"
+    # fixed values: the five patterns and texts of the feed's descriptions
     plays = plays.withColumns({
         "pass_length": X.matched(d, r"pass (?:incomplete )?(short|deep)"), "pass_location": X.matched(d, r"(?:short|deep) (left|middle|right)"),
         "run_location": F.when(run, X.matched(d, r" (left|middle|right)[ .]")), "run_gap": F.when(run, X.matched(d, r" (guard|tackle|end)\b")),
@@ -183,7 +189,7 @@ def add_state(plays: DataFrame) -> DataFrame:
 
 def build_plays(games: DataFrame, schedule: DataFrame | None = None) -> DataFrame:
     """The play table of game documents (see ``sources.games.read_games``). ``schedule`` has game_id, roof, spread_line
-    and total_line; without it these are null. Timeouts count for the state and then go; plays without a type stay."""
+    and total_line; without it these are null. ``feed_pos`` is a play's place in the feed and, with game_id, its key. Timeouts count for the state and then go; plays without a type stay."""
     flat = flatten(games)
     plays = flat.drop("_stats").join(fold_stats(flat.select(*PLAY, "_stats")), list(PLAY), "left").transform(add_results).transform(add_text).transform(add_state)
     facts = ("roof", "spread_line", "total_line")
@@ -191,4 +197,4 @@ def build_plays(games: DataFrame, schedule: DataFrame | None = None) -> DataFram
         plays = plays.withColumns({c: F.lit(None).cast("string" if c == "roof" else "double") for c in facts})
     else:
         plays = plays.join(schedule.select("game_id", *(c if c in schedule.columns else F.lit(None).alias(c) for c in facts)), "game_id", "left")
-    return plays.where(F.coalesce("shield_play_type", F.lit("")) != "TIMEOUT").drop("_home_points", "_away_points", "_home_id", "_away_id", "feed_pos")
+    return plays.where(F.coalesce("shield_play_type", F.lit("")) != "TIMEOUT").drop("_home_points", "_away_points", "_home_id", "_away_id")

@@ -28,8 +28,13 @@ def ranked(rows: DataFrame, keys: list[str], order: tuple[str, ...]) -> DataFram
     return average_rank(known, "_total", keys, "rank").select(*(c for c in order if c in [*rows.columns, "rank"]))
 
 
+def _qualified(athletes: DataFrame) -> Column:
+    """Whether a row is of the list of qualified passers: the table's own column, or true without one."""
+    return (F.coalesce(F.col("qualified"), F.lit(False)) if "qualified" in athletes.columns else F.lit(True)).alias("qualified")
+
+
 def season_table(athletes: DataFrame, season: int, season_type: str) -> DataFrame:
-    rows = athletes.select(F.lit(season).alias("season"), F.lit(season_type).alias("season_type"), F.lit("Season Total").alias("game_week"), *(c.alias(n) for n, c in _common().items()), F.lit(True).alias("qualified"))
+    rows = athletes.select(F.lit(season).alias("season"), F.lit(season_type).alias("season_type"), F.lit("Season Total").alias("game_week"), *(c.alias(n) for n, c in _common().items()), _qualified(athletes))
     return ranked(rows, ["season", "season_type"], SEASON)
 
 
@@ -39,5 +44,5 @@ def week_table(athletes: DataFrame, season: int, season_type: str) -> DataFrame:
         "game_id": g("id").cast("string"), "game_week": g("weekNumber").cast("int"), "week_text": g("weekText"), "week_num": g("weekNumber").cast("int"), "opp_id": g("teamOpponent.id").cast("string"),
         "opp_abb": g("teamOpponent.abbreviation"), "opp_team": g("teamOpponent.displayName"), "opp_name": F.coalesce(F.nullif(g("teamOpponent.nickname"), F.lit("")), g("teamOpponent.name")),
     }
-    rows = athletes.select(F.lit(season).alias("season"), F.lit(season_type).alias("season_type"), *(c.alias(n) for n, c in (_common() | game).items()), F.lit(True).alias("qualified"))
+    rows = athletes.select(F.lit(season).alias("season"), F.lit(season_type).alias("season_type"), *(c.alias(n) for n, c in (_common() | game).items()), _qualified(athletes))
     return ranked(rows, ["season", "season_type", "week_num"], WEEK)

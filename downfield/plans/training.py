@@ -26,6 +26,19 @@ SCORE_CLASSES = ("Touchdown", "Opp_Touchdown", "Field_Goal", "Opp_Field_Goal", "
 CLASS_POINTS = (7, -7, 3, -3, 2, -2, 0)
 
 
+def play_order(plays: DataFrame) -> list[Column]:
+    """Columns that sort the plays of a game: the id as a number (the feed has it as text), then, where the table has
+    them, sequence and place in the feed."""
+    order = [F.col("play_id").try_cast("double").asc_nulls_last()]
+    return order + [F.col(c).asc_nulls_last() for c in ("play_seq", "feed_pos", "play_id") if c in plays.columns]
+
+
+def _order_key(plays: DataFrame) -> Column:
+    """:func:`play_order` as one value that max_by and min_by can compare."""
+    number = F.coalesce(F.col("play_id").try_cast("double"), F.lit(float("inf")))
+    return F.struct(number.alias("n"), *(F.col(c) for c in ("play_seq", "feed_pos", "play_id") if c in plays.columns))
+
+
 def add_common(plays: DataFrame) -> DataFrame:
     """home, roof, era and down flags as doubles; a null down or roof gives the nulls and zeros of three-valued logic."""
     roof = F.col("roof")
@@ -44,7 +57,7 @@ def add_next_score(plays: DataFrame) -> DataFrame:
     kind = F.when(scored & td, "Touchdown").when(scored & fg, "Field_Goal").when(scored & safety, "Safety")
     team = F.when(scored & td, F.col("td_team")).when(scored & fg, F.col("posteam")).when(scored & safety, F.col("defteam"))
     half = W.partitionBy("game_id", "game_half")
-    ahead = half.orderBy("play_id").rowsBetween(0, W.unboundedFollowing)
+    ahead = half.orderBy(*play_order(plays)).rowsBetween(0, W.unboundedFollowing)
     plays = plays.withColumns({"_kind": kind, "_team": team, "_drive": F.when(kind.isNotNull(), F.col("fixed_drive"))})
     plays = plays.withColumns({f"_next{c}": F.first(c, ignorenulls=True).over(ahead) for c in ("_kind", "_team", "_drive")})
     name = F.when(F.col("_next_kind").isNull(), "No_Score").when(F.col("_next_team") == F.col("posteam"), F.col("_next_kind")).otherwise(F.concat(F.lit("Opp_"), "_next_kind"))
@@ -55,7 +68,11 @@ def add_next_score(plays: DataFrame) -> DataFrame:
 
 def add_winner(plays: DataFrame) -> DataFrame:
     """Winner of each game from its final score (null if tied) and 1 or 0 for the team in possession."""
-    last = plays.groupBy("game_id").agg(F.max_by("home_score", "play_id").alias("_h"), F.max_by("away_score", "play_id").alias("_a"), F.min_by("home_team", "play_id").alias("_home"), F.min_by("posteam", F.when(F.col("posteam") != F.col("home_team"), F.col("play_id"))).alias("_away"))
+    key = _order_key(plays)
+    visits = F.col("posteam") != F.col("home_team")
+    last = plays.groupBy("game_id").agg(
+        F.max_by("home_score", key).alias("_h"), F.max_by("away_score", key).alias("_a"), F.min_by("home_team", key).alias("_home"), F.min_by("posteam", F.when(visits, key)).alias("_away")
+    )
     last = last.select("game_id", F.when(F.col("_h") > F.col("_a"), F.col("_home")).when(F.col("_a") > F.col("_h"), F.col("_away")).alias("Winner"))
     label = F.when(F.col("Winner").isNull(), F.lit(None).cast("double")).when(F.col("posteam") == F.col("Winner"), 1.0).otherwise(0.0)
     return plays.join(last, "game_id", "left").withColumn("wp_label", label)
@@ -68,9 +85,9 @@ def add_ep_weights(plays: DataFrame) -> DataFrame:
     return unit_scale(parts.withColumn("_sum", F.col("_near") + F.col("_close")), {"_sum": "weight"}, flat=1.0).drop("_drives", "_gap", "_near", "_close", "_sum")
 
 
-def add_wp_aux(plays: DataFrame, order: str = "play_id") -> DataFrame:
+def add_wp_aux(plays: DataFrame) -> DataFrame:
     """Spread and score scaled by time, and whether the team receives the second half's kickoff."""
-    first = F.first("defteam", ignorenulls=True).over(W.partitionBy("game_id").orderBy(order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    first = F.first("defteam", ignorenulls=True).over(W.partitionBy("game_id").orderBy(*play_order(plays)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     return plays.withColumns({
         "spread_time": X.decay(X.sign_flip("spread_line", F.col("home") == 1.0), "game_seconds_remaining"), "Diff_Time_Ratio": X.decay("score_differential", "game_seconds_remaining", grow=True),
         "receive_2h_ko": F.when((F.col("qtr") <= 2) & (F.col("posteam") == first), 1.0).otherwise(0.0),
@@ -121,7 +138,7 @@ def xpass_set(plays: DataFrame) -> DataFrame:
 def fd_set(plays: DataFrame) -> DataFrame:
     rows = plays.transform(add_common).where("down in (3, 4) and qb_kneel = 0 and (rush = 1 or pass = 1) and posteam is not null and yardline_100 is not null and score_differential is not null and week <= 17").transform(add_totals)
     penalty, yards = F.coalesce("first_down_penalty", F.lit(0)) == 1, F.coalesce("penalty_yards", F.lit(0))
-    gained = F.when(penalty, F.greatest(yards, F.col("ydstogo"))).otherwise(F.col("yards_gained"))
+    gained = F.when(penalty & (yards < F.col("ydstogo")), F.col("ydstogo")).when(penalty & (yards >= F.col("ydstogo")), yards).otherwise(F.col("yards_gained"))
     rows = rows.where(F.coalesce(F.col("play_type_nfl").isin("RUSH", "PASS", "SACK"), F.lit(False)) | penalty)
     return rows.select(*FD, (X.clip(gained, -10, 65) + 10).cast("int").alias("label"))
 

@@ -513,3 +513,6 @@ def sha_digest(spark, sf_dir):
 def dot_expected(spark, sf_dir):
     values = F.transform("embedding", lambda x: x.cast("double"))
     return t(spark, sf_dir, "embeddings").select("vec_id", r6(X.expected(values, F.transform("embedding", lambda _, i: (i + 1).cast("double")))).alias("expected"))
+
+
+from . import plan_queries  # noqa: E402, F401  registers its queries here

@@ -93,7 +93,7 @@ def test_build_filters_and_state(build, spark):
     ])
     schedule = spark.createDataFrame([("g0", "dome", -3.0, 45.0)], "game_id string, roof string, spread_line double, total_line double")
     rows = build(doc, schedule=schedule).orderBy("play_seq").collect()
-    assert [r.play_id for r in rows] == ["1", "4", "5", "6"]
+    assert [(r.play_id, r.feed_pos) for r in rows] == [("1", 0), ("4", 3), ("5", 4), ("6", 5)]
     assert [r.total_away_score for r in rows] == [0, 0, 6, 7]
     assert rows[1].defteam_timeouts_remaining == 2 and rows[0].defteam_timeouts_remaining == 3
     assert rows[0].run_gap == "tackle" and rows[0].run_location == "left" and rows[0].roof == "dome"
@@ -101,6 +101,46 @@ def test_build_filters_and_state(build, spark):
     assert (rows[0].posteam, rows[0].defteam, rows[0].yardline_100, rows[0].fixed_drive) == ("KC", "BAL", 65, 1)
 
 
+def test_repeated_and_null_ids_keep_their_own_stats(build):
+    doc = game([play(5, [stat(10, 4.0, "A")]), {**play(5, [stat(10, 6.0, "B")]), "playSequenceNumber": 6.0}, {**play(7, [stat(10, 2.0, "C")]), "playId": None}])
+    rows = build(doc).orderBy("play_seq").collect()
+    assert [(r.play_id, r.yards_gained, r.rusher_player_id, r.rush_attempt) for r in rows] == [("5", 4.0, "A", 1), ("5", 6.0, "B", 1), (None, 2.0, "C", 1)]
+
+
+def test_unknown_drive_team_has_no_side(build):
+    row = build(game([play(1)], drives=[{"teamId": "77", "startedPlaySequenceNumber": 1.0, "endedPlaySequenceNumber": 9.0}])).first()
+    assert (row.posteam, row.defteam, row.yardline_100, row.home) == (None, None, None, 0)
+
+
+@pytest.mark.parametrize(
+    ("entries", "expect"),
+    [
+        ([("A", "a", "1"), ("A", "a", "1"), ("B", "b", "2")], {"1_player_id": "A", "2_player_id": "B", "1_player_name": "a", "2_player_name": "b", "1_team": "BAL", "2_team": "KC"}),
+        # a name that is missing leaves its slot to the next player, whose id has the second one
+        ([("A", None, "1"), ("B", "b", "2")], {"1_player_id": "A", "2_player_id": "B", "1_player_name": "b", "2_player_name": None, "1_team": "BAL", "2_team": "KC"}),
+        # an entry without an id takes no player slot; the next player has the first one, so its name may not have the second
+        ([(None, "x", "1"), ("B", "b", "2")], {"1_player_id": "B", "2_player_id": None, "1_player_name": "x", "2_player_name": None, "1_team": "BAL", "2_team": None}),
+        ([("A", "a", "1"), ("B", "b", "1"), ("C", "c", "2")], {"1_player_id": "A", "2_player_id": "B", "2_player_name": "b", "2_team": "BAL"}),
+    ],
+)
+def test_slots_go_on_field_by_field(build, entries, expect):
+    row = folded(build, *({"statType": 79, "yards": None, "gsisPlayerId": i, "gsisPlayerName": n, "teamId": t} for i, n, t in entries))
+    assert {k: row[f"solo_tackle_{k}"] for k in expect} == expect
+
+
+def test_labels_follow_numeric_ids(build):
+    """From game JSON to the sets: ids of unequal length are in order of number, not of text."""
+    kick = lambda k, **more: play(k, [stat(70, 30.0, "K", team="2")], playScored=True, scoringPlayType="FG", scoringTeamId="2", **more)
+    score = lambda k: play(k, [stat(11, 9.0, "A", team="1")], playScored=True, scoringPlayType="TD", scoringTeamId="1")
+    drives = [{"teamId": t, "startedPlaySequenceNumber": a, "endedPlaySequenceNumber": b} for t, a, b in (("2", 0.0, 500.0), ("1", 900.0, 1200.0), ("2", 1500.0, 2000.0))]
+    table = build(game([play(50), kick(80), play(1000), score(1100), play(1600)], drives=drives))
+    rows = {r.play_id: r for r in table.transform(training.add_next_score).transform(training.add_winner).collect()}
+    assert {k: r.next_score_half for k, r in rows.items()} == {"50": "Field_Goal", "80": "Field_Goal", "1000": "Touchdown", "1100": "Touchdown", "1600": "No_Score"}
+    assert {r.Winner for r in rows.values()} == {"KC"} and rows["1000"].wp_label == 0.0 and rows["50"].wp_label == 1.0
+    assert sorted(r.label for r in training.ep_set(table).select("label").collect()) == [0.0, 0.0, 2.0, 2.0, 6.0]
+    assert [r.receive_2h_ko for r in training.wp_set(table).orderBy("posteam_timeouts_remaining").collect()].count(1.0) == 2
+
+
 def test_no_plays(build):
     assert build(game([])).count() == 0
 
