@@ -131,7 +131,7 @@ def _seed_names(docs: DataFrame, with_ids: bool) -> DataFrame:
 def _round(docs: DataFrame, name: str) -> DataFrame:
     """One round: a scratch table of the documents (doc_id) that hold names met twice or more, with these ``names``."""
     again = cut(_seed_names(docs, False).groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name"), f"suffix-{name}-names")
-    held = _seed_names(docs, True).join(fits(again), "name", "left_semi")
+    held = _seed_names(docs, True).join(again, "name", "left_semi")  # names grow with the text: never a broadcast
     return cut(held.groupBy("doc_id").agg(F.collect_list("name").alias("names")), f"suffix-{name}-found")
 
 
