@@ -104,4 +104,4 @@ def density_grid(points: DataFrame, x: str, y: str, hx: Column | float, hy: Colu
 def longer(df: DataFrame, keys: Sequence[str], prefix: str, name: str, value: str) -> DataFrame:
     """Wide columns ``prefix*`` to rows (keys, name, value)."""
     wide = [c for c in df.columns if c.startswith(prefix)]
-    return df.unpivot(list(keys), wide, name, value).withColumn(name, F.regexp_replace(name, f"^{prefix}", ""))
+    return df.unpivot(list(keys), wide, name, value).withColumn(name, F.substring(name, len(prefix) + 1, 1 << 20))

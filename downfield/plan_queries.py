@@ -6,9 +6,11 @@ from there on the library's own code runs. The SQL twins state the same rules on
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .plans import plays, qbr, training
+from .functions import expr as X
+from .plans import decisions, parity, plays, qbr, runs, training
 from .queries import long, query, r6, t
 from .sources.games import GAME
 
@@ -253,3 +255,111 @@ def qbr_rank(spark, sf_dir):
     pages = rows.select(athlete.alias("athlete"), totals.alias("categories"), game.alias("game"), (F.col("c_custkey") % 4 != 0).alias("qualified"))
     out = qbr.week_table(pages, 2024, "Regular")
     return out.select("player_id", "name_short", "team_abb", long("week_num").alias("week_num"), "qbr_total", "qualified", "rank")
+
+
+# ---- gates, parity and frames ---------------------------------------------------------------------------------------
+
+_HOME = {
+    "home_receive_2h_ko": "(qtr <= 2 AND coalesce(home_team = first_def, false))::INT", "home_posteam": "CASE WHEN posteam IS NOT NULL THEN (posteam = home_team)::INT END", "home_ep": "CASE WHEN posteam = home_team THEN ep ELSE -ep END",
+    "home_score_differential": "home_diff", "Diff_Time_Ratio": f"home_diff / {_FADE}", "home_yardline_100": "CASE WHEN posteam = home_team THEN yardline_100 ELSE 100 - yardline_100 END",
+    "home_timeouts_remaining": "CASE WHEN posteam = home_team THEN posteam_timeouts_remaining ELSE defteam_timeouts_remaining END", "label": "(home_team = winner)::INT",
+}
+
+
+@query(_WON + f"""
+, usable AS (SELECT *, yardline_100 / 20.0 AS ep, CASE WHEN posteam = home_team THEN score_differential ELSE -score_differential END AS home_diff
+  FROM won WHERE winner IS NOT NULL AND qtr <= 4 AND play_type IS NOT NULL AND yardline_100 IS NOT NULL),
+seen AS (SELECT *, first_value(defteam IGNORE NULLS) OVER (PARTITION BY game_id ORDER BY play ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_def FROM usable)
+SELECT {_as_double([*decisions.HOME_WP, 'label'], **_HOME)} FROM seen""")
+def decision_wp_set(spark, sf_dir):
+    rows = training.add_winner(table(spark, sf_dir)).withColumn("ep", F.col("yardline_100") / 20.0)
+    return _double(decisions.win_set(rows))
+
+
+@query("""
+WITH a AS (SELECT l_linenumber AS line, least(l_quantity, 20) AS q, count(*) / sum(count(*)) OVER (PARTITION BY l_linenumber) AS share FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2),
+b AS (SELECT l_linenumber AS line, least(l_quantity, 20) AS q, count(*) / sum(count(*)) OVER (PARTITION BY l_linenumber) AS share FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1, 2),
+v AS (SELECT coalesce(a.line, b.line) AS line, sum(abs(coalesce(a.share, 0) - coalesce(b.share, 0))) / 2 AS tv FROM a FULL JOIN b ON a.line = b.line AND a.q = b.q GROUP BY 1
+  HAVING coalesce(a.line, b.line) IN (SELECT line FROM a) AND coalesce(a.line, b.line) IN (SELECT line FROM b)),
+w AS (SELECT l_linenumber AS line, count(*) AS n FROM lineitem WHERE l_linenumber <> 3 GROUP BY 1)
+SELECT round(sum(tv * coalesce(n, 1)) / sum(coalesce(n, 1)), 6) AS weighted_mean, round(avg(tv), 6) AS mean, round(median(tv), 6) AS median, round(max(tv), 6) AS largest, count(*) AS lines,
+  sum(tv * coalesce(n, 1)) / sum(coalesce(n, 1)) <= 0.1 AS gate_pass FROM v LEFT JOIN w USING (line)""")
+def punt_gate(spark, sf_dir):
+    """Two distributions of capped quantities by line, as two landing tables."""
+    items = t(spark, sf_dir, "lineitem").withColumns({"yardline_100": F.col("l_linenumber").cast("double"), "yardline_after": F.least("l_quantity", F.lit(20.0))})
+    pct = F.count(F.lit(1)) / F.sum(F.count(F.lit(1))).over(W.partitionBy("yardline_100"))
+    ours, theirs = (items.where(F.col("l_returnflag") == flag).groupBy("yardline_100", "yardline_after").agg(pct.alias("pct")) for flag in "RA")
+    weights = items.where("l_linenumber <> 3").groupBy("yardline_100").agg(F.count(F.lit(1)).alias("weight"))
+    out = decisions.punt_agreement(ours, theirs, weights)
+    return out.select(*(r6(c).alias(c) for c in ("weighted_mean", "mean", "median", "largest")), "lines", "gate_pass")
+
+
+@query("""
+WITH grid AS (SELECT y, r, e, 1 / (1 + exp((y - 50) / 12.0 + 0.2 * r - 0.1 * e)) AS pred, 1 / (1 + exp((y - 48) / 13.0 + 0.25 * r - 0.2 * e + (y % 5) / 20.0)) AS prob FROM range(1, 51) a(y), range(2) b(r), range(2) c(e)),
+cells AS (SELECT l_quantity::INT AS y, (l_linestatus = 'O')::INT AS r, (l_returnflag = 'R')::INT AS e, count(*) AS n FROM lineitem WHERE l_quantity <> 7 GROUP BY 1, 2, 3),
+m AS (SELECT * FROM grid JOIN cells USING (y, r, e)),
+s AS (SELECT sum(n * pred) / sum(n) AS mp, sum(n * prob) / sum(n) AS mq FROM m)
+SELECT round(corr(pred, prob), 6) AS correlation, round(any_value(w), 6) AS weighted_correlation, round(max(abs(pred - prob)), 6) AS most_apart, count(*) AS n, round(any_value(g), 6) AS grid_correlation, corr(pred, prob) >= 0.98 AS gate_pass
+FROM m, (SELECT corr(pred, prob) AS g FROM grid), (SELECT sum(n * (pred - mp) * (prob - mq)) / sqrt(sum(n * (pred - mp) ** 2) * sum(n * (prob - mq) ** 2)) AS w FROM m, s)""")
+def grid_gate(spark, sf_dir):
+    """A kick grid, its codes decoded, held against the cells that items fall in."""
+    codes = spark.range(4).select(F.concat(F.floor(F.col("id") / 2), F.col("id") % 2).alias("fg_model_roof"))
+    grid = decisions.decode_grid(spark.range(1, 51).withColumnRenamed("id", "yardline_100").crossJoin(F.broadcast(codes)))  # 50 by 4
+    y, roof, era = F.col("yardline_100"), F.col("fg_roof"), F.col("era4")
+    grid = grid.withColumns({"pred": 1 / (1 + F.exp((y - 50) / 12.0 + 0.2 * roof - 0.1 * era)), "prob": 1 / (1 + F.exp((y - 48) / 13.0 + 0.25 * roof - 0.2 * era + (y % 5) / 20.0))})
+    kicks = t(spark, sf_dir, "lineitem").where("l_quantity <> 7").select(F.col("l_quantity").alias("yardline_100"), (F.col("l_linestatus") == "O").alias("fg_roof"), (F.col("l_returnflag") == "R").alias("era4"))
+    out = decisions.grid_agreement(grid, decisions.attempted_cells(kicks))
+    return out.select(*(r6(c).alias(c) for c in ("correlation", "weighted_correlation", "most_apart", "grid_correlation")), "n", "gate_pass")
+
+
+_PAIRS = """
+SELECT u AS game_id, e, v, CASE WHEN e % 3 = 0 THEN v + 0.4 WHEN e % 3 = 1 THEN v + 0.01 END AS nv, kind, CASE WHEN e % 7 = 0 THEN 'other' ELSE kind END AS nkind
+FROM (SELECT user_id AS u, event_id AS e, value AS v, event_type AS kind FROM events) WHERE e % 11 <> 0"""
+
+
+@query(f"""
+WITH p AS ({_PAIRS}), c AS (SELECT 'value' AS name, game_id, (abs(v - nv) < 0.1)::INT AS hit, (v IS NOT NULL AND nv IS NOT NULL)::INT AS seen FROM p UNION ALL SELECT 'kind', game_id, (kind = nkind)::INT, 1 FROM p)
+SELECT name, coalesce(sum(hit), 0)::BIGINT AS matched, sum(seen)::BIGINT AS compared, round(sum(hit) / sum(seen), 6) AS rate FROM c GROUP BY 1""")
+def play_parity(spark, sf_dir):
+    """Events as a play table with ids in text, held against a copy with other values, whose ids are numbers."""
+    ours = t(spark, sf_dir, "events").select(F.col("user_id").alias("game_id"), F.col("event_id").cast("string").alias("play_id"), "value", F.col("event_type").alias("kind"))
+    e = F.col("play_id").cast("bigint")
+    other = ours.where(e % 11 != 0).select("game_id", e.alias("play_id"), F.when(e % 3 == 0, F.col("value") + 0.4).when(e % 3 == 1, F.col("value") + 0.01).alias("value"), F.when(e % 7 == 0, "other").otherwise(F.col("kind")).alias("kind"))
+    out = parity.rolled_up(parity.by_game(parity.paired(ours, other), {"value": 0.1, "kind": None}))
+    return out.select("name", "matched", "compared", r6("rate").alias("rate"))
+
+
+@query(PLAYS + ", c AS (SELECT * FROM common) " + " UNION ALL ".join(f"SELECT '{c}' AS name, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS n_null FROM c" for c in ("posteam", "down", "yardline_100", "roof", "air_yards", "play_type")))
+def null_counts(spark, sf_dir):
+    return parity.column_counts(table(spark, sf_dir).select("posteam", "down", "yardline_100", "roof", "air_yards", "play_type"))
+
+
+@query(PLAYS + """
+SELECT 'down' AS figure, down::VARCHAR AS facet, count(*) AS n FROM common WHERE down BETWEEN 1 AND 4 AND yardline_100 IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT 'air', CASE WHEN pass_location = 'middle' THEN 'Middle' ELSE 'Outside' END, count(*) FROM common WHERE air_yards BETWEEN -5 AND 45 AND yardline_100 IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT 'one_down', down::VARCHAR, count(*) FROM common WHERE down IS NOT NULL AND yardline_100 IS NOT NULL GROUP BY 1, 2""")
+def figure_frames(spark, sf_dir):
+    """Rows of the figures and of the validation frame, counted by facet."""
+    rows = training.add_cp(training.add_common(table(spark, sf_dir))).withColumns({"pred": F.col("yardline_100") / 100.0, "actual": F.col("complete_pass")})
+    frames = runs.figure_rows(rows)
+    one = runs.with_references(runs.one_down(rows), ["pred"]).withColumn("facet", runs.down_of_flags().cast("int").cast("string"))
+    count = lambda df, name, facet: df.groupBy(facet.alias("facet")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("figure"), "facet", "n")
+    return count(frames["down"], "down", F.col("down").cast("string")).unionByName(count(frames["air"], "air", F.col("side"))).unionByName(count(one, "one_down", F.col("facet")))
+
+
+@query("""SELECT page_id, regexp_matches(html, '<h1>[^<]*[A-Z]', 'i')::INT::BIGINT AS titled, regexp_matches(url, '^HTTPS?://[^/]*EXAMPLE', 'i')::INT::BIGINT AS example FROM pages""")
+def regex_ignore_case(spark, sf_dir):
+    return t(spark, sf_dir, "pages").select("page_id", X.truth(F.col("html").rlike("(?i)<h1>[^<]*[A-Z]")).alias("titled"), X.truth(F.col("url").rlike("(?i)^HTTPS?://[^/]*EXAMPLE")).alias("example"))
+
+
+@query("""
+WITH p AS (SELECT c_nationkey AS k, count(*) AS n, sum((c_mktsegment = 'BUILDING')::INT) AS b FROM customer GROUP BY 1)
+SELECT k::BIGINT AS nation, round(100 * (b / n - 0.2), 6) AS over_expected, round(list_sum(list_transform(range(76), lambda i: (i - 10) * (CASE WHEN i = k + 10 THEN b / n WHEN i = 30 THEN 1 - b / n ELSE 0 END))), 6) AS gain,
+  round(CASE WHEN k >= 8 THEN b / n ELSE 0 END + CASE WHEN k = 20 THEN 0 ELSE 1 - b / n END, 6) AS converts FROM p""")
+def documented_formulas(spark, sf_dir):
+    """Shares as class probabilities: expected yards, chance of a first down with eight to go, share over expected."""
+    share = F.count_if(F.col("c_mktsegment") == "BUILDING") / F.count(F.lit(1))
+    rows = t(spark, sf_dir, "customer").groupBy(long("c_nationkey").alias("nation")).agg(share.alias("share"))
+    probs = F.transform(F.sequence(F.lit(0), F.lit(75)), lambda i: F.when(i == F.col("nation") + 10, F.col("share")).when(i == 30, 1 - F.col("share")).otherwise(0.0))
+    rows = rows.withColumn("probs", probs)
+    return rows.select("nation", r6(decisions.over_expected(F.col("share"), F.lit(0.2))).alias("over_expected"), r6(decisions.mean_gain(F.col("probs"))).alias("gain"), r6(decisions.first_down_chance(F.col("probs"), F.lit(8))).alias("converts"))

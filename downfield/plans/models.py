@@ -56,7 +56,7 @@ def expected_points(rows: DataFrame) -> DataFrame:
 def leave_one_out(rows: DataFrame, fold: str, fit: Callable[[DataFrame], PipelineModel], keep: Sequence[str] = ()) -> DataFrame:
     """(fold, pred, actual, *keep) of each fold from a model of the other folds; folds with either side empty are left
     out. The rows are cached once for all folds; the list of folds (seasons) is short."""
-    rows = rows.persist()
+    rows = rows.persist()  # for the fits; predictions are lazy and read the rows again, unless the caller caches them
     try:
         folds = [r[0] for r in rows.select(fold).distinct().orderBy(fold).collect()]
         out = [probabilities(fit(rows.where(F.col(fold) != f)), rows.where(F.col(fold) == f)).select(fold, F.col("probs")[1].alias("pred"), F.col("label").alias("actual"), *keep) for f in folds if len(folds) > 1]
@@ -71,9 +71,10 @@ def leave_one_out(rows: DataFrame, fold: str, fit: Callable[[DataFrame], Pipelin
 
 
 def gate(predictions: DataFrame, least_r: float | None = None, most_brier: float | None = None, reference: str = "actual") -> dict[str, float | bool]:
-    """Correlation and Brier score of (pred, reference), and whether they pass."""
+    """Correlation and Brier score of (pred, reference), and whether they pass; without predictions they are None and don't."""
     r, b = predictions.agg(A.pearson(F.col("pred"), F.col(reference)), A.brier(F.col("pred"), F.col(reference))).first()
-    return {"r": r, "brier": b, "passed": (least_r is None or r >= least_r) and (most_brier is None or b <= most_brier)}
+    passed = r is not None and b is not None and (least_r is None or r >= least_r) and (most_brier is None or b <= most_brier)
+    return {"r": r, "brier": b, "passed": passed}
 
 
 def card(name: str, features: Sequence[str], seasons: Sequence[int], **more) -> str:
@@ -84,4 +85,5 @@ def card(name: str, features: Sequence[str], seasons: Sequence[int], **more) ->
 def report(title: str, errors: DataFrame) -> str:
     """Markdown of a table of weighted calibration errors (by, error, n_plays; by null for all): a row a facet."""
     rows = errors.orderBy(F.col("by").asc_nulls_last()).collect()
-    return "\n".join([f"# {title}", "", "| facet | weighted error | plays |", "|---|---|---|", *(f"| {r['by'] or 'all'} | {r['error']:.4f} | {r['n_plays']} |" for r in rows), ""])
+    shown = lambda x: "-" if x is None else f"{x:.4f}"
+    return "\n".join([f"# {title}", "", "| facet | weighted error | plays |", "|---|---|---|", *(f"| {r['by'] or 'all'} | {shown(r['error'])} | {r['n_plays'] or 0} |" for r in rows), ""])

@@ -27,6 +27,30 @@ def read_games(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return raw.select("*", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("game_id"))
 
 
+def season_games(spark: SparkSession, root: str, season: int, ids: Sequence[str] | None = None) -> DataFrame:
+    """Games of one season from files ``season_*.json``; with ``ids`` only these. Only matching files are opened."""
+    raw = spark.read.schema(GAME).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", f"{season}_*.json").json(root)
+    rows = raw.select("*", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("game_id"))
+    return rows if ids is None else rows.where(F.col("game_id").isin(*ids))
+
+
+def library_files(spark: SparkSession, root: str, suffix: str = ".json") -> DataFrame:
+    """(game_id, size) of a library's files, sorted; other files aren't listed and none is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"))
+    return files.where(F.endswith("name", F.lit(suffix))).select(F.substring("name", F.lit(1), F.length("name") - len(suffix)).alias("game_id"), "size").orderBy("game_id")
+
+
+def split_games(payload: DataFrame, root: str, column: str = "value") -> int:
+    """Writes each game of weekly payloads under ``root/game_id=...`` and returns how many; games without an id or with one
+    that another game has are an error, and nothing is written."""
+    rows = weekly_games(payload, column)
+    bad = rows.groupBy("game_id").agg(F.count(F.lit(1)).alias("n")).where("game_id is null or n > 1").limit(5).collect()
+    if bad:
+        raise ValueError(f"game ids that are null or repeat: {', '.join(str(r.game_id) for r in bad)}")
+    rows.write.partitionBy("game_id").mode("overwrite").text(root)
+    return rows.count()
+
+
 def weekly_games(payload: DataFrame, column: str = "value") -> DataFrame:
     """Games of weekly payloads (JSON text), which are lists or objects with ``games`` or ``data``: (game, game_id), the
     id from the first of id, nflId and gameId."""
@@ -49,6 +73,19 @@ def season_range(text: str) -> list[int]:
     return list(range(low, high + 1))
 
 
+def season_values(values: Sequence[int]) -> list[int]:
+    """Two values are a range with both ends; one, or three and more, are a list."""
+    if len(values) == 2:
+        return season_range(f"{values[0]}:{values[1]}")
+    return sorted(set(values))
+
+
+def week_calendar(payload: DataFrame, column: str = "value") -> DataFrame:
+    """(week) of payloads ``{"weeks": [{"week": ...}]}``, sorted, once each; what is no whole number is left out."""
+    weeks = F.from_json(F.get_json_object(column, "$.weeks"), "array<struct<week:string>>")
+    return payload.select(F.explode(weeks).alias("w")).select(F.col("w.week").try_cast("int").alias("week")).where("week is not null").distinct().orderBy("week")
+
+
 def regular_weeks(calendar: DataFrame) -> Column:
     """Length of the regular season from (week, weekType) rows; 18 if they don't tell."""
     return F.coalesce(F.max(F.when(F.col("weekType") == "REG", F.col("week").try_cast("int"))), F.lit(18))
