@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from ..operators import aggregate as A
 from .training import CLASS_POINTS
 
+#: Bound of coefficients that are free; infinity would spoil features without variance.
+FREE = 1e6
+
 
 def _fit(rows: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
     rows = rows.withColumns({c: F.col(c).cast("double") for c in [*features, "label"]})
@@ -39,7 +42,7 @@ def fit_monotone(rows: DataFrame, features: Sequence[str], signs: Sequence[int])
     from pyspark.ml.linalg import Matrices
 
     bound = lambda sign, value: Matrices.dense(1, len(signs), [0.0 if s == sign else value for s in signs])
-    return _fit(rows, features, LogisticRegression(family="binomial", maxIter=60, lowerBoundsOnCoefficients=bound(1, float("-inf")), upperBoundsOnCoefficients=bound(-1, float("inf"))))
+    return _fit(rows, features, LogisticRegression(family="binomial", maxIter=60, lowerBoundsOnCoefficients=bound(1, -FREE), upperBoundsOnCoefficients=bound(-1, FREE)))
 
 
 def probabilities(model: PipelineModel, rows: DataFrame) -> DataFrame:

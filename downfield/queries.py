@@ -270,7 +270,8 @@ FROM pairs, (SELECT DISTINCT p FROM c) k LEFT JOIN c a ON a.s = one AND a.p = k.
 def total_variation(spark, sf_dir):
     shares = _priorities(spark, sf_dir)
     states = shares.select("o_orderstatus").distinct()
-    pairs = F.broadcast(states.select(F.col("o_orderstatus").alias("one")).crossJoin(states.select(F.col("o_orderstatus").alias("other"))).where("one < other"))  # three states
+    one, other = (states.withColumnRenamed("o_orderstatus", c) for c in ("one", "other"))
+    pairs = one.join(other, F.col("one") < F.col("other"))  # pairs of states, whose broadcast Spark decides by their size
     p = shares.join(pairs, F.col("o_orderstatus") == F.col("one")).select("one", "other", "o_orderpriority", "share")
     q = shares.join(pairs, F.col("o_orderstatus") == F.col("other")).select("one", "other", "o_orderpriority", "share")
     return A.total_variation(p, q, ["one", "other"], ["o_orderpriority"]).withColumn("tv", r6("tv"))
@@ -317,7 +318,7 @@ def time_decay(spark, sf_dir):
 SELECT c_custkey, CASE WHEN n_regionkey <= 1 THEN c_acctbal ELSE -c_acctbal END AS view, CASE WHEN n_regionkey <= 1 THEN 'home' ELSE 'away' END AS side
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
 def sign_flip(spark, sf_dir):
-    rows = t(spark, sf_dir, "customer").join(F.broadcast(t(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"), "left")  # 25 nations
+    rows = t(spark, sf_dir, "customer").join(t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     home = F.col("n_regionkey") <= 1
     return rows.select("c_custkey", X.sign_flip("c_acctbal", home).alias("view"), F.when(home, "home").otherwise("away").alias("side"))
 
@@ -422,7 +423,7 @@ def effect_lookup(spark, sf_dir):
 @query("""SELECT o_orderkey, c_mktsegment, n_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""")
 def left_dim(spark, sf_dir):
     rows = t(spark, sf_dir, "orders").join(t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-    return rows.join(F.broadcast(t(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"), "left").select("o_orderkey", "c_mktsegment", "n_name")
+    return rows.join(t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left").select("o_orderkey", "c_mktsegment", "n_name")
 
 
 @query("""SELECT a.c_custkey, a.c_acctbal, b.s_acctbal AS nv_acctbal FROM customer a JOIN supplier b ON a.c_custkey = b.s_suppkey""")
@@ -441,18 +442,19 @@ def semi_anti(spark, sf_dir):
 
 
 @query("""
-WITH c AS (SELECT c_nationkey k, count(*) n FROM customer WHERE c_nationkey % 3 <> 0 GROUP BY 1), s AS (SELECT s_nationkey k, count(*) n FROM supplier WHERE s_nationkey % 4 <> 0 GROUP BY 1)
+WITH c AS (SELECT c_nationkey k, count(*) n FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 8000 GROUP BY 1), s AS (SELECT s_nationkey k, count(*) n FROM supplier WHERE s_acctbal < 3000 GROUP BY 1)
 SELECT coalesce(c.k, s.k)::BIGINT AS nation, coalesce(c.n, 0) AS customers, coalesce(s.n, 0) AS suppliers FROM c FULL JOIN s ON c.k = s.k""")
 def full_support(spark, sf_dir):
-    c = t(spark, sf_dir, "customer").where("c_nationkey % 3 <> 0").groupBy(long("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
-    s = t(spark, sf_dir, "supplier").where("s_nationkey % 4 <> 0").groupBy(long("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("suppliers"))
+    """Nations of rich builders and of poor suppliers: some have only the one or the other."""
+    c = t(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING' and c_acctbal > 8000").groupBy(long("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
+    s = t(spark, sf_dir, "supplier").where("s_acctbal < 3000").groupBy(long("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("suppliers"))
     return c.join(s, "nation", "full").select("nation", F.coalesce("customers", F.lit(0)).alias("customers"), F.coalesce("suppliers", F.lit(0)).alias("suppliers"))
 
 
 @query("""SELECT y::BIGINT AS yardline, r_name, y * (r_regionkey + 1)::BIGINT AS cell FROM range(1, 100) g(y), region""")
 def cross_grid(spark, sf_dir):
     grid = spark.range(1, 100).withColumnRenamed("id", "yardline")
-    return grid.crossJoin(F.broadcast(t(spark, sf_dir, "region"))).select("yardline", "r_name", (F.col("yardline") * (F.col("r_regionkey") + 1)).alias("cell"))  # 99 by 5
+    return grid.crossJoin(t(spark, sf_dir, "region")).select("yardline", "r_name", (F.col("yardline") * (F.col("r_regionkey") + 1)).alias("cell"))  # 99 by 5
 
 
 # ---- sets, sorts, sources -------------------------------------------------------------------------------------------
@@ -493,10 +495,10 @@ def manifest_upsert(spark, sf_dir):
     return joins.upsert(old, old.where("season % 5 = 0").withColumn("row_count", F.col("row_count") + 100), ["season"])
 
 
-@query("""SELECT vec_id, len(embedding)::BIGINT AS size, CASE WHEN len(embedding) = 0 THEN NULL ELSE '[' || array_to_string(list_transform(embedding[1:4], lambda x: (round(x * 1000))::BIGINT::VARCHAR), ',') || ']' END AS head FROM embeddings""")
+@query("""SELECT vec_id, len(embedding)::BIGINT AS size, CASE WHEN len(embedding) > 0 THEN '[' || array_to_string(list_transform(embedding, lambda x: (round(x * 1000))::BIGINT::VARCHAR), ',') || ']' END AS whole FROM embeddings""")
 def list_stringify(spark, sf_dir):
-    head = F.transform(F.slice("embedding", 1, 4), lambda x: F.round(x.cast("double") * 1000).cast("long"))
-    return t(spark, sf_dir, "embeddings").select("vec_id", long(F.size("embedding")).alias("size"), tables.list_text(head).alias("head"))
+    whole = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("long"))
+    return t(spark, sf_dir, "embeddings").select("vec_id", long(F.size("embedding")).alias("size"), tables.list_text(whole).alias("whole"))
 
 
 @query("""SELECT l_orderkey, l_linenumber::BIGINT AS line, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
