@@ -8,6 +8,7 @@ words without a pair that merges leave the rounds. Words that were met before co
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator, Sequence
@@ -24,6 +25,8 @@ from .common import map_batches, texts
 
 #: Words that a worker keeps at most; then its table starts anew.
 KNOWN_WORDS = 100_000
+#: Bytes from which on a word is merged by itself.
+LONG_WORD = 512
 #: Bytes of text that are encoded at a time.
 STEP_BYTES = 1 << 19
 #: The pattern of the vocabulary's words.
@@ -118,6 +121,37 @@ def merge_rounds(symbols: np.ndarray, word: np.ndarray, vocab: Vocabulary) -> tu
     return symbols[order], word[order]
 
 
+def merge_long(symbols: np.ndarray, vocab: Vocabulary) -> np.ndarray:
+    """The same for one long word, whose rounds would each go over all of it: its pairs wait in a heap by rank and place,
+    and a merge looks at its two neighbours only."""
+    n = len(symbols)
+    symbol, after, before = symbols.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+    keys, ranks, merged = vocab.keys, vocab.ranks, vocab.merged
+
+    def waiting(at: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        key = left << 32 | right
+        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        hit = keys[place] == key
+        columns = (ranks[place[hit]], at[hit], left[hit], right[hit], merged[place[hit]])
+        return list(zip(*(c.tolist() for c in columns), strict=True))
+
+    heap = waiting(np.arange(n - 1), symbols[:-1], symbols[1:]) if len(keys) else []
+    heapq.heapify(heap)
+    while heap:
+        _, at, left, right, new = heapq.heappop(heap)
+        gone = after[at]
+        if symbol[at] != left or gone >= n or symbol[gone] != right:
+            continue  # a neighbour has merged meanwhile
+        symbol[at], symbol[gone], after[at] = new, -1, after[gone]
+        if after[gone] < n:
+            before[after[gone]] = at
+        starts = [k for k in (before[at], at) if k >= 0 and after[k] < n]
+        if starts:
+            for entry in waiting(np.array(starts), np.array([symbol[k] for k in starts]), np.array([symbol[after[k]] for k in starts])):
+                heapq.heappush(heap, entry)
+    return np.array([s for s in symbol if s >= 0], np.int64)
+
+
 class Encoder:
     """Encodes texts with a vocabulary; keeps the tokens of words it has met."""
 
@@ -157,7 +191,15 @@ class Encoder:
         symbols = self.vocab.inner[data]
         end = np.cumsum(size) - 1
         symbols[end] = self.vocab.final[data[end]]
-        ids, word = merge_rounds(symbols, np.repeat(np.arange(len(new)), size), self.vocab)
+        word = np.repeat(np.arange(len(new)), size)
+        short = size[word] <= LONG_WORD
+        parts = [merge_rounds(symbols[short], word[short], self.vocab)]
+        for k in np.flatnonzero(size > LONG_WORD):
+            merged = merge_long(symbols[end[k] - size[k] + 1 : end[k] + 1], self.vocab)
+            parts.append((merged, np.full(len(merged), k)))
+        ids, word = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(word, kind="stable")
+        ids, word = ids[order], word[order]
         count = np.bincount(word, minlength=len(new))
         base = len(self.edges) - 1
         self.known.update((w, base + k) for k, w in enumerate(new))

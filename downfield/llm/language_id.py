@@ -43,9 +43,10 @@ class LanguageModel:
 
 
 def fit_language(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LanguageModel:
-    """From ``docs`` (doc_id, text) and ``labels`` (doc_id, lang). At most ``sample`` rows are learned from; the SVMs
+    """From ``docs`` (doc_id, text) and ``labels`` (doc_id, lang). At most ``sample`` rows are learned from, of each
+    language about as many, so that a rare one is learned too; the SVMs
     number one for each pair of families and one for each pair of languages of a family."""
-    rows = training_set(docs, labels.select("doc_id", F.col("lang").alias("label")).where("label is not null"), GRAMS, sample, "language").persist()
+    rows = training_set(docs, labels.select("doc_id", F.col("lang").alias("label")).where("label is not null"), GRAMS, sample, "language", even=True).persist()
     try:
         families: dict[str, list[str]] = {}
         for lang in sorted(r[0] for r in rows.select("label").distinct().collect()):

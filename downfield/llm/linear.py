@@ -10,8 +10,10 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lower_bytes, map_batches, mix64, prefix_hash, span_hash, texts, word_spans
+from .common import cut, fits, lower_bytes, map_batches, mix64, prefix_hash, span_hash, texts, word_spans
 
+#: Tasks that hold a sample: optimisers go over it in many short rounds.
+SAMPLE_TASKS = 4
 _to_sparse = F.udf(lambda size, index, value: Vectors.sparse(size, index, value), VectorUDT())
 
 
@@ -73,12 +75,18 @@ class Grams:
             yield (key[at[k] : at[k + 1]] % self.size).astype(np.int32), value[at[k] : at[k + 1]]
 
 
-def training_set(docs: DataFrame, labels: DataFrame, grams: Grams, limit: int, name: str) -> DataFrame:
-    """(doc_id, label, features) of at most ``limit`` labelled rows of (doc_id, label), chosen by a hash of doc_id.
+def training_set(docs: DataFrame, labels: DataFrame, grams: Grams, limit: int, name: str, even: bool = False) -> DataFrame:
+    """(doc_id, label, features) of at most ``limit`` labelled rows of (doc_id, label), chosen by a hash of doc_id. With
+    ``even`` every label has about the same share of the limit, as far as it has rows, so rare labels are learned too.
 
     Only ids are sorted for the choice; the chosen ids, at most ``limit`` of them, are the bounded broadcast side.
     """
-    chosen = cut(labels.select("doc_id", "label").where("doc_id is not null and label is not null").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit), f"{name}-ids")
+    known = labels.select("doc_id", "label").where("doc_id is not null and label is not null")
+    if even:
+        counts = cut(known.groupBy("label").agg(F.count(F.lit(1)).alias("_n")), f"{name}-labels")
+        share = F.lit(0.95 * limit / max(1, counts.count())) / F.col("_n")  # what a hash picks varies a little
+        known = known.join(fits(counts), "label").where(F.pmod(F.xxhash64(F.lit("even"), "doc_id"), F.lit(1 << 30)) / float(1 << 30) < share).drop("_n")
+    chosen = cut(known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit), f"{name}-ids")
     rows = docs.select("doc_id", "text").where("doc_id is not null").join(F.broadcast(chosen), "doc_id")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +98,7 @@ def training_set(docs: DataFrame, labels: DataFrame, grams: Grams, limit: int, n
 
     kinds = dict(rows.dtypes)
     made = map_batches(rows, vectors, f"doc_id {kinds['doc_id']}, label {kinds['label']}, index array<int>, value array<double>")
-    return cut(made, f"{name}-vectors").select("doc_id", "label", _to_sparse(F.lit(grams.size), "index", "value").alias("features"))
+    return cut(made, f"{name}-vectors").coalesce(SAMPLE_TASKS).select("doc_id", "label", _to_sparse(F.lit(grams.size), "index", "value").alias("features"))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -54,7 +54,7 @@ def shingle_set(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
 
 
-def brute_components(texts):
+def brute_components(texts, link=85):
     sets, by = {d: shingle_set(t) for d, t in texts.items()}, collections.defaultdict(list)
     for d, s in sets.items():
         for x in s:
@@ -68,7 +68,7 @@ def brute_components(texts):
 
     for d, s in sets.items():
         for e, n in collections.Counter(e for x in s for e in by[x] if e < d).items():
-            if 100 * n >= 85 * (len(s) + len(sets[e]) - n):
+            if 100 * n >= link * (len(s) + len(sets[e]) - n):
                 a, b = root(d), root(e)
                 parent[max(a, b)] = min(a, b)
     return {d: (len(sets[d]), root(d)) for d in sets}
@@ -205,6 +205,14 @@ def test_bpe_equals_the_library(spark, base, odd, none):
     assert back.decoded.startswith("aaaaa")
 
 
+def test_long_words_merge_like_the_library():
+    library, encoder = Tokenizer.from_file(bpe.default_path()), bpe.Encoder(bpe.load_vocabulary(bpe.default_path()))
+    rng = np.random.RandomState(0)
+    letters = lambda kinds, n: "".join(rng.choice(list(kinds), n))
+    for text in (letters("etaoinshrdlu", 700), letters("abcdefghijklmnopqrstuvwxyz", 100_000), letters("ab", 3000), "x " + "the" * 400 + " y", "é" * 900, "." * 2000):
+        assert encoder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 # ---- mixing ---------------------------------------------------------------------------------------------------------
 
 
@@ -273,6 +281,31 @@ def test_language_on_held_out_rows(spark, data, base, odd, none):
     assert language_id.predict_language(none, model).count() == 0
 
 
+def test_decide_matches_brute_force():
+    model = language_id.LanguageModel({"f": ["a", "b", "c"], "g": ["d"]}, [(None, "f", "g"), ("f", "a", "b"), ("f", "a", "c"), ("f", "b", "c")])
+    margins = np.random.RandomState(2).normal(size=(300, 4))
+    margins[0] = 0  # ties
+    lang, score = language_id.decide(model, margins)
+    odds = lambda m: 1 / (1 + math.exp(-2 * m))
+    for row, got, its_score in zip(margins, lang, score, strict=True):
+        p = [odds(m) for m in row]
+        if p[0] < 0.5:
+            want, sure = "d", 1 - p[0]
+        else:
+            chance = {"a": [p[1], p[2]], "b": [1 - p[1], p[3]], "c": [1 - p[2], 1 - p[3]]}
+            want = max("abc", key=lambda k: (sum(q > 0.5 for q in chance[k]), sum(chance[k])))
+            sure = p[0] * min(chance[want])
+        assert got == want and its_score == pytest.approx(sure)
+
+
+def test_every_language_is_learned(spark, none):
+    rows = [(k, "der hund und die katze" if k % 50 == 0 else "the dog and the cat", "de" if k % 50 == 0 else "en") for k in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_language(docs, docs, sample=80)
+    out = language_id.predict_language(docs, model).where("lang = 'de'").select("lang_pred").distinct().collect()
+    assert [r.lang_pred for r in out] == ["de"]
+
+
 def auc(rows):
     rows = sorted(rows, key=lambda r: r[0])
     positive = [k for k, r in enumerate(rows, 1) if r[1] == 1]
@@ -311,6 +344,52 @@ def test_base_rules_match_brute_force(spark, data, base, odd, none):
     assert auc(good) > 0.9 and quality_rules.score_quality(none, model).count() == 0
 
 
+def test_quality_on_held_out_rows(spark, data, base):
+    labels = spark.read.parquet(f"{data}/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    model = quality_rules.fit_quality(base, labels.where(~held))
+    rows = quality_rules.score_quality(base, model).join(labels, "doc_id").where(held).select("score", "quality").collect()
+    assert auc(rows) > 0.9
+    # calibrated: mean score and share of good rows agree
+    assert np.mean([r.score for r in rows]) == pytest.approx(np.mean([r.quality for r in rows]), abs=0.15)
+    one_class = quality_rules.fit_quality(base, labels.where("quality = 1"))
+    assert one_class.constant == 1.0
+
+
+def test_rules_compile_to_what_they_say(spark, base, odd):
+    """Scores of compiled columns against rules read one by one in Python, on real and on odd rows."""
+    names = list(quality_model.statistics())
+    rules = ((((names[0], ">", 3.0),), 1.5), (((names[1], "<=", 2.0), (names[0], "<=", 100.0)), -2.0), (((names[2], ">", 5.5),), 0.25))
+    model = quality_model.RuleModel(tuple((quality_model.Rule(tests), weight) for tests, weight in rules), -0.5)
+    for docs in (base, odd):
+        texts = docs.select("doc_id", "text")
+        facts = texts.withColumns({n: c for n, c in quality_model.statistics().items()}).collect()
+        margin = lambda r: -0.5 + sum(w * all((r[c] > v) if op == ">" else (r[c] <= v) for c, op, v in tests) for tests, w in rules)
+        want = collections.Counter((r.doc_id, round(1 / (1 + math.exp(-margin(r))), 9)) for r in facts)
+        assert collections.Counter((r.doc_id, round(r.score, 9)) for r in quality_model.score_rules(texts, model).collect()) == want
+
+
+def brute_rule(url):
+    """Host, path and the longest rule that fits."""
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    end = min([k for k in (rest.find(c) for c in "/?#") if k >= 0], default=len(rest))
+    host, tail = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:end]), rest[end:]
+    path = tail[: min([k for k in (tail.find(c) for c in "?#") if k >= 0], default=len(tail))]
+    rules = ("org/", "example.org/es/", "example.org/en/1", "com/fr/", "com/de/")
+    fits = [r for r in rules if (h := r.split("/", 1)[0]) and (host == h or host.endswith("." + h)) and path.startswith("/" + r.split("/", 1)[1])]
+    return host, path, max(fits, key=len, default=None)
+
+
+def test_url_parts_match_brute_force(spark, data):
+    seen = spark.read.parquet(f"{data}/pages.parquet").select("page_id", "url")
+    odd = [None, "", "x", "http://", "http:///a", "://Q.ORG", "http://a.org?x://b.com/fr/", "http://com/fr/", "http://ÄB.com/de/", "http://h.org/" + "a/" * 50_000, "http://a.org#/x", "http://x.example.org/en/1"]
+    rows = seen.unionByName(spark.createDataFrame([(10**6 + k, u) for k, u in enumerate(odd)] * 2, "page_id long, url string"))
+    want = collections.Counter((r.page_id, *brute_rule(r.url)) for r in rows.collect())
+    assert collections.Counter((r.page_id, r.host, r.path, r.rule) for r in url_filter.judge_urls(rows).collect()) == want
+
+
 def test_urls(spark, data):
     urls = [None, "", "nohost", "http://A.Example.org/es/x?y", "https://example.org/en/12", "http://x.org", "http://x.org/", "http://fr.com/fr/", "http://a.com/de/z#q", "http://evilexample.org/es/", "ftp://h.net:80?x=/a"]
     pages = spark.createDataFrame([(k, u, None, "x") for k, u in enumerate(urls)], "page_id long, url string, html string, host string")

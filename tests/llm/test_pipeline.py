@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from downfield.llm import minhash
+
+from .test_operators import brute_components
 
 
 def test_pipeline(spark, data, tmp_path):
@@ -14,9 +15,38 @@ def test_pipeline(spark, data, tmp_path):
         counts[name] = docs.count()
         if name != "tokens":
             assert docs.columns == columns
-        if name == "near_copies":
-            assert sorted(r[0] for r in docs.select("doc_id").collect()) == sorted(r.doc_id for r in minhash.near_duplicates(before).where("kept").collect())
+        if name == "near_copies":  # groups by all pairs that are alike from 0.8 on
+            groups = brute_components({r.doc_id: r.text for r in before.select("doc_id", "text").collect()}, 80)
+            assert sorted(r[0] for r in docs.select("doc_id").collect()) == sorted(d for d, (_, least) in groups.items() if d == least)
         if name == "repeats":
             assert docs.where(F.col("n_chars") != F.length("text")).count() == 0
     assert list(counts) == ["language", "near_copies", "repeats", "mix", "tokens"] and counts["tokens"] == counts["mix"] > 0
     assert docs.where("n_tokens <> size(ids)").count() == 0
+
+
+ODD = [
+    (1, None, None, None, None, "x"), (2, "", "en", "a", 0, None), (3, "one two", "en", "a", 7, "y"), (3, "one two", "en", "a", 7, "y"), (None, "lost words here", "fr", None, None, None),
+    (4, "alpha beta gamma delta epsilon " * 4000, "en", "b", None, None), (5, "alpha beta gamma delta epsilon " * 4000, "en", "b", None, None), (6, "\x0b \t\n", "de", "", 4, None), (7, "éÉ ñ ß Σ 日本語 🙂", None, "a", 1, None),
+]
+
+
+def test_stages_on_odd_and_empty_tables(spark, data):
+    """Each stage by itself, with nulls, empty and long texts, repeated rows and an extra column."""
+    odd = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string, n_chars long, shard string")
+    ids = lambda df: sorted((r.doc_id for r in df.select("doc_id").collect()), key=str)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, data)
+        if name == "language":  # what has no letter goes
+            assert set(ids(out)) <= {3, 4, 5, 7, None} and 4 in ids(out)
+        elif name == "near_copies":  # of the two long copies one stays; repeated rows of one id stay as they are
+            assert ids(out) == sorted([1, 2, 3, 3, None, 4, 6, 7], key=str)
+        elif name == "repeats":  # the copy has nothing left, the other loses its repeats
+            rows = {r.doc_id: r for r in out.collect()}
+            assert ids(out) == sorted([1, 2, 3, 3, None, 4, 6, 7], key=str) and 0 < len(rows[4].text) < 1000 and rows[4].n_chars == len(rows[4].text)
+        elif name == "mix":
+            assert out.columns == list(corpus_pipeline.COLUMNS) and set(ids(out)) <= {1, 2, 3, 4, 5, 6, 7, None}
+        else:
+            tokens = {r.doc_id: r.n_tokens for r in out.collect()}
+            assert ids(out) == ids(odd) and tokens[1] == tokens[2] == 0 < tokens[3]
+        empty = stage(spark, odd.limit(0), data)
+        assert empty.count() == 0 and empty.columns == out.columns
