@@ -11,24 +11,29 @@ from downfield.llm import bpe, language_id, minhash, mixing, suffix_dedup
 from downfield.llm.common import cut, some, table
 from downfield.llm.linear import crc_mod
 
+#: Similarity in percent, on five-word shingles, from which on documents are near copies.
+ALIKE = 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a language that the classifier knows; texts that are null or have no letter go."""
+    """Keeps documents in a language that the classifier knows; texts that are null or have no letter go. Rows with a null
+    id are judged, but not learned from; repeated rows each stay or go."""
     known = docs.where(F.coalesce(crc_mod("doc_id", 3) != 1, F.lit(False)))
     model = language_id.fit_language(docs, known)
     return language_id.predict_language(docs, model).where(F.col("lang_pred") != language_id.UNKNOWN).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest id stays."""
-    gone = cut(minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct(), "pipeline-copies")
+    """Of each group of near-duplicates, alike from 0.8 on, the document of the smallest id stays. Null ids, and texts
+    without words, stay; rows of one id count as one document and stay or go together."""
+    gone = cut(minhash.near_duplicates(docs, link=ALIKE).where("not kept").select("doc_id").distinct(), "pipeline-copies")
     return some(docs, gone, "left_anti").select(*COLUMNS)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts repeated passages out of the texts; a document of which nothing is left goes.
+    """Cuts repeated passages out of the texts; a document of which nothing is left goes. Rows with a null id stay as
+    they are; rows of one id are one document.
 
     Cuts are in bytes, so an end of a cut may split a character: such a rest of a character goes too."""
     hit = cut(suffix_dedup.remove_repeats(docs, text_out=True).where("n_removed > 0").select("doc_id", "kept").dropDuplicates(["doc_id"]), "pipeline-repeats")
@@ -41,12 +46,13 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources: a row for each copy that a shard takes; sources over their target are thinned."""
+    """The mix of sources: a row for each copy that a shard takes, shard by shard and shuffled within; sources over their
+    target are thinned. A null source is one of its own, texts without words take no part of a target."""
     return mixing.mixed(docs).select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each copy, and the text that they decode to."""
+    """Token ids of each copy, and the text that they decode to; a null or empty text has none."""
     return bpe.encode_documents(docs.select("doc_id", "text", "lang", "source"), ("n_tokens", "ids", "decoded"))
 
 
