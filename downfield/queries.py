@@ -48,7 +48,7 @@ SCORES = ("purchase", "error")
 
 def _next_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kind of the next scoring event, seen from this event: the same kind, another, or none."""
-    rows = N.next_value(t(spark, sf_dir, "events"), {f"next_{n}": F.when(F.col("event_type").isin(*SCORES), F.col(c)) for n, c in (("type", "event_type"), ("value", "value"))}, *USER)
+    rows = N.next_value(t(spark, sf_dir, "events"), {f"next_{n}": F.when(F.col("event_type").isin(*SCORES), F.col(c)) for n, c in (("type", "event_type"), ("value", "value"))}, *USER, block=F.to_date("ts"))
     label = F.when(F.col("next_type").isNull(), "None").when(F.col("next_type") == F.col("event_type"), F.col("next_type")).otherwise(F.concat(F.lit("Other_"), "next_type"))
     return rows.withColumn("label", label)
 
@@ -81,7 +81,7 @@ def next_event_calibration(spark, sf_dir):
 SELECT event_id, round(coalesce(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 4) AS before
 FROM events""")
 def running_total_before(spark, sf_dir):
-    return N.running_before(t(spark, sf_dir, "events"), "value", *USER, "before").select("event_id", F.round("before", 4).alias("before"))
+    return N.running_before(t(spark, sf_dir, "events"), "value", *USER, "before", F.to_date("ts")).select("event_id", F.round("before", 4).alias("before"))
 
 
 @query("""
@@ -97,7 +97,7 @@ SELECT event_id, (sum(begins) OVER (PARTITION BY user_id ORDER BY ts, event_id R
 FROM (SELECT *, CASE WHEN lag(event_type) OVER w IS NULL OR lag(event_type) OVER w <> event_type THEN 1 ELSE 0 END AS begins FROM events
       WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))""")
 def session_counter(spark, sf_dir):
-    return N.change_counter(t(spark, sf_dir, "events"), "event_type", *USER, "session").select("event_id", long("session").alias("session"))
+    return N.change_counter(t(spark, sf_dir, "events"), "event_type", *USER, "session", F.to_date("ts")).select("event_id", long("session").alias("session"))
 
 
 @query("""

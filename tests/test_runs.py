@@ -3,6 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from downfield.operators import joins
+from downfield.operators import window as N
 from downfield.plans import decisions, parity, runs, training
 from downfield.sources import games, tables
 
@@ -83,3 +85,23 @@ def test_small_parsers(spark, tmp_path):
         tables.from_source("other", {"native": lambda: 1})
     files = spark.createDataFrame([("a.ubj",)], "name string")
     assert [tuple(r) for r in runs.route_artifacts(files, {"a.ubj": "upload", "b.ubj": "bundle"}).collect()] == [("a.ubj", "upload"), ("b.ubj", "missing")]
+
+
+def test_blocks_change_nothing(spark):
+    """Windows within blocks against plain ones, with nulls in keys, blocks and values, and blocks of one row."""
+    rows = [(u, k, k // 3 if k else None, v) for u in (1, 2, None) for k, v in enumerate(["a", "a", None, "b", "b", "a", None, None, "c", "c"])]
+    df = spark.createDataFrame(rows, "u int, k int, day int, v string").withColumn("x", F.when(F.col("v") != "b", F.col("k")))
+    args = (["u"], ["k"])
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+    assert same(N.running_before(df, "x", *args, "out"), N.running_before(df, "x", *args, "out", F.col("day")))
+    assert same(N.change_counter(df, "v", *args, "out"), N.change_counter(df, "v", *args, "out", F.col("day")))
+    values = {"n": F.col("v"), "m": F.when(F.col("v") == "c", F.col("x"))}
+    assert same(N.next_value(df, values, *args), N.next_value(df, values, *args, F.col("day")))
+
+
+def test_an_interval_over_too_many_buckets_is_an_error(spark):
+    points = spark.createDataFrame([(1, 5.0)], "u int, at double")
+    spans = spark.createDataFrame([(1, 0.0, 1e9, 1)], "u int, a double, b double, n int")
+    assert joins.first_interval(points, spans, ["u"], "at", "a", "b", ["n"], ["u"], 1e6).first().n == 1
+    with pytest.raises(Exception, match="buckets"):
+        joins.first_interval(points, spans, ["u"], "at", "a", "b", ["n"], ["u"], 1.0).collect()
