@@ -23,7 +23,10 @@ def unit_scale(df: DataFrame, columns: Mapping[str, str], flat: float = 0.5, rev
 
 def calibration(df: DataFrame, predicted: Column, actual: Column, bin_size: float, by: Column | None = None, least: int = 1) -> DataFrame:
     """(by, bin, n_plays, actual) of rows that have both values; bins with fewer than ``least`` rows go."""
-    rows = df.select((by if by is not None else F.lit("All")).alias("by"), predicted.cast("double").alias("_p"), actual.cast("double").alias("_y")).dropna()
+    rows = df.select(
+        (by if by is not None else F.lit("All")).alias("by"), predicted.cast("double").alias("_p"),
+        actual.cast("double").alias("_y")
+    ).dropna()
     binned = rows.withColumn("bin", F.round(F.col("_p") / F.lit(bin_size)) * F.lit(bin_size))
     return binned.groupBy("by", "bin").agg(F.count(F.lit(1)).alias("n_plays"), F.avg("_y").alias("actual")).where(F.col("n_plays") >= least)
 
@@ -61,7 +64,9 @@ def match_rates(df: DataFrame, pairs: Mapping[str, tuple[Column, Column, float |
         same = (a == b) if tolerance is None else (F.abs(a - b) < tolerance)
         aggregates += [F.count_if(both & same).alias(f"{name}|matched"), F.count_if(both).alias(f"{name}|compared")]
     wide = df.agg(*aggregates)
-    rows = F.array(*(F.struct(F.lit(n).alias("name"), F.col(f"{n}|matched").alias("matched"), F.col(f"{n}|compared").alias("compared")) for n in pairs))
+    rows = F.array(
+        *(F.struct(F.lit(n).alias("name"), F.col(f"{n}|matched").alias("matched"), F.col(f"{n}|compared").alias("compared")) for n in pairs)
+    )
     return wide.select(F.inline(rows)).withColumn("rate", F.try_divide("matched", "compared"))
 
 
@@ -96,9 +101,14 @@ def density_grid(points: DataFrame, x: str, y: str, hx: Column | float, hy: Colu
     widths = {"_hx": hx if isinstance(hx, Column) else F.lit(hx), "_hy": hy if isinstance(hy, Column) else F.lit(hy)}
     rows = counts.crossJoin(F.broadcast(ends)).withColumns(widths).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(ny - 1))))
     hx, hy = F.col("_hx"), F.col("_hy")
-    across = rows.groupBy("_x", "j", "x0", "x1", "_hx").agg(F.sum(F.col("_c") * kernel(line("y0", "y1", ny, "j"), F.col("_y"), hy) / hy).alias("_a"), F.sum("_c").alias("_n"))
+    across = rows.groupBy("_x", "j", "x0", "x1", "_hx").agg(
+        F.sum(F.col("_c") * kernel(line("y0", "y1", ny, "j"), F.col("_y"), hy) / hy).alias("_a"),
+        F.sum("_c").alias("_n")
+    )
     cells = across.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(nx - 1))))
-    return cells.groupBy("i", "j").agg((F.sum(F.col("_a") * kernel(line("x0", "x1", nx, "i"), F.col("_x"), hx) / hx) / F.sum("_n")).alias("density"))
+    return cells.groupBy("i", "j").agg(
+        (F.sum(F.col("_a") * kernel(line("x0", "x1", nx, "i"), F.col("_x"), hx) / hx) / F.sum("_n")).alias("density")
+    )
 
 
 def longer(df: DataFrame, keys: Sequence[str], prefix: str, name: str, value: str) -> DataFrame:

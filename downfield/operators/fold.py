@@ -43,7 +43,10 @@ def slots_exact(entries: Column, size: int) -> Column:
     empty = F.array().cast("array<struct<id:string,name:string>>")
     return F.aggregate(
         entries, empty,
-        lambda filled, e: F.when((F.size(filled) < size) & e["id"].isNotNull() & ~F.exists(filled, lambda f: f["id"] == e["id"]), F.concat(filled, F.array(F.struct(e["id"].cast("string").alias("id"), e["name"].cast("string").alias("name"))))).otherwise(filled),
+        lambda filled, e: F.when(
+            (F.size(filled) < size) & e["id"].isNotNull() & ~F.exists(filled, lambda f: f["id"] == e["id"]),
+            F.concat(filled, F.array(F.struct(e["id"].cast("string").alias("id"), e["name"].cast("string").alias("name"))))
+        ).otherwise(filled),
     )
 
 

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 CELLS = 10_000
 
 
-def first_interval(points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, start: str, end: str, order: Sequence[str], id_cols: Sequence[str], width: float) -> DataFrame:
+def first_interval(
+    points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, start: str, end: str, order: Sequence[str],
+    id_cols: Sequence[str], width: float
+) -> DataFrame:
     """Each point with the first interval (by ``order``) of its keys that holds it, both ends included; points without
     one stay, with nulls. Points are told apart by ``id_cols``: of points that share them one row comes out.
 
@@ -21,7 +24,9 @@ def first_interval(points: DataFrame, intervals: DataFrame, keys: Sequence[str],
     would touch more than CELLS buckets is an error, so that a slip in the width cannot multiply the table.
     """
     touched = F.floor(F.col(end) / width) - F.floor(F.col(start) / width)
-    intervals = intervals.where(F.when(touched >= CELLS, F.raise_error(F.lit(f"an interval touches more than {CELLS} buckets of {width}"))).otherwise(F.lit(True)))
+    intervals = intervals.where(
+        F.when(touched >= CELLS, F.raise_error(F.lit(f"an interval touches more than {CELLS} buckets of {width}"))).otherwise(F.lit(True))
+    )
     cells = intervals.withColumn("_cell", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
     met = points.withColumn("_cell", F.floor(F.col(at) / width)).join(cells, [*keys, "_cell"], "left")
     inside = F.col(at).between(F.col(start), F.col(end))

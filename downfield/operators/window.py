@@ -57,11 +57,15 @@ def next_value(df: DataFrame, values: dict[str, Column], keys: Sequence[str], or
         return df.withColumns({name: F.first(value, ignorenulls=True).over(ahead) for name, value in values.items()})
     rows = df.withColumns({"_block": block} | {f"_own_{name}": value for name, value in values.items()})
     at = F.struct(*order)
-    firsts = rows.groupBy(*keys, "_block").agg(*(F.min_by(f"_own_{n}", F.when(F.col(f"_own_{n}").isNotNull(), at)).alias(f"_first_{n}") for n in values))
+    firsts = rows.groupBy(*keys, "_block").agg(
+        *(F.min_by(f"_own_{n}", F.when(F.col(f"_own_{n}").isNotNull(), at)).alias(f"_first_{n}") for n in values)
+    )
     later = _over_blocks(keys).rowsBetween(1, W.unboundedFollowing)
     firsts = firsts.select(*keys, "_block", *(F.first(f"_first_{n}", ignorenulls=True).over(later).alias(f"_later_{n}") for n in values))
     ahead = _window([*keys, "_block"], order).rowsBetween(0, W.unboundedFollowing)
-    filled = _with_blocks(rows, firsts, keys).withColumns({n: F.coalesce(F.first(f"_own_{n}", ignorenulls=True).over(ahead), F.col(f"_later_{n}")) for n in values})
+    filled = _with_blocks(rows, firsts, keys).withColumns(
+        {n: F.coalesce(F.first(f"_own_{n}", ignorenulls=True).over(ahead), F.col(f"_later_{n}")) for n in values}
+    )
     return filled.drop("_block", *(f"_own_{n}" for n in values), *(f"_later_{n}" for n in values))
 
 
@@ -82,12 +86,19 @@ def change_counter(df: DataFrame, value: str, keys: Sequence[str], order: Sequen
     rows = rows.withColumns({"_nth": F.row_number().over(inside), "_lag": F.lag(value).over(inside)})
     rows = rows.withColumn("_begins", F.when(F.col("_nth") == 1, 0).otherwise(changed(F.col("_lag"))))
     # one row a block: its changes within, its first and last value, and so whether its first row begins a run
-    ends = rows.groupBy(*keys, "_block").agg(F.sum("_begins").alias("_changes"), F.min_by(value, at).alias("_first"), F.max_by(value, at).alias("_last"))
+    ends = rows.groupBy(*keys, "_block").agg(
+        F.sum("_begins").alias("_changes"), F.min_by(value, at).alias("_first"), F.max_by(value, at).alias("_last")
+    )
     ends = ends.withColumns({"_number": F.row_number().over(over), "_last": F.lag("_last").over(over)})
-    ends = ends.withColumn("_new", F.when(F.col("_number") == 1, 1).otherwise(F.coalesce((F.col("_first") != F.col("_last")).cast("int"), F.lit(0))))
+    ends = ends.withColumn(
+        "_new",
+        F.when(F.col("_number") == 1, 1).otherwise(F.coalesce((F.col("_first") != F.col("_last")).cast("int"), F.lit(0)))
+    )
     upto = F.sum(F.col("_changes") + F.col("_new")).over(over.rowsBetween(W.unboundedPreceding, 0)) - F.col("_changes")
     ends = ends.select(*keys, "_block", upto.alias("_upto"))
-    counted = _with_blocks(rows, ends, keys).withColumn(out, F.col("_upto") + F.sum("_begins").over(inside.rowsBetween(W.unboundedPreceding, 0)))
+    counted = _with_blocks(rows, ends, keys).withColumn(
+        out, F.col("_upto") + F.sum("_begins").over(inside.rowsBetween(W.unboundedPreceding, 0))
+    )
     return counted.drop("_block", "_nth", "_lag", "_begins", "_upto")
 
 

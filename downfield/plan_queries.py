@@ -24,9 +24,15 @@ def _stat(kind: int, yards: str, player: str, team: str) -> str:
 
 #: Stat entries and fields of a play as Spark SQL on (e, k, kind, team and other: ids of the teams with and without the ball).
 _PASSER, _TARGET, _RUNNER = "concat('Q', e % 4)", "concat('W', k % 7)", "concat('R', k % 11)"
-_RUN = [_stat(10, "e % 12 - 2", _RUNNER, "team"), _stat(79, "null", "concat('T', k % 5)", "other"), _stat(79, "null", "concat('T', e % 3)", "other"), _stat(402, "e % 4", "null", "other")]
+_RUN = [
+    _stat(10, "e % 12 - 2", _RUNNER, "team"), _stat(79, "null", "concat('T', k % 5)", "other"),
+    _stat(79, "null", "concat('T', e % 3)", "other"), _stat(402, "e % 4", "null", "other")
+]
 _MISS = [_stat(14, "null", _PASSER, "team"), _stat(112, "k % 40 - 5", _PASSER, "team"), _stat(115, "null", _TARGET, "team")]
-_CATCH = [_stat(15, "k % 30", _PASSER, "team"), _stat(21, "k % 30", _TARGET, "team"), _stat(111, "k % 25 - 3", _PASSER, "team"), _stat(113, "k % 30 - k % 25 + 3", "concat('X', k % 7)", "team")]
+_CATCH = [
+    _stat(15, "k % 30", _PASSER, "team"), _stat(21, "k % 30", _TARGET, "team"),
+    _stat(111, "k % 25 - 3", _PASSER, "team"), _stat(113, "k % 30 - k % 25 + 3", "concat('X', k % 7)", "team")
+]
 _STATS = f"""CASE
   WHEN kind = 'view' THEN array({", ".join(_RUN)})
   WHEN kind = 'click' AND k % 3 = 0 THEN array({", ".join(_MISS)}) WHEN kind = 'click' THEN array({", ".join(_CATCH)})
@@ -45,13 +51,18 @@ named_struct('playId', string(e), 'playSequenceNumber', double(e % 100),
   'scoringTeamId', CASE WHEN k % 4 = 3 THEN other ELSE team END, 'stats', {_STATS})
 """
 _RANGES = (("2", 0, 32), ("1", 33, 65), ("2", 66, 89), ("77", 90, 94))
-_DRIVES = ", ".join(f"named_struct('teamId', '{team}', 'startedPlaySequenceNumber', double({first}), 'endedPlaySequenceNumber', double({last}))" for team, first, last in _RANGES)
+_DRIVES = ", ".join(
+    f"named_struct('teamId', '{team}', 'startedPlaySequenceNumber', double({first}), 'endedPlaySequenceNumber', double({last}))"
+    for team, first, last in _RANGES
+)
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Game documents in the schema that files are read with; a document holds one user's day."""
     rows = t(spark, sf_dir, "events").select(
-        F.col("event_id").alias("e"), F.coalesce(F.from_json("props", "k long")["k"], F.lit(0)).alias("k"), F.col("event_type").alias("kind"), F.col("user_id").alias("u"),
+        F.col("event_id").alias("e"), F.coalesce(
+            F.from_json("props", "k long")["k"], F.lit(0)
+        ).alias("k"), F.col("event_type").alias("kind"), F.col("user_id").alias("u"),
         F.concat_ws("_", "user_id", F.dayofmonth("ts")).alias("game_id"),
     )
     at_home = (F.col("e") % 100).between(33, 65) | (F.col("e") % 100 >= 90)
@@ -61,20 +72,27 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     home, away = side(1, "BAL", "10 + u % 20"), side(2, "KC", "12 + u % 17")
     doc = f"""named_struct('season', 2001 + u % 24, 'week', 1 + u % 19, 'seasonType', 'REG', 'homeTeam', h.col1, 'awayTeam', a.col1,
       'summary', named_struct('homeTeam', h.col2, 'awayTeam', a.col2), 'driveChart', named_struct('drives', array({_DRIVES}), 'plays', rows.p))"""
-    docs = docs.selectExpr("*", f"struct({home}) AS h", f"struct({away}) AS a").select("game_id", F.from_json(F.to_json(F.expr(doc)), GAME).alias("d"))
+    docs = docs.selectExpr("*", f"struct({home}) AS h", f"struct({away}) AS a").select(
+        "game_id", F.from_json(F.to_json(F.expr(doc)), GAME).alias("d")
+    )
     return docs.select("d.*", "game_id")
 
 
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t(spark, sf_dir, "events").select("user_id", F.concat_ws("_", "user_id", F.dayofmonth("ts")).alias("game_id")).distinct()
-    return rows.where("user_id % 10 <> 0").selectExpr("game_id", "element_at(array('dome', 'outdoors', 'retractable', 'closed'), int(user_id % 4) + 1) AS roof", "double(user_id % 15 - 7) AS spread_line", "double(40 + user_id % 10) AS total_line")
+    return rows.where("user_id % 10 <> 0").selectExpr(
+        "game_id", "element_at(array('dome', 'outdoors', 'retractable', 'closed'), int(user_id % 4) + 1) AS roof",
+        "double(user_id % 15 - 7) AS spread_line", "double(40 + user_id % 10) AS total_line"
+    )
 
 
 def table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The play table with what the sources outside of the feed would add."""
     rows = plays.build_plays(games(spark, sf_dir), schedule(spark, sf_dir))
     return rows.withColumns({
-        "pass": F.coalesce(F.col("play_type") == "pass", F.lit(False)).cast("int"), "rush": F.coalesce(F.col("play_type") == "run", F.lit(False)).cast("int"),
+        "pass": F.coalesce(
+            F.col("play_type") == "pass", F.lit(False)
+        ).cast("int"), "rush": F.coalesce(F.col("play_type") == "run", F.lit(False)).cast("int"),
         "play_type_nfl": F.when(F.col("shield_play_type") == "RUSH", "RUSH").otherwise(F.col("shield_play_type")),
         "wp": F.col("yardline_100") / 100.0, "vegas_wp": 1 - F.col("yardline_100") / 100.0,
     })
@@ -126,9 +144,17 @@ SELECT game_id, play_id, play_seq, feed_pos::BIGINT AS feed_pos, posteam, deftea
   home_timeouts::BIGINT AS home_timeouts, away_timeouts::BIGINT AS away_timeouts, posteam_timeouts_remaining::BIGINT AS own_timeouts, fixed_drive::BIGINT AS fixed_drive, roof, spread_line, total_line FROM plays""")
 def play_table(spark, sf_dir):
     rows = table(spark, sf_dir)
-    names = {"quarter_seconds_remaining": "quarter_seconds", "half_seconds_remaining": "half_seconds", "game_seconds_remaining": "game_seconds", "total_home_score": "total_home", "total_away_score": "total_away", "score_differential": "differential", "home_timeouts_remaining": "home_timeouts", "away_timeouts_remaining": "away_timeouts", "posteam_timeouts_remaining": "own_timeouts"}
+    names = {
+        "quarter_seconds_remaining": "quarter_seconds", "half_seconds_remaining": "half_seconds",
+        "game_seconds_remaining": "game_seconds", "total_home_score": "total_home", "total_away_score": "total_away",
+        "score_differential": "differential", "home_timeouts_remaining": "home_timeouts",
+        "away_timeouts_remaining": "away_timeouts", "posteam_timeouts_remaining": "own_timeouts"
+    }
     whole = ("feed_pos", *_TYPED, "goal_to_go", "sp", "fixed_drive", *names)
-    return rows.select("game_id", "play_id", "play_seq", "posteam", "defteam", "game_half", "shield_play_type", "play_type", "roof", "spread_line", "total_line", *(long(c).alias(names.get(c, c)) for c in whole))
+    return rows.select(
+        "game_id", "play_id", "play_seq", "posteam", "defteam", "game_half", "shield_play_type", "play_type", "roof",
+        "spread_line", "total_line", *(long(c).alias(names.get(c, c)) for c in whole)
+    )
 
 
 @query(PLAYS + """
@@ -140,10 +166,19 @@ SELECT game_id, play_id, (kind = 'click')::INT::BIGINT AS pass_attempt, complete
   CASE WHEN kind = 'view' THEN 'T' || (k % 5) END AS tackler1, CASE WHEN kind = 'view' AND k % 5 <> play % 3 THEN 'T' || (play % 3) END AS tackler2,
   CASE WHEN kind = 'view' THEN CASE actor WHEN 'BAL' THEN 'KC' ELSE 'BAL' END END AS tackler1_team FROM common""")
 def stat_fold(spark, sf_dir):
-    names = {"passer_player_id": "passer", "receiver_player_id": "receiver", "rusher_player_id": "rusher", "solo_tackle_1_player_id": "tackler1", "solo_tackle_2_player_id": "tackler2", "solo_tackle_1_team": "tackler1_team"}
-    counts = {"def_tackles_for_loss": "tackles_for_loss", "def_tackles_for_loss_yards": "tackles_for_loss_yards"} | {c: c for c in ("pass_attempt", "complete_pass", "rush_attempt", "touchdown")}
+    names = {
+        "passer_player_id": "passer", "receiver_player_id": "receiver", "rusher_player_id": "rusher",
+        "solo_tackle_1_player_id": "tackler1", "solo_tackle_2_player_id": "tackler2",
+        "solo_tackle_1_team": "tackler1_team"
+    }
+    counts = {
+        "def_tackles_for_loss": "tackles_for_loss", "def_tackles_for_loss_yards": "tackles_for_loss_yards"
+    } | {c: c for c in ("pass_attempt", "complete_pass", "rush_attempt", "touchdown")}
     numbers = ("yards_gained", "air_yards", "yards_after_catch", "rushing_yards")
-    return table(spark, sf_dir).select("game_id", "play_id", "td_team", "field_goal_result", *(F.col(c).alias(n) for c, n in names.items()), *(long(c).alias(n) for c, n in counts.items()), *(F.col(c).cast("double").alias(c) for c in numbers))
+    return table(spark, sf_dir).select(
+        "game_id", "play_id", "td_team", "field_goal_result", *(F.col(c).alias(n) for c, n in names.items()),
+        *(long(c).alias(n) for c, n in counts.items()), *(F.col(c).cast("double").alias(c) for c in numbers)
+    )
 
 
 _SCORES = PLAYS + """
@@ -156,10 +191,16 @@ final AS (SELECT *, list_position(['Touchdown', 'Opp_Touchdown', 'Field_Goal', '
 """
 
 
-@query(_SCORES + "SELECT game_id, play_id, label_name AS next_score_half, label_class::BIGINT AS next_score_class, next_score_drive::BIGINT AS next_score_drive FROM final")
+@query(
+    _SCORES
+    + "SELECT game_id, play_id, label_name AS next_score_half, label_class::BIGINT AS next_score_class, next_score_drive::BIGINT AS next_score_drive FROM final"
+)
 def ep_labels(spark, sf_dir):
     rows = training.add_next_score(table(spark, sf_dir))
-    return rows.select("game_id", "play_id", "next_score_half", long("next_score_class").alias("next_score_class"), long("next_score_drive").alias("next_score_drive"))
+    return rows.select(
+        "game_id", "play_id", "next_score_half", long("next_score_class").alias("next_score_class"),
+        long("next_score_drive").alias("next_score_drive")
+    )
 
 
 def _double(rows: DataFrame, *but: str) -> DataFrame:
@@ -179,7 +220,10 @@ span AS (SELECT min(both_parts) b0, max(both_parts) b1 FROM parts)
 """
 
 
-@query(_WEIGHTED + f"SELECT {_as_double([*training.EP, 'label', 'weight'], label='label_class', weight='(both_parts - b0) / (b1 - b0)')} FROM parts, span WHERE posteam IS NOT NULL AND yardline_100 IS NOT NULL AND down IS NOT NULL")
+@query(
+    _WEIGHTED
+    + f"SELECT {_as_double([*training.EP, 'label', 'weight'], label='label_class', weight='(both_parts - b0) / (b1 - b0)')} FROM parts, span WHERE posteam IS NOT NULL AND yardline_100 IS NOT NULL AND down IS NOT NULL"
+)
 def ep_set(spark, sf_dir):
     return _double(training.ep_set(table(spark, sf_dir)))
 
@@ -191,7 +235,10 @@ kept AS (SELECT *, first_value(defteam IGNORE NULLS) OVER (PARTITION BY game_id
 """
 
 
-@query(_WON + "SELECT game_id, play_id, winner AS \"Winner\", CASE WHEN winner IS NOT NULL THEN coalesce(posteam = winner, false)::INT::DOUBLE END AS wp_label FROM won")
+@query(
+    _WON
+    + "SELECT game_id, play_id, winner AS \"Winner\", CASE WHEN winner IS NOT NULL THEN coalesce(posteam = winner, false)::INT::DOUBLE END AS wp_label FROM won"
+)
 def wp_labels(spark, sf_dir):
     return training.add_winner(table(spark, sf_dir)).select("game_id", "play_id", "Winner", "wp_label")
 
@@ -205,7 +252,10 @@ def wp_set(spark, sf_dir):
     return _double(training.wp_set(table(spark, sf_dir)))
 
 
-_AIR = {"air_is_zero": "(air_yards = 0)::INT", "pass_middle": "(pass_location = 'middle')::INT", "qb_hit": "0", "distance_to_sticks": "air_yards - ydstogo", "distance_to_goal": "yardline_100 - air_yards"}
+_AIR = {
+    "air_is_zero": "(air_yards = 0)::INT", "pass_middle": "(pass_location = 'middle')::INT", "qb_hit": "0",
+    "distance_to_sticks": "air_yards - ydstogo", "distance_to_goal": "yardline_100 - air_yards"
+}
 
 
 @query(PLAYS + f"""SELECT {_as_double([*training.CP, 'label'], label='complete_pass', **_AIR)} FROM common
@@ -223,20 +273,32 @@ def xyac_set(spark, sf_dir):
 _CALLED = "posteam IS NOT NULL AND down IS NOT NULL AND yardline_100 IS NOT NULL AND play_type IN ('run', 'pass') AND week <= 17"
 
 
-@query(PLAYS + f"""SELECT {_as_double([*training.XPASS, 'label'], label="(play_type = 'pass')::INT", wp='yardline_100 / 100.0', vegas_wp='1 - yardline_100 / 100.0')} FROM common WHERE {_CALLED}""")
+@query(
+    PLAYS
+    + f"""SELECT {_as_double([*training.XPASS, 'label'], label="(play_type = 'pass')::INT", wp='yardline_100 / 100.0', vegas_wp='1 - yardline_100 / 100.0')} FROM common WHERE {_CALLED}"""
+)
 def xpass_set(spark, sf_dir):
     return _double(training.xpass_set(table(spark, sf_dir)))
 
 
-_SPREAD = {"posteam_spread": "CASE WHEN home = 1 THEN spread_line ELSE -spread_line END", "posteam_total": "CASE WHEN home = 1 THEN (spread_line + total_line) / 2 ELSE (total_line - spread_line) / 2 END"}
+_SPREAD = {
+    "posteam_spread": "CASE WHEN home = 1 THEN spread_line ELSE -spread_line END",
+    "posteam_total": "CASE WHEN home = 1 THEN (spread_line + total_line) / 2 ELSE (total_line - spread_line) / 2 END"
+}
 
 
-@query(PLAYS + f"SELECT {_as_double([*training.FD, 'label'], label='CASE WHEN yards_gained IS NOT NULL THEN least(greatest(yards_gained, -10), 65) + 10 END', **_SPREAD)} FROM common WHERE {_CALLED} AND down IN (3, 4) AND shield_play_type IN ('RUSH', 'PASS')")
+@query(
+    PLAYS
+    + f"SELECT {_as_double([*training.FD, 'label'], label='CASE WHEN yards_gained IS NOT NULL THEN least(greatest(yards_gained, -10), 65) + 10 END', **_SPREAD)} FROM common WHERE {_CALLED} AND down IN (3, 4) AND shield_play_type IN ('RUSH', 'PASS')"
+)
 def fd_set(spark, sf_dir):
     return _double(training.fd_set(table(spark, sf_dir)))
 
 
-@query(PLAYS + f"""SELECT {_as_double([*training.FG, 'label'], label='sp', fg_roof="(roof = 'outdoors')::INT")} FROM common WHERE shield_play_type = 'FIELD_GOAL'""")
+@query(
+    PLAYS
+    + f"""SELECT {_as_double([*training.FG, 'label'], label='sp', fg_roof="(roof = 'outdoors')::INT")} FROM common WHERE shield_play_type = 'FIELD_GOAL'"""
+)
 def fg_set(spark, sf_dir):
     return _double(training.fg_set(table(spark, sf_dir)))
 
@@ -248,11 +310,22 @@ SELECT player_id, name_short, team_abb, week_num::BIGINT AS week_num, total AS q
 def qbr_rank(spark, sf_dir):
     """Customers as athletes of a week's page: qualified and other ones, ranked among the qualified."""
     rows = t(spark, sf_dir, "customer").withColumn("total", F.round(F.col("c_acctbal") / 100, 1))
-    athlete = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("shortName"), F.col("c_mktsegment").alias("teamShortName"), *(F.lit(None).cast("string").alias(c) for c in ("firstName", "lastName", "displayName", "teamName")), F.struct(F.lit(None).cast("string").alias("href")).alias("headshot"))
+    athlete = F.struct(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("shortName"),
+        F.col("c_mktsegment").alias("teamShortName"),
+        *(F.lit(None).cast("string").alias(c) for c in ("firstName", "lastName", "displayName", "teamName")),
+        F.struct(F.lit(None).cast("string").alias("href")).alias("headshot")
+    )
     totals = F.array(F.struct(F.transform(F.array(F.col("total")), lambda x: x.cast("string")).alias("totals")))
     team = F.struct(*(F.lit(None).cast("string").alias(c) for c in ("id", "abbreviation", "displayName", "nickname", "name")))
-    game = F.struct(F.lit("g").alias("id"), (F.col("c_nationkey") % 5 + 1).cast("int").alias("weekNumber"), F.lit("w").alias("weekText"), team.alias("teamOpponent"))
-    pages = rows.select(athlete.alias("athlete"), totals.alias("categories"), game.alias("game"), (F.col("c_custkey") % 4 != 0).alias("qualified"))
+    game = F.struct(
+        F.lit("g").alias("id"), (F.col("c_nationkey") % 5 + 1).cast("int").alias("weekNumber"),
+        F.lit("w").alias("weekText"), team.alias("teamOpponent")
+    )
+    pages = rows.select(
+        athlete.alias("athlete"), totals.alias("categories"), game.alias("game"),
+        (F.col("c_custkey") % 4 != 0).alias("qualified")
+    )
     out = qbr.week_table(pages, 2024, "Regular")
     return out.select("player_id", "name_short", "team_abb", long("week_num").alias("week_num"), "qbr_total", "qualified", "rank")
 
@@ -286,9 +359,14 @@ SELECT round(sum(tv * coalesce(n, 1)) / sum(coalesce(n, 1)), 6) AS weighted_mean
   sum(tv * coalesce(n, 1)) / sum(coalesce(n, 1)) <= 0.1 AS gate_pass FROM v LEFT JOIN w USING (line)""")
 def punt_gate(spark, sf_dir):
     """Two distributions of capped quantities by line, as two landing tables."""
-    items = t(spark, sf_dir, "lineitem").withColumns({"yardline_100": F.col("l_linenumber").cast("double"), "yardline_after": F.least("l_quantity", F.lit(20.0))})
+    items = t(spark, sf_dir, "lineitem").withColumns(
+        {"yardline_100": F.col("l_linenumber").cast("double"), "yardline_after": F.least("l_quantity", F.lit(20.0))}
+    )
     pct = F.count(F.lit(1)) / F.sum(F.count(F.lit(1))).over(W.partitionBy("yardline_100"))
-    ours, theirs = (items.where(F.col("l_returnflag") == flag).groupBy("yardline_100", "yardline_after").agg(pct.alias("pct")) for flag in "RA")
+    ours, theirs = (
+        items.where(F.col("l_returnflag") == flag).groupBy("yardline_100", "yardline_after").agg(pct.alias("pct"))
+        for flag in "RA"
+    )
     weights = items.where("l_linenumber <> 3").groupBy("yardline_100").agg(F.count(F.lit(1)).alias("weight"))
     out = decisions.punt_agreement(ours, theirs, weights)
     return out.select(*(r6(c).alias(c) for c in ("weighted_mean", "mean", "median", "largest")), "lines", "gate_pass")
@@ -306,10 +384,21 @@ def grid_gate(spark, sf_dir):
     codes = spark.range(4).select(F.concat(F.floor(F.col("id") / 2), F.col("id") % 2).alias("fg_model_roof"))
     grid = decisions.decode_grid(spark.range(1, 51).withColumnRenamed("id", "yardline_100").crossJoin(F.broadcast(codes)))  # 50 by 4
     y, roof, era = F.col("yardline_100"), F.col("fg_roof"), F.col("era4")
-    grid = grid.withColumns({"pred": 1 / (1 + F.exp((y - 50) / 12.0 + 0.2 * roof - 0.1 * era)), "prob": 1 / (1 + F.exp((y - 48) / 13.0 + 0.25 * roof - 0.2 * era + (y % 5) / 20.0))})
-    kicks = t(spark, sf_dir, "lineitem").where("l_quantity <> 7").select(F.col("l_quantity").alias("yardline_100"), (F.col("l_linestatus") == "O").alias("fg_roof"), (F.col("l_returnflag") == "R").alias("era4"))
+    grid = grid.withColumns(
+        {
+            "pred": 1 / (1 + F.exp((y - 50) / 12.0 + 0.2 * roof - 0.1 * era)),
+            "prob": 1 / (1 + F.exp((y - 48) / 13.0 + 0.25 * roof - 0.2 * era + (y % 5) / 20.0))
+        }
+    )
+    kicks = t(spark, sf_dir, "lineitem").where("l_quantity <> 7").select(
+        F.col("l_quantity").alias("yardline_100"), (F.col("l_linestatus") == "O").alias("fg_roof"),
+        (F.col("l_returnflag") == "R").alias("era4")
+    )
     out = decisions.grid_agreement(grid, decisions.attempted_cells(kicks))
-    return out.select(*(r6(c).alias(c) for c in ("correlation", "weighted_correlation", "most_apart", "grid_correlation")), "n", "gate_pass")
+    return out.select(
+        *(r6(c).alias(c) for c in ("correlation", "weighted_correlation", "most_apart", "grid_correlation")), "n",
+        "gate_pass"
+    )
 
 
 _PAIRS = """
@@ -322,14 +411,27 @@ WITH p AS ({_PAIRS}), c AS (SELECT 'value' AS name, game_id, (abs(v - nv) < 0.1)
 SELECT name, coalesce(sum(hit), 0)::BIGINT AS matched, sum(seen)::BIGINT AS compared, round(sum(hit) / sum(seen), 6) AS rate FROM c GROUP BY 1""")
 def play_parity(spark, sf_dir):
     """Events as a play table with ids in text, held against a copy with other values, whose ids are numbers."""
-    ours = t(spark, sf_dir, "events").select(F.col("user_id").alias("game_id"), F.col("event_id").cast("string").alias("play_id"), "value", F.col("event_type").alias("kind"))
+    ours = t(spark, sf_dir, "events").select(
+        F.col("user_id").alias("game_id"), F.col("event_id").cast("string").alias("play_id"), "value",
+        F.col("event_type").alias("kind")
+    )
     e = F.col("play_id").cast("bigint")
-    other = ours.where(e % 11 != 0).select("game_id", e.alias("play_id"), F.when(e % 3 == 0, F.col("value") + 0.4).when(e % 3 == 1, F.col("value") + 0.01).alias("value"), F.when(e % 7 == 0, "other").otherwise(F.col("kind")).alias("kind"))
+    other = ours.where(e % 11 != 0).select(
+        "game_id", e.alias("play_id"),
+        F.when(e % 3 == 0, F.col("value") + 0.4).when(e % 3 == 1, F.col("value") + 0.01).alias("value"),
+        F.when(e % 7 == 0, "other").otherwise(F.col("kind")).alias("kind")
+    )
     out = parity.rolled_up(parity.by_game(parity.paired(ours, other), {"value": 0.1, "kind": None}))
     return out.select("name", "matched", "compared", r6("rate").alias("rate"))
 
 
-@query(PLAYS + ", c AS (SELECT * FROM common) " + " UNION ALL ".join(f"SELECT '{c}' AS name, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS n_null FROM c" for c in ("posteam", "down", "yardline_100", "roof", "air_yards", "play_type")))
+@query(
+    PLAYS + ", c AS (SELECT * FROM common) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS name, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS n_null FROM c"
+        for c in ("posteam", "down", "yardline_100", "roof", "air_yards", "play_type")
+    )
+)
 def null_counts(spark, sf_dir):
     return parity.column_counts(table(spark, sf_dir).select("posteam", "down", "yardline_100", "roof", "air_yards", "play_type"))
 
@@ -340,16 +442,25 @@ UNION ALL SELECT 'air', CASE WHEN pass_location = 'middle' THEN 'Middle' ELSE 'O
 UNION ALL SELECT 'one_down', down::VARCHAR, count(*) FROM common WHERE down IS NOT NULL AND yardline_100 IS NOT NULL GROUP BY 1, 2""")
 def figure_frames(spark, sf_dir):
     """Rows of the figures and of the validation frame, counted by facet."""
-    rows = training.add_cp(training.add_common(table(spark, sf_dir))).withColumns({"pred": F.col("yardline_100") / 100.0, "actual": F.col("complete_pass")})
+    rows = training.add_cp(training.add_common(table(spark, sf_dir))).withColumns(
+        {"pred": F.col("yardline_100") / 100.0, "actual": F.col("complete_pass")}
+    )
     frames = runs.figure_rows(rows)
     one = runs.with_references(runs.one_down(rows), ["pred"]).withColumn("facet", runs.down_of_flags().cast("int").cast("string"))
-    count = lambda df, name, facet: df.groupBy(facet.alias("facet")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("figure"), "facet", "n")
-    return count(frames["down"], "down", F.col("down").cast("string")).unionByName(count(frames["air"], "air", F.col("side"))).unionByName(count(one, "one_down", F.col("facet")))
+    count = lambda df, name, facet: df.groupBy(facet.alias("facet")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(name).alias("figure"), "facet", "n"
+    )
+    return count(
+        frames["down"], "down", F.col("down").cast("string")
+    ).unionByName(count(frames["air"], "air", F.col("side"))).unionByName(count(one, "one_down", F.col("facet")))
 
 
 @query("""SELECT page_id, regexp_matches(html, '<h1>[^<]*[A-Z]', 'i')::INT::BIGINT AS titled, regexp_matches(url, '^HTTPS?://[^/]*EXAMPLE', 'i')::INT::BIGINT AS example FROM pages""")
 def regex_ignore_case(spark, sf_dir):
-    return t(spark, sf_dir, "pages").select("page_id", X.truth(F.col("html").rlike("(?i)<h1>[^<]*[A-Z]")).alias("titled"), X.truth(F.col("url").rlike("(?i)^HTTPS?://[^/]*EXAMPLE")).alias("example"))
+    return t(spark, sf_dir, "pages").select(
+        "page_id", X.truth(F.col("html").rlike("(?i)<h1>[^<]*[A-Z]")).alias("titled"),
+        X.truth(F.col("url").rlike("(?i)^HTTPS?://[^/]*EXAMPLE")).alias("example")
+    )
 
 
 @query("""
@@ -360,6 +471,13 @@ def documented_formulas(spark, sf_dir):
     """Shares as class probabilities: expected yards, chance of a first down with eight to go, share over expected."""
     share = F.count_if(F.col("c_mktsegment") == "BUILDING") / F.count(F.lit(1))
     rows = t(spark, sf_dir, "customer").groupBy(long("c_nationkey").alias("nation")).agg(share.alias("share"))
-    probs = F.transform(F.sequence(F.lit(0), F.lit(75)), lambda i: F.when(i == F.col("nation") + 10, F.col("share")).when(i == 30, 1 - F.col("share")).otherwise(0.0))
+    probs = F.transform(
+        F.sequence(F.lit(0), F.lit(75)),
+        lambda i: F.when(i == F.col("nation") + 10, F.col("share")).when(i == 30, 1 - F.col("share")).otherwise(0.0)
+    )
     rows = rows.withColumn("probs", probs)
-    return rows.select("nation", r6(decisions.over_expected(F.col("share"), F.lit(0.2))).alias("over_expected"), r6(decisions.mean_gain(F.col("probs"))).alias("gain"), r6(decisions.first_down_chance(F.col("probs"), F.lit(8))).alias("converts"))
+    return rows.select(
+        "nation", r6(decisions.over_expected(F.col("share"), F.lit(0.2))).alias("over_expected"),
+        r6(decisions.mean_gain(F.col("probs"))).alias("gain"),
+        r6(decisions.first_down_chance(F.col("probs"), F.lit(8))).alias("converts")
+    )

@@ -29,13 +29,17 @@ FIRST_GAIN = -10
 def win_set(plays: DataFrame) -> DataFrame:
     """HOME_WP and ``label`` (1: the home team won) of plays with ``Winner``, ``ep`` and ``play_type``; ties, overtime and
     plays without a value go. A null ``Winner`` is a tie."""
-    rows = plays.where("Winner is not null and Winner <> 'TIE' and qtr <= 4 and ep is not null and score_differential is not null and play_type is not null and yardline_100 is not null")
+    rows = plays.where(
+        "Winner is not null and Winner <> 'TIE' and qtr <= 4 and ep is not null and score_differential is not null and play_type is not null and yardline_100 is not null"
+    )
     at_home = F.coalesce(F.col("posteam") == F.col("home_team"), F.lit(False))
     view = lambda c: X.sign_flip(c, at_home)
     game = W.partitionBy("game_id").orderBy(*play_order(plays)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     kicks_off = F.first("defteam", ignorenulls=True).over(game)
     rows = rows.withColumns({
-        "home_posteam": (F.col("posteam") == F.col("home_team")).cast("int"), "home_score_differential": view("score_differential"), "home_ep": view("ep"),
+        "home_posteam": (
+            F.col("posteam") == F.col("home_team")
+        ).cast("int"), "home_score_differential": view("score_differential"), "home_ep": view("ep"),
         "home_yardline_100": F.when(at_home, F.col("yardline_100")).otherwise(100.0 - F.col("yardline_100")),
         "home_timeouts_remaining": F.when(at_home, F.col("posteam_timeouts_remaining")).otherwise(F.col("defteam_timeouts_remaining")),
         "home_receive_2h_ko": F.when((F.col("qtr") <= 2) & (F.col("home_team") == kicks_off), 1).otherwise(0),
@@ -91,16 +95,22 @@ def grid_agreement(grid: DataFrame, cells: DataFrame, least: float = THRESHOLDS[
     keys = [c for c in cells.columns if c != "attempts"]
     keyed = grid.withColumns({k: F.col(k).cast("int") for k in keys})
     tried = keyed.join(cells, keys).agg(
-        strict_pearson(F.col("pred"), F.col("prob")).alias("correlation"), A.weighted_pearson(F.col("pred"), F.col("prob"), F.col("attempts")).alias("weighted_correlation"),
+        strict_pearson(F.col("pred"), F.col("prob")).alias("correlation"), A.weighted_pearson(
+            F.col("pred"), F.col("prob"), F.col("attempts")
+        ).alias("weighted_correlation"),
         F.max(F.abs(F.col("pred") - F.col("prob"))).alias("most_apart"), F.count(F.lit(1)).alias("n"),
     )
     whole = grid.agg(strict_pearson(F.col("pred"), F.col("prob")).alias("grid_correlation"))
-    return tried.crossJoin(F.broadcast(whole)).withColumn("gate_pass", ~F.isnan("correlation") & (F.col("correlation") >= least))  # one row each
+    return tried.crossJoin(F.broadcast(whole)).withColumn(
+        "gate_pass", ~F.isnan("correlation") & (F.col("correlation") >= least)
+    )  # one row each
 
 
 def punt_weights(plays: DataFrame) -> DataFrame:
     """Number of punts from each line, for lines beyond 30."""
-    return plays.where("play_type_nfl = 'PUNT' and yardline_100 > 30").groupBy(F.col("yardline_100").cast("double").alias("yardline_100")).agg(F.count(F.lit(1)).alias("weight"))
+    return plays.where("play_type_nfl = 'PUNT' and yardline_100 > 30").groupBy(
+        F.col("yardline_100").cast("double").alias("yardline_100")
+    ).agg(F.count(F.lit(1)).alias("weight"))
 
 
 def punt_agreement(ours: DataFrame, theirs: DataFrame, weights: DataFrame | None = None, most: float = THRESHOLDS["punt"]) -> DataFrame:
@@ -108,9 +118,13 @@ def punt_agreement(ours: DataFrame, theirs: DataFrame, weights: DataFrame | None
     weighted mean, mean, median and maximum. Lines without a weight count 1; only lines of both tables are compared."""
     spread = lambda d: d.groupBy("yardline_100", "yardline_after").agg(F.sum("pct").alias("share"))
     apart = A.total_variation(spread(ours), spread(theirs), ["yardline_100"], ["yardline_after"])
-    apart = apart.withColumn("weight", F.lit(1.0)) if weights is None else apart.join(weights, "yardline_100", "left").withColumn("weight", F.coalesce("weight", F.lit(1)).cast("double"))
+    apart = apart.withColumn("weight", F.lit(1.0)) if weights is None else apart.join(weights, "yardline_100", "left").withColumn(
+        "weight", F.coalesce("weight", F.lit(1)).cast("double")
+    )
     out = apart.agg(
-        F.try_divide(F.sum(F.col("tv") * F.col("weight")), F.sum("weight")).alias("weighted_mean"), F.avg("tv").alias("mean"), F.median("tv").alias("median"), F.max("tv").alias("largest"), F.count(F.lit(1)).alias("lines")
+        F.try_divide(
+            F.sum(F.col("tv") * F.col("weight")), F.sum("weight")
+        ).alias("weighted_mean"), F.avg("tv").alias("mean"), F.median("tv").alias("median"), F.max("tv").alias("largest"), F.count(F.lit(1)).alias("lines")
     )
     return out.withColumn("gate_pass", F.coalesce(F.col("weighted_mean") <= most, F.lit(False)))
 

@@ -26,7 +26,12 @@ def by_game(pairs: DataFrame, tolerances: Mapping[str, float | None], prefix: st
     for name, tolerance in tolerances.items():
         a, b = F.col(name), F.col(f"{prefix}{name}")
         same = (a == b) if tolerance is None else (F.abs(a - b) < tolerance)
-        counts.append(F.struct(F.lit(name).alias("name"), F.count_if(same).alias("matched"), F.count_if(a.isNotNull() & b.isNotNull()).alias("compared")))
+        counts.append(
+            F.struct(
+                F.lit(name).alias("name"), F.count_if(same).alias("matched"),
+                F.count_if(a.isNotNull() & b.isNotNull()).alias("compared")
+            )
+        )
     return pairs.groupBy("game_id").agg(F.array(*counts).alias("counts")).select("game_id", F.inline("counts"))
 
 
@@ -39,4 +44,6 @@ def rolled_up(games: DataFrame) -> DataFrame:
 def column_counts(df: DataFrame) -> DataFrame:
     """(name, n_rows, n_null) of each column, from one pass."""
     wide = df.agg(F.count(F.lit(1)).alias("_rows"), *(F.count_if(F.col(c).isNull()).alias(c) for c in df.columns))
-    return A.longer(wide.withColumnsRenamed({c: f"null|{c}" for c in df.columns}), ["_rows"], "null|", "name", "n_null").select("name", F.col("_rows").alias("n_rows"), "n_null")
+    return A.longer(
+        wide.withColumnsRenamed({c: f"null|{c}" for c in df.columns}), ["_rows"], "null|", "name", "n_null"
+    ).select("name", F.col("_rows").alias("n_rows"), "n_null")

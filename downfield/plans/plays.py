@@ -32,7 +32,9 @@ def yardline_100(line: Column, team: Column) -> Column:
 
 def seconds_left(quarter: Column, in_quarter: Column) -> tuple[Column, Column]:
     """Seconds left in the half and in the game; overtime has its quarter's and 0."""
-    half = F.when(quarter.isin(1, 2), (2 - quarter) * 900 + in_quarter).when(quarter.isin(3, 4), (4 - quarter) * 900 + in_quarter).when(quarter.isNotNull(), in_quarter)
+    half = F.when(
+        quarter.isin(1, 2), (2 - quarter) * 900 + in_quarter
+    ).when(quarter.isin(3, 4), (4 - quarter) * 900 + in_quarter).when(quarter.isNotNull(), in_quarter)
     game = F.when(quarter.isin(1, 2, 3, 4), (4 - quarter) * 900 + in_quarter).when(quarter.isNotNull() & in_quarter.isNotNull(), F.lit(0))
     return half, game
 
@@ -48,21 +50,37 @@ def flatten(games: DataFrame) -> DataFrame:
     g = g.withColumns({"_home_id": id_of("home"), "_away_id": id_of("away")})
     known = lambda c: F.when(c == F.col("_home_id"), F.col("home_team")).when(c == F.col("_away_id"), F.col("away_team"))
     seq = F.col("p.playSequenceNumber")
-    holds = F.filter("driveChart.drives", lambda d: d["startedPlaySequenceNumber"].isNotNull() & d["endedPlaySequenceNumber"].isNotNull() & seq.between(d["startedPlaySequenceNumber"], d["endedPlaySequenceNumber"]))
+    holds = F.filter(
+        "driveChart.drives",
+        lambda d: d["startedPlaySequenceNumber"].isNotNull() & d["endedPlaySequenceNumber"].isNotNull() & seq.between(
+            d["startedPlaySequenceNumber"], d["endedPlaySequenceNumber"]
+        )
+    )
     g = g.withColumn("posteam", known(F.get(holds, F.lit(0))["teamId"]))
     clock = X.clock_seconds("p.clockTime")
     half, game = seconds_left(F.col("p.quarter"), clock)
-    points = F.when(F.col("p.playScored"), F.coalesce(F.create_map(*(F.lit(x) for kv in POINTS.items() for x in kv))[F.col("p.scoringPlayType")], F.lit(0))).otherwise(0)
+    points = F.when(
+        F.col("p.playScored"),
+        F.coalesce(F.create_map(*(F.lit(x) for kv in POINTS.items() for x in kv))[F.col("p.scoringPlayType")], F.lit(0))
+    ).otherwise(0)
     total = lambda side: F.col(f"summary.{side}Team.score.total")
     return g.select(
         "game_id", "season", "week", F.col("seasonType").alias("season_type"), F.col("p.playId").alias("play_id"), seq.alias("play_seq"), "feed_pos", "posteam",
-        F.when(F.col("posteam") == F.col("home_team"), F.col("away_team")).when(F.col("posteam") == F.col("away_team"), F.col("home_team")).alias("defteam"),
+        F.when(
+            F.col("posteam") == F.col("home_team"), F.col("away_team")
+        ).when(F.col("posteam") == F.col("away_team"), F.col("home_team")).alias("defteam"),
         "home_team", "away_team", F.col("p.quarter").alias("qtr"), X.half_of("p.quarter").alias("game_half"), F.nullif("p.down", F.lit(0)).alias("down"),
-        F.col("p.yardsRemaining").alias("ydstogo"), yardline_100(F.col("p.yardLine"), F.col("posteam")).alias("yardline_100"), X.truth(F.col("p.playIsGoalToGo")).alias("goal_to_go"),
+        F.col("p.yardsRemaining").alias("ydstogo"), yardline_100(
+            F.col("p.yardLine"), F.col("posteam")
+        ).alias("yardline_100"), X.truth(F.col("p.playIsGoalToGo")).alias("goal_to_go"),
         clock.alias("quarter_seconds_remaining"), half.alias("half_seconds_remaining"), game.alias("game_seconds_remaining"),
         F.col("p.playDescription").alias("desc"), F.col("p.playType").alias("shield_play_type"), F.col("p.specialTeamsPlayType").alias("special_teams_play_type"), X.truth(F.col("p.playScored")).alias("sp"),
-        total("home").alias("home_score"), total("away").alias("away_score"), (total("home") - total("away")).cast("double").alias("result"),
-        F.when(F.col("p.scoringTeamId") == F.col("_home_id"), points).otherwise(0).alias("_home_points"), F.when(F.col("p.scoringTeamId") == F.col("_away_id"), points).otherwise(0).alias("_away_points"),
+        total("home").alias("home_score"), total("away").alias("away_score"), (
+            total("home") - total("away")
+        ).cast("double").alias("result"),
+        F.when(
+            F.col("p.scoringTeamId") == F.col("_home_id"), points
+        ).otherwise(0).alias("_home_points"), F.when(F.col("p.scoringTeamId") == F.col("_away_id"), points).otherwise(0).alias("_away_points"),
         "_home_id", "_away_id", F.col("p.stats").alias("_stats"),
     )
 
@@ -82,18 +100,27 @@ def fold_stats(plays: DataFrame) -> DataFrame:
     keep = F.endswith(token, F.lit("_IFNA"))
     writes = writes.withColumns({"at": at, "kind": F.regexp_replace(token, "_IFNA$", ""), "keep": keep})
     writes = writes.withColumns({
-        "num": F.when(F.col("kind") == "ONE", 1.0).when(F.col("kind") == "ZERO", 0.0).when(F.col("kind") == "COUNT", 1.0).when(F.col("kind").isin("YARDS", "SUMYARDS"), F.col("s.yards")),
-        "txt": F.when(F.col("kind") == "PID", F.col("s.gsisPlayerId")).when(F.col("kind") == "PNAME", F.col("s.gsisPlayerName")).when(F.col("kind") == "TEAM", F.col("s.teamId")),
+        "num": F.when(F.col("kind") == "ONE", 1.0).when(F.col("kind") == "ZERO", 0.0).when(F.col("kind") == "COUNT", 1.0).when(
+            F.col("kind").isin("YARDS", "SUMYARDS"), F.col("s.yards")
+        ),
+        "txt": F.when(F.col("kind") == "PID", F.col("s.gsisPlayerId")).when(
+            F.col("kind") == "PNAME", F.col("s.gsisPlayerName")
+        ).when(F.col("kind") == "TEAM", F.col("s.teamId")),
         "last": F.max(F.when(~keep, at)).over(W.partitionBy(*PLAY, "column")),
     })
     adds = F.col("kind").isin("SUMYARDS", "COUNT")
     written = lambda c: fold.write_or_keep(F.col(c), ~F.col("keep"), F.col("keep"), F.col("at"), F.col("last"))
-    cells = writes.groupBy(*PLAY, "column").agg(F.when(F.max(adds), F.sum(F.coalesce("num", F.lit(0.0)))).otherwise(written("num")).alias("num"), written("txt").alias("txt"))
+    cells = writes.groupBy(*PLAY, "column").agg(
+        F.when(F.max(adds), F.sum(F.coalesce("num", F.lit(0.0)))).otherwise(written("num")).alias("num"),
+        written("txt").alias("txt")
+    )
     entry = F.struct("column", F.struct("num", "txt").alias("cell"))
     made = cells.groupBy(*PLAY).agg(F.map_from_entries(F.collect_list(entry)).alias("_cells"))  # as many cells as columns at most
     cell = lambda n: F.col("_cells")[n]
     made = made.select(
-        *PLAY, *(cell(n)["num"].cast("long").alias(n) for n in [*C.INDICATORS, *C.COUNTS]), *(cell(n)["num"].alias(n) for n in C.NUMERICS), *(cell(n)["txt"].alias(n) for n in C.PLAYERS)
+        *PLAY, *(
+            cell(n)["num"].cast("long").alias(n) for n in [*C.INDICATORS, *C.COUNTS]
+        ), *(cell(n)["num"].alias(n) for n in C.NUMERICS), *(cell(n)["txt"].alias(n) for n in C.PLAYERS)
     )
     return made.join(fill_slots(entries, effects), list(PLAY), "left")
 
@@ -101,17 +128,28 @@ def fold_stats(plays: DataFrame) -> DataFrame:
 def fill_slots(entries: DataFrame, effects: DataFrame) -> DataFrame:
     """Slots of each kind, filled in feed order, each field by its own (see ``fold.slots_by_field``). A play has a few
     dozen entries at most, so they are gathered in one row."""
-    kinds = effects.where("column like '%_FILL_player_id'").select("statType", F.regexp_replace("column", "_FILL_player_id$", "").alias("kind"))
+    kinds = effects.where("column like '%_FILL_player_id'").select(
+        "statType", F.regexp_replace("column", "_FILL_player_id$", "").alias("kind")
+    )
     rows = entries.join(F.broadcast(kinds), F.col("s.statType") == F.col("statType"))
-    entry = F.struct("pos", F.col("s.gsisPlayerId").alias("player_id"), F.col("s.gsisPlayerName").alias("player_name"), F.col("s.teamId").alias("team"), F.col("s.yards").alias("yards"))
+    entry = F.struct(
+        "pos", F.col("s.gsisPlayerId").alias("player_id"), F.col("s.gsisPlayerName").alias("player_name"),
+        F.col("s.teamId").alias("team"), F.col("s.yards").alias("yards")
+    )
     gathered = rows.groupBy(*PLAY, "kind").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     size = F.create_map(*(F.lit(x) for kind, (n, _) in SLOTS.items() for x in (kind, n)))[F.col("kind")]
-    filled = gathered.select(*PLAY, "kind", fold.slots_by_field(F.col("entries"), size, ("player_id", "player_name", "team", "yards")).alias("f"))
+    filled = gathered.select(
+        *PLAY, "kind",
+        fold.slots_by_field(F.col("entries"), size, ("player_id", "player_name", "team", "yards")).alias("f")
+    )
     made: list[Column] = []
     for kind, (n, more) in SLOTS.items():
         for k in range(n):
             cell = lambda field, k=k, kind=kind: F.max(F.when(F.col("kind") == kind, F.get(F.col("f")[field], F.lit(k))))
-            made += [cell(field).cast("double" if field == "yards" else "string").alias(f"{kind}_{k + 1}_{field}") for field in ("player_id", "player_name", *more)]
+            made += [
+                cell(field).cast("double" if field == "yards" else "string").alias(f"{kind}_{k + 1}_{field}")
+                for field in ("player_id", "player_name", *more)
+            ]
     return filled.groupBy(*PLAY).agg(*made)
 
 
@@ -120,7 +158,10 @@ def play_type(feed: Column) -> Column:
     on = lambda c: F.coalesce(F.col(c) == 1, F.lit(False))
     busy = reduce(lambda a, b: a | b, (on(c) for c in ("pass_attempt", "rush_attempt", "field_goal_attempt", "punt_attempt")))
     out = F.when((feed == "PENALTY") & ~busy, "no_play")
-    for column, name in (("pass_attempt", "pass"), ("rush_attempt", "run"), ("field_goal_attempt", "field_goal"), ("extra_point_attempt", "extra_point"), ("punt_attempt", "punt"), ("kickoff_attempt", "kickoff")):
+    for column, name in (
+        ("pass_attempt", "pass"), ("rush_attempt", "run"), ("field_goal_attempt", "field_goal"),
+        ("extra_point_attempt", "extra_point"), ("punt_attempt", "punt"), ("kickoff_attempt", "kickoff")
+    ):
         out = out.when(on(column), name)
     return out
 
@@ -136,7 +177,9 @@ def add_results(plays: DataFrame) -> DataFrame:
     """Defaults of missing stats, names for team ids, play type, and results of tries and kicks."""
     plays = plays.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in [*C.INDICATORS, *C.COUNTS]})
     teams = [c for c in plays.columns if c.endswith("_team") and c not in ("home_team", "away_team")]
-    named = lambda c: F.when(F.col(c) == F.col("_home_id"), F.col("home_team")).when(F.col(c) == F.col("_away_id"), F.col("away_team")).otherwise(F.col(c))
+    named = lambda c: F.when(
+        F.col(c) == F.col("_home_id"), F.col("home_team")
+    ).when(F.col(c) == F.col("_away_id"), F.col("away_team")).otherwise(F.col(c))
     plays = plays.withColumns({c: named(c) for c in teams}).withColumn("play_type", play_type(F.col("shield_play_type")))
     any_of = lambda *names: reduce(lambda a, b: a | b, (F.col(n) == 1 for n in names))
     two = F.col("two_point_attempt") == 1
@@ -157,11 +200,24 @@ def add_text(plays: DataFrame) -> DataFrame:
     d, run = F.coalesce("desc", F.lit("")), F.col("play_type") == "run"
     # fixed values: the five patterns and texts of the feed's descriptions
     plays = plays.withColumns({
-        "pass_length": X.matched(d, r"pass (?:incomplete )?(short|deep)"), "pass_location": X.matched(d, r"(?:short|deep) (left|middle|right)"),
-        "run_location": F.when(run, X.matched(d, r" (left|middle|right)[ .]")), "run_gap": F.when(run, X.matched(d, r" (guard|tackle|end)\b")),
-        **{name: d.contains(text).cast("long") for name, text in (("qb_kneel", " kneels"), ("qb_spike", " spiked"), ("qb_scramble", " scrambles"), ("shotgun", "Shotgun"), ("no_huddle", "No Huddle"))},
+        "pass_length": X.matched(d, r"pass (?:incomplete )?(short|deep)"), "pass_location": X.matched(
+            d, r"(?:short|deep) (left|middle|right)"
+        ),
+        "run_location": F.when(
+            run, X.matched(d, r" (left|middle|right)[ .]")
+        ), "run_gap": F.when(run, X.matched(d, r" (guard|tackle|end)\b")),
+        **{
+            name: d.contains(text).cast("long")
+            for name, text in (
+                ("qb_kneel", " kneels"), ("qb_spike", " spiked"), ("qb_scramble", " scrambles"), ("shotgun", "Shotgun"),
+                ("no_huddle", "No Huddle")
+            )
+        },
     })
-    return plays.withColumn("play_type", F.when(F.col("qb_kneel") == 1, "qb_kneel").when(F.col("qb_spike") == 1, "qb_spike").otherwise(F.col("play_type")))
+    return plays.withColumn(
+        "play_type",
+        F.when(F.col("qb_kneel") == 1, "qb_kneel").when(F.col("qb_spike") == 1, "qb_spike").otherwise(F.col("play_type"))
+    )
 
 
 def add_state(plays: DataFrame) -> DataFrame:
@@ -172,17 +228,32 @@ def add_state(plays: DataFrame) -> DataFrame:
     plays = plays.withColumns({"total_home_score": before("_home_points"), "total_away_score": before("_away_points")})
     at_home = F.col("posteam") == F.col("home_team")
     side = lambda home, away: F.when(at_home, F.col(home)).otherwise(F.col(away))
-    plays = plays.withColumns({"home": X.truth(at_home), "posteam_score": side("total_home_score", "total_away_score"), "defteam_score": side("total_away_score", "total_home_score")})
-    used = lambda team: F.sum(F.when((F.col("timeout") == 1) & (F.col("timeout_team") == F.col(team)), 1).otherwise(0)).over(half.rowsBetween(W.unboundedPreceding, 0))
+    plays = plays.withColumns(
+        {
+            "home": X.truth(at_home), "posteam_score": side("total_home_score", "total_away_score"),
+            "defteam_score": side("total_away_score", "total_home_score")
+        }
+    )
+    used = lambda team: F.sum(
+        F.when((F.col("timeout") == 1) & (F.col("timeout_team") == F.col(team)), 1).otherwise(0)
+    ).over(half.rowsBetween(W.unboundedPreceding, 0))
     plays = plays.withColumns({f"{s}_timeouts_remaining": F.lit(3) - F.least(used(f"{s}_team"), F.lit(3)) for s in ("home", "away")})
-    plays = plays.withColumns({"score_differential": F.col("posteam_score") - F.col("defteam_score"), "posteam_timeouts_remaining": side("home_timeouts_remaining", "away_timeouts_remaining"), "defteam_timeouts_remaining": side("away_timeouts_remaining", "home_timeouts_remaining")})
+    plays = plays.withColumns(
+        {
+            "score_differential": F.col("posteam_score") - F.col("defteam_score"),
+            "posteam_timeouts_remaining": side("home_timeouts_remaining", "away_timeouts_remaining"),
+            "defteam_timeouts_remaining": side("away_timeouts_remaining", "home_timeouts_remaining")
+        }
+    )
     lag = lambda c, n=1: F.lag(c, n).over(half)
     pos, p1, p2, p3 = F.col("posteam"), lag("posteam"), lag("posteam", 2), lag("posteam", 3)
     change = (pos != p1) | ((pos != p2) & p1.isNull()) | ((pos != p3) & p1.isNull() & p2.isNull())
     try_after_return = (lag("touchdown") == 1) & (p1 != lag("td_team")) & p1.isNotNull()
     kept_fumble = (pos == p1) & (lag("fumble_lost") == 1) & lag("play_type").isin(*SCRIMMAGE) & (lag("touchdown") == 0)
     kicked = ((F.col("play_type") == "kickoff") & (F.col("fumble_lost") == 1)) | ((F.col("kickoff_attempt") == 1) & (lag("safety") == 1))
-    new = F.when(F.row_number().over(half) == 1, 1).when(kicked, 1).when(kept_fumble, 1).when(try_after_return, 0).otherwise(F.coalesce(change.cast("int"), F.lit(0)))
+    new = F.when(F.row_number().over(half) == 1, 1).when(kicked, 1).when(kept_fumble, 1).when(try_after_return, 0).otherwise(
+        F.coalesce(change.cast("int"), F.lit(0))
+    )
     plays = plays.withColumn("_new", new)
     return plays.withColumn("fixed_drive", F.sum("_new").over(game.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
 
@@ -191,10 +262,15 @@ def build_plays(games: DataFrame, schedule: DataFrame | None = None) -> DataFram
     """The play table of game documents (see ``sources.games.read_games``). ``schedule`` has game_id, roof, spread_line
     and total_line; without it these are null. ``feed_pos`` is a play's place in the feed and, with game_id, its key. Timeouts count for the state and then go; plays without a type stay."""
     flat = flatten(games)
-    plays = flat.drop("_stats").join(fold_stats(flat.select(*PLAY, "_stats")), list(PLAY), "left").transform(add_results).transform(add_text).transform(add_state)
+    plays = flat.drop("_stats").join(
+        fold_stats(flat.select(*PLAY, "_stats")), list(PLAY), "left"
+    ).transform(add_results).transform(add_text).transform(add_state)
     facts = ("roof", "spread_line", "total_line")
     if schedule is None:
         plays = plays.withColumns({c: F.lit(None).cast("string" if c == "roof" else "double") for c in facts})
     else:
-        plays = plays.join(schedule.select("game_id", *(c if c in schedule.columns else F.lit(None).alias(c) for c in facts)), "game_id", "left")
+        plays = plays.join(
+            schedule.select("game_id", *(c if c in schedule.columns else F.lit(None).alias(c) for c in facts)),
+            "game_id", "left"
+        )
     return plays.where(F.coalesce("shield_play_type", F.lit("")) != "TIMEOUT").drop("_home_points", "_away_points", "_home_id", "_away_id")

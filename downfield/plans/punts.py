@@ -31,9 +31,14 @@ def smoothed(points: DataFrame) -> DataFrame:
     """(yardline_100, yardline_after, density) of the distinct points: the density of all points at the grid cell each
     one is in. One row of aggregates (ends and bandwidths) is broadcast."""
     x, y = F.col("yardline_100"), F.col("yardline_after")
-    facts = points.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"), (bandwidth(x) / 4).alias("hx"), (bandwidth(y) / 4).alias("hy"))
+    facts = points.agg(
+        F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"),
+        (bandwidth(x) / 4).alias("hx"), (bandwidth(y) / 4).alias("hy")
+    )
     grid = density_grid(points, "yardline_100", "yardline_after", F.col("hx"), F.col("hy"), GRID, GRID, facts)
-    cell = lambda v, lo, hi: F.when(v >= F.col(hi), GRID - 1).otherwise(F.floor((v - F.col(lo)) / ((F.col(hi) - F.col(lo)) / (GRID - 1))))
+    cell = lambda v, lo, hi: F.when(v >= F.col(hi), GRID - 1).otherwise(
+        F.floor((v - F.col(lo)) / ((F.col(hi) - F.col(lo)) / (GRID - 1)))
+    )
     placed = points.select("yardline_100", "yardline_after").distinct().crossJoin(F.broadcast(facts))
     placed = placed.withColumns({"i": cell(x, "x0", "x1").cast("int"), "j": cell(y, "y0", "y1").cast("int")})
     return placed.join(grid, ["i", "j"]).select("yardline_100", "yardline_after", "density")
@@ -45,18 +50,44 @@ def punt_distribution(plays: DataFrame) -> DataFrame:
     As in the published table, the share of blocked punts is put at the touchdown's line and that of touchdowns at the
     block's, and a punt that ends where it began counts as a block when muffs are split off."""
     desc = F.coalesce("desc", F.lit(""))
-    points = plays.where("play_type_nfl = 'PUNT'").select(F.col("yardline_100").cast("double").alias("yardline_100"), _landing().alias("yardline_after"), desc.contains("BLOCKED").cast("int").alias("blocked"), F.coalesce("fumble_lost", F.lit(0)).cast("int").alias("lost"))
-    points = points.where("yardline_after is not null").withColumns({"touchdown": (F.col("yardline_after") == TOUCHDOWN).cast("int"), "muffed": F.when(F.col("blocked") == 1, 0).otherwise(F.col("lost"))})
-    by_bin = points.withColumn("bin", _tens("yardline_100")).groupBy("bin").agg(*(F.avg(c).alias(f"{c}_pct") for c in ("muffed", "blocked", "touchdown")))
+    points = plays.where("play_type_nfl = 'PUNT'").select(
+        F.col("yardline_100").cast("double").alias("yardline_100"), _landing().alias("yardline_after"),
+        desc.contains("BLOCKED").cast("int").alias("blocked"),
+        F.coalesce("fumble_lost", F.lit(0)).cast("int").alias("lost")
+    )
+    points = points.where("yardline_after is not null").withColumns(
+        {
+            "touchdown": (F.col("yardline_after") == TOUCHDOWN).cast("int"),
+            "muffed": F.when(F.col("blocked") == 1, 0).otherwise(F.col("lost"))
+        }
+    )
+    by_bin = points.withColumn("bin", _tens("yardline_100")).groupBy("bin").agg(
+        *(F.avg(c).alias(f"{c}_pct") for c in ("muffed", "blocked", "touchdown"))
+    )
     lines = points.select("yardline_100").distinct().withColumn("bin", _tens("yardline_100")).join(by_bin, "bin")  # seven bins
-    odd = lines.select("yardline_100", F.explode(F.array(F.struct(F.lit(TOUCHDOWN).alias("yardline_after"), F.col("blocked_pct").alias("pct")), F.struct(F.lit(BLOCK).alias("yardline_after"), F.col("touchdown_pct").alias("pct")))).alias("o")).select("yardline_100", "o.*").where("pct > 0")
+    odd = lines.select(
+        "yardline_100",
+        F.explode(
+            F.array(
+                F.struct(F.lit(TOUCHDOWN).alias("yardline_after"), F.col("blocked_pct").alias("pct")),
+                F.struct(F.lit(BLOCK).alias("yardline_after"), F.col("touchdown_pct").alias("pct"))
+            )
+        ).alias("o")
+    ).select("yardline_100", "o.*").where("pct > 0")
     taken = odd.groupBy("yardline_100").agg(F.sum("pct").alias("taken"))
     normal = share_of(smoothed(points.where("blocked = 0 and touchdown = 0")), "density", ["yardline_100"], "pct").drop("density")
-    normal = normal.join(taken, "yardline_100", "left").select("yardline_100", "yardline_after", (F.col("pct") * (1 - F.coalesce("taken", F.lit(0.0)))).alias("pct"))
-    ends = normal.unionByName(odd).withColumn("yardline_after", F.when(F.col("yardline_after") == BLOCK, F.col("yardline_100")).otherwise(F.col("yardline_after")))
+    normal = normal.join(taken, "yardline_100", "left").select(
+        "yardline_100", "yardline_after", (F.col("pct") * (1 - F.coalesce("taken", F.lit(0.0)))).alias("pct")
+    )
+    ends = normal.unionByName(odd).withColumn(
+        "yardline_after",
+        F.when(F.col("yardline_after") == BLOCK, F.col("yardline_100")).otherwise(F.col("yardline_after"))
+    )
     ends = ends.join(lines.select("yardline_100", "muffed_pct"), "yardline_100", "left").where("yardline_100 > 30")
     plain = (F.col("yardline_after") != TOUCHDOWN) & (F.col("yardline_100") != F.col("yardline_after"))
     split = ends.withColumn("muff", F.explode(F.when(plain, F.array(F.lit(0.0), F.lit(1.0))).otherwise(F.array(F.lit(0.0)))))
     rate = F.coalesce("muffed_pct", F.lit(0.0))
     part = F.when(F.col("muff") == 1, rate * F.col("pct")).when(plain, (1 - rate) * F.col("pct")).otherwise(F.col("pct"))
-    return share_of(split.withColumn("part", part).drop("pct"), "part", ["yardline_100"], "pct").select("yardline_100", "yardline_after", "pct", "muff").orderBy("yardline_100", "yardline_after", "muff")
+    return share_of(
+        split.withColumn("part", part).drop("pct"), "part", ["yardline_100"], "pct"
+    ).select("yardline_100", "yardline_after", "pct", "muff").orderBy("yardline_100", "yardline_after", "muff")

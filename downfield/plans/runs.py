@@ -46,14 +46,20 @@ TRAINERS: dict[str, Trainer] = {
     "ep": Trainer(training.ep_set, training.EP, classes=True, weight="weight"),
     "wp_spread": Trainer(
         training.wp_set, training.WP,
-        signs=_signs(training.WP, spread_time=1, Diff_Time_Ratio=1, score_differential=1, ydstogo=-1, yardline_100=-1, down=-1, posteam_timeouts_remaining=1, defteam_timeouts_remaining=-1),
+        signs=_signs(
+            training.WP, spread_time=1, Diff_Time_Ratio=1, score_differential=1, ydstogo=-1, yardline_100=-1, down=-1,
+            posteam_timeouts_remaining=1, defteam_timeouts_remaining=-1
+        ),
     ),
     "wp_naive": Trainer(partial(training.wp_set, spread=False), training.WP_NAIVE, rounds=65, depth=4, step=0.2),
     "cp": Trainer(training.cp_set, training.CP, rounds=560, depth=4, step=0.025),
     "xyac": Trainer(training.xyac_set, training.XYAC, classes=True),
     "xpass": Trainer(training.xpass_set, training.XPASS, rounds=1121, depth=7, step=0.015),
     "fd": Trainer(training.fd_set, training.FD, classes=True),
-    "two_pt": Trainer(training.two_point_set, training.TWO_POINT, signs=_signs(training.TWO_POINT, posteam_spread=1, total_line=1, posteam_total=1)),
+    "two_pt": Trainer(
+        training.two_point_set, training.TWO_POINT,
+        signs=_signs(training.TWO_POINT, posteam_spread=1, total_line=1, posteam_total=1)
+    ),
     "fg": Trainer(training.fg_set, training.FG, signs=_signs(training.FG, yardline_100=-1)),
     "wp": Trainer(decisions.win_set, decisions.HOME_WP, rounds=500, depth=5, step=0.025),
 }
@@ -91,7 +97,10 @@ def train_all(plays: DataFrame, out_dir: str, names: Sequence[str] = tuple(TRAIN
                 if found["kinds"] < 2:
                     continue
                 TRAINERS[name].fit(rows, rounds).write().overwrite().save(f"{out_dir}/{name}.model")
-                card = models.card(name, TRAINERS[name].features, seasons, n_rows=found["n"], base_score=base_score(rows), rounds=rounds or TRAINERS[name].rounds)
+                card = models.card(
+                    name, TRAINERS[name].features, seasons, n_rows=found["n"], base_score=base_score(rows),
+                    rounds=rounds or TRAINERS[name].rounds
+                )
                 write_text(spark, f"{out_dir}/{name}.card", card)
                 counts[name] = found["n"]
             finally:
@@ -106,7 +115,9 @@ def route_artifacts(files: DataFrame, routes: Mapping[str, str]) -> DataFrame:
     (name, ...)."""
     wanted = files.sparkSession.createDataFrame(list(routes.items()), "name string, route string")
     there = files.select("name", F.lit(True).alias("there")).distinct()
-    return wanted.join(there, "name", "left").select("name", F.when(F.col("there"), F.col("route")).otherwise("missing").alias("route")).orderBy("name")
+    return wanted.join(there, "name", "left").select(
+        "name", F.when(F.col("there"), F.col("route")).otherwise("missing").alias("route")
+    ).orderBy("name")
 
 
 # ---- frames of validation and figures -------------------------------------------------------------------------------
@@ -138,7 +149,10 @@ def figure_rows(rows: DataFrame) -> dict[str, DataFrame]:
 # ---- the report -----------------------------------------------------------------------------------------------------
 
 
-def loso_report(rows: DataFrame, trainer: Trainer, out_dir: str, title: str, by: str | None = None, bin_size: float = 0.05, least: int = 50, rounds: int | None = None) -> dict:
+def loso_report(
+    rows: DataFrame, trainer: Trainer, out_dir: str, title: str, by: str | None = None, bin_size: float = 0.05,
+    least: int = 50, rounds: int | None = None
+) -> dict:
     """Leaves out one season after the other, writes predictions, calibration table, metrics and a report; returns the
     metrics. ``rows``: season, the features, label (0 or 1) and the facet ``by``."""
     spark = rows.sparkSession

@@ -14,11 +14,20 @@ _ERA, _ROOF, _DOWN = [f"era{k}" for k in range(5)], ["retractable", "dome", "out
 _TIMEOUTS = ["posteam_timeouts_remaining", "defteam_timeouts_remaining"]
 #: Features of each model, in order.
 EP = ["half_seconds_remaining", "yardline_100", "home", *_ROOF, "ydstogo", *_ERA, *_DOWN, *_TIMEOUTS]
-WP = ["receive_2h_ko", "spread_time", "home", "half_seconds_remaining", "game_seconds_remaining", "Diff_Time_Ratio", "score_differential", "down", "ydstogo", "yardline_100", *_TIMEOUTS]
+WP = [
+    "receive_2h_ko", "spread_time", "home", "half_seconds_remaining", "game_seconds_remaining", "Diff_Time_Ratio",
+    "score_differential", "down", "ydstogo", "yardline_100", *_TIMEOUTS
+]
 WP_NAIVE = [c for c in WP if c != "spread_time"]
-CP = ["air_yards", "yardline_100", "ydstogo", *_DOWN, "air_is_zero", "pass_middle", "era2", "era3", "era4", "qb_hit", "home", "outdoors", "retractable", "dome", "distance_to_sticks"]
+CP = [
+    "air_yards", "yardline_100", "ydstogo", *_DOWN, "air_is_zero", "pass_middle", "era2", "era3", "era4", "qb_hit",
+    "home", "outdoors", "retractable", "dome", "distance_to_sticks"
+]
 XYAC = [*CP[:3], "distance_to_goal", *CP[3:]]
-XPASS = ["down", "ydstogo", "yardline_100", "qtr", "wp", "vegas_wp", *_ERA, "score_differential", "home", "half_seconds_remaining", *_TIMEOUTS, "outdoors", "retractable", "dome"]
+XPASS = [
+    "down", "ydstogo", "yardline_100", "qtr", "wp", "vegas_wp", *_ERA, "score_differential", "home",
+    "half_seconds_remaining", *_TIMEOUTS, "outdoors", "retractable", "dome"
+]
 FD = ["down", "ydstogo", "yardline_100", *_ERA, "outdoors", "retractable", "dome", "posteam_spread", "total_line", "posteam_total"]
 TWO_POINT = ["era2", "era3", "era4", "outdoors", "retractable", "dome", "posteam_spread", "total_line", "posteam_total"]
 FG = ["yardline_100", "fg_roof", *_ERA]
@@ -43,7 +52,10 @@ def add_common(plays: DataFrame) -> DataFrame:
     """home, roof, era and down flags as doubles; a null down or roof gives the nulls and zeros of three-valued logic."""
     roof = F.col("roof")
     among = lambda c: F.when(c, 1.0).otherwise(0.0)
-    flags = {"home": X.flag(F.col("posteam") == F.col("home_team")), "retractable": X.flag(roof == "retractable"), "dome": among(roof.isin("dome", "closed")), "outdoors": among(~roof.isin("retractable", "dome", "closed"))}
+    flags = {
+        "home": X.flag(F.col("posteam") == F.col("home_team")), "retractable": X.flag(roof == "retractable"),
+        "dome": among(roof.isin("dome", "closed")), "outdoors": among(~roof.isin("retractable", "dome", "closed"))
+    }
     eras = {n: F.coalesce(c, F.lit(0.0)) for n, c in X.ranges("season", ERAS, "era").items()}
     return plays.withColumns(flags | eras | X.one_hot("down", (1, 2, 3, 4), "down"))
 
@@ -60,10 +72,14 @@ def add_next_score(plays: DataFrame) -> DataFrame:
     ahead = half.orderBy(*play_order(plays)).rowsBetween(0, W.unboundedFollowing)
     plays = plays.withColumns({"_kind": kind, "_team": team, "_drive": F.when(kind.isNotNull(), F.col("fixed_drive"))})
     plays = plays.withColumns({f"_next{c}": F.first(c, ignorenulls=True).over(ahead) for c in ("_kind", "_team", "_drive")})
-    name = F.when(F.col("_next_kind").isNull(), "No_Score").when(F.col("_next_team") == F.col("posteam"), F.col("_next_kind")).otherwise(F.concat(F.lit("Opp_"), "_next_kind"))
+    name = F.when(F.col("_next_kind").isNull(), "No_Score").when(
+        F.col("_next_team") == F.col("posteam"), F.col("_next_kind")
+    ).otherwise(F.concat(F.lit("Opp_"), "_next_kind"))
     index = F.create_map(*(F.lit(x) for k, n in enumerate(SCORE_CLASSES) for x in (n, k)))
     plays = plays.withColumns({"next_score_drive": F.coalesce("_next_drive", F.max("fixed_drive").over(half)), "next_score_half": name})
-    return plays.withColumn("next_score_class", index[F.col("next_score_half")]).drop("_kind", "_team", "_drive", "_next_kind", "_next_team", "_next_drive")
+    return plays.withColumn("next_score_class", index[F.col("next_score_half")]).drop(
+        "_kind", "_team", "_drive", "_next_kind", "_next_team", "_next_drive"
+    )
 
 
 def add_winner(plays: DataFrame) -> DataFrame:
@@ -73,30 +89,46 @@ def add_winner(plays: DataFrame) -> DataFrame:
     last = plays.groupBy("game_id").agg(
         F.max_by("home_score", key).alias("_h"), F.max_by("away_score", key).alias("_a"), F.min_by("home_team", key).alias("_home"), F.min_by("posteam", F.when(visits, key)).alias("_away")
     )
-    last = last.select("game_id", F.when(F.col("_h") > F.col("_a"), F.col("_home")).when(F.col("_a") > F.col("_h"), F.col("_away")).alias("Winner"))
+    last = last.select(
+        "game_id",
+        F.when(F.col("_h") > F.col("_a"), F.col("_home")).when(F.col("_a") > F.col("_h"), F.col("_away")).alias("Winner")
+    )
     label = F.when(F.col("Winner").isNull(), F.lit(None).cast("double")).when(F.col("posteam") == F.col("Winner"), 1.0).otherwise(0.0)
     return plays.join(last, "game_id", "left").withColumn("wp_label", label)
 
 
 def add_ep_weights(plays: DataFrame) -> DataFrame:
     """Sample weight: near scores in drives and close games count more; each part is scaled over all rows, then the sum."""
-    plays = plays.withColumns({"_drives": X.clip(F.col("next_score_drive") - F.col("fixed_drive"), 0, float("inf")).cast("double"), "_gap": F.coalesce(F.abs("score_differential"), F.lit(0)).cast("double")})
+    plays = plays.withColumns(
+        {
+            "_drives": X.clip(F.col("next_score_drive") - F.col("fixed_drive"), 0, float("inf")).cast("double"),
+            "_gap": F.coalesce(F.abs("score_differential"), F.lit(0)).cast("double")
+        }
+    )
     parts = unit_scale(plays, {"_drives": "_near", "_gap": "_close"}, reverse=["_drives", "_gap"])
-    return unit_scale(parts.withColumn("_sum", F.col("_near") + F.col("_close")), {"_sum": "weight"}, flat=1.0).drop("_drives", "_gap", "_near", "_close", "_sum")
+    return unit_scale(
+        parts.withColumn("_sum", F.col("_near") + F.col("_close")), {"_sum": "weight"}, flat=1.0
+    ).drop("_drives", "_gap", "_near", "_close", "_sum")
 
 
 def add_wp_aux(plays: DataFrame) -> DataFrame:
     """Spread and score scaled by time, and whether the team receives the second half's kickoff."""
-    first = F.first("defteam", ignorenulls=True).over(W.partitionBy("game_id").orderBy(*play_order(plays)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    first = F.first("defteam", ignorenulls=True).over(
+        W.partitionBy("game_id").orderBy(*play_order(plays)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    )
     return plays.withColumns({
-        "spread_time": X.decay(X.sign_flip("spread_line", F.col("home") == 1.0), "game_seconds_remaining"), "Diff_Time_Ratio": X.decay("score_differential", "game_seconds_remaining", grow=True),
+        "spread_time": X.decay(
+            X.sign_flip("spread_line", F.col("home") == 1.0), "game_seconds_remaining"
+        ), "Diff_Time_Ratio": X.decay("score_differential", "game_seconds_remaining", grow=True),
         "receive_2h_ko": F.when((F.col("qtr") <= 2) & (F.col("posteam") == first), 1.0).otherwise(0.0),
     })
 
 
 def ep_set(plays: DataFrame) -> DataFrame:
     rows = plays.transform(add_next_score).transform(add_ep_weights).transform(add_common)
-    return rows.dropna(subset=["posteam", "yardline_100", "down"]).select(*EP, F.col("next_score_class").cast("double").alias("label"), "weight")
+    return rows.dropna(subset=["posteam", "yardline_100", "down"]).select(
+        *EP, F.col("next_score_class").cast("double").alias("label"), "weight"
+    )
 
 
 def wp_set(plays: DataFrame, spread: bool = True) -> DataFrame:
@@ -107,27 +139,46 @@ def wp_set(plays: DataFrame, spread: bool = True) -> DataFrame:
 def add_cp(plays: DataFrame) -> DataFrame:
     air = F.col("air_yards")
     thrown = (F.col("complete_pass") == 1) | (F.col("incomplete_pass") == 1) | (F.col("interception") == 1)
-    valid = thrown & air.isNotNull() & (air >= -15) & (air < 70) & (F.col("receiver_player_id").isNotNull() | F.col("receiver_player_name").isNotNull()) & F.col("pass_location").isNotNull()
-    return plays.withColumns({"air_is_zero": X.flag(air == 0), "pass_middle": X.flag(F.col("pass_location") == "middle"), "distance_to_sticks": air - F.col("ydstogo"), "distance_to_goal": F.col("yardline_100") - air, "valid_pass": F.when(valid, 1.0).otherwise(0.0)})
+    valid = thrown & air.isNotNull() & (air >= -15) & (air < 70) & (
+        F.col("receiver_player_id").isNotNull() | F.col("receiver_player_name").isNotNull()
+    ) & F.col("pass_location").isNotNull()
+    return plays.withColumns(
+        {
+            "air_is_zero": X.flag(air == 0), "pass_middle": X.flag(F.col("pass_location") == "middle"),
+            "distance_to_sticks": air - F.col("ydstogo"), "distance_to_goal": F.col("yardline_100") - air,
+            "valid_pass": F.when(valid, 1.0).otherwise(0.0)
+        }
+    )
 
 
 def cp_set(plays: DataFrame) -> DataFrame:
-    return plays.where("season >= 2006").transform(add_common).transform(add_cp).where("valid_pass = 1").select(*CP, F.col("complete_pass").cast("double").alias("label"))
+    return plays.where("season >= 2006").transform(add_common).transform(add_cp).where("valid_pass = 1").select(
+        *CP, F.col("complete_pass").cast("double").alias("label")
+    )
 
 
 def xyac_set(plays: DataFrame) -> DataFrame:
-    rows = plays.where("season >= 2006").transform(add_common).transform(add_cp).where("complete_pass = 1 and yards_after_catch >= -20 and air_yards >= -15 and air_yards < 70 and air_yards < yardline_100 and pass_location is not null")
+    rows = plays.where("season >= 2006").transform(add_common).transform(add_cp).where(
+        "complete_pass = 1 and yards_after_catch >= -20 and air_yards >= -15 and air_yards < 70 and air_yards < yardline_100 and pass_location is not null"
+    )
     label = X.clip(F.round(X.clip("yards_after_catch", -5, 70) + 5).cast("int"), 0, 75)
     return rows.select(*XYAC, label.cast("double").alias("label"))
 
 
 def add_totals(plays: DataFrame) -> DataFrame:
     home, spread, total = F.col("home") == 1.0, F.col("spread_line"), F.col("total_line")
-    return plays.withColumns({"home_total": (spread + total) / 2.0, "away_total": (total - spread) / 2.0}).withColumns({"posteam_total": F.when(home, F.col("home_total")).otherwise(F.col("away_total")), "posteam_spread": X.sign_flip("spread_line", home)})
+    return plays.withColumns({"home_total": (spread + total) / 2.0, "away_total": (total - spread) / 2.0}).withColumns(
+        {
+            "posteam_total": F.when(home, F.col("home_total")).otherwise(F.col("away_total")),
+            "posteam_spread": X.sign_flip("spread_line", home)
+        }
+    )
 
 
 def xpass_set(plays: DataFrame) -> DataFrame:
-    rows = plays.transform(add_common).where("(rush = 1 or pass = 1) and qb_kneel = 0 and posteam is not null and down is not null and defteam_timeouts_remaining is not null and posteam_timeouts_remaining is not null and yardline_100 is not null and score_differential is not null")
+    rows = plays.transform(add_common).where(
+        "(rush = 1 or pass = 1) and qb_kneel = 0 and posteam is not null and down is not null and defteam_timeouts_remaining is not null and posteam_timeouts_remaining is not null and yardline_100 is not null and score_differential is not null"
+    )
     if "aborted_play" in plays.columns:
         rows = rows.where("coalesce(aborted_play, 0) = 0")
     if "week" in plays.columns:
@@ -136,15 +187,21 @@ def xpass_set(plays: DataFrame) -> DataFrame:
 
 
 def fd_set(plays: DataFrame) -> DataFrame:
-    rows = plays.transform(add_common).where("down in (3, 4) and qb_kneel = 0 and (rush = 1 or pass = 1) and posteam is not null and yardline_100 is not null and score_differential is not null and week <= 17").transform(add_totals)
+    rows = plays.transform(add_common).where(
+        "down in (3, 4) and qb_kneel = 0 and (rush = 1 or pass = 1) and posteam is not null and yardline_100 is not null and score_differential is not null and week <= 17"
+    ).transform(add_totals)
     penalty, yards = F.coalesce("first_down_penalty", F.lit(0)) == 1, F.coalesce("penalty_yards", F.lit(0))
-    gained = F.when(penalty & (yards < F.col("ydstogo")), F.col("ydstogo")).when(penalty & (yards >= F.col("ydstogo")), yards).otherwise(F.col("yards_gained"))
+    gained = F.when(
+        penalty & (yards < F.col("ydstogo")), F.col("ydstogo")
+    ).when(penalty & (yards >= F.col("ydstogo")), yards).otherwise(F.col("yards_gained"))
     rows = rows.where(F.coalesce(F.col("play_type_nfl").isin("RUSH", "PASS", "SACK"), F.lit(False)) | penalty)
     return rows.select(*FD, (X.clip(gained, -10, 65) + 10).cast("int").alias("label"))
 
 
 def two_point_set(plays: DataFrame) -> DataFrame:
-    rows = plays.transform(add_common).transform(add_totals).where("down is null and yardline_100 = 2 and two_point_conv_result is not null")
+    rows = plays.transform(add_common).transform(add_totals).where(
+        "down is null and yardline_100 = 2 and two_point_conv_result is not null"
+    )
     return rows.select(*TWO_POINT, (F.col("two_point_conv_result") == "success").cast("int").alias("label"))
 
 

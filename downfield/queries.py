@@ -48,8 +48,14 @@ SCORES = ("purchase", "error")
 
 def _next_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kind of the next scoring event, seen from this event: the same kind, another, or none."""
-    rows = N.next_value(t(spark, sf_dir, "events"), {f"next_{n}": F.when(F.col("event_type").isin(*SCORES), F.col(c)) for n, c in (("type", "event_type"), ("value", "value"))}, *USER, block=F.to_date("ts"))
-    label = F.when(F.col("next_type").isNull(), "None").when(F.col("next_type") == F.col("event_type"), F.col("next_type")).otherwise(F.concat(F.lit("Other_"), "next_type"))
+    rows = N.next_value(
+        t(spark, sf_dir, "events"),
+        {f"next_{n}": F.when(F.col("event_type").isin(*SCORES), F.col(c)) for n, c in (("type", "event_type"), ("value", "value"))},
+        *USER, block=F.to_date("ts")
+    )
+    label = F.when(F.col("next_type").isNull(), "None").when(
+        F.col("next_type") == F.col("event_type"), F.col("next_type")
+    ).otherwise(F.concat(F.lit("Other_"), "next_type"))
     return rows.withColumn("label", label)
 
 
@@ -81,7 +87,9 @@ def next_event_calibration(spark, sf_dir):
 SELECT event_id, round(coalesce(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 4) AS before
 FROM events""")
 def running_total_before(spark, sf_dir):
-    return N.running_before(t(spark, sf_dir, "events"), "value", *USER, "before", F.to_date("ts")).select("event_id", F.round("before", 4).alias("before"))
+    return N.running_before(
+        t(spark, sf_dir, "events"), "value", *USER, "before", F.to_date("ts")
+    ).select("event_id", F.round("before", 4).alias("before"))
 
 
 @query("""
@@ -89,7 +97,9 @@ SELECT event_id, (3 - least(sum((event_type = 'error')::INT) OVER (PARTITION BY
 FROM events""")
 def capped_remaining(spark, sf_dir):
     rows = t(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    return N.capped_remaining(rows, F.col("event_type") == "error", ["user_id", "day"], USER[1], "remaining").select("event_id", long("remaining").alias("remaining"))
+    return N.capped_remaining(
+        rows, F.col("event_type") == "error", ["user_id", "day"], USER[1], "remaining"
+    ).select("event_id", long("remaining").alias("remaining"))
 
 
 @query("""
@@ -97,7 +107,9 @@ SELECT event_id, (sum(begins) OVER (PARTITION BY user_id ORDER BY ts, event_id R
 FROM (SELECT *, CASE WHEN lag(event_type) OVER w IS NULL OR lag(event_type) OVER w <> event_type THEN 1 ELSE 0 END AS begins FROM events
       WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))""")
 def session_counter(spark, sf_dir):
-    return N.change_counter(t(spark, sf_dir, "events"), "event_type", *USER, "session", F.to_date("ts")).select("event_id", long("session").alias("session"))
+    return N.change_counter(
+        t(spark, sf_dir, "events"), "event_type", *USER, "session", F.to_date("ts")
+    ).select("event_id", long("session").alias("session"))
 
 
 @query("""
@@ -128,7 +140,9 @@ def average_rank(spark, sf_dir):
 SELECT event_id, first_kind FROM events LEFT JOIN (SELECT user_id, arg_min(event_type, (ts, event_id)) FILTER (event_type <> 'view') AS first_kind FROM events GROUP BY 1) USING (user_id)""")
 def first_nonnull_in_group(spark, sf_dir):
     kind = F.nullif("event_type", F.lit("view"))
-    return N.first_known(t(spark, sf_dir, "events"), kind, ["user_id"], F.struct("ts", "event_id"), "first_kind").select("event_id", "first_kind")
+    return N.first_known(
+        t(spark, sf_dir, "events"), kind, ["user_id"], F.struct("ts", "event_id"), "first_kind"
+    ).select("event_id", "first_kind")
 
 
 # ---- aggregates -----------------------------------------------------------------------------------------------------
@@ -144,7 +158,9 @@ def group_last_first(spark, sf_dir):
     f, o = F.count_if(F.col("o_orderstatus") == "F"), F.count_if(F.col("o_orderstatus") == "O")
     calm = F.col("o_orderpriority") != "1-URGENT"
     return t(spark, sf_dir, "orders").groupBy("o_custkey").agg(
-        F.max_by("o_orderstatus", at).alias("last_status"), F.min_by("o_orderstatus", at).alias("first_status"), F.min_by(F.col("o_orderpriority"), F.when(calm, at)).alias("first_calm"), F.when(f > o, "F").when(f < o, "O").alias("winner")
+        F.max_by("o_orderstatus", at).alias("last_status"), F.min_by("o_orderstatus", at).alias("first_status"), F.min_by(
+            F.col("o_orderpriority"), F.when(calm, at)
+        ).alias("first_calm"), F.when(f > o, "F").when(f < o, "O").alias("winner")
     )
 
 
@@ -185,8 +201,12 @@ def weighted_cal_error(spark, sf_dir):
 SELECT lang, round(avg((p - y) * (p - y)), 6) AS brier, round(CASE WHEN min(p) = max(p) OR min(y) = max(y) THEN 0.0 ELSE corr(p, y) END, 6) AS pearson
 FROM (SELECT lang, least(n_chars / 10000.0, 1.0)::DOUBLE AS p, quality::DOUBLE AS y FROM labels JOIN documents USING (doc_id)) GROUP BY 1""")
 def brier_pearson(spark, sf_dir):
-    rows = t(spark, sf_dir, "labels").join(t(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), "doc_id").select("lang", F.least(F.col("n_chars") / 10000.0, F.lit(1.0)).alias("p"), F.col("quality").cast("double").alias("y"))
-    return rows.groupBy("lang").agg(r6(A.brier(F.col("p"), F.col("y"))).alias("brier"), r6(A.pearson(F.col("p"), F.col("y"))).alias("pearson"))
+    rows = t(spark, sf_dir, "labels").join(t(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), "doc_id").select(
+        "lang", F.least(F.col("n_chars") / 10000.0, F.lit(1.0)).alias("p"), F.col("quality").cast("double").alias("y")
+    )
+    return rows.groupBy("lang").agg(
+        r6(A.brier(F.col("p"), F.col("y"))).alias("brier"), r6(A.pearson(F.col("p"), F.col("y"))).alias("pearson")
+    )
 
 
 @query("""
@@ -194,7 +214,9 @@ SELECT l_returnflag, round((sum(w*a*b)/sum(w) - sum(w*a)/sum(w)*sum(w*b)/sum(w))
   max(abs(a - b)) AS most FROM (SELECT l_returnflag, l_quantity AS w, l_discount AS a, l_tax AS b FROM lineitem) GROUP BY 1""")
 def weighted_pearson(spark, sf_dir):
     a, b = F.col("l_discount"), F.col("l_tax")
-    return t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(r6(A.weighted_pearson(a, b, F.col("l_quantity"))).alias("r"), F.max(F.abs(a - b)).alias("most"))
+    return t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
+        r6(A.weighted_pearson(a, b, F.col("l_quantity"))).alias("r"), F.max(F.abs(a - b)).alias("most")
+    )
 
 
 @query("""
@@ -203,9 +225,16 @@ SELECT 'price' AS name, count(*) FILTER (abs(a - b) < 0.5) AS matched, count(*)
 UNION ALL SELECT 'status', count(*) FILTER (s = z), count(z), round(count(*) FILTER (s = z) / count(z), 6) FROM x""")
 def match_rate(spark, sf_dir):
     orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    other = orders.select("o_orderkey", (F.col("o_totalprice") + F.when(F.col("o_orderkey") % 7 == 0, 1.0).otherwise(0.25)).alias("nv_price"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")).alias("nv_status"))
+    other = orders.select(
+        "o_orderkey",
+        (F.col("o_totalprice") + F.when(F.col("o_orderkey") % 7 == 0, 1.0).otherwise(0.25)).alias("nv_price"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")).alias("nv_status")
+    )
     both = orders.join(other, "o_orderkey")
-    return A.match_rates(both, {"price": (F.col("o_totalprice"), F.col("nv_price"), 0.5), "status": (F.col("o_orderstatus"), F.col("nv_status"), None)}).withColumn("rate", r6("rate"))
+    return A.match_rates(
+        both,
+        {"price": (F.col("o_totalprice"), F.col("nv_price"), 0.5), "status": (F.col("o_orderstatus"), F.col("nv_status"), None)}
+    ).withColumn("rate", r6("rate"))
 
 
 @query("""
@@ -213,14 +242,22 @@ WITH b AS (SELECT p_partkey, p_size // 10 AS bin, (p_type LIKE '%STEEL%')::INT A
 r AS (SELECT bin, round(sum(hit) / count(*), 6) AS hit_rate, round(sum(dear) / count(*), 6) AS dear_rate FROM b GROUP BY 1)
 SELECT p_partkey, bin::BIGINT AS bin, hit_rate, dear_rate FROM b LEFT JOIN r USING (bin)""")
 def binned_rates(spark, sf_dir):
-    rows = t(spark, sf_dir, "part").select("p_partkey", F.floor(F.col("p_size") / 10).alias("bin"), F.col("p_type").contains("STEEL").cast("int").alias("hit"), (F.col("p_retailprice") > 1000).cast("int").alias("dear"))
-    rates = rows.groupBy("bin").agg(r6(F.sum("hit") / F.count(F.lit(1))).alias("hit_rate"), r6(F.sum("dear") / F.count(F.lit(1))).alias("dear_rate"))
+    rows = t(spark, sf_dir, "part").select(
+        "p_partkey", F.floor(F.col("p_size") / 10).alias("bin"),
+        F.col("p_type").contains("STEEL").cast("int").alias("hit"),
+        (F.col("p_retailprice") > 1000).cast("int").alias("dear")
+    )
+    rates = rows.groupBy("bin").agg(
+        r6(F.sum("hit") / F.count(F.lit(1))).alias("hit_rate"), r6(F.sum("dear") / F.count(F.lit(1))).alias("dear_rate")
+    )
     return rows.join(rates, "bin", "left").select("p_partkey", "bin", "hit_rate", "dear_rate")
 
 
 @query("""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS line, round(l_extendedprice / sum(l_extendedprice) OVER (PARTITION BY l_orderkey), 6) AS share FROM lineitem""")
 def normalise_share(spark, sf_dir):
-    return A.share_of(t(spark, sf_dir, "lineitem"), "l_extendedprice", ["l_orderkey"], "share").select("l_orderkey", "l_partkey", "l_suppkey", long("l_linenumber").alias("line"), r6("share").alias("share"))
+    return A.share_of(t(spark, sf_dir, "lineitem"), "l_extendedprice", ["l_orderkey"], "share").select(
+        "l_orderkey", "l_partkey", "l_suppkey", long("l_linenumber").alias("line"), r6("share").alias("share")
+    )
 
 
 @query("""
@@ -232,12 +269,20 @@ m AS (SELECT k.*, flag, CASE WHEN flag = 1 THEN pct * 0.1 ELSE pct * 0.9 END AS
 SELECT l_returnflag, q, flag::BIGINT AS flag, round(part / sum(part) OVER (PARTITION BY l_returnflag), 6) AS pct FROM m""")
 def outlier_inject(spark, sf_dir):
     """Capped values as a distribution, outliers put in, the rest scaled down, rows doubled by a flag, sum 1 again."""
-    counts = t(spark, sf_dir, "lineitem").groupBy("l_returnflag", F.least("l_quantity", F.lit(40)).cast("long").alias("q")).agg(F.count(F.lit(1)).alias("n"))
+    counts = t(spark, sf_dir, "lineitem").groupBy(
+        "l_returnflag", F.least("l_quantity", F.lit(40)).cast("long").alias("q")
+    ).agg(F.count(F.lit(1)).alias("n"))
     shares = A.share_of(counts, "n", ["l_returnflag"], "pct").drop("n")
     odd = spark.createDataFrame([("R", 0, 0.05), ("A", 0, 0.02)], "l_returnflag string, q long, pct double")
-    scaled = shares.join(F.broadcast(odd.select("l_returnflag", F.col("pct").alias("odd"))), "l_returnflag", "left").select("l_returnflag", "q", (F.col("pct") * (1 - F.coalesce("odd", F.lit(0.0)))).alias("pct"))
-    both = scaled.unionByName(odd).withColumn("flag", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("part", F.col("pct") * F.when(F.col("flag") == 1, 0.1).otherwise(0.9))
-    return A.share_of(both.drop("pct"), "part", ["l_returnflag"], "pct").select("l_returnflag", "q", long("flag").alias("flag"), r6("pct").alias("pct"))
+    scaled = shares.join(
+        F.broadcast(odd.select("l_returnflag", F.col("pct").alias("odd"))), "l_returnflag", "left"
+    ).select("l_returnflag", "q", (F.col("pct") * (1 - F.coalesce("odd", F.lit(0.0)))).alias("pct"))
+    both = scaled.unionByName(odd).withColumn("flag", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "part", F.col("pct") * F.when(F.col("flag") == 1, 0.1).otherwise(0.9)
+    )
+    return A.share_of(both.drop("pct"), "part", ["l_returnflag"], "pct").select(
+        "l_returnflag", "q", long("flag").alias("flag"), r6("pct").alias("pct")
+    )
 
 
 @query("""
@@ -252,9 +297,13 @@ WITH p AS (SELECT p_size::DOUBLE AS x, floor(p_retailprice / 50)::DOUBLE AS y FR
 g AS (SELECT i, j, x0 + (x1 - x0) / 19 * i AS gx, y0 + (y1 - y0) / 19 * j AS gy, n FROM e, range(20) a(i), range(20) b(j))
 SELECT i::BIGINT AS i, j::BIGINT AS j, round(sum(exp(-0.5 * pow((gx - x) / 4.0, 2)) / 4.0 * exp(-0.5 * pow((gy - y) / 2.0, 2)) / 2.0) / (2 * pi()) / any_value(n), 8) AS density FROM g, p GROUP BY 1, 2""")
 def kde_grid(spark, sf_dir):
-    points = t(spark, sf_dir, "part").select(F.col("p_size").cast("double").alias("x"), F.floor(F.col("p_retailprice") / 50).cast("double").alias("y"))
+    points = t(spark, sf_dir, "part").select(
+        F.col("p_size").cast("double").alias("x"), F.floor(F.col("p_retailprice") / 50).cast("double").alias("y")
+    )
     ends = points.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-    return A.density_grid(points, "x", "y", 4.0, 2.0, 20, 20, ends).select(long("i").alias("i"), long("j").alias("j"), F.round("density", 8).alias("density"))
+    return A.density_grid(points, "x", "y", 4.0, 2.0, 20, 20, ends).select(
+        long("i").alias("i"), long("j").alias("j"), F.round("density", 8).alias("density")
+    )
 
 
 def _priorities(spark, sf_dir):
@@ -284,7 +333,9 @@ SELECT c_nationkey::BIGINT AS nation, class, round(prob, 6) AS prob, round(sum(p
 def class_unpivot(spark, sf_dir):
     """Class shares, wide and long again, with the expected value of the classes' points."""
     points = {"AUTOMOBILE": 7.0, "BUILDING": -7.0, "FURNITURE": 3.0, "HOUSEHOLD": -3.0, "MACHINERY": 2.0}
-    wide = t(spark, sf_dir, "customer").groupBy("c_nationkey").agg(*((F.count_if(F.col("c_mktsegment") == k) / F.count(F.lit(1))).alias(f"p_{k}") for k in points))
+    wide = t(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
+        *((F.count_if(F.col("c_mktsegment") == k) / F.count(F.lit(1))).alias(f"p_{k}") for k in points)
+    )
     wide = wide.withColumn("expected", X.expected(F.array(*(f"p_{k}" for k in points)), F.array(*map(F.lit, points.values()))))
     out = A.longer(wide, ["c_nationkey", "expected"], "p_", "class", "prob").where("prob > 0")
     return out.select(long("c_nationkey").alias("nation"), "class", r6("prob").alias("prob"), r6("expected").alias("expected"))
@@ -301,7 +352,10 @@ SELECT o_orderkey, (o_orderstatus = 'F')::INT::DOUBLE AS status_F, (o_orderstatu
 FROM (SELECT *, year(o_orderdate) AS y FROM orders)""")
 def onehot_bucket(spark, sf_dir):
     rows = t(spark, sf_dir, "orders").withColumn("y", F.year("o_orderdate"))
-    cols = X.one_hot("o_orderstatus", ("F", "O", "P"), "status_") | X.ranges("y", (1994, 1996), "era") | {"depth": X.bucket("o_totalprice", [(50000, "Short"), (150000, "Intermediate")], "Deep"), "half": X.half_of(F.quarter("o_orderdate"))}
+    cols = X.one_hot("o_orderstatus", ("F", "O", "P"), "status_") | X.ranges("y", (1994, 1996), "era") | {
+        "depth": X.bucket("o_totalprice", [(50000, "Short"), (150000, "Intermediate")], "Deep"),
+        "half": X.half_of(F.quarter("o_orderdate"))
+    }
     return rows.select("o_orderkey", *(c.alias(n) for n, c in cols.items()))
 
 
@@ -311,7 +365,10 @@ SELECT o_orderkey, round(o_totalprice * exp(-4.0 * (epoch(o_orderdate) - a) / (b
 def time_decay(spark, sf_dir):
     rows = t(spark, sf_dir, "orders").withColumn("sec", F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 1e6)
     rows = A.unit_scale(rows, {"sec": "left"}, reverse=["sec"])
-    return rows.select("o_orderkey", F.round(X.decay("o_totalprice", "left", 1.0), 4).alias("faded"), F.round(X.decay(F.lit(1000.0), "left", 1.0, grow=True), 4).alias("grown"))
+    return rows.select(
+        "o_orderkey", F.round(X.decay("o_totalprice", "left", 1.0), 4).alias("faded"),
+        F.round(X.decay(F.lit(1000.0), "left", 1.0, grow=True), 4).alias("grown")
+    )
 
 
 @query("""
@@ -326,7 +383,10 @@ def sign_flip(spark, sf_dir):
 @query("""SELECT l_orderkey, l_partkey, l_suppkey, CASE WHEN q IS NOT NULL THEN (round(least(greatest(q, 5), 40)) - 5)::BIGINT END AS label FROM (SELECT *, nullif(l_quantity, 13) AS q FROM lineitem)""")
 def clamp_shift_label(spark, sf_dir):
     rows = t(spark, sf_dir, "lineitem")
-    return rows.select("l_orderkey", "l_partkey", "l_suppkey", long(F.round(X.clip(F.nullif("l_quantity", F.lit(13.0)), 5, 40)) - 5).alias("label"))
+    return rows.select(
+        "l_orderkey", "l_partkey", "l_suppkey",
+        long(F.round(X.clip(F.nullif("l_quantity", F.lit(13.0)), 5, 40)) - 5).alias("label")
+    )
 
 
 @query("""SELECT doc_id, (n_chars BETWEEN 200 AND 20000 AND lang IN ('en', 'fr') AND text IS NOT NULL AND source <> 'src0' AND text NOT LIKE '%|%')::INT::BIGINT AS valid FROM documents""")
@@ -341,14 +401,22 @@ SELECT l_orderkey, l_partkey, l_suppkey, CASE WHEN l_returnflag = 'R' AND l_disc
 def case_priority(spark, sf_dir):
     returned, tax = F.col("l_returnflag") == "R", F.when(F.col("l_linestatus") == "O", "run").when(F.col("l_tax") > 0.06, "punt")
     kind = F.when(returned & (F.col("l_discount") > 0.05), "no_play").when(returned, "pass").otherwise(tax)
-    return t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", kind.alias("kind"), X.truth(tax.isin("punt", "kickoff")).alias("special"))
+    return t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", kind.alias("kind"),
+        X.truth(tax.isin("punt", "kickoff")).alias("special")
+    )
 
 
 @query("""
 SELECT page_id, nullif(regexp_extract(url, '://([^/]+)', 1), '') AS host, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title,
   nullif(regexp_extract(url, 'utm_source=(\\w+)', 1), '') AS campaign, contains(html, '<article>')::INT::BIGINT AS has_article FROM pages""")
 def regex_extract(spark, sf_dir):
-    return t(spark, sf_dir, "pages").select("page_id", X.matched("url", "://([^/]+)").alias("host"), X.matched("html", "<title>([^<]*)</title>").alias("title"), X.matched("url", r"utm_source=(\w+)").alias("campaign"), X.truth(F.col("html").contains("<article>")).alias("has_article"))
+    return t(spark, sf_dir, "pages").select(
+        "page_id", X.matched("url", "://([^/]+)").alias("host"),
+        X.matched("html", "<title>([^<]*)</title>").alias("title"),
+        X.matched("url", r"utm_source=(\w+)").alias("campaign"),
+        X.truth(F.col("html").contains("<article>")).alias("has_article")
+    )
 
 
 @query("""
@@ -356,7 +424,9 @@ SELECT c_custkey, (regexp_extract(c_name, '#0*(\\d+)$', 1))::BIGINT AS number, p
   TRY_CAST(split_part(c_mktsegment || ':7', ':', 1) AS INTEGER)::BIGINT AS clock FROM customer""")
 def string_parse(spark, sf_dir):
     return t(spark, sf_dir, "customer").select(
-        "c_custkey", X.matched("c_name", r"#0*(\d+)$").cast("long").alias("number"), F.format_string("%d_%02d_%s", F.col("c_nationkey") + 2000, F.col("c_nationkey"), F.col("c_mktsegment")).alias("code"), long(X.clock_seconds(F.concat("c_mktsegment", F.lit(":7")))).alias("clock")
+        "c_custkey", X.matched("c_name", r"#0*(\d+)$").cast("long").alias("number"), F.format_string(
+            "%d_%02d_%s", F.col("c_nationkey") + 2000, F.col("c_nationkey"), F.col("c_mktsegment")
+        ).alias("code"), long(X.clock_seconds(F.concat("c_mktsegment", F.lit(":7")))).alias("clock")
     )
 
 
@@ -364,7 +434,9 @@ def string_parse(spark, sf_dir):
 def map_rename(spark, sf_dir):
     two = F.when(F.col("n_regionkey") <= 1, "OLD_TWO").otherwise("TWO")
     name = X.renamed("n_name", {"NATION_1": "ONE"})
-    return t(spark, sf_dir, "nation").select(long("n_nationkey").alias("nation"), F.when(F.col("n_name") == "NATION_2", two).otherwise(name).alias("name"))
+    return t(spark, sf_dir, "nation").select(
+        long("n_nationkey").alias("nation"), F.when(F.col("n_name") == "NATION_2", two).otherwise(name).alias("name")
+    )
 
 
 @query("""SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
@@ -387,9 +459,14 @@ def ordered_fold(spark, sf_dir):
     rows = t(spark, sf_dir, "events").withColumn("last", F.max(F.when(kind == "click", at)).over(W.partitionBy("user_id")))
     high = lambda least: F.when(F.col("value") > least, F.col("value"))
     return rows.groupBy("user_id").agg(
-        F.count_if(kind == "view").alias("views"), F.round(F.coalesce(F.sum(F.when(kind == "purchase", F.col("value"))), F.lit(0.0)), 4).alias("spent"), long(F.max((kind == "error").cast("int"))).alias("failed"),
+        F.count_if(kind == "view").alias("views"), F.round(
+            F.coalesce(F.sum(F.when(kind == "purchase", F.col("value"))), F.lit(0.0)), 4
+        ).alias("spent"), long(F.max((kind == "error").cast("int"))).alias("failed"),
         fold.last_write(high(50), kind == "signup", at).alias("last_signup"),
-        F.coalesce(fold.last_write(high(30), kind == "click", at), F.min_by("value", F.when((kind == "view") & F.col("value").isNotNull() & (F.col("last").isNull() | (at > F.col("last"))), at))).alias("shown"),
+        F.coalesce(
+            fold.last_write(high(30), kind == "click", at),
+            F.min_by("value", F.when((kind == "view") & F.col("value").isNotNull() & (F.col("last").isNull() | (at > F.col("last"))), at))
+        ).alias("shown"),
     )
 
 
@@ -409,21 +486,30 @@ m AS (SELECT event_id, error_id, row_number() OVER (PARTITION BY event_id ORDER
 SELECT event_id, error_id FROM m WHERE k = 1""")
 def interval_join(spark, sf_dir):
     events = t(spark, sf_dir, "events").withColumn("sec", F.unix_micros(F.col("ts").cast("timestamp")) / 1e6)
-    spans = events.where("event_type = 'error'").select("user_id", F.col("event_id").alias("error_id"), F.col("sec").alias("a"), (F.col("sec") + 7200).alias("b"))
-    return joins.first_interval(events, spans, ["user_id"], "sec", "a", "b", ["a", "error_id"], ["event_id"], 7200.0).select("event_id", "error_id")
+    spans = events.where("event_type = 'error'").select(
+        "user_id", F.col("event_id").alias("error_id"), F.col("sec").alias("a"), (F.col("sec") + 7200).alias("b")
+    )
+    return joins.first_interval(
+        events, spans, ["user_id"], "sec", "a", "b", ["a", "error_id"], ["event_id"], 7200.0
+    ).select("event_id", "error_id")
 
 
 @query("""
 SELECT event_id, col, token FROM events JOIN (VALUES ('view', 'seen', 'ONE'), ('click', 'seen', 'ONE'), ('click', 'clicks', 'COUNT'), ('purchase', 'spent', 'SUM')) x(event_type, col, token) USING (event_type)""")
 def effect_lookup(spark, sf_dir):
-    effects = spark.createDataFrame([("view", "seen", "ONE"), ("click", "seen", "ONE"), ("click", "clicks", "COUNT"), ("purchase", "spent", "SUM")], "event_type string, col string, token string")
+    effects = spark.createDataFrame(
+        [("view", "seen", "ONE"), ("click", "seen", "ONE"), ("click", "clicks", "COUNT"), ("purchase", "spent", "SUM")],
+        "event_type string, col string, token string"
+    )
     return t(spark, sf_dir, "events").join(F.broadcast(effects), "event_type").select("event_id", "col", "token")  # four rows
 
 
 @query("""SELECT o_orderkey, c_mktsegment, n_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""")
 def left_dim(spark, sf_dir):
     rows = t(spark, sf_dir, "orders").join(t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-    return rows.join(t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left").select("o_orderkey", "c_mktsegment", "n_name")
+    return rows.join(
+        t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    ).select("o_orderkey", "c_mktsegment", "n_name")
 
 
 @query("""SELECT a.c_custkey, a.c_acctbal, b.s_acctbal AS nv_acctbal FROM customer a JOIN supplier b ON a.c_custkey = b.s_suppkey""")
@@ -446,15 +532,24 @@ WITH c AS (SELECT c_nationkey k, count(*) n FROM customer WHERE c_mktsegment = '
 SELECT coalesce(c.k, s.k)::BIGINT AS nation, coalesce(c.n, 0) AS customers, coalesce(s.n, 0) AS suppliers FROM c FULL JOIN s ON c.k = s.k""")
 def full_support(spark, sf_dir):
     """Nations of rich builders and of poor suppliers: some have only the one or the other."""
-    c = t(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING' and c_acctbal > 8000").groupBy(long("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
-    s = t(spark, sf_dir, "supplier").where("s_acctbal < 3000").groupBy(long("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("suppliers"))
-    return c.join(s, "nation", "full").select("nation", F.coalesce("customers", F.lit(0)).alias("customers"), F.coalesce("suppliers", F.lit(0)).alias("suppliers"))
+    c = t(spark, sf_dir, "customer").where(
+        "c_mktsegment = 'BUILDING' and c_acctbal > 8000"
+    ).groupBy(long("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
+    s = t(spark, sf_dir, "supplier").where("s_acctbal < 3000").groupBy(long("s_nationkey").alias("nation")).agg(
+        F.count(F.lit(1)).alias("suppliers")
+    )
+    return c.join(s, "nation", "full").select(
+        "nation", F.coalesce("customers", F.lit(0)).alias("customers"),
+        F.coalesce("suppliers", F.lit(0)).alias("suppliers")
+    )
 
 
 @query("""SELECT y::BIGINT AS yardline, r_name, y * (r_regionkey + 1)::BIGINT AS cell FROM range(1, 100) g(y), region""")
 def cross_grid(spark, sf_dir):
     grid = spark.range(1, 100).withColumnRenamed("id", "yardline")
-    return grid.crossJoin(t(spark, sf_dir, "region")).select("yardline", "r_name", (F.col("yardline") * (F.col("r_regionkey") + 1)).alias("cell"))  # 99 by 5
+    return grid.crossJoin(t(spark, sf_dir, "region")).select(
+        "yardline", "r_name", (F.col("yardline") * (F.col("r_regionkey") + 1)).alias("cell")
+    )  # 99 by 5
 
 
 # ---- sets, sorts, sources -------------------------------------------------------------------------------------------
@@ -462,7 +557,10 @@ def cross_grid(spark, sf_dir):
 
 @query("""SELECT c_custkey AS id, c_name AS name, c_acctbal AS bal, c_mktsegment AS segment FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal, NULL FROM supplier""")
 def union_relaxed(spark, sf_dir):
-    c = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("bal"), F.col("c_mktsegment").alias("segment"))
+    c = t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("bal"),
+        F.col("c_mktsegment").alias("segment")
+    )
     s = t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("bal"))
     return c.unionByName(s, allowMissingColumns=True)
 
@@ -474,7 +572,9 @@ def set_ops(spark, sf_dir):
     c = t(spark, sf_dir, "customer").where("c_acctbal > 9000").select(long("c_nationkey").alias("nation"))
     s = t(spark, sf_dir, "supplier")
     both = c.intersect(s.select(long("s_nationkey").alias("nation"))).select(F.lit("both").alias("kind"), "nation")
-    return both.unionByName(c.subtract(s.where("s_acctbal > 5000").select(long("s_nationkey").alias("nation"))).select(F.lit("left").alias("kind"), "nation"))
+    return both.unionByName(
+        c.subtract(s.where("s_acctbal > 5000").select(long("s_nationkey").alias("nation"))).select(F.lit("left").alias("kind"), "nation")
+    )
 
 
 @query("""SELECT lang, source, min(doc_id) AS doc_id FROM documents GROUP BY 1, 2""")
@@ -484,7 +584,9 @@ def dedup_subset(spark, sf_dir):
 
 @query("""SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey LIMIT 50""")
 def topk_sort(spark, sf_dir):
-    return t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice").orderBy("o_orderpriority", F.desc("o_totalprice"), "o_orderkey").limit(50)
+    return t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice").orderBy(
+        "o_orderpriority", F.desc("o_totalprice"), "o_orderkey"
+    ).limit(50)
 
 
 @query("""
@@ -514,7 +616,10 @@ def sha_digest(spark, sf_dir):
 @query("""SELECT vec_id, round(list_sum(list_transform(range(1, len(embedding) + 1), lambda i: embedding[i]::DOUBLE * i)), 6) AS expected FROM embeddings""")
 def dot_expected(spark, sf_dir):
     values = F.transform("embedding", lambda x: x.cast("double"))
-    return t(spark, sf_dir, "embeddings").select("vec_id", r6(X.expected(values, F.transform("embedding", lambda _, i: (i + 1).cast("double")))).alias("expected"))
+    return t(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        r6(X.expected(values, F.transform("embedding", lambda _, i: (i + 1).cast("double")))).alias("expected")
+    )
 
 
 from . import plan_queries  # noqa: E402, F401  registers its queries here

@@ -29,15 +29,21 @@ def read_games(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def season_games(spark: SparkSession, root: str, season: int, ids: Sequence[str] | None = None) -> DataFrame:
     """Games of one season from files ``season_*.json``; with ``ids`` only these. Only matching files are opened."""
-    raw = spark.read.schema(GAME).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", f"{season}_*.json").json(root)
+    raw = spark.read.schema(GAME).option("multiLine", True).option("recursiveFileLookup", True).option(
+        "pathGlobFilter", f"{season}_*.json"
+    ).json(root)
     rows = raw.select("*", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("game_id"))
     return rows if ids is None else rows.where(F.col("game_id").isin(*ids))
 
 
 def library_files(spark: SparkSession, root: str, suffix: str = ".json") -> DataFrame:
     """(game_id, size) of a library's files, sorted; other files aren't listed and none is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"))
-    return files.where(F.endswith("name", F.lit(suffix))).select(F.substring("name", F.lit(1), F.length("name") - len(suffix)).alias("game_id"), "size").orderBy("game_id")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(
+        F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size")
+    )
+    return files.where(F.endswith("name", F.lit(suffix))).select(
+        F.substring("name", F.lit(1), F.length("name") - len(suffix)).alias("game_id"), "size"
+    ).orderBy("game_id")
 
 
 def split_games(payload: DataFrame, root: str, column: str = "value") -> int:
@@ -54,7 +60,12 @@ def split_games(payload: DataFrame, root: str, column: str = "value") -> int:
 def weekly_games(payload: DataFrame, column: str = "value") -> DataFrame:
     """Games of weekly payloads (JSON text), which are lists or objects with ``games`` or ``data``: (game, game_id), the
     id from the first of id, nflId and gameId."""
-    games = F.coalesce(*(F.from_json(F.when(cond, F.get_json_object(column, path)), "array<string>") for cond, path in ((~F.startswith(F.ltrim(column), F.lit("{")), "$"), (F.lit(True), "$.games"), (F.lit(True), "$.data"))))
+    games = F.coalesce(
+        *(
+            F.from_json(F.when(cond, F.get_json_object(column, path)), "array<string>")
+            for cond, path in ((~F.startswith(F.ltrim(column), F.lit("{")), "$"), (F.lit(True), "$.games"), (F.lit(True), "$.data"))
+        )
+    )
     rows = payload.select(F.explode(games).alias("game"))
     return rows.withColumn("game_id", F.coalesce(*(F.get_json_object("game", f"$.{k}") for k in ("id", "nflId", "gameId"))))
 
@@ -83,7 +94,9 @@ def season_values(values: Sequence[int]) -> list[int]:
 def week_calendar(payload: DataFrame, column: str = "value") -> DataFrame:
     """(week) of payloads ``{"weeks": [{"week": ...}]}``, sorted, once each; what is no whole number is left out."""
     weeks = F.from_json(F.get_json_object(column, "$.weeks"), "array<struct<week:string>>")
-    return payload.select(F.explode(weeks).alias("w")).select(F.col("w.week").try_cast("int").alias("week")).where("week is not null").distinct().orderBy("week")
+    return payload.select(F.explode(weeks).alias("w")).select(
+        F.col("w.week").try_cast("int").alias("week")
+    ).where("week is not null").distinct().orderBy("week")
 
 
 def regular_weeks(calendar: DataFrame) -> Column:

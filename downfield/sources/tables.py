@@ -56,7 +56,12 @@ def list_text(c: Column | str) -> Column:
 def flat_columns(df: DataFrame) -> DataFrame:
     """Nested columns as text, for formats that know none."""
     nested = {n for n, kind in df.dtypes if kind.startswith(("array", "map", "struct"))}
-    return df.select(*((list_text(n) if dict(df.dtypes)[n].startswith(("array", "map")) else F.to_json(n)).alias(n) if n in nested else F.col(n) for n in df.columns))
+    return df.select(
+        *(
+            (list_text(n) if dict(df.dtypes)[n].startswith(("array", "map")) else F.to_json(n)).alias(n) if n in nested else F.col(n)
+            for n in df.columns
+        )
+    )
 
 
 def write_dataset(df: DataFrame, root: str, name: str) -> bool:
@@ -70,14 +75,20 @@ def write_dataset(df: DataFrame, root: str, name: str) -> bool:
 
 def update_manifest(old: DataFrame | None, season: int, data: DataFrame) -> DataFrame:
     """(season, row_count, generated_at_utc) with the row of ``season`` replaced, sorted."""
-    new = data.agg(F.lit(season).cast("int").alias("season"), F.count(F.lit(1)).alias("row_count"), F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("string").alias("generated_at_utc"))
+    new = data.agg(
+        F.lit(season).cast("int").alias("season"), F.count(F.lit(1)).alias("row_count"),
+        F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("string").alias("generated_at_utc")
+    )
     return (upsert(old, new, ["season"]) if old is not None else new).orderBy("season")
 
 
 def file_digests(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(name, size, sha256) of files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return files.select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    return files.select(
+        F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"),
+        F.sha2("content", 256).alias("sha256")
+    )
 
 
 def artifact_plan(spark: SparkSession, path: str, suffix: str = ".ubj") -> DataFrame:

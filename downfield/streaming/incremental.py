@@ -12,7 +12,9 @@ from ..sources.games import GAME
 
 def stream_games(spark: SparkSession, raw_dir: str, files_per_trigger: int = 1000) -> DataFrame:
     """New game documents under ``raw_dir``; final documents don't change, so a file is read once."""
-    return spark.readStream.schema(GAME).option("multiLine", True).option("maxFilesPerTrigger", files_per_trigger).option("recursiveFileLookup", True).json(raw_dir).selectExpr("*", "_metadata.file_name AS file_name")
+    return spark.readStream.schema(GAME).option("multiLine", True).option(
+        "maxFilesPerTrigger", files_per_trigger
+    ).option("recursiveFileLookup", True).json(raw_dir).selectExpr("*", "_metadata.file_name AS file_name")
 
 
 def rebuild(games: DataFrame, build: Callable[[DataFrame], DataFrame], out_dir: str, checkpoint: str) -> StreamingQuery:

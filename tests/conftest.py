@@ -7,8 +7,12 @@ DATA = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = (
-        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "4g").getOrCreate()
+        SparkSession.builder.master("local[4]").appName("tests").config(
+            "spark.sql.shuffle.partitions", "4"
+        ).config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC").config(
+            "spark.ui.showConsoleProgress", "false"
+        ).config("spark.driver.memory", "4g").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -16,7 +16,11 @@ def stat(kind, yards=None, player=None, name=None, team="1"):
 
 
 def play(k, stats=(), **more):
-    return {"playId": f"{k}", "playSequenceNumber": float(k), "playType": "RUSH", "quarter": 1, "clockTime": "10:00", "down": 1, "yardsRemaining": 10, "yardLine": "KC 35", "playDescription": "", "playScored": False, "stats": list(stats), **more}
+    return {
+        "playId": f"{k}", "playSequenceNumber": float(k), "playType": "RUSH", "quarter": 1, "clockTime": "10:00",
+        "down": 1, "yardsRemaining": 10, "yardLine": "KC 35", "playDescription": "", "playScored": False,
+        "stats": list(stats), **more
+    }
 
 
 def game(plays_, season=2024, drives=None):
@@ -24,7 +28,12 @@ def game(plays_, season=2024, drives=None):
     return {
         "season": season, "week": 1, "seasonType": "REG", "homeTeam": side("1", "BAL"), "awayTeam": side("2", "KC"),
         "summary": {"homeTeam": {"teamId": "1", "score": {"total": 20}}, "awayTeam": {"teamId": "2", "score": {"total": 27}}},
-        "driveChart": {"drives": drives if drives is not None else [{"teamId": "2", "startedPlaySequenceNumber": 1.0, "endedPlaySequenceNumber": 99.0}], "plays": plays_},
+        "driveChart": {
+            "drives": drives if drives is not None else [
+                {"teamId": "2", "startedPlaySequenceNumber": 1.0, "endedPlaySequenceNumber": 99.0}
+            ],
+            "plays": plays_
+        },
     }
 
 
@@ -50,19 +59,31 @@ def test_effects_have_all_ids():
 @pytest.mark.parametrize(
     ("stats", "expect"),
     [
-        ([stat(15, 12.0, "A")], {"pass_attempt": 1, "complete_pass": 1, "yards_gained": 12.0, "passing_yards": 12.0, "passer_player_id": "A", "play_type": "pass"}),
+        (
+            [stat(15, 12.0, "A")],
+            {
+                "pass_attempt": 1, "complete_pass": 1, "yards_gained": 12.0, "passing_yards": 12.0,
+                "passer_player_id": "A", "play_type": "pass"
+            }
+        ),
         ([stat(111, 18.0, "A")], {"air_yards": 18.0, "complete_pass": 1}),
         ([stat(112, 25.0, "A")], {"air_yards": 25.0, "complete_pass": 0}),
         ([stat(21, 9.0, "R1"), stat(113, 4.0, "R2")], {"receiver_player_id": "R1", "yards_after_catch": 4.0}),
         ([stat(113, 4.0, "R2")], {"receiver_player_id": "R2"}),
         ([stat(93, 5.0, "P")], {"penalty": 1, "penalty_yards": 5.0, "penalty_team": "BAL"}),
-        ([stat(110, None, "A"), stat(110, None, "A"), stat(110, None, "B"), stat(110, None, "C")], {"qb_hit_1_player_id": "A", "qb_hit_2_player_id": "B"}),
+        (
+            [stat(110, None, "A"), stat(110, None, "A"), stat(110, None, "B"), stat(110, None, "C")],
+            {"qb_hit_1_player_id": "A", "qb_hit_2_player_id": "B"}
+        ),
         ([stat(11, 3.0, "A")], {"rush_touchdown": 1, "touchdown": 1, "td_team": "BAL", "td_player_id": "A", "td_ids_touchdown": 1}),
         ([], {"pass_attempt": 0, "yards_gained": None}),
         ([stat(999)], {"pass_attempt": 0}),
         ([stat(402, 2.0), stat(402, 3.0), stat(402, 1.0)], {"def_tackles_for_loss": 3, "def_tackles_for_loss_yards": 6}),
         ([stat(63, 7.0), stat(64, 5.0)], {"misc_yards": 12, "touchdown": 1}),
-        ([stat(10, 6.0, "A"), stat(12, 14.0, "B"), stat(21, 8.0, "C"), stat(23, 22.0, "D")], {"rushing_yards": 20.0, "receiving_yards": 30.0}),
+        (
+            [stat(10, 6.0, "A"), stat(12, 14.0, "B"), stat(21, 8.0, "C"), stat(23, 22.0, "D")],
+            {"rushing_yards": 20.0, "receiving_yards": 30.0}
+        ),
         ([stat(57, 9.0), stat(61, 4.0)], {"fumble_recovery_own_lateral_yards": 9, "fumble_recovery_opp_lateral_yards": 4}),
         ([stat(16, 30.0, "A"), stat(22, 30.0, "B")], {"td_ids_touchdown": 2}),
         ([stat(10, 5.0, "A"), stat(20, None, "B")], {"yards_gained": None}),  # a later null overwrites
@@ -73,7 +94,13 @@ def test_stat_fold(build, stats, expect):
     assert {k: row[k] for k in expect} == expect
 
 
-@pytest.mark.parametrize(("line", "team", "yards"), [("50", "KC", 50), ("BAL 32", "BAL", 68), ("BAL 32", "KC", 32), ("LAR 1", "LA", 99), ("JAC 20", "JAX", 80), ("BLT 5", "BAL", 95), ("CLV 5", "CLE", 95), (None, "KC", None), ("50", None, None)])
+@pytest.mark.parametrize(
+    ("line", "team", "yards"),
+    [
+        ("50", "KC", 50), ("BAL 32", "BAL", 68), ("BAL 32", "KC", 32), ("LAR 1", "LA", 99), ("JAC 20", "JAX", 80),
+        ("BLT 5", "BAL", 95), ("CLV 5", "CLE", 95), (None, "KC", None), ("50", None, None)
+    ]
+)
 def test_yardline(spark, line, team, yards):
     df = spark.createDataFrame([(line, team)], "a string, b string")
     assert df.select(plays.yardline_100(F.col("a"), F.col("b"))).first()[0] == yards
@@ -88,8 +115,12 @@ def test_clock_and_seconds(spark):
 
 def test_build_filters_and_state(build, spark):
     doc = game([
-        play(1, [stat(10, 4.0, "A", team="2")], playDescription="run left tackle."), play(2, playType="TIMEOUT", stats=[stat(68, team="1")]), play(3, playDeleted=True),
-        play(4, [stat(11, 9.0, "A", team="2")], playScored=True, scoringPlayType="TD", scoringTeamId="2"), play(5, [stat(72, None, "K", team="2")], playScored=True, scoringPlayType="PAT", scoringTeamId="2"), play(6, [stat(10, 1.0, "A")]),
+        play(
+            1, [stat(10, 4.0, "A", team="2")], playDescription="run left tackle."
+        ), play(2, playType="TIMEOUT", stats=[stat(68, team="1")]), play(3, playDeleted=True),
+        play(4, [stat(11, 9.0, "A", team="2")], playScored=True, scoringPlayType="TD", scoringTeamId="2"), play(
+            5, [stat(72, None, "K", team="2")], playScored=True, scoringPlayType="PAT", scoringTeamId="2"
+        ), play(6, [stat(10, 1.0, "A")]),
     ])
     schedule = spark.createDataFrame([("g0", "dome", -3.0, 45.0)], "game_id string, roof string, spread_line double, total_line double")
     rows = build(doc, schedule=schedule).orderBy("play_seq").collect()
@@ -104,7 +135,9 @@ def test_build_filters_and_state(build, spark):
 def test_repeated_and_null_ids_keep_their_own_stats(build):
     doc = game([play(5, [stat(10, 4.0, "A")]), {**play(5, [stat(10, 6.0, "B")]), "playSequenceNumber": 6.0}, {**play(7, [stat(10, 2.0, "C")]), "playId": None}])
     rows = build(doc).orderBy("play_seq").collect()
-    assert [(r.play_id, r.yards_gained, r.rusher_player_id, r.rush_attempt) for r in rows] == [("5", 4.0, "A", 1), ("5", 6.0, "B", 1), (None, 2.0, "C", 1)]
+    assert [
+        (r.play_id, r.yards_gained, r.rusher_player_id, r.rush_attempt) for r in rows
+    ] == [("5", 4.0, "A", 1), ("5", 6.0, "B", 1), (None, 2.0, "C", 1)]
 
 
 def test_unknown_drive_team_has_no_side(build):
@@ -115,12 +148,24 @@ def test_unknown_drive_team_has_no_side(build):
 @pytest.mark.parametrize(
     ("entries", "expect"),
     [
-        ([("A", "a", "1"), ("A", "a", "1"), ("B", "b", "2")], {"1_player_id": "A", "2_player_id": "B", "1_player_name": "a", "2_player_name": "b", "1_team": "BAL", "2_team": "KC"}),
+        (
+            [("A", "a", "1"), ("A", "a", "1"), ("B", "b", "2")],
+            {"1_player_id": "A", "2_player_id": "B", "1_player_name": "a", "2_player_name": "b", "1_team": "BAL", "2_team": "KC"}
+        ),
         # a name that is missing leaves its slot to the next player, whose id has the second one
-        ([("A", None, "1"), ("B", "b", "2")], {"1_player_id": "A", "2_player_id": "B", "1_player_name": "b", "2_player_name": None, "1_team": "BAL", "2_team": "KC"}),
+        (
+            [("A", None, "1"), ("B", "b", "2")],
+            {"1_player_id": "A", "2_player_id": "B", "1_player_name": "b", "2_player_name": None, "1_team": "BAL", "2_team": "KC"}
+        ),
         # an entry without an id takes no player slot; the next player has the first one, so its name may not have the second
-        ([(None, "x", "1"), ("B", "b", "2")], {"1_player_id": "B", "2_player_id": None, "1_player_name": "x", "2_player_name": None, "1_team": "BAL", "2_team": None}),
-        ([("A", "a", "1"), ("B", "b", "1"), ("C", "c", "2")], {"1_player_id": "A", "2_player_id": "B", "2_player_name": "b", "2_team": "BAL"}),
+        (
+            [(None, "x", "1"), ("B", "b", "2")],
+            {"1_player_id": "B", "2_player_id": None, "1_player_name": "x", "2_player_name": None, "1_team": "BAL", "2_team": None}
+        ),
+        (
+            [("A", "a", "1"), ("B", "b", "1"), ("C", "c", "2")],
+            {"1_player_id": "A", "2_player_id": "B", "2_player_name": "b", "2_team": "BAL"}
+        ),
     ],
 )
 def test_slots_go_on_field_by_field(build, entries, expect):
@@ -130,12 +175,19 @@ def test_slots_go_on_field_by_field(build, entries, expect):
 
 def test_labels_follow_numeric_ids(build):
     """From game JSON to the sets: ids of unequal length are in order of number, not of text."""
-    kick = lambda k, **more: play(k, [stat(70, 30.0, "K", team="2")], playScored=True, scoringPlayType="FG", scoringTeamId="2", **more)
+    kick = lambda k, **more: play(
+        k, [stat(70, 30.0, "K", team="2")], playScored=True, scoringPlayType="FG", scoringTeamId="2", **more
+    )
     score = lambda k: play(k, [stat(11, 9.0, "A", team="1")], playScored=True, scoringPlayType="TD", scoringTeamId="1")
-    drives = [{"teamId": t, "startedPlaySequenceNumber": a, "endedPlaySequenceNumber": b} for t, a, b in (("2", 0.0, 500.0), ("1", 900.0, 1200.0), ("2", 1500.0, 2000.0))]
+    drives = [
+        {"teamId": t, "startedPlaySequenceNumber": a, "endedPlaySequenceNumber": b}
+        for t, a, b in (("2", 0.0, 500.0), ("1", 900.0, 1200.0), ("2", 1500.0, 2000.0))
+    ]
     table = build(game([play(50), kick(80), play(1000), score(1100), play(1600)], drives=drives))
     rows = {r.play_id: r for r in table.transform(training.add_next_score).transform(training.add_winner).collect()}
-    assert {k: r.next_score_half for k, r in rows.items()} == {"50": "Field_Goal", "80": "Field_Goal", "1000": "Touchdown", "1100": "Touchdown", "1600": "No_Score"}
+    assert {k: r.next_score_half for k, r in rows.items()} == {
+        "50": "Field_Goal", "80": "Field_Goal", "1000": "Touchdown", "1100": "Touchdown", "1600": "No_Score"
+    }
     assert {r.Winner for r in rows.values()} == {"KC"} and rows["1000"].wp_label == 0.0 and rows["50"].wp_label == 1.0
     assert sorted(r.label for r in training.ep_set(table).select("label").collect()) == [0.0, 0.0, 2.0, 2.0, 6.0]
     assert [r.receive_2h_ko for r in training.wp_set(table).orderBy("posteam_timeouts_remaining").collect()].count(1.0) == 2
@@ -150,7 +202,10 @@ LABEL = "game_id string, play_id int, game_half string, sp int, touchdown int, t
 
 def labels(spark, *rows):
     full = [("g", k + 1, "Half1", *r, 1) if len(r) == 7 else r for k, r in enumerate(rows)]
-    return [r[0] for r in spark.createDataFrame(full, LABEL).transform(training.add_next_score).orderBy("game_id", "play_id").select("next_score_half").collect()]
+    return [
+        r[0]
+        for r in spark.createDataFrame(full, LABEL).transform(training.add_next_score).orderBy("game_id", "play_id").select("next_score_half").collect()
+    ]
 
 
 PLAIN = (0, 0, None, None, 0, "KC", "BUF")
@@ -159,8 +214,12 @@ PLAIN = (0, 0, None, None, 0, "KC", "BUF")
 @pytest.mark.parametrize(
     ("score", "label"),
     [
-        ((1, 1, "KC", None, 0, "KC", "BUF"), "Touchdown"), ((1, 1, "BUF", None, 0, "KC", "BUF"), "Opp_Touchdown"), ((1, 0, None, "made", 0, "KC", "BUF"), "Field_Goal"), ((0, 0, None, "missed", 0, "KC", "BUF"), "No_Score"),
-        ((1, 0, None, None, 1, "KC", "BUF"), "Opp_Safety"), ((1, 0, None, "made", 0, "BUF", "KC"), "Opp_Field_Goal"), ((1, 0, None, None, 1, "BUF", "KC"), "Safety"),
+        ((1, 1, "KC", None, 0, "KC", "BUF"), "Touchdown"), (
+            (1, 1, "BUF", None, 0, "KC", "BUF"), "Opp_Touchdown"
+        ), ((1, 0, None, "made", 0, "KC", "BUF"), "Field_Goal"), ((0, 0, None, "missed", 0, "KC", "BUF"), "No_Score"),
+        ((1, 0, None, None, 1, "KC", "BUF"), "Opp_Safety"), (
+            (1, 0, None, "made", 0, "BUF", "KC"), "Opp_Field_Goal"
+        ), ((1, 0, None, None, 1, "BUF", "KC"), "Safety"),
     ],
 )
 def test_next_score(spark, score, label):
@@ -168,21 +227,31 @@ def test_next_score(spark, score, label):
 
 
 def test_next_score_is_nearest_and_stays_in_its_half(spark):
-    assert labels(spark, PLAIN, (1, 0, None, "made", 0, "KC", "BUF"), (1, 1, "KC", None, 0, "KC", "BUF"))[:2] == ["Field_Goal", "Field_Goal"]
+    assert labels(
+        spark, PLAIN, (1, 0, None, "made", 0, "KC", "BUF"), (1, 1, "KC", None, 0, "KC", "BUF")
+    )[:2] == ["Field_Goal", "Field_Goal"]
     assert labels(spark, PLAIN, ("g", 2, "Half2", 1, 1, "KC", None, 0, "KC", "BUF", 2))[0] == "No_Score"
 
 
 def test_average_rank_and_counters(spark):
     df = spark.createDataFrame([(1, "a", 5), (2, "a", 5), (3, "a", 1), (4, "a", None)], "id int, g string, v int")
     assert [r[0] for r in N.average_rank(df, "v", ["g"], "r").orderBy("id").select("r").collect()] == [1.5, 1.5, 3.0, None]
-    assert [r[0] for r in N.capped_remaining(df, F.col("v") == 5, ["g"], ["id"], "left").orderBy("id").select("left").collect()] == [2, 1, 1, 1]
+    assert [
+        r[0]
+        for r in N.capped_remaining(df, F.col("v") == 5, ["g"], ["id"], "left").orderBy("id").select("left").collect()
+    ] == [2, 1, 1, 1]
 
 
 def test_slots_agree(spark):
     rows = [("g", k, p) for k, p in enumerate(["A", "A", None, "B", "C"])]
     df = spark.createDataFrame(rows, "g string, k int, p string")
     assert fold.slots(df, ["g"], "p", ["k"], 2, "s").first()[1:] == ("A", "B")
-    nested = df.groupBy("g").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "p"))), lambda x: F.struct(x["p"].alias("id"), x["p"].alias("name"))).alias("e"))
+    nested = df.groupBy("g").agg(
+        F.transform(
+            F.sort_array(F.collect_list(F.struct("k", "p"))),
+            lambda x: F.struct(x["p"].alias("id"), x["p"].alias("name"))
+        ).alias("e")
+    )
     assert [x.id for x in nested.select(fold.slots_exact(F.col("e"), 2).alias("s")).first().s] == ["A", "B"]
 
 
@@ -203,12 +272,17 @@ def test_sources(spark, tmp_path):
     first = tables.update_manifest(None, 2023, df)
     assert [tuple(r)[:2] for r in tables.update_manifest(first, 2023, df.limit(1)).collect()] == [(2023, 1)]
     assert games.season_range("2020:2022") == [2020, 2021, 2022]
-    weekly = spark.createDataFrame([('[{"id":"a"},{"nflId":"b"}]',), ('{"games":[{"gameId":"c"}]}',), ('{"data":[{"id":"d"}]}',)], "value string")
+    weekly = spark.createDataFrame(
+        [('[{"id":"a"},{"nflId":"b"}]',), ('{"games":[{"gameId":"c"}]}',), ('{"data":[{"id":"d"}]}',)], "value string"
+    )
     assert sorted(r.game_id for r in games.weekly_games(weekly).collect()) == ["a", "b", "c", "d"]
 
 
 def test_model_round(spark):
-    df = spark.range(200).select((F.col("id") % 10).cast("double").alias("a"), F.floor(F.col("id") / 100).cast("int").alias("season"), ((F.col("id") % 10) > 4).cast("double").alias("label"))
+    df = spark.range(200).select(
+        (F.col("id") % 10).cast("double").alias("a"), F.floor(F.col("id") / 100).cast("int").alias("season"),
+        ((F.col("id") % 10) > 4).cast("double").alias("label")
+    )
     out = models.leave_one_out(df, "season", lambda rows: models.fit_binary(rows, ["a"], rounds=3))
     assert out.count() == 200 and models.gate(out, least_r=0.9, most_brier=0.1)["passed"]
     assert json.loads(models.card("cp", ["a"], [2001, 2003]))["seasons"] == [2001, 2003]

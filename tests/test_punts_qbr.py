@@ -13,7 +13,10 @@ def test_punt_distribution_sums_to_one(spark):
         kick = float(min(line - 1, rng.randint(25, 60)))
         rows.append(("PUNT", "BLOCKED" if k % 60 == 0 else "punts", line, None if k % 60 == 0 else kick, float(rng.randint(0, 15)), int(k % 50 == 0)))
     rows.append(("PUNT", "punts", 60.0, 30.0, 70.0, 0))
-    plays = spark.createDataFrame(rows, "play_type_nfl string, desc string, yardline_100 double, kick_distance double, return_yards double, fumble_lost int")
+    plays = spark.createDataFrame(
+        rows,
+        "play_type_nfl string, desc string, yardline_100 double, kick_distance double, return_yards double, fumble_lost int"
+    )
     out = punts.punt_distribution(plays)
     assert out.columns == ["yardline_100", "yardline_after", "pct", "muff"]
     sums = out.groupBy("yardline_100").agg(F.sum("pct").alias("s"), F.min("pct").alias("m")).collect()
@@ -47,11 +50,20 @@ def test_qbr_tables(spark):
 
 def test_training_sets(spark):
     rows = [
-        ("KC", "KC", 2023, "outdoors", 3, 5, 40, 1, 3.0, 47.0, "PASS", 0, None, 6, None, 0, None), ("BUF", "KC", 2023, "dome", 4, 2, 30, 2, 3.0, 47.0, "RUSH", 0, None, 1, None, 0, None),
+        (
+            "KC", "KC", 2023, "outdoors", 3, 5, 40, 1, 3.0, 47.0, "PASS", 0, None, 6, None, 0, None
+        ), ("BUF", "KC", 2023, "dome", 4, 2, 30, 2, 3.0, 47.0, "RUSH", 0, None, 1, None, 0, None),
         ("KC", "KC", 2004, None, None, 0, 2, 4, 3.0, 47.0, "PASS", 0, None, 0, "success", 0, None), ("BUF", "KC", 2015, "closed", None, 0, 2, 4, 3.0, 47.0, "RUSH", 0, None, 0, "failure", 0, None), ("KC", "KC", 2020, "outdoors", 4, 9, 33, 4, 3.0, 47.0, "FIELD_GOAL", 0, None, 0, None, 1, "made"),
     ]
     names = "posteam string, home_team string, season int, roof string, down int, ydstogo int, yardline_100 int, qtr int, spread_line double, total_line double, play_type_nfl string, first_down_penalty int, penalty_yards int, yards_gained int, two_point_conv_result string, sp int, field_goal_result string"
-    plays = spark.createDataFrame(rows, names).withColumns({"wp": F.lit(0.5), "vegas_wp": F.lit(0.5), "score_differential": F.lit(0), "half_seconds_remaining": F.lit(100), "posteam_timeouts_remaining": F.lit(3), "defteam_timeouts_remaining": F.lit(3), "pass": (F.col("play_type_nfl") == "PASS").cast("int"), "rush": (F.col("play_type_nfl") == "RUSH").cast("int"), "qb_kneel": F.lit(0), "week": F.lit(1)})
+    plays = spark.createDataFrame(rows, names).withColumns(
+        {
+            "wp": F.lit(0.5), "vegas_wp": F.lit(0.5), "score_differential": F.lit(0),
+            "half_seconds_remaining": F.lit(100), "posteam_timeouts_remaining": F.lit(3),
+            "defteam_timeouts_remaining": F.lit(3), "pass": (F.col("play_type_nfl") == "PASS").cast("int"),
+            "rush": (F.col("play_type_nfl") == "RUSH").cast("int"), "qb_kneel": F.lit(0), "week": F.lit(1)
+        }
+    )
     assert {r.posteam_spread for r in plays.transform(training.add_common).transform(training.add_totals).collect()} == {3.0, -3.0}
     assert training.xpass_set(plays).columns == [*training.XPASS, "label"] and training.xpass_set(plays).count() == 2
     assert sorted(r.label for r in training.fd_set(plays).collect()) == [11, 16]

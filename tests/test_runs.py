@@ -14,8 +14,16 @@ from .test_plays import game, play, stat
 @pytest.fixture(scope="module")
 def kicks(spark):
     """Kicks that are made from near and missed from afar, over two seasons."""
-    rows = spark.range(200).select((F.col("id") % 2 + 2020).cast("int").alias("season"), (F.col("id") % 50).cast("double").alias("yardline_100"), F.lit("outdoors").alias("roof"), F.lit("FIELD_GOAL").alias("play_type_nfl"))
-    return rows.withColumns({"sp": (F.col("yardline_100") < 30).cast("int"), "down": F.lit(4), "posteam": F.lit("BAL"), "home_team": F.lit("BAL"), "field_goal_result": F.lit(None).cast("string")})
+    rows = spark.range(200).select(
+        (F.col("id") % 2 + 2020).cast("int").alias("season"), (F.col("id") % 50).cast("double").alias("yardline_100"),
+        F.lit("outdoors").alias("roof"), F.lit("FIELD_GOAL").alias("play_type_nfl")
+    )
+    return rows.withColumns(
+        {
+            "sp": (F.col("yardline_100") < 30).cast("int"), "down": F.lit(4), "posteam": F.lit("BAL"),
+            "home_team": F.lit("BAL"), "field_goal_result": F.lit(None).cast("string")
+        }
+    )
 
 
 def test_training_run_writes_models_and_cards(spark, kicks, tmp_path):
@@ -25,14 +33,26 @@ def test_training_run_writes_models_and_cards(spark, kicks, tmp_path):
     model = runs.load_model(f"{tmp_path}/fg.model")
     from downfield.plans import models
 
-    p = [r[0] for r in models.probabilities(model, training.fg_set(kicks)).groupBy("yardline_100").agg(F.avg(F.col("probs")[1]).alias("p")).orderBy("yardline_100").select("p").collect()]
+    p = [
+        r[0]
+        for r in models.probabilities(model, training.fg_set(kicks)).groupBy("yardline_100").agg(
+            F.avg(F.col("probs")[1]).alias("p")
+        ).orderBy("yardline_100").select("p").collect()
+    ]
     assert p == sorted(p, reverse=True) and p[0] > 0.9 > 0.1 > p[-1]
     assert runs.train_all(kicks.where("sp = 1"), str(tmp_path / "one"), ["fg"]) == {}
 
 
 def test_report_run(spark, kicks, tmp_path):
     rows = training.fg_set(kicks.withColumn("fg_season", F.col("season")))
-    rows = kicks.select("season").limit(0).crossJoin(rows.limit(0)).unionByName(spark.range(200).select((F.col("id") % 2 + 2020).cast("int").alias("season"), *(F.lit(0.0).alias(c) for c in training.FG if c != "yardline_100"), (F.col("id") % 50).cast("double").alias("yardline_100"), (F.col("id") % 50 < 30).cast("int").alias("label")), allowMissingColumns=True)
+    rows = kicks.select("season").limit(0).crossJoin(rows.limit(0)).unionByName(
+        spark.range(200).select(
+            (F.col("id") % 2 + 2020).cast("int").alias("season"),
+            *(F.lit(0.0).alias(c) for c in training.FG if c != "yardline_100"),
+            (F.col("id") % 50).cast("double").alias("yardline_100"), (F.col("id") % 50 < 30).cast("int").alias("label")
+        ),
+        allowMissingColumns=True
+    )
     trainer = runs.Trainer(training.fg_set, ["yardline_100"], rounds=3)
     metrics = runs.loso_report(rows, trainer, str(tmp_path), "Kicks", least=5)
     assert metrics["rows"] == 200 and metrics["brier"] < 0.05
@@ -84,12 +104,17 @@ def test_small_parsers(spark, tmp_path):
     with pytest.raises(ValueError, match="native"):
         tables.from_source("other", {"native": lambda: 1})
     files = spark.createDataFrame([("a.ubj",)], "name string")
-    assert [tuple(r) for r in runs.route_artifacts(files, {"a.ubj": "upload", "b.ubj": "bundle"}).collect()] == [("a.ubj", "upload"), ("b.ubj", "missing")]
+    assert [
+        tuple(r) for r in runs.route_artifacts(files, {"a.ubj": "upload", "b.ubj": "bundle"}).collect()
+    ] == [("a.ubj", "upload"), ("b.ubj", "missing")]
 
 
 def test_blocks_change_nothing(spark):
     """Windows within blocks against plain ones, with nulls in keys, blocks and values, and blocks of one row."""
-    rows = [(u, k, k // 3 if k else None, v) for u in (1, 2, None) for k, v in enumerate(["a", "a", None, "b", "b", "a", None, None, "c", "c"])]
+    rows = [
+        (u, k, k // 3 if k else None, v) for u in (1, 2, None)
+        for k, v in enumerate(["a", "a", None, "b", "b", "a", None, None, "c", "c"])
+    ]
     df = spark.createDataFrame(rows, "u int, k int, day int, v string").withColumn("x", F.when(F.col("v") != "b", F.col("k")))
     args = (["u"], ["k"])
     same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))

@@ -13,7 +13,9 @@ def test_games_are_read_once_and_replaced(spark, tmp_path):
     (raw / "g0.json").write_text(json.dumps(game([play(1, [stat(10, 4.0, "A")])])))
 
     def run():
-        stream = incremental.stream_games(spark, str(tmp_path / "raw")).selectExpr("* except (file_name)", "regexp_replace(file_name, '[.]json$', '') AS game_id")
+        stream = incremental.stream_games(spark, str(tmp_path / "raw")).selectExpr(
+            "* except (file_name)", "regexp_replace(file_name, '[.]json$', '') AS game_id"
+        )
         incremental.rebuild(stream, build_plays, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(120)
         return {r.game_id: r["count"] for r in spark.read.parquet(str(tmp_path / "out")).groupBy("game_id").count().collect()}
 
