@@ -34,7 +34,10 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: UTF-8 texts without a byte from here on have only characters below U+0340, which every version assigns.
 HIGH_BYTE = 0xCD
 #: What a query can ask for.
-OUTPUTS = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "ids_sha256": T.StringType(), "decoded": T.StringType(), "decoded_sha256": T.StringType()}
+OUTPUTS = {
+    "n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "ids_sha256": T.StringType(),
+    "decoded": T.StringType(), "decoded_sha256": T.StringType()
+}
 
 
 def byte_characters() -> list[str]:
@@ -161,7 +164,9 @@ class Encoder:
         self.rare = regex.compile(vocab.rare)
         self.normal = normalizers.Sequence([normalizers.NFC(), normalizers.Replace(Regex(r"\s+"), " "), normalizers.Lowercase()])
         self.library = pre_tokenizers.Split(Regex(WORDS), "removed", invert=True)
-        self.special = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(vocab.special, key=len, reverse=True)) + ")") if vocab.special else None
+        self.special = regex.compile(
+            "(" + "|".join(regex.escape(t) for t in sorted(vocab.special, key=len, reverse=True)) + ")"
+        ) if vocab.special else None
         self._forget()
 
     def _forget(self) -> None:
@@ -258,7 +263,10 @@ def encode_documents(docs: DataFrame, outputs: Sequence[str] = ("n_tokens", "ids
                 if "n_tokens" in outputs:
                     made["n_tokens"] = pa.array([len(x) for x in ids], pa.int64())
                 if "ids" in outputs:
-                    made["ids"] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, "<u4"), *ids]).astype(np.int32)))
+                    made["ids"] = pa.ListArray.from_arrays(
+                        pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()),
+                        pa.array(np.concatenate([np.zeros(0, "<u4"), *ids]).astype(np.int32))
+                    )
                 if "ids_sha256" in outputs:
                     made["ids_sha256"] = pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids], pa.string())
                 if "decoded" in outputs or "decoded_sha256" in outputs:

@@ -53,28 +53,44 @@ def rotate_perspectives(turns: DataFrame, narrators: tuple[str, ...] = NARRATORS
     body = F.length("text") + F.length(F.lit(CLOSE))
 
     # lengths by block and role; a perspective's block is as long as for others, but for what its own messages differ by
-    by_role = rows.groupBy("_conv", "_at", "_block", "_role").agg(F.sum(F.length(others) + body).alias("_others"), F.sum(F.length(mine) + body).alias("_mine"), F.count(F.lit(1)).alias("_rows"))
+    by_role = rows.groupBy("_conv", "_at", "_block", "_role").agg(
+        F.sum(F.length(others) + body).alias("_others"), F.sum(F.length(mine) + body).alias("_mine"),
+        F.count(F.lit(1)).alias("_rows")
+    )
     by_role = cut(by_role, "chat-lengths")
-    cast = by_role.where(F.col("_role").isNotNull() & ~F.col("_role").isin(*narrators)).select("_conv", F.col("_role").alias("perspective")).distinct()
-    blocks = by_role.groupBy("_conv", "_at", "_block").agg(F.sum("_others").alias("_length"), F.sum("_rows").alias("_rows")).join(cast, "_conv")
+    cast = by_role.where(
+        F.col("_role").isNotNull() & ~F.col("_role").isin(*narrators)
+    ).select("_conv", F.col("_role").alias("perspective")).distinct()
+    blocks = by_role.groupBy("_conv", "_at", "_block").agg(
+        F.sum("_others").alias("_length"), F.sum("_rows").alias("_rows")
+    ).join(cast, "_conv")
     own = by_role.select("_at", F.col("_role").alias("perspective"), (F.col("_mine") - F.col("_others")).alias("_more"))
     blocks = blocks.join(own, ["_at", "perspective"], "left").withColumn("_length", F.col("_length") + F.coalesce("_more", F.lit(0)))
     over = W.partitionBy("_conv", "perspective").orderBy(F.col("_block").asc_nulls_first())
-    blocks = blocks.select("_at", "perspective", _sum_before(F.col("_length"), over).alias("_from"), _sum_before(F.col("_rows"), over).alias("_before"))
+    blocks = blocks.select(
+        "_at", "perspective", _sum_before(F.col("_length"), over).alias("_from"),
+        _sum_before(F.col("_rows"), over).alias("_before")
+    )
 
     # a broadcast would shuffle the rendered rows instead of the messages
     said = rows.join(blocks.hint("merge"), "_at")
     is_own = F.coalesce(F.col("_role") == F.col("perspective"), F.lit(False))
     head = F.when(is_own, mine).otherwise(others)
     said = said.withColumns({"_own": is_own, "_head": F.length(head), "rendered": F.concat(head, "text", F.lit(CLOSE))})
-    inside = W.partitionBy("_at", "perspective").orderBy(*(F.col(c).asc_nulls_first() for c in ("turn", "_role")), F.col("_no_text").desc(), "text")
+    inside = W.partitionBy("_at", "perspective").orderBy(
+        *(F.col(c).asc_nulls_first() for c in ("turn", "_role")), F.col("_no_text").desc(), "text"
+    )
     length = F.length("rendered")
-    placed = said.withColumns({"start": F.col("_from") + _sum_before(length, inside), "seq": F.col("_before") + _sum_before(F.lit(1), inside)})
+    placed = said.withColumns(
+        {"start": F.col("_from") + _sum_before(length, inside), "seq": F.col("_before") + _sum_before(F.lit(1), inside)}
+    )
     end = F.col("start") + length - 1  # the line end after the end mark is not trained on
     return placed.select(
         "conv_id", "perspective", "seq", "turn", F.when(F.col("_own"), "assistant").when(narrated, F.col("_role")).otherwise("user").alias("role"),
         F.when(~F.col("_own") & ~narrated, name).alias("name"), "rendered", "start",
-        F.when(F.col("_own"), F.col("start") + F.col("_head")).otherwise(F.col("start")).alias("mask_start"), F.when(F.col("_own"), end).otherwise(F.col("start")).alias("mask_end"),
+        F.when(
+            F.col("_own"), F.col("start") + F.col("_head")
+        ).otherwise(F.col("start")).alias("mask_start"), F.when(F.col("_own"), end).otherwise(F.col("start")).alias("mask_end"),
     )
 
 
@@ -83,5 +99,8 @@ def training_texts(messages: DataFrame) -> DataFrame:
     masks). Use it after a filter on the number or length of messages."""
     one = F.sort_array(F.collect_list(F.struct("seq", "rendered", "mask_start", "mask_end")))
     grouped = messages.groupBy("conv_id", "perspective").agg(one.alias("m"))
-    masks = F.filter(F.transform("m", lambda x: F.struct(x["mask_start"].alias("start"), x["mask_end"].alias("end"))), lambda x: x["end"] > x["start"])
+    masks = F.filter(
+        F.transform("m", lambda x: F.struct(x["mask_start"].alias("start"), x["mask_end"].alias("end"))),
+        lambda x: x["end"] > x["start"]
+    )
     return grouped.select("conv_id", "perspective", F.array_join("m.rendered", "").alias("text"), masks.alias("masks"))

@@ -164,7 +164,9 @@ def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return start, end, np.searchsorted(bounds, start, "right") - 1
 
 
-def texts(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES, rows: int = 4096) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def texts(
+    batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES, rows: int = 4096
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Chunks of at most ``rows`` rows and about ``limit`` bytes of text: first row, row after the last, bytes, bounds of the rows.
     Null counts as empty."""
     col = batch.column(column)

@@ -46,7 +46,10 @@ def fit_language(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> La
     """From ``docs`` (doc_id, text) and ``labels`` (doc_id, lang). At most ``sample`` rows are learned from, of each
     language about as many, so that a rare one is learned too; the SVMs
     number one for each pair of families and one for each pair of languages of a family."""
-    rows = training_set(docs, labels.select("doc_id", F.col("lang").alias("label")).where("label is not null"), GRAMS, sample, "language", even=True).persist()
+    rows = training_set(
+        docs, labels.select("doc_id", F.col("lang").alias("label")).where("label is not null"), GRAMS, sample,
+        "language", even=True
+    ).persist()
     try:
         families: dict[str, list[str]] = {}
         for lang in sorted(r[0] for r in rows.select("label").distinct().collect()):
@@ -56,7 +59,9 @@ def fit_language(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> La
         weights, intercepts = np.zeros((len(pairs), GRAMS.size)), np.zeros(len(pairs))
         for k, (family, a, b) in enumerate(pairs):
             first, second = (families[a], families[b]) if family is None else ([a], [b])
-            model = LinearSVC(maxIter=10, tol=1e-3, regParam=0.001).fit(rows.where(F.col("label").isin(first + second)).select("features", F.col("label").isin(first).cast("double").alias("label")))
+            model = LinearSVC(maxIter=10, tol=1e-3, regParam=0.001).fit(
+                rows.where(F.col("label").isin(first + second)).select("features", F.col("label").isin(first).cast("double").alias("label"))
+            )
             weights[k], intercepts[k] = model.coefficients.toArray(), model.intercept
     finally:
         rows.unpersist()
@@ -107,7 +112,13 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 lang, score = decide(model, GRAMS.margins(data, bounds, weights.value) + model.intercepts)
                 letters = batch["_letters"].slice(at, to - at).to_numpy(zero_copy_only=False) & (lang != UNKNOWN)
                 part = batch.slice(at, to - at)
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), pa.array(np.where(letters, lang, UNKNOWN), pa.string()), pa.array(np.where(letters, score, 0.0))], [*kept, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part[c] for c in kept), pa.array(np.where(letters, lang, UNKNOWN), pa.string()),
+                        pa.array(np.where(letters, score, 0.0))
+                    ],
+                    [*kept, "lang_pred", "score"]
+                )
 
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
     return map_batches(rows, predict, schema)

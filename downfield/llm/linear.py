@@ -85,7 +85,9 @@ def training_set(docs: DataFrame, labels: DataFrame, grams: Grams, limit: int, n
     if even:
         counts = cut(known.groupBy("label").agg(F.count(F.lit(1)).alias("_n")), f"{name}-labels")
         share = F.lit(0.95 * limit / max(1, counts.count())) / F.col("_n")  # what a hash picks varies a little
-        known = known.join(fits(counts), "label").where(F.pmod(F.xxhash64(F.lit("even"), "doc_id"), F.lit(1 << 30)) / float(1 << 30) < share).drop("_n")
+        known = known.join(fits(counts), "label").where(
+            F.pmod(F.xxhash64(F.lit("even"), "doc_id"), F.lit(1 << 30)) / float(1 << 30) < share
+        ).drop("_n")
     chosen = cut(known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit), f"{name}-ids")
     rows = docs.select("doc_id", "text").where("doc_id is not null").join(F.broadcast(chosen), "doc_id")
 
@@ -94,11 +96,16 @@ def training_set(docs: DataFrame, labels: DataFrame, grams: Grams, limit: int, n
             for at, to, data, bounds in texts(batch, "text"):
                 index, value = zip(*grams.rows(data, bounds), strict=True)
                 part = batch.slice(at, to - at)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["label"], pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float64()))], ["doc_id", "label", "index", "value"])
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], part["label"], pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float64()))],
+                    ["doc_id", "label", "index", "value"]
+                )
 
     kinds = dict(rows.dtypes)
     made = map_batches(rows, vectors, f"doc_id {kinds['doc_id']}, label {kinds['label']}, index array<int>, value array<double>")
-    return cut(made, f"{name}-vectors").coalesce(SAMPLE_TASKS).select("doc_id", "label", _to_sparse(F.lit(grams.size), "index", "value").alias("features"))
+    return cut(made, f"{name}-vectors").coalesce(SAMPLE_TASKS).select(
+        "doc_id", "label", _to_sparse(F.lit(grams.size), "index", "value").alias("features")
+    )
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -50,7 +50,10 @@ def _tests() -> np.ndarray:
 
 
 _POINTS = _tests()
-_DISC_Y, _DISC_X = (v[np.hypot(*np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1]) <= RADIUS] for v in np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1])
+_DISC_Y, _DISC_X = (
+    v[np.hypot(*np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1]) <= RADIUS]
+    for v in np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1]
+)
 
 
 def smooth(x: np.ndarray) -> np.ndarray:
@@ -156,12 +159,16 @@ def describe(images: DataFrame) -> DataFrame:
                 step, shrink = max(1, STACK_PIXELS // (h * w)), max(1.0, max(h, w) / SIDE)
                 for at in range(0, len(rows), step):
                     some = rows[at : at + step]
-                    image, point = describe_stack(np.stack([np.frombuffer(batch["pixels"][k].as_buffer(), np.uint8).reshape(h, w) for k in some]))
+                    image, point = describe_stack(
+                        np.stack([np.frombuffer(batch["pixels"][k].as_buffer(), np.uint8).reshape(h, w) for k in some])
+                    )
                     edge = np.searchsorted(image, np.arange(len(some) + 1))
                     have = np.flatnonzero(np.diff(edge))
                     size = [pa.array(np.full(len(have), int(v / shrink), np.int32)) for v in (w, h)]
                     packed = pa.array([point[edge[k] : edge[k + 1]].tobytes() for k in have], pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[np.array(some)[have]]), *size, packed], ["media_id", "wide", "tall", "points"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[np.array(some)[have]]), *size, packed], ["media_id", "wide", "tall", "points"]
+                    )
 
     return map_batches(images.select("media_id", "width", "height", "pixels"), make, "media_id long, wide int, tall int, points binary")
 
@@ -353,20 +360,40 @@ def _rare_candidates(cold: DataFrame, classes: DataFrame, keys: DataFrame) -> Da
     corner = _keyed(classes, True).join(wanted, "key", "left_semi")
     side = corner.join(some.select("media_id", F.coalesce("is_cold", F.lit(False)).alias("is_cold")), "media_id")
     side = side.select("key", F.struct("media_id", "is_cold", "x", "y", "level", "turn", "b0", "b1").alias("p"))
-    met = side.withColumnRenamed("p", "a").join(side.withColumnRenamed("p", "b"), "key").where("a.media_id < b.media_id and (a.is_cold or b.is_cold)")
+    met = side.withColumnRenamed("p", "a").join(side.withColumnRenamed("p", "b"), "key").where(
+        "a.media_id < b.media_id and (a.is_cold or b.is_cold)"
+    )
     off = [F.col(f"a.b{h}").bitwiseXOR(F.col(f"b.b{h}")) for h in range(2)]
     equal = [f(o) == 0 for o in off for f in (lambda o: o.bitwiseAND(F.lit(0xFFFFFFFF)), lambda o: F.shiftrightunsigned(o, 32))]
     first = F.when(equal[0], 0).when(equal[1], 1).when(equal[2], 2).otherwise(3)  # each pair of corners once
     met = met.where((F.bit_count(off[0]) + F.bit_count(off[1]) <= HAMMING) & (first == F.shiftright("key", 32)))
     scale = F.array(*map(F.lit, SCALES))
     cell = F.floor((F.pmod(F.col("b.turn") - F.col("a.turn"), F.lit(256)) * TURNS + 128) / 256) % TURNS
-    met = met.withColumns({"cell": cell, "step": F.col("b.level") - F.col("a.level"), "ratio": scale[F.col("b.level")] / scale[F.col("a.level")]})
-    met = met.withColumns({"c": F.cos(F.col("cell") * (2 * np.pi / TURNS)), "s": F.sin(F.col("cell") * (2 * np.pi / TURNS)), "grid": F.explode(F.array(F.lit(0.0), F.lit(0.5)))})
-    shift = [F.col("b.x") - F.col("ratio") * (F.col("a.x") * F.col("c") - F.col("a.y") * F.col("s")), F.col("b.y") - F.col("ratio") * (F.col("a.x") * F.col("s") + F.col("a.y") * F.col("c"))]
+    met = met.withColumns(
+        {"cell": cell, "step": F.col("b.level") - F.col("a.level"), "ratio": scale[F.col("b.level")] / scale[F.col("a.level")]}
+    )
+    met = met.withColumns(
+        {
+            "c": F.cos(F.col("cell") * (2 * np.pi / TURNS)), "s": F.sin(F.col("cell") * (2 * np.pi / TURNS)),
+            "grid": F.explode(F.array(F.lit(0.0), F.lit(0.5)))
+        }
+    )
+    shift = [
+        F.col("b.x") - F.col("ratio") * (F.col("a.x") * F.col("c") - F.col("a.y") * F.col("s")),
+        F.col("b.y") - F.col("ratio") * (F.col("a.x") * F.col("s") + F.col("a.y") * F.col("c"))
+    ]
     places = [F.col(f"{p}.x") * 65536 + F.col(f"{p}.y") for p in "ab"]
-    met = met.select(F.col("a.media_id").alias("u"), F.col("b.media_id").alias("v"), "cell", "step", "grid", *(F.floor(d / (SHIFT * UNITS) + F.col("grid")).alias(f"d{k}") for k, d in enumerate(shift)), *(p.alias(f"p{k}") for k, p in enumerate(places)))
-    counted = met.groupBy("u", "v", "cell", "step", "grid", "d0", "d1").agg(F.count(F.lit(1)).alias("n"), *(f(f"p{k}").alias(f"{f.__name__}{k}") for k in range(2) for f in (F.min, F.max)))
-    return counted.where((F.col("n") >= MET) & (F.col("min0") < F.col("max0")) & (F.col("min1") < F.col("max1"))).select("u", "v").distinct()
+    met = met.select(
+        F.col("a.media_id").alias("u"), F.col("b.media_id").alias("v"), "cell", "step", "grid",
+        *(F.floor(d / (SHIFT * UNITS) + F.col("grid")).alias(f"d{k}") for k, d in enumerate(shift)),
+        *(p.alias(f"p{k}") for k, p in enumerate(places))
+    )
+    counted = met.groupBy("u", "v", "cell", "step", "grid", "d0", "d1").agg(
+        F.count(F.lit(1)).alias("n"), *(f(f"p{k}").alias(f"{f.__name__}{k}") for k in range(2) for f in (F.min, F.max))
+    )
+    return counted.where(
+        (F.col("n") >= MET) & (F.col("min0") < F.col("max0")) & (F.col("min1") < F.col("max1"))
+    ).select("u", "v").distinct()
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -375,7 +402,13 @@ def _confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
-            good = [same_picture(np.frombuffer(r["points"], POINT), np.frombuffer(r["points2"], POINT), (r["wide"], r["tall"]), (r["wide2"], r["tall2"])) for r in rows]
+            good = [
+                same_picture(
+                    np.frombuffer(r["points"], POINT), np.frombuffer(r["points2"], POINT), (r["wide"], r["tall"]),
+                    (r["wide2"], r["tall2"])
+                )
+                for r in rows
+            ]
             yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
 
     body = classes.select("media_id", "wide", "tall", "points")
@@ -396,7 +429,10 @@ def copy_links(classes: DataFrame) -> DataFrame:
     blocks = max(1, -(-total // (BLOCK_CORNERS * POINT.itemsize)))
     packed = packed.withColumn("block", F.pmod(F.xxhash64("media_id"), F.lit(blocks)).cast("int"))
     paired = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    paired = paired.select("media_id", "wide", "tall", "points", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"))
+    paired = paired.select(
+        "media_id", "wide", "tall", "points", F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side")
+    )
     found = _compared(paired.repartition(2 * blocks * (blocks + 1), "low", "high"))  # groups take long and are few: one a task
     rare = cut(_rare_candidates(cold, classes, keys), "media-candidates")
     return found.unionByName(_confirmed(rare, classes))
@@ -412,7 +448,10 @@ def image_copies(images: DataFrame) -> DataFrame:
     named = packs.groupBy("media_id").agg(F.min(F.struct("h0", "h1")).alias("h")).select("media_id", "h.h0", "h.h1")
     classes = cut(named.groupBy("h0", "h1").agg(F.min("media_id").alias("least")), "media-classes")
     bodies = packs.join(classes.withColumnRenamed("least", "media_id"), ["media_id", "h0", "h1"]).dropDuplicates(["media_id"])
-    able = cut(bodies.where(F.octet_length("points") >= MATCHES * POINT.itemsize).select("media_id", "wide", "tall", "points"), "media-bodies")
+    able = cut(
+        bodies.where(F.octet_length("points") >= MATCHES * POINT.itemsize).select("media_id", "wide", "tall", "points"),
+        "media-bodies"
+    )
     links = cut(copy_links(able), "media-links")
     roots = components(links, "media").select(F.col("u").alias("least"), "v")
     classes = classes.join(roots, "least", "left").select("h0", "h1", F.coalesce("v", "least").alias("root"))
@@ -420,7 +459,10 @@ def image_copies(images: DataFrame) -> DataFrame:
     counts = named.join(sizes, ["media_id", "h0", "h1"]).join(classes, ["h0", "h1"]).select("media_id", "n_corners", "root")
     out = images.select("media_id").join(counts, "media_id", "left")
     component = F.coalesce("root", "media_id")
-    return out.select("media_id", F.coalesce("n_corners", F.lit(0)).cast("long").alias("n_corners"), component.alias("component_id"), F.coalesce(F.col("media_id") == component, F.lit(True)).alias("kept"))
+    return out.select(
+        "media_id", F.coalesce("n_corners", F.lit(0)).cast("long").alias("n_corners"), component.alias("component_id"),
+        F.coalesce(F.col("media_id") == component, F.lit(True)).alias("kept")
+    )
 
 
 def vector_images(vectors: DataFrame, block: int = 10) -> DataFrame:
@@ -437,6 +479,9 @@ def vector_images(vectors: DataFrame, block: int = 10) -> DataFrame:
                 grid[: len(values)] = np.clip(128 + 300 * values, 0, 255)
                 side.append(n * block)
                 pixels.append(np.kron(grid.reshape(n, n), np.ones((block, block))).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch["vec_id"].cast(pa.int64()), pa.array(side, pa.int32()), pa.array(side, pa.int32()), pa.array(pixels, pa.binary())], ["media_id", "width", "height", "pixels"])
+            yield pa.RecordBatch.from_arrays(
+                [batch["vec_id"].cast(pa.int64()), pa.array(side, pa.int32()), pa.array(side, pa.int32()), pa.array(pixels, pa.binary())],
+                ["media_id", "width", "height", "pixels"]
+            )
 
     return map_batches(vectors.select("vec_id", "embedding"), draw, "media_id long, width int, height int, pixels binary")

@@ -100,12 +100,21 @@ def sketch(docs: DataFrame) -> DataFrame:
                 np.add.at(mixed, of, mix64(code ^ _STEP))
                 bands = registers(code, of, n).reshape(n, BANDS, PER_BAND)
                 edges = pa.array(np.arange(n + 1, dtype=np.int32) * BANDS)
-                halves = [pa.ListArray.from_arrays(edges, pa.array(np.ascontiguousarray(x).view(kind).reshape(-1))) for x, kind in ((bands[..., :4], np.int64), (bands[..., 4], np.int16))]
+                halves = [
+                    pa.ListArray.from_arrays(edges, pa.array(np.ascontiguousarray(x).view(kind).reshape(-1)))
+                    for x, kind in ((bands[..., :4], np.int64), (bands[..., 4], np.int16))
+                ]
                 counts = [pa.array(x) for x in (np.bincount(of, minlength=n).astype(np.int64), total.view(np.int64), mixed.view(np.int64))]
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(at, n), *counts, *halves], ["doc_id", "n_shingles", "set_sum", "set_mix", "sketch", "fifth"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].slice(at, n), *counts, *halves],
+                    ["doc_id", "n_shingles", "set_sum", "set_mix", "sketch", "fifth"]
+                )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_batches(docs.select("doc_id", "text"), make, f"doc_id {kind}, n_shingles long, set_sum long, set_mix long, sketch array<long>, fifth array<short>")
+    return map_batches(
+        docs.select("doc_id", "text"), make,
+        f"doc_id {kind}, n_shingles long, set_sum long, set_mix long, sketch array<long>, fifth array<short>"
+    )
 
 
 def _links(members: pa.Table, link: int) -> tuple[list[int], list[int]]:
@@ -135,7 +144,10 @@ def _links(members: pa.Table, link: int) -> tuple[list[int], list[int]]:
     u, v = [], []
     two = side.min() != side.max() if n else False
     for a in range(n):
-        ahead = np.flatnonzero((label != label[a]) & ((side > side[a]) if two else (np.arange(n) > a)) & (100 * np.minimum(sizes, sizes[a]) >= link * np.maximum(sizes, sizes[a])))
+        ahead = np.flatnonzero(
+            (label != label[a]) & ((side > side[a]) if two else (np.arange(n) > a))
+            & (100 * np.minimum(sizes, sizes[a]) >= link * np.maximum(sizes, sizes[a]))
+        )
         if not len(ahead):
             continue
         ahead = ahead[estimate(sketches[a], sizes[a], sketches[ahead], sizes[ahead]) >= link / 100 - SLACK]
@@ -179,41 +191,88 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     classes = cut(one_each.groupBy(*keys).agg(F.min("doc_id").alias("cls")), "minhash-classes")
     led = some(usable, classes.select(F.col("cls").alias("doc_id")), "left_semi")
 
-    banded = led.select(F.col("doc_id").alias("cls"), F.posexplode(F.arrays_zip("sketch", "fifth")).alias("band", "r")).where("r.sketch <> 0 or r.fifth <> 0").select("cls", "band", F.xxhash64("r.sketch", "r.fifth").alias("key"))
-    leaders = cut(banded.groupBy("band", "key").agg(F.min("cls").alias("leader"), F.max("cls").alias("last")).where("leader < last").drop("last"), "minhash-leaders")
-    members = cut(banded.join(fits(leaders), ["band", "key"]).select("leader", "cls").distinct(), "minhash-pairs")  # leaders lead themselves
+    banded = led.select(
+        F.col("doc_id").alias("cls"), F.posexplode(F.arrays_zip("sketch", "fifth")).alias("band", "r")
+    ).where("r.sketch <> 0 or r.fifth <> 0").select("cls", "band", F.xxhash64("r.sketch", "r.fifth").alias("key"))
+    leaders = cut(
+        banded.groupBy("band", "key").agg(F.min("cls").alias("leader"), F.max("cls").alias("last")).where("leader < last").drop("last"),
+        "minhash-leaders"
+    )
+    members = cut(
+        banded.join(fits(leaders), ["band", "key"]).select("leader", "cls").distinct(), "minhash-pairs"
+    )  # leaders lead themselves
     members = cut(members.join(fits(classes.select("cls", "n_shingles")), "cls"), "minhash-members")
     wanted = cut(members.select(F.col("cls").alias("doc_id")).distinct(), "minhash-wanted")
     bodies = some(docs.select("doc_id", "text"), wanted, "left_semi").dropDuplicates(["doc_id"])
-    bodies = cut(bodies.join(some(led, wanted, "left_semi").select("doc_id", "sketch", "fifth", "n_shingles").dropDuplicates(["doc_id"]), "doc_id"), "minhash-bodies")
+    bodies = cut(
+        bodies.join(some(led, wanted, "left_semi").select("doc_id", "sketch", "fifth", "n_shingles").dropDuplicates(["doc_id"]), "doc_id"),
+        "minhash-bodies"
+    )
 
     sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
-    sizes = cut(sizes.select("leader", F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "minhash-sizes")
-    placed = cut(members.join(fits(sizes), "leader").select("leader", "cls", "blocks", F.pmod(F.xxhash64("cls", "leader"), "blocks").cast("int").alias("block")), "minhash-placed")
-    filled = placed.join(bodies, F.col("cls") == F.col("doc_id")).select("leader", "block", "doc_id", "text", "sketch", "fifth", "n_shingles", F.col("doc_id").alias("group"), F.lit(0).alias("side"))
+    sizes = cut(
+        sizes.select(
+            "leader",
+            F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+        ),
+        "minhash-sizes"
+    )
+    placed = cut(
+        members.join(fits(sizes), "leader").select(
+            "leader", "cls", "blocks", F.pmod(F.xxhash64("cls", "leader"), "blocks").cast("int").alias("block")
+        ),
+        "minhash-placed"
+    )
+    filled = placed.join(bodies, F.col("cls") == F.col("doc_id")).select(
+        "leader", "block", "doc_id", "text", "sketch", "fifth", "n_shingles", F.col("doc_id").alias("group"),
+        F.lit(0).alias("side")
+    )
     links = cut(_confirm(filled, ["leader", "block"], link), "minhash-links-1")
     roots = components(links, "minhash-1")
 
     # families of several blocks, of which some members are still apart
-    several = placed.where("blocks > 1").join(roots.select(F.col("u").alias("cls"), F.col("v").alias("root")), "cls", "left").withColumn("group", F.coalesce("root", "cls")).drop("root", "block", "blocks")
+    several = placed.where("blocks > 1").join(
+        roots.select(F.col("u").alias("cls"), F.col("v").alias("root")), "cls", "left"
+    ).withColumn("group", F.coalesce("root", "cls")).drop("root", "block", "blocks")
     per_group = several.groupBy("leader", "group").agg(F.count(F.lit(1)).alias("n"))
-    largest = per_group.groupBy("leader").agg(F.max(F.struct("n", "group"))["group"].alias("main"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
-    apart = several.join(largest.select("leader", "main"), "leader").withColumn("rest", (F.col("group") != F.col("main")).cast("int")).drop("main")
+    largest = per_group.groupBy("leader").agg(
+        F.max(F.struct("n", "group"))["group"].alias("main"), F.count(F.lit(1)).alias("groups")
+    ).where("groups > 1")
+    apart = several.join(largest.select("leader", "main"), "leader").withColumn(
+        "rest", (F.col("group") != F.col("main")).cast("int")
+    ).drop("main")
     apart = apart.join(bodies.select(F.col("doc_id").alias("cls"), "n_shingles"), "cls")
-    cuts = apart.groupBy("leader", "rest").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    cuts = cuts.groupBy("leader").agg(F.coalesce(F.max(F.when(F.col("rest") == 1, F.col("blocks"))), F.lit(0)).alias("rests"), F.coalesce(F.max(F.when(F.col("rest") == 0, F.col("blocks"))), F.lit(0)).alias("mains"))
+    cuts = apart.groupBy("leader", "rest").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    )
+    cuts = cuts.groupBy("leader").agg(
+        F.coalesce(F.max(F.when(F.col("rest") == 1, F.col("blocks"))), F.lit(0)).alias("rests"),
+        F.coalesce(F.max(F.when(F.col("rest") == 0, F.col("blocks"))), F.lit(0)).alias("mains")
+    )
     apart = apart.join(cuts, "leader")
     # blocks 0..rests-1 hold the rest, rests.. the largest component; a pair of blocks has at least one of the rest
-    own = F.when(F.col("rest") == 1, F.pmod(F.xxhash64("cls"), "rests")).otherwise(F.col("rests") + F.pmod(F.xxhash64("cls"), "mains")).cast("int")
-    others = F.when(F.col("rest") == 1, F.sequence(F.lit(0), F.col("rests") + F.col("mains") - 1)).otherwise(F.sequence(F.lit(0), F.col("rests") - 1))
+    own = F.when(
+        F.col("rest") == 1, F.pmod(F.xxhash64("cls"), "rests")
+    ).otherwise(F.col("rests") + F.pmod(F.xxhash64("cls"), "mains")).cast("int")
+    others = F.when(
+        F.col("rest") == 1, F.sequence(F.lit(0), F.col("rests") + F.col("mains") - 1)
+    ).otherwise(F.sequence(F.lit(0), F.col("rests") - 1))
     paired = apart.withColumn("block", own).withColumn("other", F.explode(others))
-    paired = paired.select("leader", "cls", "group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"))
-    again = paired.join(bodies, F.col("cls") == F.col("doc_id")).select("leader", "low", "high", "doc_id", "text", "sketch", "fifth", "n_shingles", "group", "side")
+    paired = paired.select(
+        "leader", "cls", "group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side")
+    )
+    again = paired.join(bodies, F.col("cls") == F.col("doc_id")).select(
+        "leader", "low", "high", "doc_id", "text", "sketch", "fifth", "n_shingles", "group", "side"
+    )
     more = cut(_confirm(again, ["leader", "low", "high"], link), "minhash-links-2")
     if not more.isEmpty():
         roots = components(links.unionByName(more), "minhash-2")
 
-    named = cut(classes.join(roots.select(F.col("u").alias("cls"), "v"), "cls", "left").select(*keys, F.coalesce("v", "cls").alias("component_id")), "minhash-named")
+    named = cut(
+        classes.join(roots.select(F.col("u").alias("cls"), "v"), "cls", "left").select(*keys, F.coalesce("v", "cls").alias("component_id")),
+        "minhash-named"
+    )
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)  # beside the join: they may be very many
     out = sketches.where(~alone).select("doc_id", *keys).join(fits(named), keys, "left").select("doc_id", "n_shingles", "component_id")
     out = out.unionByName(sketches.where(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

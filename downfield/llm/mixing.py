@@ -45,16 +45,25 @@ def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
     """
     every = W.partitionBy(F.lit(0))
     by_cap = every.orderBy("_mix_ratio", "_mix_rank")
-    level = (F.lit(share) * F.sum("source_size").over(every) - F.coalesce(F.sum("_mix_cap").over(by_cap.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))) / F.sum("_mix_weight").over(by_cap.rowsBetween(0, W.unboundedFollowing))
+    level = (
+        F.lit(share) * F.sum("source_size").over(every) - F.coalesce(
+            F.sum("_mix_cap").over(by_cap.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)
+        )
+    ) / F.sum("_mix_weight").over(by_cap.rowsBetween(0, W.unboundedFollowing))
     ranked = sources.withColumn("_mix_rank", F.row_number().over(every.orderBy(F.col("source").asc_nulls_last())))
     weighed = (
-        ranked.withColumn("_mix_weight", F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("_mix_rank") - 1) % len(weights) + 1))
+        ranked.withColumn(
+            "_mix_weight",
+            F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("_mix_rank") - 1) % len(weights) + 1)
+        )
         .withColumn("_mix_cap", F.lit(float(most)) * F.col("source_size"))
         .withColumn("_mix_ratio", F.col("_mix_cap") / F.col("_mix_weight"))
     )
     levelled = weighed.withColumn("_mix_level", level).withColumn("_mix_full", F.col("_mix_level") > F.col("_mix_ratio"))
     first = F.min(F.when(~F.col("_mix_full"), F.struct("_mix_ratio", "_mix_rank", "_mix_level"))).over(every)["_mix_level"]
-    return levelled.withColumn("target", F.when(F.col("_mix_full"), F.col("_mix_cap")).otherwise(first * F.col("_mix_weight"))).select("source", "n_docs", "source_size", "target")
+    return levelled.withColumn(
+        "target", F.when(F.col("_mix_full"), F.col("_mix_cap")).otherwise(first * F.col("_mix_weight"))
+    ).select("source", "n_docs", "source_size", "target")
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -79,15 +88,33 @@ def hypergeometric(good: Column, total: Column, draws: Column, u: Column) -> Col
     def step(s: Column, k: Column) -> Column:
         """From k - 1 to k, as long as the sum is not beyond u."""
         log = s["log"] + F.log((s["good"] - k + 1) * (s["draws"] - k + 1) / (k * (s["bad"] - s["draws"] + k)))
-        more = _let(log, lambda x: F.struct(s["good"].alias("good"), s["bad"].alias("bad"), s["draws"].alias("draws"), s["u"].alias("u"), x.alias("log"), (s["sum"] + F.exp(x)).alias("sum"), k.alias("at")))
+        more = _let(
+            log,
+            lambda x: F.struct(
+                s["good"].alias("good"), s["bad"].alias("bad"), s["draws"].alias("draws"), s["u"].alias("u"),
+                x.alias("log"), (s["sum"] + F.exp(x)).alias("sum"), k.alias("at")
+            )
+        )
         return F.when(s["sum"] > s["u"], s).otherwise(more)
 
     def walk(c: Column) -> Column:
-        log = reduce(lambda a, n: a - _log_factorial(n), (c["at"], c["good"] - c["at"], c["draws"] - c["at"], c["bad"] - c["draws"] + c["at"]), F.lit(0.0))
-        log = log + reduce(lambda a, n: a + _log_factorial(n), (c["good"], c["bad"], c["draws"], c["good"] + c["bad"] - c["draws"]), F.lit(0.0)) - _log_factorial(c["good"] + c["bad"])
+        log = reduce(
+            lambda a, n: a - _log_factorial(n),
+            (c["at"], c["good"] - c["at"], c["draws"] - c["at"], c["bad"] - c["draws"] + c["at"]), F.lit(0.0)
+        )
+        log = log + reduce(
+            lambda a, n: a + _log_factorial(n), (c["good"], c["bad"], c["draws"], c["good"] + c["bad"] - c["draws"]),
+            F.lit(0.0)
+        ) - _log_factorial(c["good"] + c["bad"])
         high = F.least(c["good"], c["draws"])
         steps = F.when(high > c["at"], F.sequence(c["at"] + 1, high)).otherwise(F.array().cast("array<bigint>"))
-        first = _let(log, lambda x: F.struct(*(c[n].alias(n) for n in ("good", "bad", "draws", "u")), x.alias("log"), F.exp(x).alias("sum"), c["at"].alias("at")))
+        first = _let(
+            log,
+            lambda x: F.struct(
+                *(c[n].alias(n) for n in ("good", "bad", "draws", "u")), x.alias("log"), F.exp(x).alias("sum"),
+                c["at"].alias("at")
+            )
+        )
         return F.aggregate(steps, first, step, lambda s: s["at"])
 
     bad = total - good
@@ -112,7 +139,10 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str) -> DataFrame:
 
             def after(taken: Column) -> Column:
                 struct = F.struct(part["source"].alias("source"), part["n"].alias("n"), taken.alias("left"))
-                return F.struct((state["total"] - part["n"]).alias("total"), (state["draws"] - taken).alias("draws"), F.array_append(state["parts"], struct).alias("parts"))
+                return F.struct(
+                    (state["total"] - part["n"]).alias("total"), (state["draws"] - taken).alias("draws"),
+                    F.array_append(state["parts"], struct).alias("parts")
+                )
 
             return _let(left, after)
 
@@ -133,19 +163,32 @@ def deal(draws: DataFrame, shards: int, seed: str) -> DataFrame:
     spans = quotas.select("source", "shard", (upto - F.col("n")).alias("_mix_from"), upto.alias("_mix_to"))
     place = F.row_number().over(W.partitionBy("source").orderBy(_digest(F.lit(seed), "source", "block", "copy"), "block", "copy"))
     placed = draws.withColumn("_mix_place", place)
-    same = F.col("d.source").eqNullSafe(F.col("q.source")) & (F.col("d._mix_place") > F.col("q._mix_from")) & (F.col("d._mix_place") <= F.col("q._mix_to"))
+    same = F.col("d.source").eqNullSafe(F.col("q.source")) & (
+        F.col("d._mix_place") > F.col("q._mix_from")
+    ) & (F.col("d._mix_place") <= F.col("q._mix_to"))
     return placed.alias("d").join(spans.alias("q"), same).select("d.source", "d.block", "d.copy", "q.shard")
 
 
-def mix_sources(docs: DataFrame, shards: int = 16, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = "mix") -> DataFrame:
+def mix_sources(
+    docs: DataFrame, shards: int = 16, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST,
+    seed: str = "mix"
+) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with ``size``, ``source_size``, ``target``, ``shards`` (array of int: the
     shards that hold a copy; empty: not in the mix) and ``order_key``, by which a shard is shuffled.
 
     ``shards`` has to be a power of two.
     """
     docs = docs.withColumn("size", word_count("text")).withColumn("order_key", _digest(F.lit(seed), "doc_id"))
-    units = cut(docs.groupBy("doc_id", "source", "size", "order_key").agg(F.count(F.lit(1)).alias("rows")).withColumn("words", F.col("size") * F.col("rows")), "mix-units")
-    sources = cut(targets(units.groupBy("source").agg(F.sum("rows").alias("n_docs"), F.sum("words").alias("source_size")), weights, share, most), "mix-sources")
+    units = cut(
+        docs.groupBy(
+            "doc_id", "source", "size", "order_key"
+        ).agg(F.count(F.lit(1)).alias("rows")).withColumn("words", F.col("size") * F.col("rows")),
+        "mix-units"
+    )
+    sources = cut(
+        targets(units.groupBy("source").agg(F.sum("rows").alias("n_docs"), F.sum("words").alias("source_size")), weights, share, most),
+        "mix-sources"
+    )
     sources = small(
         sources.withColumn("blocks", F.least(F.lit(BLOCKS), F.greatest(F.lit(1), F.ceil(F.col("n_docs") / BLOCK_DOCS))).cast("long"))
         .withColumn("base", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).cast("long"))
@@ -154,15 +197,29 @@ def mix_sources(docs: DataFrame, shards: int = 16, weights: Sequence[float] = WE
     here = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
     of = lambda other: F.col("u.source").eqNullSafe(F.col(f"{other}.source"))
     placed = (
-        units.alias("u").join(sources.alias("s"), of("s")).select("u.*", "s.source_size", "s.target", "s.base", "s.rest", F.floor(here * F.col("s.blocks")).alias("block"))
+        units.alias("u").join(sources.alias("s"), of("s")).select(
+            "u.*", "s.source_size", "s.target", "s.base", "s.rest", F.floor(here * F.col("s.blocks")).alias("block")
+        )
     )
     # quotas of blocks: whole blocks before the one in which the rest ends, and part of that one
     running = F.sum("block_words").over(W.partitionBy("source").orderBy("block"))
     blocks = placed.groupBy("source", "block", "base", "rest").agg(F.sum("words").alias("block_words")).withColumn("upto", running)
-    blocks = cut(blocks.withColumn("state", F.when(F.col("upto") <= F.col("rest"), "whole").when(F.col("upto") - F.col("block_words") <= F.col("rest"), "part").otherwise("none")).withColumn("left_over", F.col("rest") - (F.col("upto") - F.col("block_words"))), "mix-blocks")
-    draws = blocks.withColumn("copies", F.col("base") + (F.col("state") != "none").cast("long")).withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).where("copies > 0")
+    blocks = cut(
+        blocks.withColumn(
+            "state",
+            F.when(F.col("upto") <= F.col("rest"), "whole").when(
+                F.col("upto") - F.col("block_words") <= F.col("rest"), "part"
+            ).otherwise("none")
+        ).withColumn("left_over", F.col("rest") - (F.col("upto") - F.col("block_words"))),
+        "mix-blocks"
+    )
+    draws = blocks.withColumn(
+        "copies", F.col("base") + (F.col("state") != "none").cast("long")
+    ).withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).where("copies > 0")
     dealt = deal(draws.select("source", "block", "copy"), shards, seed)
-    dealt = dealt.groupBy("source", "block").agg(F.transform(F.sort_array(F.collect_list(F.struct("copy", "shard"))), lambda x: x["shard"]).alias("dealt"))
+    dealt = dealt.groupBy("source", "block").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("copy", "shard"))), lambda x: x["shard"]).alias("dealt")
+    )
     quota = small(
         cut(
             blocks.alias("u").join(dealt.alias("d"), of("d") & (F.col("u.block") == F.col("d.block")), "left")
@@ -170,7 +227,9 @@ def mix_sources(docs: DataFrame, shards: int = 16, weights: Sequence[float] = WE
             "mix-quota",
         )
     )
-    unit = placed.alias("u").join(quota.alias("q"), of("q") & (F.col("u.block") == F.col("q.block"))).select("u.*", "q.state", "q.left_over", "q.dealt")
+    unit = placed.alias("u").join(
+        quota.alias("q"), of("q") & (F.col("u.block") == F.col("q.block"))
+    ).select("u.*", "q.state", "q.left_over", "q.dealt")
     unit = unit.withColumn("more", F.col("state") == "whole")
     part = unit.where("state = 'part'")
     for _ in range(FILLS):  # documents in order while they fit, then again what fits into the gap
@@ -178,12 +237,25 @@ def mix_sources(docs: DataFrame, shards: int = 16, weights: Sequence[float] = WE
         fits = ~F.col("more") & F.col("words").between(1, F.floor("left_over"))
         upto = F.sum(F.when(fits, F.col("words"))).over(inside.orderBy("order_key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0))
         part = part.withColumn("_mix_now", fits & (upto <= F.col("left_over")))
-        part = part.withColumn("left_over", F.col("left_over") - F.coalesce(F.sum(F.when(F.col("_mix_now"), F.col("words"))).over(inside), F.lit(0))).withColumn("more", F.col("more") | F.col("_mix_now")).drop("_mix_now")
+        part = part.withColumn(
+            "left_over",
+            F.col("left_over") - F.coalesce(F.sum(F.when(F.col("_mix_now"), F.col("words"))).over(inside), F.lit(0))
+        ).withColumn("more", F.col("more") | F.col("_mix_now")).drop("_mix_now")
     # the document nearest to the gap that is left, if it brings the source nearer to its target
-    nearest = F.row_number().over(W.partitionBy("source", "block").orderBy(F.when(~F.col("more") & (F.col("words") > 0), F.abs(F.col("words") - F.col("left_over"))).asc_nulls_last(), "order_key", "doc_id", "size"))
-    part = part.withColumn("_mix_nearest", nearest).withColumn("more", F.col("more") | ((F.col("_mix_nearest") == 1) & F.col("words").between(1, 2 * F.col("left_over")))).drop("_mix_nearest")
+    nearest = F.row_number().over(
+        W.partitionBy("source", "block").orderBy(
+            F.when(~F.col("more") & (F.col("words") > 0), F.abs(F.col("words") - F.col("left_over"))).asc_nulls_last(),
+            "order_key", "doc_id", "size"
+        )
+    )
+    part = part.withColumn("_mix_nearest", nearest).withColumn(
+        "more", F.col("more") | ((F.col("_mix_nearest") == 1) & F.col("words").between(1, 2 * F.col("left_over")))
+    ).drop("_mix_nearest")
     unit = unit.where("state <> 'part'").unionByName(part)
-    plan = unit.select("doc_id", "source", "size", "source_size", "target", F.when(F.col("more"), F.col("dealt")).otherwise(F.slice("dealt", F.lit(1), F.col("base").cast("int"))).alias("shards"))
+    plan = unit.select(
+        "doc_id", "source", "size", "source_size", "target",
+        F.when(F.col("more"), F.col("dealt")).otherwise(F.slice("dealt", F.lit(1), F.col("base").cast("int"))).alias("shards")
+    )
     d, p = docs.alias("_mix_d"), plan.alias("_mix_p")
     same = [F.col(f"_mix_d.{c}").eqNullSafe(F.col(f"_mix_p.{c}")) for c in ("doc_id", "source", "size")]
     return d.join(p, same[0] & same[1] & same[2]).select("_mix_d.*", "_mix_p.source_size", "_mix_p.target", "_mix_p.shards")

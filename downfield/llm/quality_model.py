@@ -94,7 +94,9 @@ def fit_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleM
     """From ``docs`` (doc_id, text) and ``labels`` (doc_id, quality); at most ``sample`` rows by a hash of doc_id, whose
     ids are the bounded broadcast side. With one class only, the model is a constant; with none it is 0.5."""
     names = list(statistics())
-    chosen = labels.select("doc_id", F.col("quality").cast("double").alias("_label")).where("_label in (0, 1) and doc_id is not null").dropDuplicates(["doc_id"])
+    chosen = labels.select(
+        "doc_id", F.col("quality").cast("double").alias("_label")
+    ).where("_label in (0, 1) and doc_id is not null").dropDuplicates(["doc_id"])
     chosen = cut(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "rules-ids")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = cut(rows.select("_label", *(c.alias(f"_stat_{n}") for n, c in statistics().items())), "rules-stats")
@@ -102,12 +104,16 @@ def fit_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleM
     if len(classes) < 2:
         return RuleModel((), 0.0, classes[0] if classes else 0.5)
     vector = VectorAssembler(inputCols=[f"_stat_{n}" for n in names], outputCol="features")
-    forest = RandomForestClassifier(labelCol="_label", numTrees=TREES, maxDepth=DEPTH, maxBins=64, seed=7, featureSubsetStrategy="onethird").fit(vector.transform(rows))
+    forest = RandomForestClassifier(
+        labelCol="_label", numTrees=TREES, maxDepth=DEPTH, maxBins=64, seed=7, featureSubsetStrategy="onethird"
+    ).fit(vector.transform(rows))
     rules = paths(forest.toDebugString, names)
     if not rules:
         return RuleModel((), 0.0, float(rows.agg(F.avg("_label")).first()[0]))
     held = rows.select(F.col("_label").alias("label"), *(r.holds().cast("double").alias(f"r{k}") for k, r in enumerate(rules)))
-    lasso = LogisticRegression(maxIter=60, regParam=LASSO, elasticNetParam=1.0).fit(VectorAssembler(inputCols=[f"r{k}" for k in range(len(rules))], outputCol="features").transform(held).select("label", "features"))
+    lasso = LogisticRegression(maxIter=60, regParam=LASSO, elasticNetParam=1.0).fit(
+        VectorAssembler(inputCols=[f"r{k}" for k in range(len(rules))], outputCol="features").transform(held).select("label", "features")
+    )
     weights = lasso.coefficients.toArray()
     return RuleModel(tuple((r, float(w)) for r, w in zip(rules, weights, strict=True) if w), float(lasso.intercept))
 

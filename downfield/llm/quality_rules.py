@@ -39,7 +39,10 @@ class QualityModel:
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityModel:
     """Logistic regression on hashed word and character n-grams of ``labels`` (doc_id, quality), at most ``sample``
     rows; then a logistic fit of the margins of rows kept back (Platt's calibration)."""
-    rows = training_set(docs, labels.select("doc_id", F.col("quality").cast("double").alias("label")).where("label in (0, 1)"), GRAMS, sample, "quality")
+    rows = training_set(
+        docs, labels.select("doc_id", F.col("quality").cast("double").alias("label")).where("label in (0, 1)"), GRAMS,
+        sample, "quality"
+    )
     held = F.crc32(F.concat(F.lit("calibrate"), F.col("doc_id").cast("string"))) % 1000 < int(1000 * CALIBRATION)
     fit, back = rows.where(~held).select("features", "label").persist(), rows.where(held)
     try:
@@ -113,9 +116,15 @@ def score_quality(docs: DataFrame, model: QualityModel, keep_at: float = KEEP_AT
                 p = np.full(to - at, model.constant) if model.constant is not None else sigmoid(model.slope * margin + model.offset)
                 failed = (counts[0] < 50) | (100 * counts[4] > 50 * counts[0])
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(at, to - at), *(pa.array(c.astype(np.int64)) for c in counts), pa.array(failed), pa.array(~failed & (p >= keep_at)), pa.array(p)],
+                    [
+                        batch["doc_id"].slice(at, to - at), *(pa.array(c.astype(np.int64)) for c in counts),
+                        pa.array(failed), pa.array(~failed & (p >= keep_at)), pa.array(p)
+                    ],
                     ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"],
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_batches(docs.select("doc_id", "text"), score, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double")
+    return map_batches(
+        docs.select("doc_id", "text"), score,
+        f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double"
+    )

@@ -53,7 +53,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
     model = quality_model.fit_rules(docs, table(spark, sf_dir, "labels").where(~held))
-    return quality_model.score_rules(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= quality_model.GOOD_AT).cast("int").alias("predicted"))
+    return quality_model.score_rules(docs, model).select(
+        "doc_id", held.alias("held_out"), "score",
+        (F.col("score") >= quality_model.GOOD_AT).cast("int").alias("predicted")
+    )
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +69,12 @@ def op10_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.image_copies(media.vector_images(table(spark, sf_dir, "embeddings")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_perspectives, op2_minhash_dedup, op3_suffix_dedup, op4_bpe_roundtrip, op5_url_filter, op6_mix_sources, op7_language_id, op8_quality_classifier, op9_quality_rules, op10_media_copies)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_chat_perspectives, op2_minhash_dedup, op3_suffix_dedup, op4_bpe_roundtrip, op5_url_filter, op6_mix_sources,
+        op7_language_id, op8_quality_classifier, op9_quality_rules, op10_media_copies
+    )
+}
 
 __all__ = ["ORACLES", "QUERIES"]

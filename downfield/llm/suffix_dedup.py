@@ -45,7 +45,9 @@ def _names(data: np.ndarray, length: int) -> np.ndarray:
     return mix64((prefix[length:] - prefix[:-length]) * Powers.down[: len(data) - length + 1])
 
 
-def seeds(data: np.ndarray, bounds: np.ndarray, threshold: int = THRESHOLD, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def seeds(
+    data: np.ndarray, bounds: np.ndarray, threshold: int = THRESHOLD, seed: int = SEED
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Places of seeds, their names, and the first and last start of the strings that each is the seed of."""
     none = np.zeros(0, np.int64)
     if len(data) < threshold:
@@ -151,7 +153,9 @@ def _equal(data: np.ndarray, one: np.ndarray, two: np.ndarray, length: int) -> b
     return not any((data[one + k] != data[two + k]).any() for k in range(length - 1))
 
 
-def _rank(name: np.ndarray, doc: np.ndarray, start: np.ndarray, lengths: np.ndarray, data: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _rank(
+    name: np.ndarray, doc: np.ndarray, start: np.ndarray, lengths: np.ndarray, data: np.ndarray, threshold: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Round 3 on rows: the context of row k is ``lengths[k]`` bytes of ``data`` and begins at ``start[k]`` of document
     ``doc[k]``. Returns spans of repeats (document, first byte, end) and the rows that hold a first occurrence."""
     if not len(name):
@@ -200,10 +204,18 @@ def _first_rows(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]
     columns = ["name", "doc_id", "start", "context", "first", "end"]
     if len(rows):
         none = pa.nulls(len(rows), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(name[rows].view(np.int64)), pa.array(doc[rows]), pa.array(start[rows]), pa.array([raw[edge[r] : edge[r + 1]] for r in rows], pa.binary()), none, none], columns)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(name[rows].view(np.int64)), pa.array(doc[rows]), pa.array(start[rows]),
+                pa.array([raw[edge[r] : edge[r + 1]] for r in rows], pa.binary()), none, none
+            ],
+            columns
+        )
     if len(who):
         none = pa.nulls(len(who), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, pa.array(who), none, pa.nulls(len(who), pa.binary()), pa.array(begin), pa.array(end)], columns)
+        yield pa.RecordBatch.from_arrays(
+            [none, pa.array(who), none, pa.nulls(len(who), pa.binary()), pa.array(begin), pa.array(end)], columns
+        )
 
 
 def _contexts(found: DataFrame) -> DataFrame:
@@ -258,17 +270,30 @@ def _spread(rows: DataFrame) -> DataFrame:
             row = np.repeat(np.arange(len(name)), count)
             step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
             string, twice = (_names(kind, THRESHOLD)[offset[row] + step] for kind in (data, _OTHER[data]))
-            yield pa.RecordBatch.from_arrays([pa.array(string.view(np.int64)), pa.array(twice.view(np.int64)), pa.array(doc[row]), pa.array(start[row] + step)], ["string", "twice", "doc_id", "start"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(string.view(np.int64)), pa.array(twice.view(np.int64)), pa.array(doc[row]), pa.array(start[row] + step)],
+                ["string", "twice", "doc_id", "start"]
+            )
 
     key = ["string", "twice"]  # 128 bits
-    strings = cut(map_batches(rows.select("name", "doc_id", "start", "context"), make, "string long, twice long, doc_id long, start long"), "suffix-strings")
-    least = strings.groupBy(*key).agg(F.min(F.struct("doc_id", "start")).alias("least"), F.max(F.struct("doc_id", "start")).alias("most"), F.count(F.lit(1)).alias("n"))
+    strings = cut(
+        map_batches(rows.select("name", "doc_id", "start", "context"), make, "string long, twice long, doc_id long, start long"),
+        "suffix-strings"
+    )
+    least = strings.groupBy(*key).agg(
+        F.min(F.struct("doc_id", "start")).alias("least"), F.max(F.struct("doc_id", "start")).alias("most"),
+        F.count(F.lit(1)).alias("n")
+    )
     least = cut(least.where("least <> most").drop("most"), "suffix-least")
     # a string of very many rows is looked up by broadcast, so that its rows don't meet in the join either
     hot = cut(least.where(F.col("n") > RANKED_ROWS), "suffix-strings-hot")  # at most strings / RANKED_ROWS
     hot = fits(hot)
-    again = strings.join(hot, key).unionByName(strings.join(hot.select(*key), key, "left_anti").join(least.where(F.col("n") <= RANKED_ROWS), key))
-    return again.where("struct(doc_id, start) <> least").select("doc_id", F.col("start").alias("first"), (F.col("start") + THRESHOLD).alias("end"))
+    again = strings.join(hot, key).unionByName(
+        strings.join(hot.select(*key), key, "left_anti").join(least.where(F.col("n") <= RANKED_ROWS), key)
+    )
+    return again.where("struct(doc_id, start) <> least").select(
+        "doc_id", F.col("start").alias("first"), (F.col("start") + THRESHOLD).alias("end")
+    )
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
@@ -278,7 +303,15 @@ def _ranked(rows: DataFrame) -> DataFrame:
 
     def thin(group: pa.Table) -> pa.Table:
         if not len(group):
-            return pa.table({c: pa.array([], t) for c, t in zip(("name", "doc_id", "start", "context", "first", "end"), (*[pa.int64()] * 3, pa.binary(), *[pa.int64()] * 2), strict=True)})
+            return pa.table(
+                {
+                    c: pa.array([], t)
+                    for c, t in zip(
+                        ("name", "doc_id", "start", "context", "first", "end"),
+                        (*[pa.int64()] * 3, pa.binary(), *[pa.int64()] * 2), strict=True
+                    )
+                }
+            )
         return pa.Table.from_batches(_first_rows([_arrays(group)]))
 
     def rank(group: pa.Table) -> pa.Table:
@@ -287,7 +320,9 @@ def _ranked(rows: DataFrame) -> DataFrame:
 
     spans: list[DataFrame] = []
     while True:
-        hot = cut(rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > RANKED_ROWS), "suffix-hot")  # at most rows / RANKED_ROWS names
+        hot = cut(
+            rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > RANKED_ROWS), "suffix-hot"
+        )  # at most rows / RANKED_ROWS names
         n_hot = hot.agg(F.sum("n")).first()[0] or 0
         if not n_hot:
             break
@@ -327,25 +362,41 @@ def _removal(found: DataFrame) -> DataFrame:
                 for column, value in zip(out, (int(gone.sum()), int(runs.sum()), kept, hashlib.sha256(kept).hexdigest()), strict=True):
                     column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.string())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))], ["doc_id", "n_removed", "n_spans", "kept", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))],
+                ["doc_id", "n_removed", "n_spans", "kept", "kept_sha256"]
+            )
 
-    return map_batches(found.select("doc_id", "text", "spans"), make, "doc_id long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return map_batches(
+        found.select("doc_id", "text", "spans"), make,
+        "doc_id long, n_removed long, n_spans long, kept binary, kept_sha256 string"
+    )
 
 
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Three scratch tables for ``docs`` (long doc_id, text): every document's (doc_id, n_bytes, whole_sha256), the ids
     of whole copies (doc_id), and the repeats of the others (doc_id, spans)."""
     text = F.coalesce("text", F.lit(""))
-    basics = cut(docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("whole_sha256")), "suffix-basics")
+    basics = cut(
+        docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("whole_sha256")),
+        "suffix-basics"
+    )
     long_ones = basics.where(f"n_bytes >= {THRESHOLD} and doc_id is not null")
-    earliest = cut(long_ones.groupBy("whole_sha256").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most"), "suffix-earliest")
+    earliest = cut(
+        long_ones.groupBy("whole_sha256").agg(
+            F.min("doc_id").alias("least"), F.max("doc_id").alias("most")
+        ).where("least < most").drop("most"),
+        "suffix-earliest"
+    )
     copies = cut(long_ones.join(fits(earliest), "whole_sha256").where("doc_id > least").select("doc_id").distinct(), "suffix-copies")
     docs = some(docs.select("doc_id", "text").where(f"doc_id is not null and octet_length(text) >= {THRESHOLD}"), copies, "left_anti")
     found = _round(docs, "single")
     around = cut(some(docs, found.select("doc_id"), "left_semi").join(found, "doc_id"), "suffix-around")
     found = _round(around, "double")
     rows = cut(_contexts(some(around.drop("names"), found.select("doc_id"), "left_semi").join(found, "doc_id")), "suffix-contexts")
-    spans = _ranked(rows.where("first is null").select("name", "doc_id", "start", "context")).unionByName(rows.where("first is not null").select("doc_id", "first", "end"))
+    spans = _ranked(
+        rows.where("first is null").select("name", "doc_id", "start", "context")
+    ).unionByName(rows.where("first is not null").select("doc_id", "first", "end"))
     spans = cut(spans.groupBy("doc_id").agg(F.collect_list(F.struct("first", "end")).alias("spans")), "suffix-spans")
     return basics, copies, spans
 
@@ -360,10 +411,14 @@ def remove_repeats(docs: DataFrame, text_out: bool = False) -> DataFrame:
     table gives no rows; other columns are not read.
     """
     basics, copies, spans = repeated_spans(docs)
-    hit = some(docs.select("doc_id", "text"), cut(spans.select("doc_id"), "suffix-hit"), "left_semi").dropDuplicates(["doc_id"]).join(spans, "doc_id")
+    hit = some(
+        docs.select("doc_id", "text"), cut(spans.select("doc_id"), "suffix-hit"), "left_semi"
+    ).dropDuplicates(["doc_id"]).join(spans, "doc_id")
     removed = _removal(hit) if text_out else _removal(hit).drop("kept")
     empty = hashlib.sha256(b"").hexdigest()
-    out = basics.alias("b").join(copies.select(F.col("doc_id").alias("copy")), F.col("doc_id") == F.col("copy"), "left").join(removed.alias("r"), F.col("b.doc_id") == F.col("r.doc_id"), "left")
+    out = basics.alias("b").join(
+        copies.select(F.col("doc_id").alias("copy")), F.col("doc_id") == F.col("copy"), "left"
+    ).join(removed.alias("r"), F.col("b.doc_id") == F.col("r.doc_id"), "left")
     gone = F.col("copy").isNotNull()
     kept = [F.when(gone, F.lit(b"")).otherwise(F.col("r.kept")).alias("kept")] if text_out else []
     return out.select(

@@ -16,7 +16,10 @@ RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 #: Labelled URLs that the trees and the statistics of suffixes are learned from at most.
 SAMPLE = 10_000
 TREES, DEPTH = 15, 4
-FEATURES = ("url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "hyphens", "entropy", "parameters", "query_length", "secure", "suffix_rate", "suffix_seen")
+FEATURES = (
+    "url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "hyphens", "entropy", "parameters",
+    "query_length", "secure", "suffix_rate", "suffix_seen"
+)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -43,10 +46,15 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     without = lambda c, pattern: F.length(c) - F.length(F.regexp_replace(c, pattern, ""))
     query = F.regexp_extract(u, r"\?([^#]*)", 1)
     share = lambda c: (n - F.length(F.replace(u, c, F.lit("")))) / n
-    entropy = F.aggregate(F.array_distinct(F.split(u, "")), F.lit(0.0), lambda s, c: s - F.when((c == "") | (n == 0), 0.0).otherwise(share(c) * F.log2(share(c))))
+    entropy = F.aggregate(
+        F.array_distinct(F.split(u, "")), F.lit(0.0),
+        lambda s, c: s - F.when((c == "") | (n == 0), 0.0).otherwise(share(c) * F.log2(share(c)))
+    )
     return {
         "url_length": n, "host_length": F.length(host), "path_length": F.length(path), "depth": without(path, "/"),
-        "labels": without(host, r"\."), "digit_ratio": F.coalesce(F.try_divide(without(u, "[0-9]"), n), F.lit(0.0)), "hyphens": without(u, "[-_]"),
+        "labels": without(host, r"\."), "digit_ratio": F.coalesce(
+            F.try_divide(without(u, "[0-9]"), n), F.lit(0.0)
+        ), "hyphens": without(u, "[-_]"),
         "entropy": entropy, "parameters": F.when(query == "", 0).otherwise(without(query, "&") + 1), "query_length": F.length(query),
         "secure": F.startswith(u, F.lit("https:")).cast("int"),
     }
@@ -75,7 +83,10 @@ def _parsed(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    return rows.select("page_id", "url", "host", "path", rule.alias("rule"), verdict.alias("_ruled"), suffix(F.col("host")).alias("_suffix"))
+    return rows.select(
+        "page_id", "url", "host", "path", rule.alias("rule"), verdict.alias("_ruled"),
+        suffix(F.col("host")).alias("_suffix")
+    )
 
 
 def fit_urls(labelled: DataFrame, sample: int = SAMPLE) -> UrlModel:
@@ -84,10 +95,20 @@ def fit_urls(labelled: DataFrame, sample: int = SAMPLE) -> UrlModel:
     host, path = host_and_path(F.col("url"))
     rows = labelled.where("url is not null and verdict in ('allow', 'block')").select("url", "verdict").distinct()
     rows = cut(rows.orderBy(F.xxhash64("url"), "url", "verdict").limit(sample), "urls-sample")
-    rows = rows.select("url", host.alias("host"), path.alias("path"), (F.col("verdict") == "block").cast("double").alias("label")).withColumn("_suffix", suffix(F.col("host")))
-    rows = rows.select("label", "_suffix", (F.crc32("url") % 2).alias("_half"), *(c.cast("double").alias(f"_f_{n}") for n, c in lexical(F.col("url"), F.col("host"), F.col("path")).items()))
+    rows = rows.select(
+        "url", host.alias("host"), path.alias("path"), (F.col("verdict") == "block").cast("double").alias("label")
+    ).withColumn("_suffix", suffix(F.col("host")))
+    rows = rows.select(
+        "label", "_suffix", (F.crc32("url") % 2).alias("_half"),
+        *(c.cast("double").alias(f"_f_{n}") for n, c in lexical(F.col("url"), F.col("host"), F.col("path")).items())
+    )
     rows = cut(rows, "urls-rows")
-    suffixes = cut(rows.where("_half = 0").groupBy(F.col("_suffix").alias("_known")).agg(((F.sum("label") + 1) / (F.count(F.lit(1)) + 2)).alias("_rate"), F.count(F.lit(1)).alias("_seen")), "urls-suffixes")
+    suffixes = cut(
+        rows.where("_half = 0").groupBy(F.col("_suffix").alias("_known")).agg(
+            ((F.sum("label") + 1) / (F.count(F.lit(1)) + 2)).alias("_rate"), F.count(F.lit(1)).alias("_seen")
+        ),
+        "urls-suffixes"
+    )
     fit = rows.where("_half = 1")
     classes = [r[0] for r in fit.select("label").distinct().collect()]
     if len(classes) < 2:
@@ -96,7 +117,9 @@ def fit_urls(labelled: DataFrame, sample: int = SAMPLE) -> UrlModel:
     return UrlModel(trees.fit(_features(fit, suffixes)), suffixes, "allow")
 
 
-def judge_urls(pages: DataFrame, model: UrlModel | None = None, rules: Sequence[tuple[str, str]] = RULES, sample: int = SAMPLE) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, model: UrlModel | None = None, rules: Sequence[tuple[str, str]] = RULES, sample: int = SAMPLE
+) -> DataFrame:
     """(page_id, host, path, rule, verdict) for each row of (page_id, url, ...): the longest rule's verdict, else the
     trees'. Without ``model`` one is fitted on the URLs of ``pages`` that the rules label. Null URLs have an empty host
     and path and are judged by the trees; repeated rows each give a row; other columns are not read; no shuffle."""
@@ -104,6 +127,12 @@ def judge_urls(pages: DataFrame, model: UrlModel | None = None, rules: Sequence[
     model = model or fit_urls(rows.where("_ruled is not null").select("url", F.col("_ruled").alias("verdict")), sample)
     if model.trees is None:
         return rows.select("page_id", "host", "path", "rule", F.coalesce("_ruled", F.lit(model.constant)).alias("verdict"))
-    features = rows.select("*", *(c.cast("double").alias(f"_f_{n}") for n, c in lexical(F.col("url"), F.col("host"), F.col("path")).items()))
+    features = rows.select(
+        "*",
+        *(c.cast("double").alias(f"_f_{n}") for n, c in lexical(F.col("url"), F.col("host"), F.col("path")).items())
+    )
     scored = model.trees.transform(_features(features, model.suffixes))
-    return scored.select("page_id", "host", "path", "rule", F.coalesce("_ruled", F.when(F.col("_prediction") == 1.0, "block").otherwise("allow")).alias("verdict"))
+    return scored.select(
+        "page_id", "host", "path", "rule",
+        F.coalesce("_ruled", F.when(F.col("_prediction") == 1.0, "block").otherwise("allow")).alias("verdict")
+    )

@@ -31,7 +31,9 @@ def odd(spark):
     long_text = "alpha beta gamma delta epsilon " * 4000
     rows = [
         (1, None, None, None, None, "x", 1), (2, "", "en", "a", 0, None, None), (3, "one two", "en", "a", 7, "y", 0), (3, "one two", "en", "a", 7, "y", 0), (None, "lost words here", "fr", None, None, None, None),
-        (4, long_text, "en", "b", None, None, 1), (5, long_text, "en", "b", None, None, 1), (6, "\x0b \t\n", "de", "", 4, None, None), (7, "éÉ ñ ß Σ 日本語 🙂", None, "a", 1, None, None), (8, "12 34 !!", "es", "c", 1, None, None),
+        (4, long_text, "en", "b", None, None, 1), (5, long_text, "en", "b", None, None, 1), (6, "\x0b \t\n", "de", "", 4, None, None), (
+            7, "éÉ ñ ß Σ 日本語 🙂", None, "a", 1, None, None
+        ), (8, "12 34 !!", "es", "c", 1, None, None),
     ]
     return spark.createDataFrame(rows, DOCS)
 
@@ -122,7 +124,10 @@ def brute_repeats(texts):
             seen.add(raw[p : p + 100])
         gone = np.cumsum(cover[:-1]) > 0
         kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-        out[d] = (len(raw), int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum()), hashlib.sha256(kept).hexdigest())
+        out[d] = (
+            len(raw), int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum()),
+            hashlib.sha256(kept).hexdigest()
+        )
     return out
 
 
@@ -135,8 +140,13 @@ def test_repeats_within_a_document_and_hot_strings(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "RANKED_ROWS", 20)
     monkeypatch.setattr(suffix_dedup, "BATCH_STRINGS", 50)
     passage = "the quick brown fox jumps over the lazy dog and then it runs away from all of the other animals of the wood, " * 2
-    texts = {d: f"{d} some text of its own {d * 7919} " + passage[: 60 + d * 3] + f" {d} end" for d in range(60)} | {100: "ab" * 300, 101: passage * 3}
-    out = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    texts = {
+        d: f"{d} some text of its own {d * 7919} " + passage[: 60 + d * 3] + f" {d} end" for d in range(60)
+    } | {100: "ab" * 300, 101: passage * 3}
+    out = {
+        r.doc_id: tuple(r)[1:]
+        for r in suffix_dedup.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    }
     assert out == brute_repeats(texts)
 
 
@@ -154,7 +164,10 @@ def test_repeats_of_a_line_in_many_documents_meet_in_no_large_group(spark, monke
     # windows around the line reach into each document's own text; every tenth document repeats some of that, too
     line = "This line of about seventy bytes stands in each and every document. "
     texts = {d: f"{own(d, 0)} {line}{own(d - (d % 10 == 1), 1)}" for d in range(200)} | {200: line * 3, 201: own(0, 0) + line * 3}
-    out = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    out = {
+        r.doc_id: tuple(r)[1:]
+        for r in suffix_dedup.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    }
     assert out == brute_repeats(texts) and sum(r[1] > 0 for r in out.values()) > 20
     assert max(most) < 100
 
@@ -176,7 +189,9 @@ def test_ranking_compares_bytes(monkeypatch, collide):
     lengths = np.array([len(r) for r in rows])
     who, begin, end, _ = suffix_dedup._rank(np.zeros(40, np.uint64), np.arange(40), np.zeros(40, int), lengths, np.concatenate(rows), 100)
     texts = {k: r.tobytes().decode() for k, r in enumerate(rows)}
-    assert {k: sum(e - b for w, b, e in zip(who, begin, end, strict=True) if w == k) for k in texts} == {k: v[1] for k, v in brute_repeats(texts).items()}
+    assert {
+        k: sum(e - b for w, b, e in zip(who, begin, end, strict=True) if w == k) for k in texts
+    } == {k: v[1] for k, v in brute_repeats(texts).items()}
 
 
 def test_repeats_odd_rows(odd, none):
@@ -192,9 +207,22 @@ def test_repeats_odd_rows(odd, none):
 
 def test_bpe_equals_the_library(spark, base, odd, none):
     library = Tokenizer.from_file(bpe.default_path())
-    extra = spark.createDataFrame([(k, t) for k, t in enumerate(["aaaaaaaaaa AAA <|endoftext|><|startoftext|> x <|endoftext|", "it's we'll I'D 'S 123 ٣٤", "a" * 5000, "ab" * 3000, "İ ſ ﬁ ΑΣ Σ", "\U000323b0՘ x", "\x00​"])], "doc_id long, text string")
+    extra = spark.createDataFrame(
+        [
+            (k, t)
+            for k, t in enumerate(
+                [
+                    "aaaaaaaaaa AAA <|endoftext|><|startoftext|> x <|endoftext|", "it's we'll I'D 'S 123 ٣٤",
+                    "a" * 5000, "ab" * 3000, "İ ſ ﬁ ΑΣ Σ", "\U000323b0՘ x", "\x00​"
+                ]
+            )
+        ],
+        "doc_id long, text string"
+    )
     for docs in (base, odd, extra):
-        out = bpe.encode_documents(docs.select("text", F.col("text").alias("source_text")), ("n_tokens", "ids", "decoded", "ids_sha256")).collect()
+        out = bpe.encode_documents(
+            docs.select("text", F.col("text").alias("source_text")), ("n_tokens", "ids", "decoded", "ids_sha256")
+        ).collect()
         assert len(out) == docs.count()
         for r in out:
             ids = library.encode(r.source_text or "", add_special_tokens=False).ids
@@ -209,7 +237,10 @@ def test_long_words_merge_like_the_library():
     library, encoder = Tokenizer.from_file(bpe.default_path()), bpe.Encoder(bpe.load_vocabulary(bpe.default_path()))
     rng = np.random.RandomState(0)
     letters = lambda kinds, n: "".join(rng.choice(list(kinds), n))
-    for text in (letters("etaoinshrdlu", 700), letters("abcdefghijklmnopqrstuvwxyz", 100_000), letters("ab", 3000), "x " + "the" * 400 + " y", "é" * 900, "." * 2000):
+    for text in (
+        letters("etaoinshrdlu", 700), letters("abcdefghijklmnopqrstuvwxyz", 100_000), letters("ab", 3000),
+        "x " + "the" * 400 + " y", "é" * 900, "." * 2000
+    ):
         assert encoder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
@@ -218,12 +249,17 @@ def test_long_words_merge_like_the_library():
 
 def test_mix_meets_targets_and_shards_share_them(base):
     mix = mixing.mix_sources(base, shards=4).persist()
-    rows = mix.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("size") * F.size("shards")).alias("taken"), F.sum("size").alias("size"), F.max("size").alias("most")).collect()
+    rows = mix.groupBy("source").agg(
+        F.first("target").alias("target"), F.sum(F.col("size") * F.size("shards")).alias("taken"),
+        F.sum("size").alias("size"), F.max("size").alias("most")
+    ).collect()
     assert sum(r.target for r in rows) == pytest.approx(1.5 * sum(r.size for r in rows))
     assert all(r.target <= 2 * r.size + 1e-6 and abs(r.taken - r.target) <= max(0.04 * r.target, r.most / 2) for r in rows)
     assert mix.where(F.size("shards") > 2).count() == 0
     assert mixing.mixed(base, shards=4).count() == mix.agg(F.sum(F.size("shards"))).first()[0]
-    assert sorted(map(str, mix.select("doc_id", "shards").collect())) == sorted(map(str, mixing.mix_sources(base, shards=4).select("doc_id", "shards").collect()))
+    assert sorted(map(str, mix.select("doc_id", "shards").collect())) == sorted(
+        map(str, mixing.mix_sources(base, shards=4).select("doc_id", "shards").collect())
+    )
 
 
 def test_hypergeometric_has_its_moments(spark):
@@ -282,7 +318,9 @@ def test_language_on_held_out_rows(spark, data, base, odd, none):
 
 
 def test_decide_matches_brute_force():
-    model = language_id.LanguageModel({"f": ["a", "b", "c"], "g": ["d"]}, [(None, "f", "g"), ("f", "a", "b"), ("f", "a", "c"), ("f", "b", "c")])
+    model = language_id.LanguageModel(
+        {"f": ["a", "b", "c"], "g": ["d"]}, [(None, "f", "g"), ("f", "a", "b"), ("f", "a", "c"), ("f", "b", "c")]
+    )
     margins = np.random.RandomState(2).normal(size=(300, 4))
     margins[0] = 0  # ties
     lang, score = language_id.decide(model, margins)
@@ -318,8 +356,13 @@ def test_rule_ensemble(spark, data, odd, none):
     assert auc(rows) > 0.9
     model = quality_model.fit_rules(none, labels)
     assert model.constant == 0.5 and quality_model.score_rules(odd, model).count() == odd.count()
-    rules = quality_model.paths("  Tree 0 (weight 1.0):\n    If (feature 0 <= 2.0)\n     Predict: 0.0\n    Else (feature 0 > 2.0)\n     If (feature 1 <= 0.5)\n      Predict: 1.0\n     Else (feature 1 > 0.5)\n      Predict: 0.0\n", ["a", "b"])
-    assert [r.tests for r in rules] == [(("a", "<=", 2.0),), (("a", ">", 2.0),), (("a", ">", 2.0), ("b", "<=", 0.5)), (("a", ">", 2.0), ("b", ">", 0.5))]
+    rules = quality_model.paths(
+        "  Tree 0 (weight 1.0):\n    If (feature 0 <= 2.0)\n     Predict: 0.0\n    Else (feature 0 > 2.0)\n     If (feature 1 <= 0.5)\n      Predict: 1.0\n     Else (feature 1 > 0.5)\n      Predict: 0.0\n",
+        ["a", "b"]
+    )
+    assert [r.tests for r in rules] == [
+        (("a", "<=", 2.0),), (("a", ">", 2.0),), (("a", ">", 2.0), ("b", "<=", 0.5)), (("a", ">", 2.0), ("b", ">", 0.5))
+    ]
 
 
 def brute_counts(text):
@@ -339,8 +382,13 @@ def test_base_rules_match_brute_force(spark, data, base, odd, none):
         wanted = collections.Counter((r.doc_id, *brute_counts(r.text)) for r in ids.collect())
         out = quality_rules.score_quality(docs, model).collect()
         assert collections.Counter(tuple(r)[:6] for r in out) == wanted
-        assert all(r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) and not (r.kept and r.base_failed) for r in out)
-    good = quality_rules.score_quality(base, model).join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").select("score", "quality").collect()
+        assert all(
+            r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) and not (r.kept and r.base_failed)
+            for r in out
+        )
+    good = quality_rules.score_quality(base, model).join(
+        spark.read.parquet(f"{data}/labels.parquet"), "doc_id"
+    ).select("score", "quality").collect()
     assert auc(good) > 0.9 and quality_rules.score_quality(none, model).count() == 0
 
 
@@ -365,7 +413,9 @@ def test_rules_compile_to_what_they_say(spark, base, odd):
     for docs in (base, odd):
         texts = docs.select("doc_id", "text")
         facts = texts.withColumns({n: c for n, c in quality_model.statistics().items()}).collect()
-        margin = lambda r: -0.5 + sum(w * all((r[c] > v) if op == ">" else (r[c] <= v) for c, op, v in tests) for tests, w in rules)
+        margin = lambda r: -0.5 + sum(
+            w * all((r[c] > v) if op == ">" else (r[c] <= v) for c, op, v in tests) for tests, w in rules
+        )
         want = collections.Counter((r.doc_id, round(1 / (1 + math.exp(-margin(r))), 9)) for r in facts)
         assert collections.Counter((r.doc_id, round(r.score, 9)) for r in quality_model.score_rules(texts, model).collect()) == want
 
@@ -379,29 +429,43 @@ def brute_rule(url):
     host, tail = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:end]), rest[end:]
     path = tail[: min([k for k in (tail.find(c) for c in "?#") if k >= 0], default=len(tail))]
     rules = ("org/", "example.org/es/", "example.org/en/1", "com/fr/", "com/de/")
-    fits = [r for r in rules if (h := r.split("/", 1)[0]) and (host == h or host.endswith("." + h)) and path.startswith("/" + r.split("/", 1)[1])]
+    fits = [
+        r
+        for r in rules if (h := r.split("/", 1)[0]) and (host == h or host.endswith("." + h)) and path.startswith("/" + r.split("/", 1)[1])
+    ]
     return host, path, max(fits, key=len, default=None)
 
 
 def test_url_parts_match_brute_force(spark, data):
     seen = spark.read.parquet(f"{data}/pages.parquet").select("page_id", "url")
-    odd = [None, "", "x", "http://", "http:///a", "://Q.ORG", "http://a.org?x://b.com/fr/", "http://com/fr/", "http://ÄB.com/de/", "http://h.org/" + "a/" * 50_000, "http://a.org#/x", "http://x.example.org/en/1"]
+    odd = [
+        None, "", "x", "http://", "http:///a", "://Q.ORG", "http://a.org?x://b.com/fr/", "http://com/fr/",
+        "http://ÄB.com/de/", "http://h.org/" + "a/" * 50_000, "http://a.org#/x", "http://x.example.org/en/1"
+    ]
     rows = seen.unionByName(spark.createDataFrame([(10**6 + k, u) for k, u in enumerate(odd)] * 2, "page_id long, url string"))
     want = collections.Counter((r.page_id, *brute_rule(r.url)) for r in rows.collect())
     assert collections.Counter((r.page_id, r.host, r.path, r.rule) for r in url_filter.judge_urls(rows).collect()) == want
 
 
 def test_urls(spark, data):
-    urls = [None, "", "nohost", "http://A.Example.org/es/x?y", "https://example.org/en/12", "http://x.org", "http://x.org/", "http://fr.com/fr/", "http://a.com/de/z#q", "http://evilexample.org/es/", "ftp://h.net:80?x=/a"]
+    urls = [
+        None, "", "nohost", "http://A.Example.org/es/x?y", "https://example.org/en/12", "http://x.org", "http://x.org/",
+        "http://fr.com/fr/", "http://a.com/de/z#q", "http://evilexample.org/es/", "ftp://h.net:80?x=/a"
+    ]
     pages = spark.createDataFrame([(k, u, None, "x") for k, u in enumerate(urls)], "page_id long, url string, html string, host string")
     seen = spark.read.parquet(f"{data}/pages.parquet").select("page_id", "url", "html", F.lit("x").alias("host"))
     out = {r.page_id: r for r in url_filter.judge_urls(seen.where("page_id >= 1000").unionByName(pages)).collect()}
     assert [(out[k].host, out[k].path, out[k].rule) for k in range(11)] == [
-        ("", "", None), ("", "", None), ("", "", None), ("a.example.org", "/es/x", "example.org/es/"), ("example.org", "/en/12", "example.org/en/1"), ("x.org", "", None), ("x.org", "/", "org/"),
+        ("", "", None), ("", "", None), ("", "", None), (
+            "a.example.org", "/es/x", "example.org/es/"
+        ), ("example.org", "/en/12", "example.org/en/1"), ("x.org", "", None), ("x.org", "/", "org/"),
         ("fr.com", "/fr/", "com/fr/"), ("a.com", "/de/z", "com/de/"), ("evilexample.org", "/es/", "org/"), ("h.net:80", "", None),
     ]
     assert {r.verdict for r in out.values()} <= {"allow", "block"} and out[3].verdict == "block" and out[6].verdict == "allow"
-    labelled = spark.createDataFrame([(f"http://h{k}.net/{'1' * (k % 2 * 9 + 1)}", "block" if k % 2 else "allow") for k in range(200)], "url string, verdict string")
+    labelled = spark.createDataFrame(
+        [(f"http://h{k}.net/{'1' * (k % 2 * 9 + 1)}", "block" if k % 2 else "allow") for k in range(200)],
+        "url string, verdict string"
+    )
     model = url_filter.fit_urls(labelled)
     judged = url_filter.judge_urls(labelled.select(F.lit(1).alias("page_id"), "url"), model, rules=()).groupBy("verdict").count().collect()
     assert {r.verdict: r["count"] for r in judged} == {"allow": 100, "block": 100}
@@ -412,7 +476,10 @@ def test_urls(spark, data):
 
 
 def test_chat_rotation(spark):
-    rows = [(1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 3, None, "?"), (2, 0, "system", "alone"), (None, 5000, "ann", "x" * 9)]
+    rows = [
+        (1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 3, None, "?"),
+        (2, 0, "system", "alone"), (None, 5000, "ann", "x" * 9)
+    ]
     turns = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, seq string")
     out = chat.rotate_perspectives(turns, block=2)
     whole = {(r.conv_id, r.perspective): r for r in chat.training_texts(out).collect()}
@@ -444,7 +511,9 @@ def turned(image, degrees):
     sy, sx = (np.clip(v, 0, side - 1.001) for v in (c + math.cos(t) * y + math.sin(t) * x, c - math.sin(t) * y + math.cos(t) * x))
     y0, x0 = sy.astype(int), sx.astype(int)
     a, b, v = sy - y0, sx - x0, image.astype(float)
-    return ((v[y0, x0] * (1 - b) + v[y0, x0 + 1] * b) * (1 - a) + (v[y0 + 1, x0] * (1 - b) + v[y0 + 1, x0 + 1] * b) * a).round().astype(np.uint8)
+    return (
+        (v[y0, x0] * (1 - b) + v[y0, x0 + 1] * b) * (1 - a) + (v[y0 + 1, x0] * (1 - b) + v[y0 + 1, x0 + 1] * b) * a
+    ).round().astype(np.uint8)
 
 
 def edits(image, rng):
@@ -484,7 +553,10 @@ def test_image_copies_odd_rows(spark):
     rng = np.random.RandomState(1)
     one, two = picture(rng, 100), picture(rng, 100)
     rows = [(*r, "x") for r in rows_of([(5, one), (7, one), (7, two), (3, two), (3, two)])]
-    rows += [(90, None, 3, bytearray(b"abc"), None), (91, 5, 5, bytearray(b"x"), None), (92, 100, 100, bytearray(10000), ""), (None, 1, 1, bytearray(b"x"), "y"), (93, 2, 2, None, None)]
+    rows += [
+        (90, None, 3, bytearray(b"abc"), None), (91, 5, 5, bytearray(b"x"), None), (92, 100, 100, bytearray(10000), ""),
+        (None, 1, 1, bytearray(b"x"), "y"), (93, 2, 2, None, None)
+    ]
     wide = np.tile(picture(rng, 200), (4, 40))  # larger than SIDE, with repeats of its own
     rows += [(*r, None) for r in rows_of([(95, wide), (96, np.ascontiguousarray(wide[:, :6000]))])]
     images = spark.createDataFrame(rows, IMAGE + ", component_id string")
@@ -514,11 +586,18 @@ def brute_components_of_images(packs):
                     words = [int(p) ^ int(q) for p, q in zip(a["bits"], b["bits"], strict=True)]
                     if 0 in words and sum(w.bit_count() for w in words) <= media.HAMMING:
                         turn = ((int(b["turn"]) - int(a["turn"])) % 256 * media.TURNS + 128) // 256 % media.TURNS
-                        r, s, c = media.SCALES[b["level"]] / media.SCALES[a["level"]], math.sin(turn * 2 * math.pi / media.TURNS), math.cos(turn * 2 * math.pi / media.TURNS)
-                        dx, dy = int(b["x"]) - r * (int(a["x"]) * c - int(a["y"]) * s), int(b["y"]) - r * (int(a["x"]) * s + int(a["y"]) * c)
+                        r, s, c = media.SCALES[b["level"]] / media.SCALES[a["level"]], math.sin(
+                            turn * 2 * math.pi / media.TURNS
+                        ), math.cos(turn * 2 * math.pi / media.TURNS)
+                        dx, dy = int(b["x"]) - r * (
+                            int(a["x"]) * c - int(a["y"]) * s
+                        ), int(b["y"]) - r * (int(a["x"]) * s + int(a["y"]) * c)
                         for g in (0, 0.5):
                             unit = media.SHIFT * media.UNITS
-                            cells[turn, int(b["level"]) - int(a["level"]), g, math.floor(dx / unit + g), math.floor(dy / unit + g)].append(((a["x"], a["y"]), (b["x"], b["y"])))
+                            cells[
+                                turn, int(b["level"]) - int(a["level"]), g, math.floor(dx / unit + g),
+                                math.floor(dy / unit + g)
+                            ].append(((a["x"], a["y"]), (b["x"], b["y"])))
             met = any(len(c) >= media.MET and len({p for p, _ in c}) > 1 and len({q for _, q in c}) > 1 for c in cells.values())
             if met and media.same_picture(points[u], points[v], size[u], size[v]):
                 links += 1

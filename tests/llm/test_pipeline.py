@@ -25,8 +25,12 @@ def test_pipeline(spark, data, tmp_path):
 
 
 ODD = [
-    (1, None, None, None, None, "x"), (2, "", "en", "a", 0, None), (3, "one two", "en", "a", 7, "y"), (3, "one two", "en", "a", 7, "y"), (None, "lost words here", "fr", None, None, None),
-    (4, "alpha beta gamma delta epsilon " * 4000, "en", "b", None, None), (5, "alpha beta gamma delta epsilon " * 4000, "en", "b", None, None), (6, "\x0b \t\n", "de", "", 4, None), (7, "éÉ ñ ß Σ 日本語 🙂", None, "a", 1, None),
+    (1, None, None, None, None, "x"), (2, "", "en", "a", 0, None), (3, "one two", "en", "a", 7, "y"), (3, "one two", "en", "a", 7, "y"), (
+        None, "lost words here", "fr", None, None, None
+    ),
+    (
+        4, "alpha beta gamma delta epsilon " * 4000, "en", "b", None, None
+    ), (5, "alpha beta gamma delta epsilon " * 4000, "en", "b", None, None), (6, "\x0b \t\n", "de", "", 4, None), (7, "éÉ ñ ß Σ 日本語 🙂", None, "a", 1, None),
 ]
 
 
@@ -34,16 +38,26 @@ def test_stages_on_odd_and_empty_tables(spark, data):
     """Each stage by itself, with nulls, empty and long texts, repeated rows and an extra column."""
     odd = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string, n_chars long, shard string")
     ids = lambda df: sorted((r.doc_id for r in df.select("doc_id").collect()), key=str)
-    learned = spark.createDataFrame([(k, "the dog and the cat" if k % 2 else "der hund und die katze", "en" if k % 2 else "de", "a", None, None) for k in range(20, 60)], odd.schema)
+    learned = spark.createDataFrame(
+        [
+            (k, "the dog and the cat" if k % 2 else "der hund und die katze", "en" if k % 2 else "de", "a", None, None)
+            for k in range(20, 60)
+        ],
+        odd.schema
+    )
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, odd.unionByName(learned) if name == "language" else odd, data)
         if name == "language":  # what has no letter goes; without any learned language all would
-            assert [d for d in ids(out) if d is None or d < 20] == sorted([3, 3, None, 4, 5, 7], key=str) and stage(spark, odd.where("lang is null"), data).count() == 0
+            assert [
+                d for d in ids(out) if d is None or d < 20
+            ] == sorted([3, 3, None, 4, 5, 7], key=str) and stage(spark, odd.where("lang is null"), data).count() == 0
         elif name == "near_copies":  # of the two long copies one stays; repeated rows of one id stay as they are
             assert ids(out) == sorted([1, 2, 3, 3, None, 4, 6, 7], key=str)
         elif name == "repeats":  # the copy has nothing left, the other loses its repeats
             rows = {r.doc_id: r for r in out.collect()}
-            assert ids(out) == sorted([1, 2, 3, 3, None, 4, 6, 7], key=str) and 0 < len(rows[4].text) < 1000 and rows[4].n_chars == len(rows[4].text)
+            assert ids(out) == sorted(
+                [1, 2, 3, 3, None, 4, 6, 7], key=str
+            ) and 0 < len(rows[4].text) < 1000 and rows[4].n_chars == len(rows[4].text)
         elif name == "mix":
             assert out.columns == list(corpus_pipeline.COLUMNS) and set(ids(out)) <= {1, 2, 3, 4, 5, 6, 7, None}
         else:
