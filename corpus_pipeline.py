@@ -36,12 +36,17 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     they are; rows of one id are one document.
 
     Cuts are in bytes, so an end of a cut may split a character: such a rest of a character goes too."""
-    hit = cut(suffix_dedup.remove_repeats(docs, text_out=True).where("n_removed > 0").select("doc_id", "kept").dropDuplicates(["doc_id"]), "pipeline-repeats")
+    hit = cut(
+        suffix_dedup.remove_repeats(docs, text_out=True).where("n_removed > 0").select("doc_id", "kept").dropDuplicates(["doc_id"]),
+        "pipeline-repeats"
+    )
     untouched = some(docs, hit.select("doc_id"), "left_anti").select(*COLUMNS)
     # U+FFFD is what mending puts in for a rest of a character; a text that is valid keeps its own
     kept = F.col("kept").cast("string")
     mended = F.coalesce(F.try_validate_utf8(kept), F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit("")))
-    rest = some(docs, hit.select("doc_id"), "left_semi").drop("text", "n_chars").join(hit.where("kept <> X''"), "doc_id").withColumn("text", mended)
+    rest = some(
+        docs, hit.select("doc_id"), "left_semi"
+    ).drop("text", "n_chars").join(hit.where("kept <> X''"), "doc_id").withColumn("text", mended)
     return untouched.unionByName(rest.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS))
 
 
