@@ -70,6 +70,11 @@ def match_rates(df: DataFrame, pairs: Mapping[str, tuple[Column, Column, float |
     return wide.select(F.inline(rows)).withColumn("rate", F.try_divide("matched", "compared"))
 
 
+def rates(df: DataFrame, by: str, events: Sequence[str]) -> DataFrame:
+    """(by, event_rate, ...): the mean of each 0/1 column of ``events`` in a bin."""
+    return df.groupBy(by).agg(*(F.avg(c).alias(f"{c}_rate") for c in events))
+
+
 def share_of(df: DataFrame, value: str, keys: Sequence[str], out: str) -> DataFrame:
     """``value`` over its group's sum."""
     return df.withColumn(out, F.try_divide(F.col(value), F.sum(value).over(W.partitionBy(*keys))))

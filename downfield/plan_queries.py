@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .functions import expr as X
-from .plans import decisions, parity, plays, qbr, runs, training
+from .plans import decisions, parity, plays, punts, qbr, runs, training
 from .queries import long, query, r6, t
 from .sources.games import GAME
 
@@ -303,6 +303,15 @@ def fg_set(spark, sf_dir):
     return _double(training.fg_set(table(spark, sf_dir)))
 
 
+@query()
+def punt_distribution(spark, sf_dir):
+    """Landing lines of all punts; a smoothed composite that the tests check against its definition."""
+    rows = table(spark, sf_dir).withColumns(
+        {"desc": F.lit("punts"), "return_yards": F.lit(0.0), "fumble_lost": (F.col("play_seq") % 9 == 0).cast("int")}
+    )
+    return punts.punt_distribution(rows)
+
+
 @query("""
 WITH r AS (SELECT c_custkey::VARCHAR AS player_id, c_name AS name_short, c_mktsegment AS team_abb, 1 + c_nationkey % 5 AS week_num, round(c_acctbal / 100, 1) AS total, c_custkey % 4 <> 0 AS qualified FROM customer)
 SELECT player_id, name_short, team_abb, week_num::BIGINT AS week_num, total AS qbr_total, qualified,

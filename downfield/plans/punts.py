@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.aggregate import bandwidth, density_grid, share_of
+from ..operators.aggregate import bandwidth, density_grid, rates, share_of
 
 #: Marks of a touchdown's line and of a block in ``yardline_after``; cells of the grid in each direction.
 TOUCHDOWN, BLOCK, GRID = 100.0, 999.0, 100
@@ -61,16 +61,14 @@ def punt_distribution(plays: DataFrame) -> DataFrame:
             "muffed": F.when(F.col("blocked") == 1, 0).otherwise(F.col("lost"))
         }
     )
-    by_bin = points.withColumn("bin", _tens("yardline_100")).groupBy("bin").agg(
-        *(F.avg(c).alias(f"{c}_pct") for c in ("muffed", "blocked", "touchdown"))
-    )
+    by_bin = rates(points.withColumn("bin", _tens("yardline_100")), "bin", ("muffed", "blocked", "touchdown"))
     lines = points.select("yardline_100").distinct().withColumn("bin", _tens("yardline_100")).join(by_bin, "bin")  # seven bins
     odd = lines.select(
         "yardline_100",
         F.explode(
             F.array(
-                F.struct(F.lit(TOUCHDOWN).alias("yardline_after"), F.col("blocked_pct").alias("pct")),
-                F.struct(F.lit(BLOCK).alias("yardline_after"), F.col("touchdown_pct").alias("pct"))
+                F.struct(F.lit(TOUCHDOWN).alias("yardline_after"), F.col("blocked_rate").alias("pct")),
+                F.struct(F.lit(BLOCK).alias("yardline_after"), F.col("touchdown_rate").alias("pct"))
             )
         ).alias("o")
     ).select("yardline_100", "o.*").where("pct > 0")
@@ -83,10 +81,10 @@ def punt_distribution(plays: DataFrame) -> DataFrame:
         "yardline_after",
         F.when(F.col("yardline_after") == BLOCK, F.col("yardline_100")).otherwise(F.col("yardline_after"))
     )
-    ends = ends.join(lines.select("yardline_100", "muffed_pct"), "yardline_100", "left").where("yardline_100 > 30")
+    ends = ends.join(lines.select("yardline_100", "muffed_rate"), "yardline_100", "left").where("yardline_100 > 30")
     plain = (F.col("yardline_after") != TOUCHDOWN) & (F.col("yardline_100") != F.col("yardline_after"))
     split = ends.withColumn("muff", F.explode(F.when(plain, F.array(F.lit(0.0), F.lit(1.0))).otherwise(F.array(F.lit(0.0)))))
-    rate = F.coalesce("muffed_pct", F.lit(0.0))
+    rate = F.coalesce("muffed_rate", F.lit(0.0))
     part = F.when(F.col("muff") == 1, rate * F.col("pct")).when(plain, (1 - rate) * F.col("pct")).otherwise(F.col("pct"))
     return share_of(
         split.withColumn("part", part).drop("pct"), "part", ["yardline_100"], "pct"

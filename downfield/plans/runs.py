@@ -120,6 +120,20 @@ def route_artifacts(files: DataFrame, routes: Mapping[str, str]) -> DataFrame:
     ).orderBy("name")
 
 
+def cross_validated(trainer: Trainer, rows: DataFrame, folds: int = 5, rounds: int | None = None) -> DataFrame:
+    """(fold, pred, actual) of models that haven't seen the fold; rows are dealt by a hash of all their columns."""
+    dealt = rows.withColumn("fold", F.pmod(F.xxhash64(*rows.columns), F.lit(folds)).cast("int"))
+    return models.leave_one_out(dealt, "fold", lambda part: trainer.fit(part, rounds))
+
+
+def grid_predictions(spark: SparkSession, model: PipelineModel, axes: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Every combination of the values of ``axes`` (short lists) with the model's ``probs``."""
+    grid = spark.range(1).drop("id")
+    for name, values in axes.items():
+        grid = grid.crossJoin(F.broadcast(spark.createDataFrame([(float(v),) for v in values], f"{name} double")))
+    return models.probabilities(model, grid).select(*axes, "probs")
+
+
 # ---- frames of validation and figures -------------------------------------------------------------------------------
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -165,6 +167,19 @@ def xyac_set(plays: DataFrame) -> DataFrame:
     return rows.select(*XYAC, label.cast("double").alias("label"))
 
 
+def pass_features(plays: DataFrame, features: Sequence[str]) -> DataFrame:
+    """CP or XYAC features of plays that are scored rather than learned from: no row goes, and what a label would need is
+    kept where the table has it."""
+    known = set(plays.columns)
+    lacking = [
+        c
+        for c in ("complete_pass", "incomplete_pass", "interception", "receiver_player_id", "receiver_player_name") if c not in known
+    ]
+    rows = plays.withColumns({c: F.lit(None).cast("string" if c.startswith("receiver") else "int") for c in lacking})
+    kept = [c for c in ("yards_after_catch", "complete_pass", "pass_location") if c in known]
+    return rows.transform(add_common).transform(add_cp).select(*features, *(["valid_pass"] if not lacking else []), *kept)
+
+
 def add_totals(plays: DataFrame) -> DataFrame:
     home, spread, total = F.col("home") == 1.0, F.col("spread_line"), F.col("total_line")
     return plays.withColumns({"home_total": (spread + total) / 2.0, "away_total": (total - spread) / 2.0}).withColumns(

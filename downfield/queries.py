@@ -243,14 +243,11 @@ r AS (SELECT bin, round(sum(hit) / count(*), 6) AS hit_rate, round(sum(dear) / c
 SELECT p_partkey, bin::BIGINT AS bin, hit_rate, dear_rate FROM b LEFT JOIN r USING (bin)""")
 def binned_rates(spark, sf_dir):
     rows = t(spark, sf_dir, "part").select(
-        "p_partkey", F.floor(F.col("p_size") / 10).alias("bin"),
-        F.col("p_type").contains("STEEL").cast("int").alias("hit"),
-        (F.col("p_retailprice") > 1000).cast("int").alias("dear")
-    )
-    rates = rows.groupBy("bin").agg(
-        r6(F.sum("hit") / F.count(F.lit(1))).alias("hit_rate"), r6(F.sum("dear") / F.count(F.lit(1))).alias("dear_rate")
-    )
-    return rows.join(rates, "bin", "left").select("p_partkey", "bin", "hit_rate", "dear_rate")
+        "p_partkey", F.floor(F.col("p_size") / 10).alias("bin"), F.col("p_type").contains("STEEL").cast("int").alias("hit"),
+        (F.col("p_retailprice") > 1000).cast("int").alias("dear"),
+    )
+    both = rows.join(A.rates(rows, "bin", ("hit", "dear")), "bin", "left")
+    return both.select("p_partkey", "bin", r6("hit_rate").alias("hit_rate"), r6("dear_rate").alias("dear_rate"))
 
 
 @query("""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS line, round(l_extendedprice / sum(l_extendedprice) OVER (PARTITION BY l_orderkey), 6) AS share FROM lineitem""")

@@ -57,6 +57,43 @@ def split_games(payload: DataFrame, root: str, column: str = "value") -> int:
     return rows.count()
 
 
+def store_new(payload: DataFrame, root: str, column: str = "value") -> int:
+    """Appends the games of weekly payloads that the library under ``root`` doesn't have yet, one folder a game, and
+    returns how many: run again, it writes nothing. Of a game that comes twice the longer document stays."""
+    spark = payload.sparkSession
+    rows = weekly_games(payload, column).where("game_id is not null").groupBy("game_id").agg(
+        F.max_by("game", F.struct(F.length("game"), "game")).alias("game")
+    )
+    if exists(spark, root):
+        rows = wanted_not_cached(rows, read_library(spark, root))
+    new = rows.persist()
+    try:
+        found = new.count()  # before the write, which makes Spark read the library, and so the new games, again
+        new.select("game", "game_id").write.partitionBy("game_id").mode("append").text(root)
+        return found
+    finally:
+        new.unpersist()
+
+
+def read_library(spark: SparkSession, root: str) -> DataFrame:
+    """(game, game_id) of a library: the document as text. Without a look at ``game`` only folder names are read."""
+    return spark.read.schema("value string, game_id string").text(root).withColumnRenamed("value", "game")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def read_schedule(spark: SparkSession, path: str) -> DataFrame | None:
+    """game_id and those of roof, spread_line and total_line that the table at ``path`` has; None without a table, for
+    ``plans.plays.build_plays`` to go on without."""
+    if not exists(spark, path):
+        return None
+    rows = spark.read.parquet(path)
+    return rows.select("game_id", *(c for c in ("roof", "spread_line", "total_line") if c in rows.columns)).dropDuplicates(["game_id"])
+
+
 def weekly_games(payload: DataFrame, column: str = "value") -> DataFrame:
     """Games of weekly payloads (JSON text), which are lists or objects with ``games`` or ``data``: (game, game_id), the
     id from the first of id, nflId and gameId."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import upsert
+from .games import exists
 
 
 def require(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -24,17 +25,12 @@ def require(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 def read_seasons(spark: SparkSession, root: str, seasons: Sequence[int]) -> DataFrame:
     """Tables of seasons in ``root/season=N``; a season without a table is an error. Only these partitions are read."""
     paths = {s: f"{root}/season={s}" for s in seasons}
-    missing = [s for s, path in paths.items() if not _exists(spark, path)]
+    missing = [s for s, path in paths.items() if not exists(spark, path)]
     if missing:
         raise FileNotFoundError(f"no table of seasons {', '.join(map(str, missing))} in {root}")
     return spark.read.option("basePath", root).parquet(*paths.values())
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-
-
 def from_source(source: str, readers: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
     """The table of the reader that ``source`` names; another name is an error."""
     if source not in readers:

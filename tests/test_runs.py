@@ -130,3 +130,47 @@ def test_an_interval_over_too_many_buckets_is_an_error(spark):
     assert joins.first_interval(points, spans, ["u"], "at", "a", "b", ["n"], ["u"], 1e6).first().n == 1
     with pytest.raises(Exception, match="buckets"):
         joins.first_interval(points, spans, ["u"], "at", "a", "b", ["n"], ["u"], 1.0).collect()
+
+
+def test_library_takes_each_game_once(spark, tmp_path):
+    root = str(tmp_path / "library")
+    week = lambda *ids: spark.createDataFrame([(json.dumps([{"id": i, "season": 2024} for i in ids]),)], "value string")
+    assert games.store_new(week("a", "b"), root) == 2 and games.store_new(
+        week("a", "b", "c", "c"), root
+    ) == 1 and games.store_new(week("a"), root) == 0
+    rows = games.read_library(spark, root).collect()
+    assert sorted(r.game_id for r in rows) == ["a", "b", "c"] and all(json.loads(r.game)["season"] == 2024 for r in rows)
+
+
+def test_schedule_is_optional(spark, tmp_path):
+    assert games.read_schedule(spark, str(tmp_path / "none")) is None
+    spark.createDataFrame([("g", "dome", 1), ("g", "dome", 1)], "game_id string, roof string, x int").write.parquet(str(tmp_path / "s"))
+    assert [tuple(r) for r in games.read_schedule(spark, str(tmp_path / "s")).collect()] == [("g", "dome")]
+
+
+def test_features_of_plays_that_are_scored(spark):
+    row = spark.createDataFrame(
+        [(2020, "A", "A", "dome", 1, 4.0, 40, 10, "middle", 0)],
+        "season int, posteam string, home_team string, roof string, down int, air_yards double, yardline_100 int, ydstogo int, pass_location string, qb_hit int"
+    )
+    out = training.pass_features(row, training.XYAC)
+    assert out.columns == [*training.XYAC, "pass_location"] and out.first().distance_to_goal == 36 and out.first().pass_middle == 1
+    more = row.withColumns(
+        {
+            "complete_pass": F.lit(1), "incomplete_pass": F.lit(0), "interception": F.lit(0),
+            "receiver_player_id": F.lit("r"), "receiver_player_name": F.lit(None).cast("string")
+        }
+    )
+    assert training.pass_features(more, training.CP).columns == [*training.CP, "valid_pass", "complete_pass", "pass_location"]
+
+
+def test_cross_validation_and_grid(spark):
+    rows = spark.range(100).select(
+        (F.col("id") % 10).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"),
+        (F.col("id") % 10 > 4).cast("int").alias("label")
+    )
+    trainer = runs.Trainer(lambda plays: plays, ["a", "b"], rounds=2, signs=(1, 0))
+    out = runs.cross_validated(trainer, rows, folds=3)
+    assert out.count() == 100 and out.where("(pred > 0.5) = (actual = 1)").count() == 100
+    grid = runs.grid_predictions(spark, trainer.fit(rows), {"a": [0, 9], "b": [1, 2, 3]}).collect()
+    assert len(grid) == 6 and all((r.probs[1] > 0.5) == (r.a == 9) for r in grid)
