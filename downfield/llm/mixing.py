@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, small, word_count
+from .common import cut, fits, small, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -229,14 +229,14 @@ def mix_sources(
     )
     unit = placed.alias("u").join(
         quota.alias("q"), of("q") & (F.col("u.block") == F.col("q.block"))
-    ).select("u.*", "q.state", "q.left_over", "q.dealt")
-    unit = unit.withColumn("more", F.col("state") == "whole")
+    ).select("u.*", "q.state", "q.left_over")
+    unit = unit.withColumn("more", F.lit(False))
     part = unit.where("state = 'part'")
     for _ in range(FILLS):  # documents in order while they fit, then again what fits into the gap
         inside = W.partitionBy("source", "block")
-        fits = ~F.col("more") & F.col("words").between(1, F.floor("left_over"))
-        upto = F.sum(F.when(fits, F.col("words"))).over(inside.orderBy("order_key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0))
-        part = part.withColumn("_mix_now", fits & (upto <= F.col("left_over")))
+        fit = ~F.col("more") & F.col("words").between(1, F.floor("left_over"))
+        upto = F.sum(F.when(fit, F.col("words"))).over(inside.orderBy("order_key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0))
+        part = part.withColumn("_mix_now", fit & (upto <= F.col("left_over")))
         part = part.withColumn(
             "left_over",
             F.col("left_over") - F.coalesce(F.sum(F.when(F.col("_mix_now"), F.col("words"))).over(inside), F.lit(0))
@@ -251,14 +251,23 @@ def mix_sources(
     part = part.withColumn("_mix_nearest", nearest).withColumn(
         "more", F.col("more") | ((F.col("_mix_nearest") == 1) & F.col("words").between(1, 2 * F.col("left_over")))
     ).drop("_mix_nearest")
-    unit = unit.where("state <> 'part'").unionByName(part)
-    plan = unit.select(
-        "doc_id", "source", "size", "source_size", "target",
-        F.when(F.col("more"), F.col("dealt")).otherwise(F.slice("dealt", F.lit(1), F.col("base").cast("int"))).alias("shards")
+    taken = cut(part.where("more").select(*(F.col(c).alias(f"_mix_t_{c}") for c in ("doc_id", "source", "size"))), "mix-taken")
+
+    # texts meet only tables of sources and blocks; rows of blocks where a quota ends also those that are taken there
+    facts = {"source_size": "source_size", "target": "target", "base": "_mix_base", "blocks": "_mix_blocks"}
+    facts = small(sources.select(F.col("source").alias("_mix_source"), *(F.col(c).alias(n) for c, n in facts.items())))
+    rest = small(quota.select(*(F.col(c).alias(f"_mix_q_{c}") for c in ("source", "block", "state", "dealt"))))
+    rows = docs.drop("source_size", "target", "shards")
+    kept = [*rows.columns, "source_size", "target"]
+    rows = rows.join(facts, F.col("source").eqNullSafe(F.col("_mix_source"))).withColumn("_mix_block", F.floor(here * F.col("_mix_blocks")))
+    rows = rows.join(rest, F.col("source").eqNullSafe(F.col("_mix_q_source")) & (F.col("_mix_block") == F.col("_mix_q_block")))
+    less = F.slice("_mix_q_dealt", F.lit(1), F.col("_mix_base").cast("int"))
+    plain = rows.where("_mix_q_state <> 'part'").select(
+        *kept, F.when(F.col("_mix_q_state") == "whole", F.col("_mix_q_dealt")).otherwise(less).alias("shards")
     )
-    d, p = docs.alias("_mix_d"), plan.alias("_mix_p")
-    same = [F.col(f"_mix_d.{c}").eqNullSafe(F.col(f"_mix_p.{c}")) for c in ("doc_id", "source", "size")]
-    return d.join(p, same[0] & same[1] & same[2]).select("_mix_d.*", "_mix_p.source_size", "_mix_p.target", "_mix_p.shards")
+    same = [F.col(c).eqNullSafe(F.col(f"_mix_t_{c}")) for c in ("doc_id", "source", "size")]
+    ends = rows.where("_mix_q_state = 'part'").join(fits(taken.withColumn("_mix_t", F.lit(True))), same[0] & same[1] & same[2], "left")
+    return plain.unionByName(ends.select(*kept, F.when(F.col("_mix_t"), F.col("_mix_q_dealt")).otherwise(less).alias("shards")))
 
 
 def mixed(docs: DataFrame, pieces: int = 16, **options) -> DataFrame:
