@@ -97,8 +97,8 @@ def test_stat_fold(build, stats, expect):
 @pytest.mark.parametrize(
     ("line", "team", "yards"),
     [
-        ("50", "KC", 50), ("BAL 32", "BAL", 68), ("BAL 32", "KC", 32), ("LAR 1", "LA", 99), ("JAC 20", "JAX", 80),
-        ("BLT 5", "BAL", 95), ("CLV 5", "CLE", 95), (None, "KC", None), ("50", None, None)
+        ("50", "KC", 50), ("BAL 41", "BAL", 59), ("BAL 41", "KC", 41), ("LAR 12", "LA", 88), ("JAC 33", "JAX", 67),
+        ("BLT 9", "BAL", 91), ("CLV 24", "CLE", 76), (None, "KC", None), ("50", None, None)
     ]
 )
 def test_yardline(spark, line, team, yards):
