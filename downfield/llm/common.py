@@ -45,13 +45,17 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new place in the scratch folder."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table in the shared scratch folder and read it again: the lineage ends there, so a lost
     executor costs a read of the table and no recomputation."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:

@@ -53,4 +53,38 @@ n AS (SELECT *, row_number() OVER (PARTITION BY source, block ORDER BY CASE WHEN
 SELECT doc_id, size, source_size, target, (size * (base + (more3 OR (part AND nearest = 1 AND size BETWEEN 1 AND 2 * gap3))::INT))::BIGINT AS taken FROM n
 """
 
-ORACLES = {"op1_chat_perspectives": CHAT, "op2_minhash_dedup": MINHASH, "op6_mix_sources": MIXING}
+#: crc32 of a decimal number, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)), lambda a, c:
+  list_reduce(list_prepend(xor(a, c), range(8)), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"""
+
+TRIE = rf"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, count(*) AS n, {_CRC} % 9 AS h, conv_id - conv_id % 5 AS base FROM t GROUP BY conv_id),
+c AS (SELECT s.*, least(h, coalesce((SELECT n FROM s b WHERE b.conv_id = s.base), 0)) AS taken FROM s),
+r AS (SELECT c.conv_id, t.place AS depth, role, text FROM c JOIN t ON t.conv_id = c.base AND place <= taken
+      UNION ALL SELECT c.conv_id, t.place - h + taken, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND place > h),
+m AS (SELECT conv_id, depth, octet_length(encode(text)) AS bytes, list((role, text)) OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS node FROM r
+      UNION ALL SELECT conv_id, 0, 0, [] FROM c),
+e AS (SELECT conv_id, max(depth) AS n_turns FROM m GROUP BY 1),
+n AS (SELECT depth, min(m.conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(bytes) AS saved, string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id) FILTER (depth = n_turns) AS ends, node FROM m JOIN e ON m.conv_id = e.conv_id GROUP BY node, depth),
+k AS (SELECT n.*, p.conv_id AS parent_conv_id FROM n LEFT JOIN n p ON p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]),
+l AS (SELECT k.*, (SELECT count(*) FROM k x WHERE x.depth = k.depth + 1 AND x.parent_conv_id = k.conv_id) AS n_children FROM k),
+a AS (SELECT q.conv_id, q.depth, sum((l.n_children = 0)::INT) AS n_leaves, sum(l.saved) AS saved_tokens FROM l JOIN l q ON q.depth <= l.depth AND q.node = l.node[1:q.depth] GROUP BY 1, 2)
+SELECT l.conv_id, l.depth::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM l JOIN a ON a.conv_id = l.conv_id AND a.depth = l.depth
+"""
+
+NEGATIVES = """
+WITH u AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS own, list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score FROM u a JOIN u b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE own QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 3
+"""
+
+ORACLES = {
+    "op1_chat_perspectives": CHAT, "op2_minhash_dedup": MINHASH, "op6_mix_sources": MIXING, "op11_prefix_trie": TRIE,
+    "op13_hard_negatives": NEGATIVES,
+}

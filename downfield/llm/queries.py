@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, language_id, media, minhash, mixing, quality_model, quality_rules, suffix_dedup, url_filter
+from . import (
+    bpe, chat, language_id, media, minhash, mixing, negatives, prefix_trie, quality_model, quality_rules, suffix_dedup, token_files,
+    url_filter
+)
 from .common import table
 from .linear import crc_mod
 from .oracles import ORACLES
@@ -69,11 +72,26 @@ def op10_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.image_copies(media.vector_images(table(spark, sf_dir, "embeddings")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"), outputs=("ids_crc32",))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", relabelled)
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_chat_perspectives, op2_minhash_dedup, op3_suffix_dedup, op4_bpe_roundtrip, op5_url_filter, op6_mix_sources,
-        op7_language_id, op8_quality_classifier, op9_quality_rules, op10_media_copies
+        op7_language_id, op8_quality_classifier, op9_quality_rules, op10_media_copies, op11_prefix_trie, op12_token_files,
+        op13_hard_negatives
     )
 }
 
