@@ -7,11 +7,13 @@ side, one table look-up for an id of each. Code lengths alone give the codes, as
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,24 +28,40 @@ from .common import cut, map_batches, scratch_path, small, texts
 
 #: Bits of the longest code, ids from one checkpoint to the next, ids that a block holds about and a part about.
 LONGEST, STEP, BLOCK_IDS, PART_IDS = 20, 128, 1 << 18, 1 << 23
-#: Words that a worker keeps at most; then its table starts anew.
-KNOWN_WORDS = 300_000
+#: Words that a worker keeps at most, about 250 bytes each; then its table starts anew.
+KNOWN_WORDS = 800_000
 #: Bytes of text that are encoded at a time.
 STEP_BYTES = 1 << 19
 #: Ends every document.
 END_ID = 0
-#: Letters, numbers and white space below U+0250, and the byte-level vocabulary's words over them.
-_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
+#: Letters, numbers and white space below U+0240, and the byte-level vocabulary's words over them. The first
+#: byte of a later character in UTF-8 is at least HIGH_BYTE.
+HIGH_BYTE = 0xC9
+_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ȿ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
 WORDS = re.compile(f" ?[{_L}]+| ?[{_N}]+|'(?:[stmd]|re|ve|ll)| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
-OTHER_SCRIPTS = re.compile("[^\x00-ɏ]")
+#: Between words that are encoded together; no word has it.
+_MARK = "\ue000"
 
 
 # ---- encoding -------------------------------------------------------------------------------------------------------
 
 
+class _Numbered(dict):
+    """Words by number; one that is looked up for the first time gets the next and is noted as new."""
+
+    def __init__(self, known: dict[str, int]):
+        super().__init__(known)
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
+
+
 class ByteEncoder:
     """Encodes texts as the library does with a byte-level vocabulary. The library's model encodes each word that is new to
-    the worker; texts with characters from U+0250 on go through the library whole."""
+    the worker; texts with characters from U+0240 on go through the library whole."""
 
     _kept: dict[int, ByteEncoder] = {}
 
@@ -55,7 +73,8 @@ class ByteEncoder:
         added = sorted((t.content for t in self.library.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.added = {t: self.library.token_to_id(t) for t in added}
-        self.characters = {b: c for b, c in enumerate(byte_characters())}
+        self.characters = dict(enumerate(byte_characters()))
+        self.mark = _MARK.encode().decode("latin-1").translate(self.characters)
         self._forget()
 
     @classmethod
@@ -67,16 +86,15 @@ class ByteEncoder:
         return cls._kept[key]
 
     def _forget(self) -> None:
-        self.known = {t: k for k, t in enumerate(self.added)}
-        self.ids = [np.array(list(self.added.values()), np.int64)]
-        self.edges = [np.arange(len(self.added) + 1, dtype=np.int64)]
+        self.known = _Numbered({t: k for k, t in enumerate(self.added)})
+        self.ids = np.array(list(self.added.values()), np.uint32)
+        self.edges = np.arange(len(self.added) + 1, dtype=np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        tokens = [[t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.characters))] for w in words]
-        base = len(self.known)
-        self.known.update((w, base + k) for k, w in enumerate(words))
-        self.edges.append(self.edges[-1][-1] + np.cumsum([len(t) for t in tokens]))
-        self.ids.append(np.array([k for t in tokens for k in t], np.int64))
+        pieces = _MARK.join(words).encode().decode("latin-1").translate(self.characters).split(self.mark)
+        tokens = list(map(self.model.tokenize, pieces))
+        self.edges = np.append(self.edges, self.edges[-1] + np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens))))
+        self.ids = np.append(self.ids, np.array([t.id for word in tokens for t in word], np.uint32))
 
     def _split(self, text: str) -> list[str]:
         """Words; a special token is a word that no text beside gives, as it mixes kinds of characters."""
@@ -84,26 +102,24 @@ class ByteEncoder:
             return WORDS.findall(text)
         return [w for k, part in enumerate(self.special.split(text)) for w in ([part] if k % 2 else WORDS.findall(part))]
 
-    def encode(self, batch: Sequence[str]) -> list[np.ndarray]:
-        """Ids of each text."""
+    def encode(self, batch: Sequence[str], whole: Sequence[bool]) -> list[np.ndarray]:
+        """Ids of each text. ``whole``: which texts have bytes from HIGH_BYTE on."""
         if len(self.known) > KNOWN_WORDS:
             self._forget()
-        whole = [bool(OTHER_SCRIPTS.search(t)) for t in batch]
         split = [[] if w else self._split(t) for t, w in zip(batch, whole, strict=True)]
-        new = list({w for words in split for w in words if w not in self.known})
-        if new:
-            self._learn(new)
-        if len(self.ids) > 1:
-            self.ids, self.edges = [np.concatenate(self.ids)], [np.concatenate(self.edges)]
-        ids, edges, known = self.ids[0], self.edges[0], self.known
-        which = np.array([known[w] for words in split for w in words], np.int64)
-        begin, size = edges[which], edges[which + 1] - edges[which]
-        flat = ids[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
-        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *(len(w) for w in split)])]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        # a word that isn't known gets the next number
+        which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if self.known.new:
+            self._learn(self.known.new)
+            self.known.new = []
+        begin, size = self.edges[which], self.edges[which + 1] - self.edges[which]
+        flat = self.ids[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.append(0, np.cumsum(sizes))].tolist()
         out = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         others = [k for k, w in enumerate(whole) if w]
         for k, found in zip(others, self.library.encode_batch([batch[k] for k in others], add_special_tokens=False), strict=True):
-            out[k] = np.array(found.ids, np.int64)
+            out[k] = np.array(found.ids, np.uint32)
         return out
 
 
@@ -113,29 +129,45 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def id_type(size: int, end_id: int = END_ID) -> np.dtype:
+    """The integers that hold all ids of a vocabulary."""
+    return np.dtype("<u2" if max(size - 1, end_id) < 1 << 16 else "<u4")
+
+
 def encode_ids(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """(doc_id, n_tokens, ids) for each row of ``docs`` (doc_id, text, ...): whole texts by the vocabulary in ``path`` and the
-    end id behind each, ``ids`` as little-endian unsigned 32-bit integers.
+    end id behind each, ``ids`` as little-endian unsigned integers of 16 bits if all of the vocabulary fit, else of 32.
 
     A null or empty text has the end id only; repeated rows each give a row; other columns are not read; an empty table
     gives no rows. One pass, no shuffle; the vocabulary's file is broadcast."""
     with open(path or default_path(), encoding="utf-8") as f:
-        file = docs.sparkSession.sparkContext.broadcast(f.read())
+        text = f.read()
+    kind = id_type(Tokenizer.from_str(text).get_vocab_size(), end_id)
+    file = docs.sparkSession.sparkContext.broadcast(text)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ByteEncoder.of(file.value)
+        gc.disable()  # millions of words and no cycles
+        try:
+            yield from encoded(encoder, batches)
+        finally:
+            gc.enable()
+
+    def encoded(encoder: ByteEncoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, data, bounds in texts(batch, "text", STEP_BYTES):
                 raw = data.tobytes()
-                ids = encoder.encode([raw[a:b].decode() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
-                made = [np.append(x, end_id).astype("<u4").tobytes() for x in ids]
-                sizes = pa.array([len(x) // 4 for x in made], pa.int64())
+                above = np.append(0, np.cumsum(data >= HIGH_BYTE))[bounds]
+                ids = encoder.encode(
+                    [raw[a:b].decode() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], (above[1:] > above[:-1]).tolist()
+                )
+                made = [np.append(x, end_id).astype(kind).tobytes() for x in ids]
+                sizes = pa.array([len(x) // kind.itemsize for x in made], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].slice(at, to - at), sizes, pa.array(made, pa.binary())], ["doc_id", "n_tokens", "ids"]
                 )
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return map_batches(docs.select("doc_id", "text"), encode, f"doc_id {kind}, n_tokens long, ids binary")
+    return map_batches(docs.select("doc_id", "text"), encode, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids binary")
 
 
 # ---- codes ----------------------------------------------------------------------------------------------------------
@@ -238,20 +270,28 @@ class Codes:
         return out
 
 
+def _flat(batch: pa.RecordBatch) -> np.ndarray:
+    """All ids of a batch of (n_tokens, ids)."""
+    data = b"".join(batch["ids"].to_pylist())
+    return np.frombuffer(data, "<u2" if len(data) == 2 * sum(batch["n_tokens"].to_pylist()) else "<u4")
+
+
 def count_ids(encoded: DataFrame) -> np.ndarray:
     """How often each id occurs in all documents; one number for each id of the vocabulary comes to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            ids = np.frombuffer(b"".join(batch["ids"].to_pylist()), "<u4")
+            if not batch.num_rows:
+                continue
+            ids = _flat(batch)
             now = np.bincount(ids, minlength=len(total))
             now[: len(total)] += total
             total = now
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    rows = map_batches(encoded.select("ids"), count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = map_batches(encoded.select("n_tokens", "ids"), count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r.id for r in rows), default=-1) + 1, np.int64)
     for r in rows:
         counts[r.id] = r.n
@@ -277,13 +317,15 @@ def write_ids(encoded: DataFrame, path: str, longest: int = LONGEST, block: int
         number, before, held, size = 0, 0, [], 0
 
         def made() -> pa.RecordBatch:
-            per_doc = np.array([len(x) // 4 for _, x in held], np.int64)
-            bits, checkpoints = codes.value.pack(np.frombuffer(b"".join(x for _, x in held), "<u4").astype(np.int64), per_doc)
+            per_doc = np.array([n for _, n, _ in held], np.int64)
+            data = b"".join(x for *_, x in held)
+            ids = np.frombuffer(data, "<u2" if len(data) == 2 * int(per_doc.sum()) else "<u4")
+            bits, checkpoints = codes.value.pack(ids.astype(np.int64), per_doc)
             small_int = np.uint16 if STEP * codes.value.longest < 1 << 16 else np.uint32
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([number], pa.int64()), pa.array([before], pa.int64()),
-                    pa.array([[d for d, _ in held]], pa.list_(key)), pa.array([per_doc.tolist()], pa.list_(pa.int64())),
+                    pa.array([[d for d, *_ in held]], pa.list_(key)), pa.array([per_doc.tolist()], pa.list_(pa.int64())),
                     pa.array([bits], pa.binary()), pa.array([checkpoints.astype(small_int).tobytes()], pa.binary())
                 ],
                 ["part", "block", "before", "doc_ids", "sizes", "bits", "checkpoints"]
@@ -291,19 +333,19 @@ def write_ids(encoded: DataFrame, path: str, longest: int = LONGEST, block: int
 
         for batch in batches:
             key = batch["doc_id"].type
-            for doc, ids in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist(), strict=True):
-                if held and size + len(ids) // 4 > block:
+            for doc, n, ids in zip(*(batch[c].to_pylist() for c in ("doc_id", "n_tokens", "ids")), strict=True):
+                if held and size + n > block:
                     yield made()
                     number, before, held, size = number + 1, before + size, [], 0
-                held.append((doc, ids))
-                size += len(ids) // 4
+                held.append((doc, n, ids))
+                size += n
         if held:
             yield made()
 
     kind = dict(encoded.dtypes)["doc_id"]
     parts = max(1, math.ceil(int(counts.sum()) / part))
     order = ["doc_id", F.xxhash64("ids"), "n_tokens"]
-    rows = encoded.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    rows = encoded.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "ids")
     schema = f"part int, block long, before long, doc_ids array<{kind}>, sizes array<long>, bits binary, checkpoints binary"
     map_batches(rows, blocks, schema).write.option("compression", "none").parquet(f"{path}/blocks")
 
