@@ -136,7 +136,9 @@ class Batch:
     def __init__(self, batch: pa.RecordBatch, features: int, models: int, classes: int, base: np.ndarray, since: Trees):
         n = batch.num_rows
         column = lambda c: batch[c].to_numpy(zero_copy_only=False)
-        self.row, self.fold, self.label, self.weight = (column(c) for c in _STATE[:4])
+        self.row, self.fold, self.label = (column(c) for c in _STATE[:3])
+        weight = batch["_weight"].flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+        self.weight = np.broadcast_to(weight, (n, models))
         self.row = self.row.view(np.uint64)
         self.bins = np.frombuffer(b"".join(batch["_bins"].to_pylist()), np.uint8).reshape(n, features)
         stored_margins = b"".join(x or b"" for x in batch["_margins"].to_pylist())
@@ -284,10 +286,10 @@ class Training:
         def make(arrays, trees: Trees) -> Iterator[pa.RecordBatch]:
             sums = {mk: np.zeros((2, 2**level * width), np.int64) for mk in group}
             for _, b in arrays:
-                drawn = kept_rows(b.row, done, s) & (b.weight > 0)
+                drawn = kept_rows(b.row, done, s)
                 for m in sorted({m for m, _ in group}):
-                    at = np.flatnonzero(drawn & (b.fold != m))
-                    g, h = gradients(b.margins[at, m], b.label[at], b.weight[at], unit)
+                    at = np.flatnonzero(drawn & (b.fold != m) & (b.weight[:, m] > 0))
+                    g, h = gradients(b.margins[at, m], b.label[at], b.weight[at, m], unit)
                     for k in [k for m_, k in group if m_ == m]:
                         node = trees.walk(m, now, k, b.bins[at])
                         use = (node >= first) & active[m, k, node]
@@ -374,13 +376,13 @@ class Training:
             for _, b in arrays:
                 for m in np.unique(b.fold[b.fold >= 0]):
                     at = np.flatnonzero(b.fold == m)
-                    margins, label = b.margins[at, m], b.label[at]
+                    margins, label, weight = b.margins[at, m], b.label[at], b.weight[at, m]
                     for r in range(done, first, -1):  # from the newest round back
                         p = probabilities(margins)
                         hit = np.where(label == 1, p[:, 0], 1 - p[:, 0]) if p.shape[1] == 1 else p[np.arange(len(at)), label.astype(int)]
                         sums = total.setdefault((int(m), r), [0.0, 0.0])
-                        sums[0] += float(-(np.log(np.clip(hit, 1e-15, 1)) * b.weight[at]).sum())
-                        sums[1] += float(b.weight[at].sum())
+                        sums[0] += float(-(np.log(np.clip(hit, 1e-15, 1)) * weight).sum())
+                        sums[1] += float(weight.sum())
                         back = np.zeros_like(margins)
                         trees.add(int(m), r - 1 - kept_at, b.bins[at], back)
                         margins = margins - back
@@ -427,7 +429,8 @@ def prepare(
     rows: DataFrame, features: Sequence[str], settings: Settings, label: str = "label", weight: str | None = None,
     fold: Column | None = None, folds: int = 0, keep: Sequence[str] = (), edges: list[np.ndarray] | None = None
 ) -> Training:
-    """Bins and stores ``rows`` for a training. With ``fold`` (0..folds-1) there is a model for each fold, which leaves it out.
+    """Bins and stores ``rows`` for a training. With ``fold`` (0..folds-1) there is a model for each fold, which leaves it out;
+    ``weight`` may then be an array with a number for each model.
 
     Null and NaN features are missing values; rows with a null label, weight or fold are left out, those of weight 0 teach
     nothing. Rows are drawn by a digest of all their values, so equal rows are drawn together, in any order of the table."""
@@ -435,11 +438,14 @@ def prepare(
     if settings.signs and len(settings.signs) != len(features):
         raise ValueError(f"{len(settings.signs)} signs for {len(features)} features")
     numbers = F.array(*(F.col(c).cast("double") for c in features))
+    weights = F.array(F.lit(1.0))
+    if weight:
+        weights = F.col(weight) if rows.schema[weight].dataType.typeName() == "array" else F.array(F.col(weight))
     ready = rows.select(
         *keep, F.xxhash64(numbers, F.col(label).cast("double")).alias("_row"), (fold if fold is not None else F.lit(-1)).cast("int").alias("_fold"),
-        F.col(label).cast("double").alias("_label"), (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("_weight"),
+        F.col(label).cast("double").alias("_label"), weights.cast("array<double>").alias("_weight"),
         numbers.alias("_x")
-    ).where("_label is not null and _weight is not null and _fold is not null")
+    ).where("_label is not null and _weight is not null and not exists(_weight, w -> w is null) and _fold is not null")
     edges = edges if edges is not None else bin_edges(rows.where(F.col(label).isNotNull()), features)
     width = len(features)
 
@@ -454,7 +460,7 @@ def prepare(
     state = stored(ready.mapInArrow(bins, schema), "boosting-rows")
     by_fold = {
         r["_fold"]: r for r in state.groupBy("_fold").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("_label").alias("y"), F.max("_weight").alias("w"), F.min("_label").alias("lo"), F.max("_label").alias("hi")
+            F.count(F.lit(1)).alias("n"), F.sum("_label").alias("y"), F.max(F.array_max("_weight")).alias("w"), F.min("_label").alias("lo"), F.max("_label").alias("hi")
         ).collect()
     }
     top = settings.classes - 1 if settings.classes > 1 else 1
@@ -474,6 +480,24 @@ def prepare(
     return Training(state, list(features), edges, settings, models, base, 2.0**-bits, list(keep))
 
 
+def root_splits(
+    rows: DataFrame, features: Sequence[str], settings: Settings, label: str = "label", weight: str | None = None,
+    fold: Column | None = None, folds: int = 0
+) -> DataFrame:
+    """(model, class, feature, below, missing_left, gain, left_g, left_h, g, h) of the first round's first split of each tree:
+    rows with the feature at most ``below`` go left; sums are of gradients and hessians. See :func:`prepare`."""
+    training = prepare(rows, features, settings, label, weight, fold, folds)
+    s = training.settings
+    trees = [(m, k) for m in range(training.models) for k in range(s.classes)]
+    best = best_splits(training._level(0, np.ones(training.trees.feature.shape[:1] + training.trees.feature.shape[2:], bool), trees), s, training.unit)
+    names, cuts = F.array(*map(F.lit, features)), F.array(*(F.array(*map(F.lit, map(float, e))).cast("array<double>") for e in training.edges))
+    below = F.try_element_at(F.element_at(cuts, F.col("f") + 1), F.col("cut"))  # none if all values go left and the missing ones right
+    sums = [(F.col(c) * training.unit).alias(c) for c in ("left_g", "left_h", "g", "h")]
+    return best.select(
+        F.col("m").alias("model"), F.col("k").alias("class"), F.element_at(names, F.col("f") + 1).alias("feature"), below.alias("below"), "missing_left", "gain", *sums
+    )
+
+
 def fit(rows: DataFrame, features: Sequence[str], settings: Settings, label: str = "label", weight: str | None = None) -> Boosted:
     """One model on all rows; see :func:`prepare` for odd rows. Without rows its trees are empty."""
     training = prepare(rows, features, settings, label, weight)

@@ -99,20 +99,52 @@ def add_winner(plays: DataFrame) -> DataFrame:
     return plays.join(last, "game_id", "left").withColumn("wp_label", label)
 
 
-def add_ep_weights(plays: DataFrame) -> DataFrame:
-    """Sample weight: near scores in drives and close games count more; each part is scaled over all rows, then the sum."""
-    plays = plays.withColumns(
+def _ep_distances(plays: DataFrame) -> DataFrame:
+    """How far the next score is in drives, and the teams in points."""
+    return plays.withColumns(
         {
             "_drives": X.clip(F.col("next_score_drive") - F.col("fixed_drive"), 0, float("inf")).cast("double"),
             "_gap": F.coalesce(F.abs("score_differential"), F.lit(0)).cast("double")
         }
     )
+
+
+def add_ep_weights(plays: DataFrame) -> DataFrame:
+    """Sample weight: near scores in drives and close games count more; each part is scaled over all rows, then the sum."""
+    plays = _ep_distances(plays)
     parts = unit_scale(plays, {"_drives": "_near", "_gap": "_close"}, reverse=["_drives", "_gap"])
     return unit_scale(
         parts.withColumn("_sum", F.col("_near") + F.col("_close")), {"_sum": "weight"}, flat=1.0
     ).drop("_drives", "_gap", "_near", "_close", "_sum")
 
 
+def ep_fold_set(plays: DataFrame, seasons: Sequence[int], keep: Sequence[str] = ()) -> DataFrame:
+    """:func:`ep_set` with ``weights``: of each play an array with the weight that it has where season k is left out, as all
+    scaling is over the plays of the other seasons. A few numbers a season come to the driver."""
+    rows = _ep_distances(plays.transform(add_next_score).transform(add_common))
+
+    def ends(df: DataFrame, columns: dict[str, Column]) -> list[dict[str, tuple[float, float]]]:
+        """Least and largest value of each column, for each season over the plays of all others."""
+        picked = [f(c).alias(f"{n}{x}") for x, c in columns.items() for n, f in (("lo", F.min), ("hi", F.max))]
+        found = {r.season: r for r in df.groupBy("season").agg(*picked).collect()}
+        rest = [[r for s, r in found.items() if s != season] for season in seasons]
+        pick = lambda f, others, name: f((r[name] for r in others if r[name] is not None), default=0.0)
+        return [{x: (pick(min, o, f"lo{x}"), pick(max, o, f"hi{x}")) for x in columns} for o in rest]
+
+    def scaled(value: Column, low: float, high: float, flat: float, reverse: bool) -> Column:
+        if low == high:
+            return F.lit(flat)
+        return (F.lit(high) - value) / (high - low) if reverse else (value - F.lit(low)) / (high - low)
+
+    first = ends(rows, {"_drives": F.col("_drives"), "_gap": F.col("_gap")})
+    sums = [scaled(F.col("_drives"), *e["_drives"], 0.5, True) + scaled(F.col("_gap"), *e["_gap"], 0.5, True) for e in first]
+    second = ends(rows, {f"_s{k}": x for k, x in enumerate(sums)})
+    weights = F.array(*(scaled(x, *second[k][f"_s{k}"], 1.0, False) for k, x in enumerate(sums)))
+    return rows.withColumn("weights", weights).dropna(subset=["posteam", "yardline_100", "down"]).select(
+        *EP, F.col("next_score_class").cast("double").alias("label"), "weights", *keep
+    )
+
+
 def add_wp_aux(plays: DataFrame) -> DataFrame:
     """Spread and score scaled by time, and whether the team receives the second half's kickoff."""
     first = F.first("defteam", ignorenulls=True).over(
@@ -126,16 +158,16 @@ def add_wp_aux(plays: DataFrame) -> DataFrame:
     })
 
 
-def ep_set(plays: DataFrame) -> DataFrame:
+def ep_set(plays: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     rows = plays.transform(add_next_score).transform(add_ep_weights).transform(add_common)
     return rows.dropna(subset=["posteam", "yardline_100", "down"]).select(
-        *EP, F.col("next_score_class").cast("double").alias("label"), "weight"
+        *EP, F.col("next_score_class").cast("double").alias("label"), "weight", *keep
     )
 
 
-def wp_set(plays: DataFrame, spread: bool = True) -> DataFrame:
+def wp_set(plays: DataFrame, spread: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     rows = plays.transform(add_winner).transform(add_common).where("qtr <= 4").transform(add_wp_aux).where("wp_label is not null")
-    return rows.select(*(WP if spread else WP_NAIVE), F.col("wp_label").alias("label"))
+    return rows.select(*(WP if spread else WP_NAIVE), F.col("wp_label").alias("label"), *keep)
 
 
 def add_cp(plays: DataFrame) -> DataFrame:
@@ -153,9 +185,9 @@ def add_cp(plays: DataFrame) -> DataFrame:
     )
 
 
-def cp_set(plays: DataFrame) -> DataFrame:
+def cp_set(plays: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return plays.where("season >= 2006").transform(add_common).transform(add_cp).where("valid_pass = 1").select(
-        *CP, F.col("complete_pass").cast("double").alias("label")
+        *CP, F.col("complete_pass").cast("double").alias("label"), *keep
     )
 
 

@@ -619,4 +619,4 @@ def dot_expected(spark, sf_dir):
     )
 
 
-from . import plan_queries  # noqa: E402, F401  registers its queries here
+from . import boosting_queries, plan_queries  # noqa: E402, F401  register their queries here
