@@ -98,26 +98,40 @@ def word_count(c: Column | str) -> Column:
 
 # ---- hashing of substrings, vectorised ------------------------------------------------------------------------------
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Sums are modulo this prime, of two bases: no string, however built, makes them vanish as powers of two would.
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (1_355_149_097, 738_264_113)
+#: Bytes after which sums are reduced; so many terms of 40 bits stay below 2**64.
+_REDUCE = 1 << 23
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Modulo the prime, of numbers below 2**64."""
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    return np.where(x >= _PRIME, x - _PRIME, x)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, np.uint64(base))
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    out = np.ones(n, np.uint64)
+    m = 1
+    while m < n:
+        out[m : 2 * m] = _reduced(out[: min(m, n - m)] * np.uint64(pow(base, m, int(_PRIME))))
+        m *= 2
+    return out
 
 
 class Powers:
-    """Powers of the base and of its inverse modulo 2**64; grown when a longer chunk comes."""
+    """Powers of the bases and of their inverses modulo the prime; grown when a longer chunk comes."""
 
-    up = _powers(_BASE, 1 << 12)
-    down = _powers(_INVERSE, 1 << 12)
+    up = [_powers(b, 1 << 12) for b in _BASES]
+    down = [_powers(pow(b, -1, int(_PRIME)), 1 << 12) for b in _BASES]
 
     @classmethod
     def upto(cls, n: int) -> None:
-        if n > len(cls.up):
-            cls.up, cls.down = _powers(_BASE, 2 * n), _powers(_INVERSE, 2 * n)
+        if n > len(cls.up[0]):
+            cls.up = [_powers(b, 2 * n) for b in _BASES]
+            cls.down = [_powers(pow(b, -1, int(_PRIME)), 2 * n) for b in _BASES]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -130,18 +144,29 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """h with h[j] - h[i] = sum of (byte + 1) * base**position over i <= position < j."""
+def prefix_hash(data: np.ndarray) -> list[np.ndarray]:
+    """For each base h with h[j] - h[i] = sum of (byte + 1) * base**position over i <= position < j, modulo the prime."""
     n = len(data)
     Powers.upto(n + 1)
-    out = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * Powers.up[:n], out=out[1:])
+    value = data.astype(np.uint64) + np.uint64(1)
+    out = []
+    for up in Powers.up:
+        sums = np.zeros(n + 1, np.uint64)
+        for at in range(0, n, _REDUCE):
+            to = min(n, at + _REDUCE)
+            np.cumsum(value[at:to] * up[at:to], out=sums[at + 1 : to + 1])
+            if n > _REDUCE:
+                sums[at + 1 : to + 1] = _reduced(sums[at + 1 : to + 1] + sums[at])
+        out.append(sums)
     return out
 
 
-def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes in each [start, end), the same wherever they stand."""
-    return mix64((prefix[end] - prefix[start]) * Powers.down[start])
+def span_hash(prefix: list[np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """62-bit hash, spread over 64, of the bytes in each [start, end), the same wherever they stand."""
+    one, two = (
+        _reduced(_reduced(sums[end] + _PRIME - sums[start]) * down[start]) for sums, down in zip(prefix, Powers.down, strict=True)
+    )
+    return mix64(one << np.uint64(31) | two)
 
 
 _SPACE = np.zeros(256, bool)
