@@ -59,7 +59,7 @@ def fit_language(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> La
         weights, intercepts = np.zeros((len(pairs), GRAMS.size)), np.zeros(len(pairs))
         for k, (family, a, b) in enumerate(pairs):
             first, second = (families[a], families[b]) if family is None else ([a], [b])
-            model = LinearSVC(maxIter=10, tol=1e-3, regParam=0.001).fit(
+            model = LinearSVC(maxIter=40, regParam=0.001).fit(
                 rows.where(F.col("label").isin(first + second)).select("features", F.col("label").isin(first).cast("double").alias("label"))
             )
             weights[k], intercepts[k] = model.coefficients.toArray(), model.intercept
