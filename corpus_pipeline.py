@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from downfield.llm import bpe, language_id, minhash, mixing, suffix_dedup
-from downfield.llm.common import cut, some, table
+from downfield.llm.common import cut, drop_tables, noted, some, table
 from downfield.llm.linear import crc_mod
 
 #: Similarity in percent, on five-word shingles, from which on documents are near copies.
@@ -61,12 +62,31 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs.select("doc_id", "text", "lang", "source"), ("n_tokens", "ids", "decoded"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language", identify_language),
-    ("near_copies", drop_near_copies),
-    ("repeats", drop_repeats),
-    ("mix", mix),
-    ("tokens", tokenize),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Scratch tables by application and number of the stage that made them.
+_left: dict[tuple[str, int], list[str]] = {}
+
+
+def _tidy(number: int, stage: Stage) -> Stage:
+    """The stage, which first deletes the scratch tables of the stage before: its result has been written when this starts."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        drop_tables(spark, _left.pop((app, number - 1), []))
+        with noted() as made:
+            out = stage(spark, docs, sf_dir)
+        _left.setdefault((app, number), []).extend(made)
+        return out
+
+    return run_stage
+
+
+STAGES: list[tuple[str, Stage]] = [
+    (name, _tidy(k, stage))
+    for k, (name, stage) in enumerate(
+        [("language", identify_language), ("near_copies", drop_near_copies), ("repeats", drop_repeats), ("mix", mix), ("tokens", tokenize)]
+    )
 ]
 
 #: SQL cannot express the learned language stage or the tokenizer.
@@ -74,7 +94,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        out = stage(spark, docs, sf_dir)
+        with noted() as made:
+            docs = cut(out, f"pipeline-{name}")
+        drop_tables(spark, before)
+        before = made
+    drop_tables(spark, _left.pop((spark.sparkContext.applicationId, len(STAGES) - 1), []))
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
@@ -45,9 +46,34 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Lists that note the scratch tables made while they are open (see :func:`noted`).
+_open: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new place in the scratch folder."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _open:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def noted() -> Iterator[list[str]]:
+    """Notes the scratch tables that are made inside, so that :func:`drop_tables` can delete just these."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield made
+    finally:
+        _open[:] = [x for x in _open if x is not made]
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes scratch tables that nothing reads any more."""
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:

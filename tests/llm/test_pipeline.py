@@ -1,3 +1,5 @@
+import os
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -65,3 +67,18 @@ def test_stages_on_odd_and_empty_tables(spark, data):
             assert ids(out) == ids(odd) and tokens[1] == tokens[2] == 0 < tokens[3]
         empty = stage(spark, odd.limit(0), data)
         assert empty.count() == 0 and empty.columns == out.columns
+
+
+def test_stages_leave_no_scratch_tables(spark, data, tmp_path):
+    """A stage deletes what the one before has left, a run all but its result; others' scratch tables stay."""
+    from downfield.llm import common
+
+    mine = common.cut(spark.range(5), "mine")
+    docs = spark.read.parquet(f"{data}/documents.parquet").limit(60)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{data}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    folder = common.scratch_dir(spark)
+    before = set(os.listdir(folder))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    left = set(os.listdir(folder)) - before
+    assert {x.rsplit("-", 1)[0] for x in left} == {"pipeline-tokens"} and out.count() > 0 and mine.count() == 5
