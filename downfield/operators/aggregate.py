@@ -90,12 +90,6 @@ def total_variation(p: DataFrame, q: DataFrame, keys: Sequence[str], support: Se
     return full.groupBy(*keys).agg((F.sum(gap) / 2).alias("tv"))
 
 
-def bandwidth(value: Column) -> Column:
-    """Normal reference bandwidth: 4.24 * min(sd, iqr / 1.349) * n ** -0.2."""
-    spread = (F.percentile(value, F.lit(0.75)) - F.percentile(value, F.lit(0.25))) / F.lit(1.349)
-    return F.lit(4.24) * F.least(F.stddev_samp(value), F.nullif(spread, F.lit(0.0))) * F.pow(F.count(value), F.lit(-0.2))
-
-
 def density_grid(points: DataFrame, x: str, y: str, hx: Column | float, hy: Column | float, nx: int, ny: int, ends: DataFrame) -> DataFrame:
     """Density of points on a grid, a product of two normal kernels, summed in one direction and then in the other:
     distinct values times grid lines, never points times cells. ``ends``: one row x0, x1, y0, y1 of the grid, to which

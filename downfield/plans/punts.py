@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.aggregate import bandwidth, density_grid, rates, share_of
+from ..operators.aggregate import density_grid, rates, share_of
+from ..operators.quantiles import bandwidths
 
 #: Marks of a touchdown's line and of a block in ``yardline_after``; cells of the grid in each direction.
 TOUCHDOWN, BLOCK, GRID = 100.0, 999.0, 100
@@ -31,10 +32,9 @@ def smoothed(points: DataFrame) -> DataFrame:
     """(yardline_100, yardline_after, density) of the distinct points: the density of all points at the grid cell each
     one is in. One row of aggregates (ends and bandwidths) is broadcast."""
     x, y = F.col("yardline_100"), F.col("yardline_after")
-    facts = points.agg(
-        F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"),
-        (bandwidth(x) / 4).alias("hx"), (bandwidth(y) / 4).alias("hy")
-    )
+    ends = points.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
+    widths = bandwidths(points, [], {"hx": x, "hy": y}).select((F.col("hx") / 4).alias("hx"), (F.col("hy") / 4).alias("hy"))
+    facts = ends.crossJoin(F.broadcast(widths))  # one row each
     grid = density_grid(points, "yardline_100", "yardline_after", F.col("hx"), F.col("hy"), GRID, GRID, facts)
     cell = lambda v, lo, hi: F.when(v >= F.col(hi), GRID - 1).otherwise(
         F.floor((v - F.col(lo)) / ((F.col(hi) - F.col(lo)) / (GRID - 1)))

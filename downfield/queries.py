@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .functions import expr as X
 from .operators import aggregate as A
 from .operators import fold, joins
+from .operators import quantiles as Q
 from .operators import window as N
 from .sources import tables
 
@@ -286,7 +287,7 @@ def outlier_inject(spark, sf_dir):
 SELECT l_returnflag, round(4.24::DOUBLE * least(stddev_samp(l_extendedprice), (quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25)) / 1.349::DOUBLE) * pow(count(*), -0.2::DOUBLE), 4) AS h
 FROM lineitem GROUP BY 1""")
 def bandwidth(spark, sf_dir):
-    return t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.round(A.bandwidth(F.col("l_extendedprice")), 4).alias("h"))
+    return Q.bandwidths(t(spark, sf_dir, "lineitem"), ["l_returnflag"], {"h": F.col("l_extendedprice")}).select("l_returnflag", F.round("h", 4).alias("h"))
 
 
 @query("""
