@@ -620,4 +620,4 @@ def dot_expected(spark, sf_dir):
     )
 
 
-from . import boosting_queries, plan_queries  # noqa: E402, F401  register their queries here
+from . import boosting_queries, plan_queries, season_queries  # noqa: E402, F401  register their queries here

@@ -27,6 +27,36 @@ def read_games(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return raw.select("*", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("game_id"))
 
 
+#: Why a document is no game: Spark SQL conditions on a row read with ``_broken``, and what is said of it.
+FAULTS = (
+    ("_broken is not null", "broken JSON"), ("season is null", "no season"), ("homeTeam is null or awayTeam is null", "a team is missing"),
+    ("coalesce(rtrim('/', homeTeam.currentLogo), '') = '' or coalesce(rtrim('/', awayTeam.currentLogo), '') = ''", "a team has no logo"),
+    ("driveChart is null", "no drive chart"),
+)
+
+
+def checked_games(spark: SparkSession, path: str | Sequence[str], aside: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Two tables: the games as :func:`read_games` has them, and (file_name, fault, document) of files that hold none.
+
+    Reading the games raises an error that names the file as soon as such a file is met; with ``aside`` it leaves them out
+    instead, for the caller to store the second table. An empty file is no document and gives a row in neither."""
+    raw = spark.read.schema(f"{GAME}, _broken STRING").option("multiLine", True).option("recursiveFileLookup", True).option(
+        "columnNameOfCorruptRecord", "_broken"
+    ).option("pathGlobFilter", "*.json").json(path)
+    fault = F.coalesce(*(F.when(F.expr(condition), said) for condition, said in FAULTS))
+    rows = raw.select("*", F.col("_metadata.file_name").alias("file_name"), fault.alias("fault"))
+    bad = rows.where("fault is not null").select(
+        "file_name", "fault", F.coalesce("_broken", F.to_json(F.struct(*(c for c in raw.columns if c != "_broken")))).alias("document")
+    )
+    game_id = F.regexp_replace("file_name", r"\.json$", "")
+    if aside:
+        games = rows.where("fault is null").withColumn("game_id", game_id)
+    else:
+        message = F.concat("file_name", F.lit(": "), "fault")
+        games = rows.withColumn("game_id", F.when(F.col("fault").isNotNull(), F.raise_error(message)).otherwise(game_id))
+    return games.drop("_broken", "file_name", "fault"), bad
+
+
 def season_games(spark: SparkSession, root: str, season: int, ids: Sequence[str] | None = None) -> DataFrame:
     """Games of one season from files ``season_*.json``; with ``ids`` only these. Only matching files are opened."""
     raw = spark.read.schema(GAME).option("multiLine", True).option("recursiveFileLookup", True).option(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import upsert
@@ -22,6 +22,52 @@ def require(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df
 
 
+def write_checked(
+    df: DataFrame, path: str, columns: Iterable[str] = (), complete: Iterable[str] = (), per: str | None = None,
+    partition_by: Sequence[str] = (), mode: str = "overwrite"
+) -> dict[str, int]:
+    """Writes ``df`` as Parquet and returns what was seen on the way: ``rows``, ``null:c`` of each of ``columns``, and about
+    how many values of ``per`` there are. The metrics are taken while the rows are written, so nothing is counted twice.
+
+    A ValueError names ``columns`` that are missing before anything is written. If the table turns out to have no row, or
+    nulls in ``complete``, what was written is deleted and a ValueError names the columns."""
+    columns, complete = list(columns), list(complete)
+    missing = sorted({*columns, *complete, *([per] if per else [])} - set(df.columns))
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows"), *(F.count_if(F.col(c).isNull()).alias(f"null:{c}") for c in dict.fromkeys([*columns, *complete]))]
+    if per:
+        counts.append(F.approx_count_distinct(per).alias(per))
+    df.observe(seen, *counts).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    found = {k: int(v or 0) for k, v in seen.get.items()}
+    empty = [c for c in complete if found[f"null:{c}"]]
+    if not found["rows"] or empty:
+        if mode == "overwrite":
+            remove(df.sparkSession, path)
+        raise ValueError("the table has no rows" if not found["rows"] else f"nulls in: {', '.join(empty)}")
+    return found
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def store_by_game(df: DataFrame, name: str, path: str, buckets: int, order: Sequence[str] = ("play_seq", "feed_pos")) -> DataFrame:
+    """``df`` as the table ``name`` at ``path`` in ``buckets`` of game_id, sorted by game and play: windows over a game or a part
+    of it, and joins by game, then read it without a shuffle. Choose as many buckets as a bucket shall fit a task."""
+    spark = df.sparkSession
+    rows = df.repartition(buckets, "game_id")  # one file a bucket
+    rows.write.mode("overwrite").bucketBy(buckets, "game_id").sortBy("game_id", *(c for c in order if c in df.columns)).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def joined_by_game(spark: SparkSession) -> None:
+    """Lets joins on game_id and more columns use buckets of game_id alone; a setting of the session."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 def read_seasons(spark: SparkSession, root: str, seasons: Sequence[int]) -> DataFrame:
     """Tables of seasons in ``root/season=N``; a season without a table is an error. Only these partitions are read."""
     paths = {s: f"{root}/season={s}" for s in seasons}
