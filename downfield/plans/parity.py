@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from ..operators import aggregate as A
 
 
-def paired(ours: DataFrame, theirs: DataFrame, keys: Sequence[str] = ("game_id", "play_id"), prefix: str = "nv_") -> DataFrame:
+def paired(ours: DataFrame, theirs: DataFrame, keys: Sequence[str] = ("game_id", "play_id"), prefix: str = "nv_", exact: Sequence[str] = ()) -> DataFrame:
     """Plays that both tables have, the columns of the other table under ``prefix``. Keys are compared as numbers, where
-    they are numbers in text; a play without a key meets nothing."""
-    key = lambda k: F.coalesce(F.col(k).try_cast("bigint").cast("string"), F.col(k).cast("string"))
+    they are numbers in text, but those in ``exact`` as they are, so that tables by game meet without a shuffle; a play without a
+    key meets nothing."""
+    key = lambda k: F.col(k) if k in exact else F.coalesce(F.col(k).try_cast("bigint").cast("string"), F.col(k).cast("string"))
     one = ours.withColumns({f"_key_{k}": key(k) for k in keys})
     two = theirs.select(*(key(k).alias(f"_key_{k}") for k in keys), *(F.col(c).alias(f"{prefix}{c}") for c in theirs.columns))
     on = [f"_key_{k}" for k in keys]

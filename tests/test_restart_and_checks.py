@@ -75,7 +75,7 @@ def test_tables_by_game_need_no_shuffle(spark, tmp_path):
         done = tables.store_by_game(plays.add_state(base), "states_by_game", str(tmp_path / "states"), 4)
         scored = training.add_next_score(done)
         assert exchanges(scored) == 0 and text(scored) == text(training.add_next_score(plays.add_state(base)))
-        pairs = parity.paired(done, table)
+        pairs = parity.paired(done, table, exact=['game_id'])
         assert exchanges(pairs) == 0 and text(pairs.select("play_id")) == text(parity.paired(plays.add_state(base), base).select("play_id"))
     finally:
         spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", before)
