@@ -12,34 +12,29 @@ from pyspark.sql import functions as F
 from .functions import expr as X
 from .plans import decisions, parity, plays, punts, qbr, runs, training
 from .queries import long, query, r6, t
+from .query_parts import DRIVES, as_double, double, stat
 from .sources.games import GAME
 
 
 
-def _stat(kind: int, yards: str, player: str, team: str) -> str:
-    """A stat entry as Spark SQL."""
-    name = "string(null)" if player == "null" else f"concat('n', {player})"
-    return f"named_struct('statType', {kind}, 'yards', double({yards}), 'gsisPlayerId', string({player}), 'gsisPlayerName', {name}, 'teamId', {team})"
-
-
 #: Stat entries and fields of a play as Spark SQL on (e, k, kind, team and other: ids of the teams with and without the ball).
 _PASSER, _TARGET, _RUNNER = "concat('Q', e % 4)", "concat('W', k % 7)", "concat('R', k % 11)"
 _RUN = [
-    _stat(10, "e % 12 - 2", _RUNNER, "team"), _stat(79, "null", "concat('T', k % 5)", "other"),
-    _stat(79, "null", "concat('T', e % 3)", "other"), _stat(402, "e % 4", "null", "other")
+    stat(10, "e % 12 - 2", _RUNNER, "team"), stat(79, "null", "concat('T', k % 5)", "other"),
+    stat(79, "null", "concat('T', e % 3)", "other"), stat(402, "e % 4", "null", "other")
 ]
-_MISS = [_stat(14, "null", _PASSER, "team"), _stat(112, "k % 40 - 5", _PASSER, "team"), _stat(115, "null", _TARGET, "team")]
+_MISS = [stat(14, "null", _PASSER, "team"), stat(112, "k % 40 - 5", _PASSER, "team"), stat(115, "null", _TARGET, "team")]
 _CATCH = [
-    _stat(15, "k % 30", _PASSER, "team"), _stat(21, "k % 30", _TARGET, "team"),
-    _stat(111, "k % 25 - 3", _PASSER, "team"), _stat(113, "k % 30 - k % 25 + 3", "concat('X', k % 7)", "team")
+    stat(15, "k % 30", _PASSER, "team"), stat(21, "k % 30", _TARGET, "team"),
+    stat(111, "k % 25 - 3", _PASSER, "team"), stat(113, "k % 30 - k % 25 + 3", "concat('X', k % 7)", "team")
 ]
 _STATS = f"""CASE
   WHEN kind = 'view' THEN array({", ".join(_RUN)})
   WHEN kind = 'click' AND k % 3 = 0 THEN array({", ".join(_MISS)}) WHEN kind = 'click' THEN array({", ".join(_CATCH)})
-  WHEN kind = 'purchase' AND k % 4 = 0 THEN array({_stat(70, "20 + k % 30", "'K'", "team")}) WHEN kind = 'purchase' AND k % 4 = 1 THEN array({_stat(11, "e % 9", _RUNNER, "team")})
-  WHEN kind = 'purchase' AND k % 4 = 2 THEN array({_stat(69, "20 + k % 30", "'K'", "team")}) WHEN kind = 'purchase' THEN array({_stat(89, "null", "'S'", "other")})
-  WHEN kind = 'signup' THEN array({_stat(29, "30 + k % 25", "concat('P', k % 5)", "team")})
-  ELSE array({_stat(68, "null", "null", "CASE WHEN k % 2 = 1 THEN '1' ELSE '2' END")}) END"""
+  WHEN kind = 'purchase' AND k % 4 = 0 THEN array({stat(70, "20 + k % 30", "'K'", "team")}) WHEN kind = 'purchase' AND k % 4 = 1 THEN array({stat(11, "e % 9", _RUNNER, "team")})
+  WHEN kind = 'purchase' AND k % 4 = 2 THEN array({stat(69, "20 + k % 30", "'K'", "team")}) WHEN kind = 'purchase' THEN array({stat(89, "null", "'S'", "other")})
+  WHEN kind = 'signup' THEN array({stat(29, "30 + k % 25", "concat('P', k % 5)", "team")})
+  ELSE array({stat(68, "null", "null", "CASE WHEN k % 2 = 1 THEN '1' ELSE '2' END")}) END"""
 _PLAY = f"""
 named_struct('playId', string(e), 'playSequenceNumber', double(e % 100),
   'playType', CASE kind WHEN 'view' THEN 'RUSH' WHEN 'click' THEN 'PASS' WHEN 'purchase' THEN 'FIELD_GOAL' WHEN 'signup' THEN 'PUNT' ELSE 'TIMEOUT' END,
@@ -50,13 +45,6 @@ named_struct('playId', string(e), 'playSequenceNumber', double(e % 100),
   'scoringPlayType', CASE WHEN kind = 'purchase' THEN CASE k % 4 WHEN 0 THEN 'FG' WHEN 1 THEN 'TD' WHEN 3 THEN 'SAFETY' END END,
   'scoringTeamId', CASE WHEN k % 4 = 3 THEN other ELSE team END, 'stats', {_STATS})
 """
-_RANGES = (("2", 0, 32), ("1", 33, 65), ("2", 66, 89), ("77", 90, 94))
-_DRIVES = ", ".join(
-    f"named_struct('teamId', '{team}', 'startedPlaySequenceNumber', double({first}), 'endedPlaySequenceNumber', double({last}))"
-    for team, first, last in _RANGES
-)
-
-
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Game documents in the schema that files are read with; a document holds one user's day."""
     rows = t(spark, sf_dir, "events").select(
@@ -71,7 +59,7 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     side = lambda number, logo, total: f"named_struct('teamId', '{number}', 'currentLogo', 'https://x/{logo}'), named_struct('teamId', '{number}', 'score', named_struct('total', {total}))"
     home, away = side(1, "BAL", "10 + u % 20"), side(2, "KC", "12 + u % 17")
     doc = f"""named_struct('season', 2001 + u % 24, 'week', 1 + u % 19, 'seasonType', 'REG', 'homeTeam', h.col1, 'awayTeam', a.col1,
-      'summary', named_struct('homeTeam', h.col2, 'awayTeam', a.col2), 'driveChart', named_struct('drives', array({_DRIVES}), 'plays', rows.p))"""
+      'summary', named_struct('homeTeam', h.col2, 'awayTeam', a.col2), 'driveChart', named_struct('drives', array({DRIVES}), 'plays', rows.p))"""
     docs = docs.selectExpr("*", f"struct({home}) AS h", f"struct({away}) AS a").select(
         "game_id", F.from_json(F.to_json(F.expr(doc)), GAME).alias("d")
     )
@@ -203,15 +191,6 @@ def ep_labels(spark, sf_dir):
     )
 
 
-def _double(rows: DataFrame, *but: str) -> DataFrame:
-    """All columns as doubles, rounded, so that both engines show the same."""
-    return rows.select(*(r6(F.col(c).cast("double")).alias(c) if c not in but else F.col(c) for c in rows.columns))
-
-
-def _as_double(columns, **other: str) -> str:
-    return ", ".join(f"round(({other.get(c, c)})::DOUBLE, 6) AS {c}" for c in columns)
-
-
 _WEIGHTED = _SCORES + """
 , apart AS (SELECT *, greatest(next_score_drive - fixed_drive, 0)::DOUBLE AS d, abs(score_differential)::DOUBLE AS s FROM final),
 ends AS (SELECT min(d) d0, max(d) d1, min(s) s0, max(s) s1 FROM apart),
@@ -222,10 +201,10 @@ span AS (SELECT min(both_parts) b0, max(both_parts) b1 FROM parts)
 
 @query(
     _WEIGHTED
-    + f"SELECT {_as_double([*training.EP, 'label', 'weight'], label='label_class', weight='(both_parts - b0) / (b1 - b0)')} FROM parts, span WHERE posteam IS NOT NULL AND yardline_100 IS NOT NULL AND down IS NOT NULL"
+    + f"SELECT {as_double([*training.EP, 'label', 'weight'], label='label_class', weight='(both_parts - b0) / (b1 - b0)')} FROM parts, span WHERE posteam IS NOT NULL AND yardline_100 IS NOT NULL AND down IS NOT NULL"
 )
 def ep_set(spark, sf_dir):
-    return _double(training.ep_set(table(spark, sf_dir)))
+    return double(training.ep_set(table(spark, sf_dir)))
 
 
 _WON = PLAYS + """
@@ -246,10 +225,10 @@ def wp_labels(spark, sf_dir):
 _FADE = "exp(-4.0 * (3600.0 - game_seconds_remaining) / 3600.0)"
 
 
-@query(_WON + f"""SELECT {_as_double([*training.WP, 'label'], label='coalesce(posteam = winner, false)::INT', receive_2h_ko='(qtr <= 2 AND coalesce(posteam = first_def, false))::INT',
+@query(_WON + f"""SELECT {as_double([*training.WP, 'label'], label='coalesce(posteam = winner, false)::INT', receive_2h_ko='(qtr <= 2 AND coalesce(posteam = first_def, false))::INT',
   spread_time=f'CASE WHEN home = 1 THEN spread_line ELSE -spread_line END * {_FADE}', Diff_Time_Ratio=f'score_differential / {_FADE}')} FROM kept WHERE winner IS NOT NULL""")
 def wp_set(spark, sf_dir):
-    return _double(training.wp_set(table(spark, sf_dir)))
+    return double(training.wp_set(table(spark, sf_dir)))
 
 
 _AIR = {
@@ -258,16 +237,16 @@ _AIR = {
 }
 
 
-@query(PLAYS + f"""SELECT {_as_double([*training.CP, 'label'], label='complete_pass', **_AIR)} FROM common
+@query(PLAYS + f"""SELECT {as_double([*training.CP, 'label'], label='complete_pass', **_AIR)} FROM common
 WHERE season >= 2006 AND complete_pass = 1 AND air_yards BETWEEN -15 AND 69.999 OR season >= 2006 AND kind = 'click' AND k % 3 = 0 AND air_yards >= -15 AND air_yards < 70""")
 def cp_set(spark, sf_dir):
-    return _double(training.cp_set(table(spark, sf_dir)))
+    return double(training.cp_set(table(spark, sf_dir)))
 
 
-@query(PLAYS + f"""SELECT {_as_double([*training.XYAC, 'label'], label='least(greatest(round(least(greatest(yards_after_catch, -5), 70)) + 5, 0), 75)', **_AIR)} FROM common
+@query(PLAYS + f"""SELECT {as_double([*training.XYAC, 'label'], label='least(greatest(round(least(greatest(yards_after_catch, -5), 70)) + 5, 0), 75)', **_AIR)} FROM common
 WHERE season >= 2006 AND complete_pass = 1 AND yards_after_catch >= -20 AND air_yards >= -15 AND air_yards < 70 AND air_yards < yardline_100""")
 def xyac_set(spark, sf_dir):
-    return _double(training.xyac_set(table(spark, sf_dir)))
+    return double(training.xyac_set(table(spark, sf_dir)))
 
 
 _CALLED = "posteam IS NOT NULL AND down IS NOT NULL AND yardline_100 IS NOT NULL AND play_type IN ('run', 'pass') AND week <= 17"
@@ -275,10 +254,10 @@ _CALLED = "posteam IS NOT NULL AND down IS NOT NULL AND yardline_100 IS NOT NULL
 
 @query(
     PLAYS
-    + f"""SELECT {_as_double([*training.XPASS, 'label'], label="(play_type = 'pass')::INT", wp='yardline_100 / 100.0', vegas_wp='1 - yardline_100 / 100.0')} FROM common WHERE {_CALLED}"""
+    + f"""SELECT {as_double([*training.XPASS, 'label'], label="(play_type = 'pass')::INT", wp='yardline_100 / 100.0', vegas_wp='1 - yardline_100 / 100.0')} FROM common WHERE {_CALLED}"""
 )
 def xpass_set(spark, sf_dir):
-    return _double(training.xpass_set(table(spark, sf_dir)))
+    return double(training.xpass_set(table(spark, sf_dir)))
 
 
 _SPREAD = {
@@ -289,18 +268,18 @@ _SPREAD = {
 
 @query(
     PLAYS
-    + f"SELECT {_as_double([*training.FD, 'label'], label='CASE WHEN yards_gained IS NOT NULL THEN least(greatest(yards_gained, -10), 65) + 10 END', **_SPREAD)} FROM common WHERE {_CALLED} AND down IN (3, 4) AND shield_play_type IN ('RUSH', 'PASS')"
+    + f"SELECT {as_double([*training.FD, 'label'], label='CASE WHEN yards_gained IS NOT NULL THEN least(greatest(yards_gained, -10), 65) + 10 END', **_SPREAD)} FROM common WHERE {_CALLED} AND down IN (3, 4) AND shield_play_type IN ('RUSH', 'PASS')"
 )
 def fd_set(spark, sf_dir):
-    return _double(training.fd_set(table(spark, sf_dir)))
+    return double(training.fd_set(table(spark, sf_dir)))
 
 
 @query(
     PLAYS
-    + f"""SELECT {_as_double([*training.FG, 'label'], label='sp', fg_roof="(roof = 'outdoors')::INT")} FROM common WHERE shield_play_type = 'FIELD_GOAL'"""
+    + f"""SELECT {as_double([*training.FG, 'label'], label='sp', fg_roof="(roof = 'outdoors')::INT")} FROM common WHERE shield_play_type = 'FIELD_GOAL'"""
 )
 def fg_set(spark, sf_dir):
-    return _double(training.fg_set(table(spark, sf_dir)))
+    return double(training.fg_set(table(spark, sf_dir)))
 
 
 @query()
@@ -352,10 +331,10 @@ _HOME = {
 , usable AS (SELECT *, yardline_100 / 20.0 AS ep, CASE WHEN posteam = home_team THEN score_differential ELSE -score_differential END AS home_diff
   FROM won WHERE winner IS NOT NULL AND qtr <= 4 AND play_type IS NOT NULL AND yardline_100 IS NOT NULL),
 seen AS (SELECT *, first_value(defteam IGNORE NULLS) OVER (PARTITION BY game_id ORDER BY play ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_def FROM usable)
-SELECT {_as_double([*decisions.HOME_WP, 'label'], **_HOME)} FROM seen""")
+SELECT {as_double([*decisions.HOME_WP, 'label'], **_HOME)} FROM seen""")
 def decision_wp_set(spark, sf_dir):
     rows = training.add_winner(table(spark, sf_dir)).withColumn("ep", F.col("yardline_100") / 20.0)
-    return _double(decisions.win_set(rows))
+    return double(decisions.win_set(rows))
 
 
 @query("""

@@ -6,35 +6,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plan_queries import _DRIVES, _as_double, _double, _stat
 from .plans import differences, plays, teams, training
 from .queries import long, query, r6, t
+from .query_parts import DRIVES, as_double, double, stat
 from .sources.games import GAME
 from .sources.scratch import stored
 
 #: Stat entries of each kind of play, as Spark SQL on (e, k, team, other).
 _R, _T = "concat('R', k % 11)", "concat('T', k % 5)"
 _ALL_SLOTS = [
-    _stat(kind, "k % 6" if kind == 55 else "null", f"concat('{name}', {n} + e % {1 + n})", "other")
+    stat(kind, "k % 6" if kind == 55 else "null", f"concat('{name}', {n} + e % {1 + n})", "other")
     for kind, name in ((82, "A"), (52, "F"), (55, "V"), (79, "S"), (80, "W"), (84, "H"), (85, "D"), (91, "C"), (110, "Q"), (120, "L")) for n in (1, 2, 3)
 ]
 _KINDS = {
-    0: [_stat(41, "60", "'K'", "team"), _stat(45, "k % 30", _R, "other")],
-    1: [_stat(41, "55", "'K'", "team"), _stat(106, "null", _R, "other")],
-    2: [_stat(10, "k % 9", _R, "team"), _stat(106, "null", _R, "team"), _stat(57, "e % 5", _R, "team"), _stat(61, "e % 3", _T, "other")],
-    3: [_stat(10, "-1", _R, "team")],
-    4: [_stat(19, "null", "'Q'", "team"), _stat(26, "k % 40", _T, "other")],
-    5: [_stat(72, "null", "'K'", "team")],
-    6: [_stat(73, "null", "'K'", "team")],
-    7: [_stat(77, "null", "'Q'", "team"), _stat(104, "null", _R, "team")],
-    8: [_stat(76, "null", _R, "team")],
-    9: [_stat(420, "null", _T, "other")],
-    10: [_stat(10, "-3", _R, "team"), _stat(89, "null", _T, "other"), _stat(402, "3", "null", "other")],
-    11: [_stat(93, "5 + k % 11", _R, "team")],
-    12: [_stat(10, "k % 4", _R, "team"), _stat(93, "5 + k % 11", _T, "other"), _stat(5, "null", "null", "team")],
-    13: [_stat(70, "20 + k % 30", "'K'", "team")],
-    14: [_stat(11, "k % 9", _R, "team")],
-    15: [_stat(15, "k % 30", "'Q'", "team"), _stat(21, "k % 30", _R, "team"), _stat(63, "k % 3", _R, "team"), *_ALL_SLOTS],
+    0: [stat(41, "60", "'K'", "team"), stat(45, "k % 30", _R, "other")],
+    1: [stat(41, "55", "'K'", "team"), stat(106, "null", _R, "other")],
+    2: [stat(10, "k % 9", _R, "team"), stat(106, "null", _R, "team"), stat(57, "e % 5", _R, "team"), stat(61, "e % 3", _T, "other")],
+    3: [stat(10, "-1", _R, "team")],
+    4: [stat(19, "null", "'Q'", "team"), stat(26, "k % 40", _T, "other")],
+    5: [stat(72, "null", "'K'", "team")],
+    6: [stat(73, "null", "'K'", "team")],
+    7: [stat(77, "null", "'Q'", "team"), stat(104, "null", _R, "team")],
+    8: [stat(76, "null", _R, "team")],
+    9: [stat(420, "null", _T, "other")],
+    10: [stat(10, "-3", _R, "team"), stat(89, "null", _T, "other"), stat(402, "3", "null", "other")],
+    11: [stat(93, "5 + k % 11", _R, "team")],
+    12: [stat(10, "k % 4", _R, "team"), stat(93, "5 + k % 11", _T, "other"), stat(5, "null", "null", "team")],
+    13: [stat(70, "20 + k % 30", "'K'", "team")],
+    14: [stat(11, "k % 9", _R, "team")],
+    15: [stat(15, "k % 30", "'Q'", "team"), stat(21, "k % 30", _R, "team"), stat(63, "k % 3", _R, "team"), *_ALL_SLOTS],
 }
 _PLAY = f"""
 named_struct('playId', string(e), 'playSequenceNumber', double(e % 100),
@@ -59,7 +59,7 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rows.groupBy("game_id", "u").agg(F.sort_array(F.collect_list(F.struct("e", F.expr(_PLAY).alias("p")))).alias("rows"))
     side = lambda number, logo, total: f"named_struct('teamId', '{number}', 'currentLogo', 'https://x/{logo}'), named_struct('teamId', '{number}', 'score', named_struct('total', {total}))"
     doc = f"""named_struct('season', 2010 + u % 12, 'week', 1 + u % 18, 'seasonType', 'REG', 'homeTeam', h.col1, 'awayTeam', a.col1,
-      'summary', named_struct('homeTeam', h.col2, 'awayTeam', a.col2), 'driveChart', named_struct('drives', array({_DRIVES}), 'plays', rows.p))"""
+      'summary', named_struct('homeTeam', h.col2, 'awayTeam', a.col2), 'driveChart', named_struct('drives', array({DRIVES}), 'plays', rows.p))"""
     docs = docs.selectExpr("*", f"struct({side(1, 'BAL', '10 + u % 9')}) AS h", f"struct({side(2, 'KC', '12 + u % 5')}) AS a")
     return docs.select("game_id", F.from_json(F.to_json(F.expr(doc)), GAME).alias("d")).select("d.*", "game_id")
 
@@ -161,19 +161,19 @@ _FACTS = {
 }
 
 
-@query(_COMMON + f"SELECT {_as_double([*training.TWO_POINT, 'label'], label='(two_point = ' + repr('success') + ')::INT', **{k: v for k, v in _FACTS.items() if k in training.TWO_POINT})} FROM c WHERE down IS NULL AND yardline_100 = 2 AND two_point IS NOT NULL")
+@query(_COMMON + f"SELECT {as_double([*training.TWO_POINT, 'label'], label='(two_point = ' + repr('success') + ')::INT', **{k: v for k, v in _FACTS.items() if k in training.TWO_POINT})} FROM c WHERE down IS NULL AND yardline_100 = 2 AND two_point IS NOT NULL")
 def two_point_set(spark, sf_dir):
-    return _double(training.two_point_set(table(spark, sf_dir)))
+    return double(training.two_point_set(table(spark, sf_dir)))
 
 
 _GAIN = "CASE WHEN m = 12 AND penalty_yards < ydstogo THEN ydstogo WHEN m = 12 THEN penalty_yards ELSE yards_gained END"
 
 
-@query(_COMMON + f"""SELECT {_as_double([*training.FD, 'label'], label=f'greatest(least({_GAIN}, 65), -10) + 10', **{k: v for k, v in _FACTS.items() if k in training.FD})} FROM c
+@query(_COMMON + f"""SELECT {as_double([*training.FD, 'label'], label=f'greatest(least({_GAIN}, 65), -10) + 10', **{k: v for k, v in _FACTS.items() if k in training.FD})} FROM c
   WHERE down IN (3, 4) AND play_type IN ('run', 'pass') AND posteam IS NOT NULL AND yardline_100 IS NOT NULL AND week <= 17 AND {_GAIN} IS NOT NULL""")
 def fd_penalty_set(spark, sf_dir):
     """Gains on third and fourth down, first downs by penalty among them; plays without a gain are left to other tests."""
-    return _double(training.fd_set(table(spark, sf_dir)).where("label is not null"))
+    return double(training.fd_set(table(spark, sf_dir)).where("label is not null"))
 
 
 _TEAM_SUMS = """plays, attempts, completions, passing_yards, carries, rushing_yards, def_tackles_for_loss, def_tackles_for_loss_yards, def_tds, def_safeties, offense_tds, fumble_recovery_own_lateral_yards, fumble_recovery_opp_lateral_yards, misc_yards, special_teams_tds, penalties, penalty_yards""".split(", ")
