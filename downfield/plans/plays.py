@@ -116,11 +116,10 @@ def fold_stats(plays: DataFrame) -> DataFrame:
     )
     entry = F.struct("column", F.struct("num", "txt").alias("cell"))
     made = cells.groupBy(*PLAY).agg(F.map_from_entries(F.collect_list(entry)).alias("_cells"))  # as many cells as columns at most
-    cell = lambda n: F.col("_cells")[n]
-    made = made.select(
-        *PLAY, *(
-            cell(n)["num"].cast("long").alias(n) for n in [*C.INDICATORS, *C.COUNTS]
-        ), *(cell(n)["num"].alias(n) for n in C.NUMERICS), *(cell(n)["txt"].alias(n) for n in C.PLAYERS)
+    # columns by name and in great number: as SQL text they are built in one step each
+    made = made.selectExpr(
+        *PLAY, *(f"bigint(_cells['{n}'].num) AS {n}" for n in [*C.INDICATORS, *C.COUNTS]),
+        *(f"_cells['{n}'].num AS {n}" for n in C.NUMERICS), *(f"_cells['{n}'].txt AS {n}" for n in C.PLAYERS)
     )
     return made.join(fill_slots(entries, effects), list(PLAY), "left")
 
@@ -142,14 +141,10 @@ def fill_slots(entries: DataFrame, effects: DataFrame) -> DataFrame:
         *PLAY, "kind",
         fold.slots_by_field(F.col("entries"), size, ("player_id", "player_name", "team", "yards")).alias("f")
     )
-    made: list[Column] = []
-    for kind, (n, more) in SLOTS.items():
-        for k in range(n):
-            cell = lambda field, k=k, kind=kind: F.max(F.when(F.col("kind") == kind, F.get(F.col("f")[field], F.lit(k))))
-            made += [
-                cell(field).cast("double" if field == "yards" else "string").alias(f"{kind}_{k + 1}_{field}")
-                for field in ("player_id", "player_name", *more)
-            ]
+    made = [
+        F.expr(f"{'double' if field == 'yards' else 'string'}(max(CASE WHEN kind = '{kind}' THEN get(f.{field}, {k}) END)) AS {kind}_{k + 1}_{field}")
+        for kind, (n, more) in SLOTS.items() for k in range(n) for field in ("player_id", "player_name", *more)
+    ]
     return filled.groupBy(*PLAY).agg(*made)
 
 
@@ -175,12 +170,12 @@ def _first_of(pairs: list[tuple[Column, str]]) -> Column:
 
 def add_results(plays: DataFrame) -> DataFrame:
     """Defaults of missing stats, names for team ids, play type, and results of tries and kicks."""
-    plays = plays.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in [*C.INDICATORS, *C.COUNTS]})
-    teams = [c for c in plays.columns if c.endswith("_team") and c not in ("home_team", "away_team")]
-    named = lambda c: F.when(
-        F.col(c) == F.col("_home_id"), F.col("home_team")
-    ).when(F.col(c) == F.col("_away_id"), F.col("away_team")).otherwise(F.col(c))
-    plays = plays.withColumns({c: named(c) for c in teams}).withColumn("play_type", play_type(F.col("shield_play_type")))
+    numbers = {*C.INDICATORS, *C.COUNTS}
+    plays = plays.selectExpr(*(
+        f"coalesce({c}, 0L) AS {c}" if c in numbers else
+        f"CASE WHEN {c} = _home_id THEN home_team WHEN {c} = _away_id THEN away_team ELSE {c} END AS {c}"
+        if c.endswith("_team") and c not in ("home_team", "away_team") else f"`{c}`" for c in plays.columns
+    )).withColumn("play_type", play_type(F.col("shield_play_type")))
     any_of = lambda *names: reduce(lambda a, b: a | b, (F.col(n) == 1 for n in names))
     two = F.col("two_point_attempt") == 1
     return plays.withColumns({
