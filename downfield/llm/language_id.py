@@ -102,15 +102,16 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with ``lang_pred`` (a learned language, or ``und`` if the text is null or has no letter, or if nothing
     was learned) and ``score`` (0 to 1; 0 for ``und``). Only the text is read, all of it; other columns pass through
     (``lang_pred`` and ``score`` are replaced if they exist). One pass, no shuffle."""
-    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "_letters")]
-    rows = docs.select(*kept, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
+    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    letters_in = "_letters" + "_" * max(map(len, docs.columns))  # longer than any name there
+    rows = docs.select(*kept, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(letters_in))
     weights = docs.sparkSession.sparkContext.broadcast(model.weights)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, data, bounds in texts(batch, "text"):
                 lang, score = decide(model, GRAMS.margins(data, bounds, weights.value) + model.intercepts)
-                letters = batch["_letters"].slice(at, to - at).to_numpy(zero_copy_only=False) & (lang != UNKNOWN)
+                letters = batch[letters_in].slice(at, to - at).to_numpy(zero_copy_only=False) & (lang != UNKNOWN)
                 part = batch.slice(at, to - at)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -174,7 +174,8 @@ def mix_sources(
     seed: str = "mix"
 ) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with ``size``, ``source_size``, ``target``, ``shards`` (array of int: the
-    shards that hold a copy; empty: not in the mix) and ``order_key``, by which a shard is shuffled.
+    shards that hold a copy; empty: not in the mix) and ``order_key``, by which a shard is shuffled. Columns of these five
+    names are replaced, all others pass through.
 
     ``shards`` has to be a power of two.
     """

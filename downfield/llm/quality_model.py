@@ -121,7 +121,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleM
 def score_rules(docs: DataFrame, model: RuleModel) -> DataFrame:
     """``docs`` with ``score``, the probability of quality 1. Statistics of whole texts and the rules run in the JVM, no
     shuffle. Null and empty texts have statistics 0 and a score like others; repeated rows each keep a row; other
-    columns pass through (``score`` is replaced); an empty table gives no rows."""
-    kept = [c for c in docs.columns if c.lower() != "score" and not c.startswith("_stat_")]
-    stats = docs.select(*kept, *(c.alias(f"_stat_{n}") for n, c in statistics().items()))
-    return stats.select(*kept, model.score().alias("score"))
+    columns pass through whatever their names (``score`` is replaced); an empty table gives no rows."""
+    kept = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c.lower() != "score")).alias("_row")
+    stats = docs.select(kept, *(c.alias(f"_stat_{n}") for n, c in statistics().items()))
+    return stats.select("_row.*", model.score().alias("score"))
