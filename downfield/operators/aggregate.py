@@ -80,6 +80,23 @@ def share_of(df: DataFrame, value: str, keys: Sequence[str], out: str) -> DataFr
     return df.withColumn(out, F.try_divide(F.col(value), F.sum(value).over(W.partitionBy(*keys))))
 
 
+def with_outliers(shares: DataFrame, odd: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distributions by ``keys`` with the outcomes of ``odd`` (the same columns) put in: what these take is taken off all
+    others in proportion. Keys without odd outcomes stay as they are."""
+    taken = odd.groupBy(*keys).agg(F.sum(value).alias("_taken"))
+    rest = F.col(value) * (1 - F.coalesce("_taken", F.lit(0.0)))
+    return shares.join(taken, list(keys), "left").withColumn(value, rest).select(*shares.columns).unionByName(odd.select(*shares.columns))
+
+
+def split_by(shares: DataFrame, value: str, flag: str, rate: Column, where: Column | None = None) -> DataFrame:
+    """Each outcome twice, with ``flag`` 1 for the share ``rate`` of it and 0 for the rest; those not ``where`` stay whole, with 0."""
+    plain = F.coalesce(where, F.lit(False)) if where is not None else F.lit(True)
+    rows = shares.withColumns({"_plain": plain, "_rate": rate})
+    rows = rows.withColumn(flag, F.explode(F.when(F.col("_plain"), F.array(F.lit(0.0), F.lit(1.0))).otherwise(F.array(F.lit(0.0)))))
+    part = F.when(F.col(flag) == 1, F.col("_rate")).when(F.col("_plain"), 1 - F.col("_rate")).otherwise(F.lit(1.0)) * F.col(value)
+    return rows.withColumn(value, part).drop("_plain", "_rate")
+
+
 def total_variation(p: DataFrame, q: DataFrame, keys: Sequence[str], support: Sequence[str]) -> DataFrame:
     """(keys, tv): half the sum of |p - q| over the support of either, for keys that both have. ``p`` and ``q`` hold
     keys, support and ``share``."""

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Buckets that an interval may touch.
 CELLS = 10_000
+#: Rows of an axis of a grid.
+AXIS = 10_000
 
 
 def first_interval(
@@ -36,6 +38,28 @@ def first_interval(
     return met.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank", "_cell")
 
 
+def present(df: DataFrame, others: DataFrame, keys: Sequence[str], there: bool = True) -> DataFrame:
+    """Rows of ``df`` whose keys ``others`` has, or with ``there`` False doesn't have; null keys are in no table."""
+    return df.join(others.select(*keys), list(keys), "left_semi" if there else "left_anti")
+
+
+def grid(first: DataFrame, *axes: DataFrame) -> DataFrame:
+    """Every combination of rows. ``axes`` are short lists, which are broadcast up to AXIS rows; a longer one is an error, as
+    the combinations would be out of hand."""
+    for axis in axes:
+        if axis.limit(AXIS + 1).count() > AXIS:
+            raise ValueError(f"an axis of a grid has more than {AXIS} rows")
+        first = first.crossJoin(F.broadcast(axis))
+    return first
+
+
+def first_of(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row for each value of ``keys``, null among them: the first by ``order``, of which the last column should decide."""
+    rest = [c for c in df.columns if c not in keys]
+    at = F.struct(*(F.col(c) for c in order))
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), at).alias("_r")).select(*keys, "_r.*").select(*df.columns)
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``old`` whose keys ``new`` doesn't have, and all of ``new``."""
     return old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)

@@ -282,13 +282,25 @@ def fg_set(spark, sf_dir):
     return double(training.fg_set(table(spark, sf_dir)))
 
 
-@query()
+_WIDTH = "4.24 * least(stddev_samp({0}), nullif((quantile_cont({0}, 0.75) - quantile_cont({0}, 0.25)) / 1.349, 0)) * count(*) ** -0.2 / 4"
+
+
+@query(PLAYS + f"""
+, punt AS (SELECT yardline_100::DOUBLE AS x, CASE WHEN after > 100 THEN 100 WHEN after = 0 THEN 1 ELSE after END::DOUBLE AS y, lost, CASE WHEN yardline_100 < 40 THEN 0 WHEN yardline_100 < 90 THEN floor(yardline_100 / 10) - 3 ELSE 6 END AS bin
+  FROM (SELECT yardline_100, yardline_100 - (30 + k % 25) AS after, (play_seq % 9 = 0)::INT AS lost FROM plays WHERE kind = 'signup' AND yardline_100 IS NOT NULL)),
+pb AS (SELECT bin, avg(lost) AS muffed FROM punt GROUP BY 1),
+pf AS (SELECT min(x) x0, max(x) x1, min(y) y0, max(y) y1, count(*) AS n, {_WIDTH.format("x")} AS hx, {_WIDTH.format("y")} AS hy FROM punt),
+pd AS (SELECT x, y, bin, x0 + (x1 - x0) / 99 * CASE WHEN x >= x1 THEN 99 ELSE floor((x - x0) / ((x1 - x0) / 99)) END AS gx, y0 + (y1 - y0) / 99 * CASE WHEN y >= y1 THEN 99 ELSE floor((y - y0) / ((y1 - y0) / 99)) END AS gy FROM (SELECT DISTINCT x, y, bin FROM punt), pf),
+ps AS (SELECT pd.x, pd.y, pd.bin, sum(exp(-0.5 * ((gx - punt.x) / hx) ** 2) * exp(-0.5 * ((gy - punt.y) / hy) ** 2)) AS density FROM pd, punt, pf GROUP BY ALL),
+pr AS (SELECT x, y, density / sum(density) OVER (PARTITION BY x) AS pct, muffed, x <> y AS plain FROM ps JOIN pb USING (bin)),
+pm AS (SELECT x, y, muff, CASE WHEN muff = 1 THEN muffed ELSE CASE WHEN plain THEN 1 - muffed ELSE 1 END END * pct AS part FROM pr, (VALUES (0), (1)) v(muff) WHERE plain OR muff = 0)
+SELECT x AS yardline_100, y AS yardline_after, round(part / sum(part) OVER (PARTITION BY x), 6) AS pct, muff::DOUBLE AS muff FROM pm WHERE x > 30""")
 def punt_distribution(spark, sf_dir):
-    """Landing lines of all punts; a smoothed composite that the tests check against its definition."""
+    """Landing lines of all punts, smoothed."""
     rows = table(spark, sf_dir).withColumns(
         {"desc": F.lit("punts"), "return_yards": F.lit(0.0), "fumble_lost": (F.col("play_seq") % 9 == 0).cast("int")}
     )
-    return punts.punt_distribution(rows)
+    return punts.punt_distribution(rows).withColumn("pct", r6("pct"))
 
 
 @query("""
@@ -348,14 +360,14 @@ SELECT round(sum(tv * coalesce(n, 1)) / sum(coalesce(n, 1)), 6) AS weighted_mean
 def punt_gate(spark, sf_dir):
     """Two distributions of capped quantities by line, as two landing tables."""
     items = t(spark, sf_dir, "lineitem").withColumns(
-        {"yardline_100": F.col("l_linenumber").cast("double"), "yardline_after": F.least("l_quantity", F.lit(20.0))}
+        {"yardline_100": F.col("l_linenumber") + 30.0, "play_type_nfl": F.lit("PUNT"), "yardline_after": F.least("l_quantity", F.lit(20.0))}
     )
     pct = F.count(F.lit(1)) / F.sum(F.count(F.lit(1))).over(W.partitionBy("yardline_100"))
     ours, theirs = (
         items.where(F.col("l_returnflag") == flag).groupBy("yardline_100", "yardline_after").agg(pct.alias("pct"))
         for flag in "RA"
     )
-    weights = items.where("l_linenumber <> 3").groupBy("yardline_100").agg(F.count(F.lit(1)).alias("weight"))
+    weights = decisions.punt_weights(items.where("l_linenumber <> 3"))
     out = decisions.punt_agreement(ours, theirs, weights)
     return out.select(*(r6(c).alias(c) for c in ("weighted_mean", "mean", "median", "largest")), "lines", "gate_pass")
 

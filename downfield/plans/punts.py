@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.aggregate import density_grid, rates, share_of
+from ..operators.aggregate import density_grid, rates, share_of, split_by, with_outliers
 from ..operators.quantiles import bandwidths
+from ..sources.scratch import stored
 
 #: Marks of a touchdown's line and of a block in ``yardline_after``; cells of the grid in each direction.
 TOUCHDOWN, BLOCK, GRID = 100.0, 999.0, 100
@@ -61,6 +62,7 @@ def punt_distribution(plays: DataFrame) -> DataFrame:
             "muffed": F.when(F.col("blocked") == 1, 0).otherwise(F.col("lost"))
         }
     )
+    points = stored(points, "punts")  # read a dozen times from here on
     by_bin = rates(points.withColumn("bin", _tens("yardline_100")), "bin", ("muffed", "blocked", "touchdown"))
     lines = points.select("yardline_100").distinct().withColumn("bin", _tens("yardline_100")).join(by_bin, "bin")  # seven bins
     odd = lines.select(
@@ -72,20 +74,14 @@ def punt_distribution(plays: DataFrame) -> DataFrame:
             )
         ).alias("o")
     ).select("yardline_100", "o.*").where("pct > 0")
-    taken = odd.groupBy("yardline_100").agg(F.sum("pct").alias("taken"))
     normal = share_of(smoothed(points.where("blocked = 0 and touchdown = 0")), "density", ["yardline_100"], "pct").drop("density")
-    normal = normal.join(taken, "yardline_100", "left").select(
-        "yardline_100", "yardline_after", (F.col("pct") * (1 - F.coalesce("taken", F.lit(0.0)))).alias("pct")
-    )
-    ends = normal.unionByName(odd).withColumn(
+    ends = with_outliers(normal.select("yardline_100", "yardline_after", "pct"), odd, ["yardline_100"], "pct").withColumn(
         "yardline_after",
         F.when(F.col("yardline_after") == BLOCK, F.col("yardline_100")).otherwise(F.col("yardline_after"))
     )
     ends = ends.join(lines.select("yardline_100", "muffed_rate"), "yardline_100", "left").where("yardline_100 > 30")
     plain = (F.col("yardline_after") != TOUCHDOWN) & (F.col("yardline_100") != F.col("yardline_after"))
-    split = ends.withColumn("muff", F.explode(F.when(plain, F.array(F.lit(0.0), F.lit(1.0))).otherwise(F.array(F.lit(0.0)))))
-    rate = F.coalesce("muffed_rate", F.lit(0.0))
-    part = F.when(F.col("muff") == 1, rate * F.col("pct")).when(plain, (1 - rate) * F.col("pct")).otherwise(F.col("pct"))
+    split = split_by(ends, "pct", "muff", F.coalesce("muffed_rate", F.lit(0.0)), plain)
     return share_of(
-        split.withColumn("part", part).drop("pct"), "part", ["yardline_100"], "pct"
+        split.withColumnRenamed("pct", "part"), "part", ["yardline_100"], "pct"
     ).select("yardline_100", "yardline_after", "pct", "muff").orderBy("yardline_100", "yardline_after", "muff")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import aggregate as A
+from ..operators import joins
 from . import decisions, models, training
 
 
@@ -128,9 +129,8 @@ def cross_validated(trainer: Trainer, rows: DataFrame, folds: int = 5, rounds: i
 
 def grid_predictions(spark: SparkSession, model: PipelineModel, axes: Mapping[str, Sequence[float]]) -> DataFrame:
     """Every combination of the values of ``axes`` (short lists) with the model's ``probs``."""
-    grid = spark.range(1).drop("id")
-    for name, values in axes.items():
-        grid = grid.crossJoin(F.broadcast(spark.createDataFrame([(float(v),) for v in values], f"{name} double")))
+    lists = [spark.createDataFrame([(float(v),) for v in values], f"{name} double") for name, values in axes.items()]
+    grid = joins.grid(*lists)
     return models.probabilities(model, grid).select(*axes, "probs")
 
 

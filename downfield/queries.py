@@ -272,13 +272,8 @@ def outlier_inject(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("n"))
     shares = A.share_of(counts, "n", ["l_returnflag"], "pct").drop("n")
     odd = spark.createDataFrame([("R", 0, 0.05), ("A", 0, 0.02)], "l_returnflag string, q long, pct double")
-    scaled = shares.join(
-        F.broadcast(odd.select("l_returnflag", F.col("pct").alias("odd"))), "l_returnflag", "left"
-    ).select("l_returnflag", "q", (F.col("pct") * (1 - F.coalesce("odd", F.lit(0.0)))).alias("pct"))
-    both = scaled.unionByName(odd).withColumn("flag", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
-        "part", F.col("pct") * F.when(F.col("flag") == 1, 0.1).otherwise(0.9)
-    )
-    return A.share_of(both.drop("pct"), "part", ["l_returnflag"], "pct").select(
+    both = A.split_by(A.with_outliers(shares, odd, ["l_returnflag"], "pct"), "pct", "flag", F.lit(0.1)).withColumnRenamed("pct", "part")
+    return A.share_of(both, "part", ["l_returnflag"], "pct").select(
         "l_returnflag", "q", long("flag").alias("flag"), r6("pct").alias("pct")
     )
 
@@ -521,8 +516,8 @@ SELECT c_custkey, 'with' AS kind FROM customer WHERE c_custkey IN (SELECT o_cust
 UNION ALL SELECT c_custkey, 'without' FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""")
 def semi_anti(spark, sf_dir):
     customers, orders = t(spark, sf_dir, "customer"), t(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
-    rich = customers.join(orders.where("o_totalprice > 400000"), "c_custkey", "left_semi").select("c_custkey", F.lit("with").alias("kind"))
-    return rich.unionByName(customers.join(orders, "c_custkey", "left_anti").select("c_custkey", F.lit("without").alias("kind")))
+    rich = joins.present(customers, orders.where("o_totalprice > 400000"), ["c_custkey"]).select("c_custkey", F.lit("with").alias("kind"))
+    return rich.unionByName(joins.present(customers, orders, ["c_custkey"], there=False).select("c_custkey", F.lit("without").alias("kind")))
 
 
 @query("""
@@ -545,7 +540,7 @@ def full_support(spark, sf_dir):
 @query("""SELECT y::BIGINT AS yardline, r_name, y * (r_regionkey + 1)::BIGINT AS cell FROM range(1, 100) g(y), region""")
 def cross_grid(spark, sf_dir):
     grid = spark.range(1, 100).withColumnRenamed("id", "yardline")
-    return grid.crossJoin(t(spark, sf_dir, "region")).select(
+    return joins.grid(grid, t(spark, sf_dir, "region")).select(
         "yardline", "r_name", (F.col("yardline") * (F.col("r_regionkey") + 1)).alias("cell")
     )  # 99 by 5
 
@@ -577,7 +572,7 @@ def set_ops(spark, sf_dir):
 
 @query("""SELECT lang, source, min(doc_id) AS doc_id FROM documents GROUP BY 1, 2""")
 def dedup_subset(spark, sf_dir):
-    return t(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.min("doc_id").alias("doc_id"))
+    return joins.first_of(t(spark, sf_dir, "documents").select("lang", "source", "doc_id"), ["lang", "source"], ["doc_id"])
 
 
 @query("""SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey LIMIT 50""")
@@ -608,7 +603,7 @@ def duplicate_guard(spark, sf_dir):
 
 @query("""SELECT doc_id, sha256(text) AS sha256, strlen(text)::BIGINT AS size FROM documents""")
 def sha_digest(spark, sf_dir):
-    return t(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), long(F.octet_length("text")).alias("size"))
+    return tables.digested(t(spark, sf_dir, "documents").select("doc_id", "text"), "text")
 
 
 @query("""SELECT vec_id, round(list_sum(list_transform(range(1, len(embedding) + 1), lambda i: embedding[i]::DOUBLE * i)), 6) AS expected FROM embeddings""")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import first_of, present
+
 STAT = "STRUCT<statType:INT, yards:DOUBLE, gsisPlayerId:STRING, gsisPlayerName:STRING, teamId:STRING>"
 PLAY = (
     "STRUCT<playId:STRING, playSequenceNumber:DOUBLE, playType:STRING, specialTeamsPlayType:STRING, quarter:INT, clockTime:STRING, down:INT, yardsRemaining:INT, "
@@ -121,7 +123,9 @@ def read_schedule(spark: SparkSession, path: str) -> DataFrame | None:
     if not exists(spark, path):
         return None
     rows = spark.read.parquet(path)
-    return rows.select("game_id", *(c for c in ("roof", "spread_line", "total_line") if c in rows.columns)).dropDuplicates(["game_id"])
+    facts = [c for c in ("roof", "spread_line", "total_line") if c in rows.columns]
+    rows = rows.select("game_id", *facts)
+    return first_of(rows, ["game_id"], facts) if facts else rows.distinct()
 
 
 def weekly_games(payload: DataFrame, column: str = "value") -> DataFrame:
@@ -139,7 +143,7 @@ def weekly_games(payload: DataFrame, column: str = "value") -> DataFrame:
 
 def wanted_not_cached(wanted: DataFrame, cached: DataFrame) -> DataFrame:
     """Ids that are still to fetch: what a resumed ingest asks for."""
-    return wanted.join(cached.select("game_id"), "game_id", "left_anti")
+    return present(wanted, cached, ["game_id"], there=False)
 
 
 def season_range(text: str) -> list[int]:

@@ -124,13 +124,16 @@ def update_manifest(old: DataFrame | None, season: int, data: DataFrame) -> Data
     return (upsert(old, new, ["season"]) if old is not None else new).orderBy("season")
 
 
+def digested(df: DataFrame, content: str) -> DataFrame:
+    """``df`` with ``size`` in bytes and ``sha256`` in place of the column ``content`` (bytes or text); null gives nulls."""
+    facts = (F.octet_length(content).cast("long").alias("size"), F.sha2(content, 256).alias("sha256"))
+    return df.select(*(c for c in df.columns if c != content), *facts)
+
+
 def file_digests(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(name, size, sha256) of files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return files.select(
-        F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"),
-        F.sha2("content", 256).alias("sha256")
-    )
+    return digested(files.select(F.substring_index("path", "/", -1).alias("name"), "content"), "content")
 
 
 def artifact_plan(spark: SparkSession, path: str, suffix: str = ".ubj") -> DataFrame:
