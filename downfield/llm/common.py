@@ -144,11 +144,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     while m < n:
         out[m : 2 * m] = _reduced(out[: min(m, n - m)] * np.uint64(pow(base, m, int(_PRIME))))
         m *= 2
-    return out
+    return out.astype(np.uint32)
 
 
 class Powers:
-    """Powers of the bases and of their inverses modulo the prime; grown when a longer chunk comes."""
+    """Powers of the bases and of their inverses modulo the prime, 16 bytes for each byte of the longest chunk so far."""
 
     up = [_powers(b, 1 << 12) for b in _BASES]
     down = [_powers(pow(b, -1, int(_PRIME)), 1 << 12) for b in _BASES]
@@ -156,8 +156,9 @@ class Powers:
     @classmethod
     def upto(cls, n: int) -> None:
         if n > len(cls.up[0]):
-            cls.up = [_powers(b, 2 * n) for b in _BASES]
-            cls.down = [_powers(pow(b, -1, int(_PRIME)), 2 * n) for b in _BASES]
+            n += n >> 3
+            cls.up = [_powers(b, n) for b in _BASES]
+            cls.down = [_powers(pow(b, -1, int(_PRIME)), n) for b in _BASES]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -36,6 +36,8 @@ RANKED_ROWS = 10_000
 BATCH_STRINGS = 250_000
 _PLACE = np.uint64((1 << 28) - 1)
 _BASE = 0x9E3779B97F4A7C15
+#: Bytes that second names are made for at a time.
+_PIECE = 1 << 19
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -68,8 +70,11 @@ def _names(data: np.ndarray, length: int) -> np.ndarray:
 
 def _strings(data: np.ndarray, length: int) -> np.ndarray:
     """A second name, modulo a prime, for the string of ``length`` bytes at each position."""
-    start = np.arange(max(0, len(data) - length + 1))
-    return span_hash(prefix_hash(data), start, start + length)
+    out = np.empty(max(0, len(data) - length + 1), np.uint64)
+    for at in range(0, len(out), _PIECE):  # in pieces, as each takes many times its size
+        start = np.arange(min(_PIECE, len(out) - at))
+        out[at : at + _PIECE] = span_hash(prefix_hash(data[at : at + _PIECE + length - 1]), start, start + length)
+    return out
 
 
 def seeds(

@@ -38,6 +38,8 @@ def test_hashes_don_t_depend_on_the_place_nor_on_the_chunk(monkeypatch):
     monkeypatch.setattr(common, "_REDUCE", 700)
     assert (common.span_hash(common.prefix_hash(data), start, start + 900) == plain).all()
     shifted = common.prefix_hash(np.append(np.full(123, 9, np.uint8), data))
+    monkeypatch.setattr(suffix_dedup, "_PIECE", 1000)
+    assert (suffix_dedup._strings(data, 900)[:4000] == plain).all()
     assert (common.span_hash(shifted, start + 123, start + 1023) == plain).all() and len(np.unique(plain)) == 4000
 
 
