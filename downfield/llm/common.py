@@ -84,6 +84,12 @@ def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Deletes scratch tables (see :func:`cut`) that nothing reads any more."""
+    for df in tables:
+        drop_tables(df.sparkSession, sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()}))
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Hint a broadcast of a scratch table (see :func:`cut`) only if its counted rows stay under BROADCAST_ROWS."""
     n = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fits, lower_bytes, map_batches, mix64, prefix_hash, some, span_hash, texts, word_spans
+from .common import cut, drop, fits, lower_bytes, map_batches, mix64, prefix_hash, some, span_hash, texts, word_spans
 from .components import Forest, components
 
 WORDS = 5
@@ -199,15 +199,17 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
         "minhash-leaders"
     )
     members = cut(
-        banded.join(fits(leaders), ["band", "key"]).select("leader", "cls").distinct(), "minhash-pairs"
+        banded.join(fits(leaders), ["band", "key"]).select("leader", "cls").distinct(), "minhash-pairs", "zstd"
     )  # leaders lead themselves
-    members = cut(members.join(fits(classes.select("cls", "n_shingles")), "cls"), "minhash-members")
+    pairs, members = members, cut(members.join(fits(classes.select("cls", "n_shingles")), "cls"), "minhash-members", "zstd")
+    drop(leaders, pairs)
     wanted = cut(members.select(F.col("cls").alias("doc_id")).distinct(), "minhash-wanted")
     bodies = some(docs.select("doc_id", "text"), wanted, "left_semi").dropDuplicates(["doc_id"])
     bodies = cut(
         bodies.join(some(led, wanted, "left_semi").select("doc_id", "sketch", "fifth", "n_shingles").dropDuplicates(["doc_id"]), "doc_id"),
-        "minhash-bodies"
+        "minhash-bodies", "zstd"
     )
+    drop(wanted)
 
     sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
     sizes = cut(
@@ -221,8 +223,9 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
         members.join(fits(sizes), "leader").select(
             "leader", "cls", "blocks", F.pmod(F.xxhash64("cls", "leader"), "blocks").cast("int").alias("block")
         ),
-        "minhash-placed"
+        "minhash-placed", "zstd"
     )
+    drop(members, sizes)
     filled = placed.join(bodies, F.col("cls") == F.col("doc_id")).select(
         "leader", "block", "doc_id", "text", "sketch", "fifth", "n_shingles", F.col("doc_id").alias("group"),
         F.lit(0).alias("side")
@@ -266,6 +269,7 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
         "leader", "low", "high", "doc_id", "text", "sketch", "fifth", "n_shingles", "group", "side"
     )
     more = cut(_confirm(again, ["leader", "low", "high"], link), "minhash-links-2")
+    drop(placed, bodies)
     if not more.isEmpty():
         roots = components(links.unionByName(more), "minhash-2")
 
