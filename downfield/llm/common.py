@@ -202,6 +202,35 @@ def span_hash(prefix: list[np.ndarray], start: np.ndarray, end: np.ndarray) -> n
     return mix64(one << np.uint64(31) | two)
 
 
+def _loose_powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base))
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+class LoosePowers:
+    """Powers of a base and of its inverse modulo 2**64; grown when a longer chunk comes."""
+
+    base = 0x9E3779B97F4A7C15
+    up = _loose_powers(base, 1 << 12)
+    down = _loose_powers(pow(base, -1, 1 << 64), 1 << 12)
+
+    @classmethod
+    def upto(cls, n: int) -> None:
+        if n > len(cls.up):
+            cls.up, cls.down = _loose_powers(cls.base, 2 * n), _loose_powers(pow(cls.base, -1, 1 << 64), 2 * n)
+
+
+def loose_sums(data: np.ndarray) -> np.ndarray:
+    """Like :func:`prefix_hash`, cheaper, modulo 2**64: strings of a regular build may share a hash more often than by chance.
+    For places of features, which are shared anyway, and for names whose strings are compared afterwards."""
+    n = len(data)
+    LoosePowers.upto(n + 1)
+    out = np.zeros(n + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * LoosePowers.up[:n], out=out[1:])
+    return out
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

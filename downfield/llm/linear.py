@@ -10,7 +10,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fits, lower_bytes, map_batches, mix64, prefix_hash, span_hash, texts, word_spans
+from .common import LoosePowers, cut, fits, loose_sums, lower_bytes, map_batches, mix64, texts, word_spans
 
 #: Tasks that hold a sample: optimisers go over it in many short rounds.
 SAMPLE_TASKS = 4
@@ -41,7 +41,8 @@ class Grams:
             yield ((code * np.uint32(0x85EBCA6B)) >> shift)[whole], doc[:m][whole]
         if self.words:
             start, end, of = word_spans(data, bounds)
-            word = span_hash(prefix_hash(data), start, end)
+            sums = loose_sums(data)
+            word = mix64((sums[end] - sums[start]) * LoosePowers.down[start])
             for n in self.words:
                 m = max(0, len(word) - n + 1)
                 code = np.zeros(m, np.uint64)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fits, map_batches, mix64, prefix_hash, some, span_hash, texts
+from .common import LoosePowers, cut, fits, loose_sums, map_batches, mix64, prefix_hash, some, span_hash, texts
 
 THRESHOLD, SEED = 100, 32
 #: Bytes of one text whose seeds are found at a time.
@@ -35,37 +35,15 @@ RANKED_ROWS = 10_000
 #: Strings that are ranked together before a batch's rows are shuffled.
 BATCH_STRINGS = 250_000
 _PLACE = np.uint64((1 << 28) - 1)
-_BASE = 0x9E3779B97F4A7C15
 #: Bytes that second names are made for at a time.
 _PIECE = 1 << 19
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, np.uint64(base))
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-class _Powers:
-    """Powers of the base and of its inverse modulo 2**64; grown when a longer chunk comes."""
-
-    up = _powers(_BASE, 1 << 12)
-    down = _powers(pow(_BASE, -1, 1 << 64), 1 << 12)
-
-    @classmethod
-    def upto(cls, n: int) -> None:
-        if n > len(cls.up):
-            cls.up, cls.down = _powers(_BASE, 2 * n), _powers(pow(_BASE, -1, 1 << 64), 2 * n)
-
-
 def _names(data: np.ndarray, length: int) -> np.ndarray:
     """A name for the string of ``length`` bytes at each position: a cheap sum modulo 2**64, of which strings of a regular
     build may share more than chance would have. Names only pick what is compared byte by byte, or by :func:`_strings` too."""
-    n = len(data)
-    _Powers.upto(n + 1)
-    prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _Powers.up[:n], out=prefix[1:])
-    return mix64((prefix[length:] - prefix[:-length]) * _Powers.down[: n - length + 1])
+    prefix = loose_sums(data)
+    return mix64((prefix[length:] - prefix[:-length]) * LoosePowers.down[: len(data) - length + 1])
 
 
 def _strings(data: np.ndarray, length: int) -> np.ndarray:
