@@ -167,12 +167,67 @@ def _links(members: pa.Table, link: int) -> tuple[list[int], list[int]]:
     return u, v
 
 
-def _confirm(blocks: DataFrame, keys: list[str], link: int) -> DataFrame:
+def _confirm(docs: DataFrame, led: DataFrame, places: DataFrame, link: int, name: str) -> DataFrame:
+    """Scratch table of the links (u, v) found in the blocks of ``places`` (cls, leader, group, block, first, last): a class meets
+    the blocks first..last of its leader's family. It has BANDS leaders at most, whose places come to its text as one
+    list; so a text goes through one shuffle by doc_id and one by blocks."""
+    columns = ["leader", "group", "block", "first", "last"]
+    lists = cut(
+        places.groupBy(F.col("cls").alias("doc_id")).agg(F.collect_list(F.struct(*columns)).alias("places")), f"minhash-lists-{name}", "zstd"
+    )
+    bodies = some(docs.select("doc_id", "text"), lists.select("doc_id"), "left_semi").dropDuplicates(["doc_id"])
+    sketches = some(led, lists.select("doc_id"), "left_semi").select("doc_id", "sketch", "fifth", "n_shingles").dropDuplicates(["doc_id"])
+    whole = bodies.join(sketches, "doc_id").join(lists, "doc_id").withColumn("place", F.explode("places"))
+    whole = whole.withColumn("other", F.explode(F.sequence("place.first", "place.last"))).select(
+        "place.leader", F.least("place.block", "other").alias("low"), F.greatest("place.block", "other").alias("high"), "doc_id",
+        "text", "sketch", "fifth", "n_shingles", "place.group", F.when(F.col("place.block") > F.col("other"), 1).otherwise(0).alias("side")
+    )
+
     def links(group: pa.Table) -> pa.Table:
         u, v = _links(group, link)
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return blocks.groupBy(*keys).applyInArrow(links, "u long, v long")
+    found = cut(whole.groupBy("leader", "low", "high").applyInArrow(links, "u long, v long"), f"minhash-links-{name}")
+    drop(lists)
+    return found
+
+
+def _across(docs: DataFrame, led: DataFrame, placed: DataFrame, roots: DataFrame, link: int) -> DataFrame:
+    """Links (u, v) between different blocks of a family, for families of several blocks of which some members are still apart."""
+    several = cut(
+        placed.where("blocks > 1").join(roots.select(F.col("u").alias("cls"), F.col("v").alias("root")), "cls", "left").select(
+            "leader", "cls", "n_shingles", F.coalesce("root", "cls").alias("group")
+        ),
+        "minhash-several", "zstd"
+    )
+    per_group = several.groupBy("leader", "group").agg(F.count(F.lit(1)).alias("n"))
+    largest = cut(
+        per_group.groupBy("leader").agg(
+            F.max(F.struct("n", "group"))["group"].alias("main"), F.count(F.lit(1)).alias("groups")
+        ).where("groups > 1").select("leader", "main"),
+        "minhash-largest"
+    )
+    apart = several.join(fits(largest), "leader").withColumn("rest", (F.col("group") != F.col("main")).cast("int")).drop("main")
+    cuts = apart.groupBy("leader", "rest").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    )
+    cuts = cut(
+        cuts.groupBy("leader").agg(
+            F.coalesce(F.max(F.when(F.col("rest") == 1, F.col("blocks"))), F.lit(0)).alias("rests"),
+            F.coalesce(F.max(F.when(F.col("rest") == 0, F.col("blocks"))), F.lit(0)).alias("mains")
+        ),
+        "minhash-cuts"
+    )
+    # blocks 0..rests-1 hold the rest, rests.. the largest component; a pair of blocks has at least one of the rest
+    rest = F.col("rest") == 1
+    own = F.when(rest, F.pmod(F.xxhash64("cls"), "rests")).otherwise(F.col("rests") + F.pmod(F.xxhash64("cls"), "mains"))
+    last = F.when(rest, F.col("rests") + F.col("mains") - 1).otherwise(F.col("rests") - 1)
+    again = apart.join(fits(cuts), "leader").select(
+        "cls", "leader", "group", own.cast("int").alias("block"), F.lit(0).alias("first"), last.cast("int").alias("last")
+    )
+    found = _confirm(docs, led, again, link, "2")
+    drop(several, largest, cuts)
+    return found
 
 
 def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
@@ -203,14 +258,6 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     )  # leaders lead themselves
     pairs, members = members, cut(members.join(fits(classes.select("cls", "n_shingles")), "cls"), "minhash-members", "zstd")
     drop(leaders, pairs)
-    wanted = cut(members.select(F.col("cls").alias("doc_id")).distinct(), "minhash-wanted")
-    bodies = some(docs.select("doc_id", "text"), wanted, "left_semi").dropDuplicates(["doc_id"])
-    bodies = cut(
-        bodies.join(some(led, wanted, "left_semi").select("doc_id", "sketch", "fifth", "n_shingles").dropDuplicates(["doc_id"]), "doc_id"),
-        "minhash-bodies", "zstd"
-    )
-    drop(wanted)
-
     sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
     sizes = cut(
         sizes.select(
@@ -221,55 +268,18 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     )
     placed = cut(
         members.join(fits(sizes), "leader").select(
-            "leader", "cls", "blocks", F.pmod(F.xxhash64("cls", "leader"), "blocks").cast("int").alias("block")
+            "leader", "cls", "n_shingles", "blocks", F.pmod(F.xxhash64("cls", "leader"), "blocks").cast("int").alias("block")
         ),
         "minhash-placed", "zstd"
     )
     drop(members, sizes)
-    filled = placed.join(bodies, F.col("cls") == F.col("doc_id")).select(
-        "leader", "block", "doc_id", "text", "sketch", "fifth", "n_shingles", F.col("doc_id").alias("group"),
-        F.lit(0).alias("side")
-    )
-    links = cut(_confirm(filled, ["leader", "block"], link), "minhash-links-1")
+    block = F.col("block")
+    first = placed.select("cls", "leader", F.col("cls").alias("group"), "block", block.alias("first"), block.alias("last"))
+    links = _confirm(docs, led, first, link, "1")
     roots = components(links, "minhash-1")
 
-    # families of several blocks, of which some members are still apart
-    several = placed.where("blocks > 1").join(
-        roots.select(F.col("u").alias("cls"), F.col("v").alias("root")), "cls", "left"
-    ).withColumn("group", F.coalesce("root", "cls")).drop("root", "block", "blocks")
-    per_group = several.groupBy("leader", "group").agg(F.count(F.lit(1)).alias("n"))
-    largest = per_group.groupBy("leader").agg(
-        F.max(F.struct("n", "group"))["group"].alias("main"), F.count(F.lit(1)).alias("groups")
-    ).where("groups > 1")
-    apart = several.join(largest.select("leader", "main"), "leader").withColumn(
-        "rest", (F.col("group") != F.col("main")).cast("int")
-    ).drop("main")
-    apart = apart.join(bodies.select(F.col("doc_id").alias("cls"), "n_shingles"), "cls")
-    cuts = apart.groupBy("leader", "rest").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    )
-    cuts = cuts.groupBy("leader").agg(
-        F.coalesce(F.max(F.when(F.col("rest") == 1, F.col("blocks"))), F.lit(0)).alias("rests"),
-        F.coalesce(F.max(F.when(F.col("rest") == 0, F.col("blocks"))), F.lit(0)).alias("mains")
-    )
-    apart = apart.join(cuts, "leader")
-    # blocks 0..rests-1 hold the rest, rests.. the largest component; a pair of blocks has at least one of the rest
-    own = F.when(
-        F.col("rest") == 1, F.pmod(F.xxhash64("cls"), "rests")
-    ).otherwise(F.col("rests") + F.pmod(F.xxhash64("cls"), "mains")).cast("int")
-    others = F.when(
-        F.col("rest") == 1, F.sequence(F.lit(0), F.col("rests") + F.col("mains") - 1)
-    ).otherwise(F.sequence(F.lit(0), F.col("rests") - 1))
-    paired = apart.withColumn("block", own).withColumn("other", F.explode(others))
-    paired = paired.select(
-        "leader", "cls", "group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side")
-    )
-    again = paired.join(bodies, F.col("cls") == F.col("doc_id")).select(
-        "leader", "low", "high", "doc_id", "text", "sketch", "fifth", "n_shingles", "group", "side"
-    )
-    more = cut(_confirm(again, ["leader", "low", "high"], link), "minhash-links-2")
-    drop(placed, bodies)
+    more = _across(docs, led, placed, roots, link)
+    drop(placed)
     if not more.isEmpty():
         roots = components(links.unionByName(more), "minhash-2")
 
