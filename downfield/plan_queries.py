@@ -67,8 +67,11 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = t(spark, sf_dir, "events").select("user_id", F.concat_ws("_", "user_id", F.dayofmonth("ts")).alias("game_id")).distinct()
-    return rows.where("user_id % 10 <> 0").selectExpr(
+    """Facts of games; a game of nothing but punts (signup events) isn't on the schedule."""
+    rows = t(spark, sf_dir, "events").where("event_type <> 'signup'").select(
+        "user_id", F.concat_ws("_", "user_id", F.dayofmonth("ts")).alias("game_id")
+    ).distinct()
+    return rows.selectExpr(
         "game_id", "element_at(array('dome', 'outdoors', 'retractable', 'closed'), int(user_id % 4) + 1) AS roof",
         "double(user_id % 15 - 7) AS spread_line", "double(40 + user_id % 10) AS total_line"
     )
@@ -89,7 +92,7 @@ def table(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The play table in DuckDB's SQL.
 PLAYS = """
 WITH v AS (SELECT event_id AS e, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), 0) AS k, event_type AS kind, user_id AS u, user_id || '_' || day(ts) AS game_id FROM events),
-f AS (SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY e) - 1 AS feed_pos, e % 100 AS seq, (e % 100 BETWEEN 33 AND 65 OR e % 100 >= 90) AS at_home,
+f AS (SELECT *, bool_or(kind <> 'signup') OVER (PARTITION BY game_id) AS listed, row_number() OVER (PARTITION BY game_id ORDER BY e) - 1 AS feed_pos, e % 100 AS seq, (e % 100 BETWEEN 33 AND 65 OR e % 100 >= 90) AS at_home,
   CASE WHEN e % 100 <= 32 OR e % 100 BETWEEN 66 AND 89 THEN 'KC' WHEN e % 100 <= 65 THEN 'BAL' END AS posteam, 1 + k % 5 AS qtr, (k % 15) * 60 + e % 60 AS qs FROM v),
 g AS (SELECT *, CASE posteam WHEN 'KC' THEN 'BAL' WHEN 'BAL' THEN 'KC' END AS defteam, CASE WHEN at_home THEN 'BAL' ELSE 'KC' END AS actor,
   CASE WHEN qtr <= 2 THEN 'Half1' WHEN qtr <= 4 THEN 'Half2' ELSE 'Overtime' END AS game_half, kind = 'purchase' AND k % 4 <> 2 AS scored,
@@ -112,7 +115,7 @@ plays AS (SELECT game_id, (2001 + u % 24)::INT AS season, (1 + u % 19)::INT AS w
   CASE WHEN posteam = 'BAL' THEN total_home_score - total_away_score ELSE total_away_score - total_home_score END AS score_differential,
   kind, k, actor, CASE WHEN kind = 'click' THEN 'pass' WHEN kind = 'view' OR (kind = 'purchase' AND k % 4 = 1) THEN 'run' WHEN kind = 'purchase' AND k % 4 <> 3 THEN 'field_goal' WHEN kind = 'signup' THEN 'punt' END AS play_type,
   CASE kind WHEN 'view' THEN 'RUSH' WHEN 'click' THEN 'PASS' WHEN 'purchase' THEN 'FIELD_GOAL' WHEN 'signup' THEN 'PUNT' END AS shield_play_type,
-  CASE WHEN u % 10 <> 0 THEN ['dome', 'outdoors', 'retractable', 'closed'][u % 4 + 1] END AS roof, CASE WHEN u % 10 <> 0 THEN (u % 15 - 7)::DOUBLE END AS spread_line, CASE WHEN u % 10 <> 0 THEN (40 + u % 10)::DOUBLE END AS total_line
+  CASE WHEN listed THEN ['dome', 'outdoors', 'retractable', 'closed'][u % 4 + 1] END AS roof, CASE WHEN listed THEN (u % 15 - 7)::DOUBLE END AS spread_line, CASE WHEN listed THEN (40 + u % 10)::DOUBLE END AS total_line
   FROM j WHERE kind <> 'error'),
 common AS (SELECT *, CASE WHEN posteam IS NOT NULL THEN (posteam = home_team)::INT::DOUBLE END AS home, (roof = 'retractable')::INT::DOUBLE AS retractable, coalesce(roof IN ('dome', 'closed'), false)::INT::DOUBLE AS dome,
   coalesce(roof NOT IN ('retractable', 'dome', 'closed'), false)::INT::DOUBLE AS outdoors, (season < 2002)::INT::DOUBLE AS era0, (season >= 2002 AND season < 2006)::INT::DOUBLE AS era1, (season >= 2006 AND season < 2014)::INT::DOUBLE AS era2,
@@ -403,20 +406,20 @@ def grid_gate(spark, sf_dir):
 
 _PAIRS = """
 SELECT u AS game_id, e, v, CASE WHEN e % 3 = 0 THEN v + 0.4 WHEN e % 3 = 1 THEN v + 0.01 END AS nv, kind, CASE WHEN e % 7 = 0 THEN 'other' ELSE kind END AS nkind
-FROM (SELECT user_id AS u, event_id AS e, value AS v, event_type AS kind FROM events) WHERE e % 11 <> 0"""
+FROM (SELECT user_id AS u, event_id AS e, value AS v, event_type AS kind FROM events) WHERE kind <> 'error'"""
 
 
 @query(f"""
 WITH p AS ({_PAIRS}), c AS (SELECT 'value' AS name, game_id, (abs(v - nv) < 0.1)::INT AS hit, (v IS NOT NULL AND nv IS NOT NULL)::INT AS seen FROM p UNION ALL SELECT 'kind', game_id, (kind = nkind)::INT, 1 FROM p)
 SELECT name, coalesce(sum(hit), 0)::BIGINT AS matched, sum(seen)::BIGINT AS compared, round(sum(hit) / sum(seen), 6) AS rate FROM c GROUP BY 1""")
 def play_parity(spark, sf_dir):
-    """Events as a play table with ids in text, held against a copy with other values, whose ids are numbers."""
+    """Events as a play table with ids in text, held against a copy without errors and with other values, whose ids are numbers."""
     ours = t(spark, sf_dir, "events").select(
         F.col("user_id").alias("game_id"), F.col("event_id").cast("string").alias("play_id"), "value",
         F.col("event_type").alias("kind")
     )
     e = F.col("play_id").cast("bigint")
-    other = ours.where(e % 11 != 0).select(
+    other = ours.where("kind <> 'error'").select(
         "game_id", e.alias("play_id"),
         F.when(e % 3 == 0, F.col("value") + 0.4).when(e % 3 == 1, F.col("value") + 0.01).alias("value"),
         F.when(e % 7 == 0, "other").otherwise(F.col("kind")).alias("kind")
