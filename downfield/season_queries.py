@@ -38,10 +38,10 @@ _KINDS = {
 }
 _PLAY = f"""
 named_struct('playId', string(e), 'playSequenceNumber', double(e % 100),
-  'playType', CASE WHEN m IN (0, 1) THEN 'KICK_OFF' WHEN m IN (4, 7, 15) THEN 'PASS' WHEN m IN (5, 6) THEN 'XP_KICK' WHEN m = 9 THEN 'PAT2' WHEN m = 11 THEN 'PENALTY' WHEN m = 13 THEN 'FIELD_GOAL' ELSE 'RUSH' END,
+  'playType', CASE WHEN m IN (0, 1) THEN 'KICK_OFF' WHEN m IN (4, 7, 15) THEN 'PASS' WHEN m IN (5, 6) THEN 'XP_KICK' WHEN m = 9 THEN 'PAT2' WHEN m = 11 THEN 'PENALTY' WHEN m = 13 THEN 'FIELD_GOAL' ELSE 'RUSH' END, 'specialTeamsPlayType', string(null),
   'quarter', int(1 + e % 4), 'clockTime', format_string('%02d:%02d', k % 15, e % 60), 'down', CASE WHEN m IN (7, 8, 9) THEN 0 ELSE int(1 + e % 4) END, 'yardsRemaining', int(1 + k % 20),
-  'yardLine', CASE WHEN m IN (7, 8, 9) THEN concat(CASE WHEN team = '1' THEN 'KC' ELSE 'BAL' END, ' 2') ELSE concat(CASE WHEN k % 2 = 0 THEN 'BAL' ELSE 'KC' END, ' ', 1 + e % 49) END,
-  'playDescription', CASE WHEN m = 3 THEN 'Q kneels' WHEN m = 2 THEN 'R scrambles left end.' WHEN m = 15 THEN '(Shotgun) Q pass deep left' END,
+  'yardLine', CASE WHEN m IN (7, 8, 9) THEN concat(CASE WHEN team = '1' THEN 'KC' ELSE 'BAL' END, ' 2') ELSE concat(CASE WHEN k % 2 = 0 THEN 'BAL' ELSE 'KC' END, ' ', 1 + e % 49) END, 'yardsGained', int(null),
+  'playDescription', CASE WHEN m = 3 THEN 'Q kneels' WHEN m = 2 THEN 'R scrambles left end.' WHEN m = 15 THEN '(Shotgun) Q pass deep left' END, 'playIsGoalToGo', boolean(null), 'playDeleted', boolean(null),
   'playScored', m IN (4, 5, 7, 10, 13, 14), 'scoringPlayType', CASE m WHEN 4 THEN 'TD' WHEN 5 THEN 'PAT' WHEN 7 THEN 'PAT2' WHEN 10 THEN 'SAFETY' WHEN 13 THEN 'FG' WHEN 14 THEN 'TD' END,
   'scoringTeamId', CASE WHEN m IN (4, 10) THEN other ELSE team END,
   'stats', CASE m {" ".join(f"WHEN {m} THEN array({', '.join(s)})" for m, s in _KINDS.items())} END)
@@ -56,12 +56,12 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     at_home = (F.col("e") % 100).between(33, 65) | (F.col("e") % 100 >= 90)
     rows = rows.withColumns({"team": F.when(at_home, "1").otherwise("2"), "other": F.when(at_home, "2").otherwise("1")})
-    docs = rows.groupBy("game_id", "u").agg(F.sort_array(F.collect_list(F.struct("e", F.expr(_PLAY).alias("p")))).alias("rows"))
+    docs = rows.groupBy("game_id").agg(F.first("u").alias("u"), F.sort_array(F.collect_list(F.struct("e", F.expr(_PLAY).alias("p")))).alias("rows"))
     side = lambda number, logo, total: f"named_struct('teamId', '{number}', 'currentLogo', 'https://x/{logo}'), named_struct('teamId', '{number}', 'score', named_struct('total', {total}))"
     doc = f"""named_struct('season', 2010 + u % 12, 'week', 1 + u % 18, 'seasonType', 'REG', 'homeTeam', h.col1, 'awayTeam', a.col1,
       'summary', named_struct('homeTeam', h.col2, 'awayTeam', a.col2), 'driveChart', named_struct('drives', array({DRIVES}), 'plays', rows.p))"""
     docs = docs.selectExpr("*", f"struct({side(1, 'BAL', '10 + u % 9')}) AS h", f"struct({side(2, 'KC', '12 + u % 5')}) AS a")
-    return docs.select("game_id", F.from_json(F.to_json(F.expr(doc)), GAME).alias("d")).select("d.*", "game_id")
+    return docs.select("game_id", F.expr(doc).cast(f"STRUCT<{GAME}>").alias("d")).select("d.*", "game_id")
 
 
 def table(spark: SparkSession, sf_dir: str) -> DataFrame:
