@@ -56,13 +56,13 @@ def punt_distribution(plays: DataFrame) -> DataFrame:
         desc.contains("BLOCKED").cast("int").alias("blocked"),
         F.coalesce("fumble_lost", F.lit(0)).cast("int").alias("lost")
     )
+    points = stored(points, "punts")  # read a dozen times from here on; filtered as stored, as the line's terms are long
     points = points.where("yardline_after is not null").withColumns(
         {
             "touchdown": (F.col("yardline_after") == TOUCHDOWN).cast("int"),
             "muffed": F.when(F.col("blocked") == 1, 0).otherwise(F.col("lost"))
         }
     )
-    points = stored(points, "punts")  # read a dozen times from here on
     by_bin = rates(points.withColumn("bin", _tens("yardline_100")), "bin", ("muffed", "blocked", "touchdown"))
     lines = points.select("yardline_100").distinct().withColumn("bin", _tens("yardline_100")).join(by_bin, "bin")  # seven bins
     odd = lines.select(
