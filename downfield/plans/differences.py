@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .training import play_order
+from .training import play_order_back
 
 #: The line after a touchback before and from the season in which it moved, and what kicks and tries count as.
 TOUCHBACK, MOVED = (80, 75), 2016
@@ -46,9 +46,9 @@ def add_differences(plays: DataFrame, ep: str = "ep", wp: str = "wp") -> DataFra
     plays = plays.withColumns({
         f"_{c}": F.when(team.isNotNull() & F.col(c).isNotNull(), F.struct(team.alias("t"), F.col(c).cast("double").alias("v"))) for c in (ep, wp)
     })
-    after = lambda *keys: W.partitionBy(*keys).orderBy(*play_order(plays)).rowsBetween(1, W.unboundedFollowing)
-    next_ep = F.first(f"_{ep}", ignorenulls=True).over(after("game_id", "game_half"))
-    next_wp = F.first(f"_{wp}", ignorenulls=True).over(after("game_id"))
+    after = lambda *keys: W.partitionBy(*keys).orderBy(*play_order_back(plays)).rowsBetween(W.unboundedPreceding, -1)
+    next_ep = F.last(f"_{ep}", ignorenulls=True).over(after("game_id", "game_half"))
+    next_wp = F.last(f"_{wp}", ignorenulls=True).over(after("game_id"))
     plays = plays.withColumns({"_next_ep": next_ep, "_next_wp": next_wp, "_points": points_of_play(plays)})
     same = lambda c: F.col(f"{c}.t") == team
     later = F.when(F.col("_next_ep").isNull(), 0.0).when(same("_next_ep"), F.col("_next_ep.v")).otherwise(-F.col("_next_ep.v"))
