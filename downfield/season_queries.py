@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from .plans import differences, plays, teams, training
 from .queries import long, query, r6, t
-from .query_parts import DRIVES, as_double, double, stat
-from .sources.games import GAME
+from .query_parts import DRIVES, as_double, double, gathered, stat
 from .sources.scratch import stored
 
 #: Stat entries of each kind of play, as Spark SQL on (e, k, team, other).
@@ -56,12 +55,13 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     at_home = (F.col("e") % 100).between(33, 65) | (F.col("e") % 100 >= 90)
     rows = rows.withColumns({"team": F.when(at_home, "1").otherwise("2"), "other": F.when(at_home, "2").otherwise("1")})
-    docs = rows.groupBy("game_id").agg(F.first("u").alias("u"), F.sort_array(F.collect_list(F.struct("e", F.expr(_PLAY).alias("p")))).alias("rows"))
+    docs = gathered(rows, _PLAY)
     side = lambda number, logo, total: f"named_struct('teamId', '{number}', 'currentLogo', 'https://x/{logo}'), named_struct('teamId', '{number}', 'score', named_struct('total', {total}))"
-    doc = f"""named_struct('season', 2010 + u % 12, 'week', 1 + u % 18, 'seasonType', 'REG', 'homeTeam', h.col1, 'awayTeam', a.col1,
+    # in the types of GAME as it is: a cast of the whole would rebuild all plays
+    doc = f"""named_struct('season', int(2010 + u % 12), 'week', int(1 + u % 18), 'seasonType', 'REG', 'homeTeam', h.col1, 'awayTeam', a.col1,
       'summary', named_struct('homeTeam', h.col2, 'awayTeam', a.col2), 'driveChart', named_struct('drives', array({DRIVES}), 'plays', rows.p))"""
-    docs = docs.selectExpr("*", f"struct({side(1, 'BAL', '10 + u % 9')}) AS h", f"struct({side(2, 'KC', '12 + u % 5')}) AS a")
-    return docs.select("game_id", F.expr(doc).cast(f"STRUCT<{GAME}>").alias("d")).select("d.*", "game_id")
+    docs = docs.selectExpr("*", f"struct({side(1, 'BAL', 'int(10 + u % 9)')}) AS h", f"struct({side(2, 'KC', 'int(12 + u % 5)')}) AS a")
+    return docs.select("game_id", F.expr(doc).alias("d")).select("d.*", "game_id")
 
 
 def table(spark: SparkSession, sf_dir: str) -> DataFrame:
