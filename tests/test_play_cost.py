@@ -23,6 +23,12 @@ def test_plays_are_gathered_after_the_shuffle(spark, data, module):
     assert "Aggregate" not in before and "named_struct(playId" in before
 
 
+@pytest.mark.parametrize("module", MODULES)
+def test_one_aggregate_gathers_plays(spark, data, module):
+    found = plan(module.games(spark, data))
+    assert found.count("Aggregate(") == found.count("SortAggregate(") == 1
+
+
 @pytest.mark.parametrize("module", MODULES)
 def test_documents_need_no_cast(spark, data, module):
     games = module.games(spark, data)
