@@ -76,11 +76,11 @@ def drop_tables(spark: SparkSession, paths: list[str]) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def cut(df: DataFrame, name: str, compression: str = "snappy", **options) -> DataFrame:
     """Write ``df`` as a table in the shared scratch folder and read it again: the lineage ends there, so a lost
     executor costs a read of the table and no recomputation."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    df.write.options(compression=compression, **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,8 +5,9 @@ bits that brightness and turning hardly change. Tables keyed by 32 of the bits b
 together. Images with two such matches of one turn and scale are candidates; a candidate is confirmed by one geometry
 (turn, scale and shift) that takes many corners of the one image to their matches in the other.
 
-Pairs of rare keys become rows and are confirmed one by one. Images with hot keys are compared block by block, so no
-pair of a hot key ever is a row.
+Pairs of rare keys become rows and are confirmed one by one. Images with hot keys are packed into blocks, each a row of one
+table, and every two blocks meet in a task that reads both from it: no pair of a hot key ever is a row, and nothing is copied
+for a comparison.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, cut, map_batches
+from .common import BROADCAST_IDS, cut, drop, fits, map_batches, mix64
 from .components import Forest, components
 
 
@@ -34,9 +35,14 @@ MET, TURNS, SHIFT = 3, 24, 32
 #: Pixels that a match may be off, and matches that are tried as the lead of a geometry, nearest first.
 OFF, LEADS = 2.0, 48
 #: Pixels that are handled at a time, and pairs of corners.
-STACK_PIXELS, PAIRS = 1 << 19, 1 << 18
-#: A key of more corners than this is hot; images with hot keys are compared in blocks of about so many corners.
-HOT, BLOCK_CORNERS = 16, 350_000
+STACK_PIXELS, PAIRS = 1 << 19, 1 << 17
+#: A key of more corners than this is hot; images with hot keys are compared in blocks of about so many corners. Small tables
+#: have smaller blocks, down to a SPREAD of that, for all cores; so many blocks are read by one task at most.
+HOT, BLOCK_CORNERS, SPREAD, HELD = 16, 350_000, 16, 16
+#: Matches are counted by image pair, turn and scale in so many slots first, which some may share.
+SLOTS = 1 << 20
+#: Hot images are looked for in one of so many parts of the keys first, and candidates are confirmed so many at a time.
+KEY_PARTS, TRIED = 16, 64
 #: A corner: place in 1/UNITS pixels, number of its scale, direction in 1/256 turns, bits as four words.
 UNITS = 16
 POINT = np.dtype([("x", "<u2"), ("y", "<u2"), ("level", "u1"), ("turn", "u1"), ("bits", "<u4", 4)])
@@ -173,18 +179,25 @@ def describe(images: DataFrame) -> DataFrame:
     return map_batches(images.select("media_id", "width", "height", "pixels"), make, "media_id long, wide int, tall int, points binary")
 
 
-def same_picture(a: np.ndarray, b: np.ndarray, size_a: tuple[int, int], size_b: tuple[int, int]) -> bool:
-    """Whether one geometry takes enough corners of image ``a`` (POINT) to their matches in ``b``; sizes: wide, tall."""
-    off = np.zeros((len(a), len(b)), np.uint8)
-    for k in range(4):
-        off += np.bitwise_count(a["bits"][:, None, k] ^ b["bits"][None, :, k])
-    # a corner's best matches only, from both sides
+def _halves(points: np.ndarray) -> np.ndarray:
+    """The bits of corners as two numbers each, in two rows."""
+    return np.ascontiguousarray(np.ascontiguousarray(points["bits"]).view(np.uint64).T)
+
+
+def _matches(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Corners of two images, given by :func:`_halves`, that match: a corner's best matches only, from both sides, nearest first."""
+    off = np.bitwise_count(a[0][:, None] ^ b[0]) + np.bitwise_count(a[1][:, None] ^ b[1])
     most = np.minimum(np.minimum(off.min(axis=1, initial=BITS)[:, None], off.min(axis=0, initial=BITS)[None]) + 1, HAMMING)
     i, j = np.nonzero(off <= most)
+    order = np.argsort(off[i, j], kind="stable")
+    return i[order], j[order]
+
+
+def same_picture(a: np.ndarray, b: np.ndarray, size_a: tuple[int, int], size_b: tuple[int, int]) -> bool:
+    """Whether one geometry takes enough corners of image ``a`` (POINT) to their matches in ``b``; sizes: wide, tall."""
+    i, j = _matches(_halves(a), _halves(b))
     if len(i) < MATCHES:
         return False
-    order = np.argsort(off[i, j], kind="stable")
-    i, j = i[order], j[order]
     at, to = ((p["x"] + 1j * p["y"]) / UNITS for p in (a, b))
     scale = _SCALE
     turn = (b["turn"][j].astype(float) - a["turn"][i]) / 256 * 2 * np.pi
@@ -222,7 +235,7 @@ def same_picture(a: np.ndarray, b: np.ndarray, size_a: tuple[int, int], size_b:
 def _votes(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
     """The cell of the geometry of each match of ``a`` to ``b`` (POINT) as one number: turn, scale, shift in x and y.
     Two grids, apart by half a cell, so that few geometries fall on a border in both."""
-    cell = ((b["turn"].astype(np.int64) - a["turn"]) % 256 * TURNS + 128) // 256 % TURNS
+    cell = _turn_cells(b["turn"].astype(np.int64) - a["turn"])
     ratio = _SCALE[b["level"]] / _SCALE[a["level"]]
     c, s = (f(np.arange(TURNS) * (2 * np.pi / TURNS))[cell] for f in (np.cos, np.sin))
     dx, dy = b["x"] - ratio * (a["x"] * c - a["y"] * s), b["y"] - ratio * (a["x"] * s + a["y"] * c)
@@ -234,115 +247,263 @@ def _votes(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _turn_cells(by: np.ndarray) -> np.ndarray:
+    """Numbers of the cells of turns in 1/256."""
+    return (by % 256 * TURNS + 128) // 256 % TURNS
+
+
+def _steps() -> np.ndarray:
+    """The slot of the cell of turn and scale by the difference of two corners' 512 * level + turn, which begins at -2047; then
+    that of the same two corners the other way round."""
+    by = np.arange(4096) - 2047
+    level = (by + 255) // 512
+    turn = by - 512 * level
+    cells = np.concatenate([_turn_cells(d * turn) * 2 * len(SCALES) + d * level + len(SCALES) for d in (1, -1)])
+    return cells * 0x9E3779B1 & (SLOTS - 1)
+
+
+_STEPS = _steps()
+
+
 class _Block:
-    """Images of a group: their ids, corners and where each image's corners begin."""
-
-    def __init__(self, points: pa.ChunkedArray):
-        packed = [np.frombuffer(p.as_buffer(), POINT) for p in points]
-        self.edge = np.concatenate([[0], np.cumsum([len(p) for p in packed])]).astype(np.int64)
-        self.points = np.concatenate([np.zeros(0, POINT), *packed])
-        self.image = np.repeat(np.arange(len(packed)), np.diff(self.edge))
-        self.words = np.ascontiguousarray(self.points["bits"])
-        self.place = self.points["x"].astype(np.int64) << 16 | self.points["y"]
-
-    def of(self, k: int) -> np.ndarray:
-        return self.points[self.edge[k] : self.edge[k + 1]]
-
-    def candidates(self, lefts: np.ndarray, rights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of images (left, right), left before right in the block, with MET matches in one cell. About PAIRS pairs of corners
-        are handled at a time; an image that has more meets the others by halves."""
-        inside = np.flatnonzero(np.isin(self.image, rights))
-        orders = [inside[np.argsort(self.words[inside, k], kind="stable")] for k in range(4)]
-        keys = [self.words[o, k] for k, o in enumerate(orders)]
-        mine = np.flatnonzero(np.isin(self.image, lefts))
-        ends = [tuple(np.searchsorted(keys[k], self.words[mine, k], s) for s in ("left", "right")) for k in range(4)]
-        total = np.bincount(self.image[mine], sum(high - low for low, high in ends), len(self.edge) - 1)
-        at = 0
-        while at < len(lefts):
-            to = at + max(1, int(np.searchsorted(np.cumsum(total[lefts[at:]]), PAIRS, "right")))
-            if total[lefts[at]] > PAIRS and len(rights) > 1:
-                for half in np.array_split(rights, 2):
-                    yield from self.candidates(lefts[at : at + 1], half)
-            else:
-                some = slice(*np.searchsorted(self.image[mine], [lefts[at], lefts[to - 1] + 1]))
-                yield self._met(mine[some], [(low[some], high[some]) for low, high in ends], orders)
-            at = to
-
-    def _met(self, mine: np.ndarray, ends: list, orders: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        n, parts = len(self.edge) - 1, []
-        first = int(self.image[mine].min()) if len(mine) else 0
-        for k, (low, high) in enumerate(ends):
-            count = high - low
-            a = np.repeat(mine, count)
-            b = orders[k][np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
-            parts.append((a, b, (self.image[a] - first) * n + self.image[b], np.full(len(a), k, np.int8)))
-        a, b, pair, table = (np.concatenate(x) for x in zip(*parts, strict=True))
-        keep = np.flatnonzero((np.bincount(pair, minlength=1)[pair] >= MET) & (self.image[a] < self.image[b]))
-        # of the pairs that share words often enough, those of like corners, each once
-        a, b, pair = a[keep], b[keep], pair[keep]
-        off = self.words[a] ^ self.words[b]
-        keep = (np.bitwise_count(off).sum(axis=1, dtype=np.uint8) <= HAMMING) & ((off == 0).argmax(axis=1) == table[keep])
-        a, b, pair = a[keep], b[keep], pair[keep]
-        keep = np.bincount(pair, minlength=1)[pair] >= MET
-        a, b, pair = a[keep], b[keep], pair[keep]
-        good = [np.zeros(0, np.int64)]
-        for vote in _votes(self.points[a], self.points[b]):
-            _, pair_number = np.unique(pair, return_inverse=True)
-            key = pair_number << 34 | vote
-            order = np.argsort(key, kind="stable")
-            key = key[order]
-            begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(order)])
-            many = np.diff(np.append(begin, len(order))) >= MET
-            if many.any():
-                ok = many
-                for side in (self.place[a[order]], self.place[b[order]]):
-                    ok &= np.minimum.reduceat(side, begin) < np.maximum.reduceat(side, begin)
-                good.append(pair[order[begin[ok]]])
-        found = np.unique(np.concatenate(good))
-        return found // n + first, found % n
+    """Images of a block by rising id: ids, sizes, corners, where each image's corners begin, and the corners in the order of each word."""
+
+    def __init__(self, ids: np.ndarray, wide: np.ndarray, tall: np.ndarray, corners: np.ndarray, points: np.ndarray):
+        self.ids, self.wide, self.tall, self.points = ids, wide, tall, points
+        self.edge = np.concatenate([[0], np.cumsum(corners, dtype=np.int64)])
+        self.image = np.repeat(np.arange(len(ids)), corners)
+        self.half = _halves(points)
+        self.words = np.ascontiguousarray(points["bits"].T).astype(np.uint64) << np.uint64(32)
+        place = np.arange(len(points), dtype=np.uint64)
+        #: For each word, words and places of corners as one number, sorted.
+        self.sorted = [np.sort(w | place) for w in self.words]
+        self.order = np.concatenate(self.sorted).astype(np.uint32).astype(np.int64)
+        self.aspect = points["level"].astype(np.int64) << 9 | points["turn"]
+        #: For each place in ``order`` the image, and in twelve lower bits the level and turn of the corner.
+        self.seen = (self.image << 12 | self.aspect)[self.order]
+
+    def spans(self, words: list[np.ndarray], first: int = 0, last: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """For each of four lists of words the places in ``order`` from which on, and the number of times, a word stands among the
+        images ``first`` to before ``last``."""
+        ends = [np.uint64(self.edge[len(self.ids) if x is None else x]) for x in (first, last)]
+        low, high = (np.stack([np.searchsorted(s, w | end) for s, w in zip(self.sorted, words, strict=True)]) for end in ends)
+        return low + np.arange(4)[:, None] * len(self.points), high - low
+
+
+def _candidates(left: _Block, right: _Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of images of two blocks, or of one with itself, with MET matches in one cell. About PAIRS pairs of corners are handled
+    at a time; an image that has more meets the others by halves."""
+    low, count = (np.empty((4, len(left.points)), np.int64) for _ in range(2))
+    mask = np.uint64(0xFFFFFFFF)
+    found = right.spans([s & ~mask for s in left.sorted])  # sorted words are found faster
+    for k, s in enumerate(left.sorted):
+        low[k, s & mask], count[k, s & mask] = found[0][k], found[1][k]
+    upto = np.concatenate([[0], np.cumsum(count.sum(axis=0))])[left.edge]
+    at = 0
+    while at < len(left.ids):
+        to = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS, "right")) - 1)
+        to = min(to, at + max(1, 16 * PAIRS // len(right.ids)))  # which bounds the number of pairs of images as well
+        mine = slice(left.edge[at], left.edge[to])
+        if upto[to] - upto[at] <= PAIRS:
+            yield _met(left, right, mine, low[:, mine], count[:, mine])
+        else:
+            parts = [(0, len(right.ids))]
+            while parts:
+                first, last = parts.pop()
+                span = right.spans(list(left.words[:, mine]), first, last)
+                if span[1].sum() <= PAIRS or last - first == 1:
+                    yield _met(left, right, mine, *span)
+                else:
+                    half = (first + last) // 2
+                    parts += [(half, last), (first, half)]
+        at = to
+
+
+def _met(left: _Block, right: _Block, mine: slice, low: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The candidates among the images of some corners of ``left`` and those whose words they share (see :meth:`_Block.spans`)."""
+    low, count = low.ravel(), count.ravel()
+    n, first, last = len(right.ids), int(left.image[mine.start]), int(left.image[mine.stop - 1]) + 1
+    upto = np.cumsum(count)
+    at = np.repeat(low - (upto - count), count)
+    at += np.arange(len(at))
+    seen = right.seen[at]
+    turned = np.searchsorted(right.ids, left.ids[first:last])  # images of ``right`` before these have smaller ids
+    if left is right or not turned.any():
+        other = 0
+    elif turned.min() == n:
+        other = 4096
+    else:
+        other = np.where(seen >> 12 < np.repeat(np.tile(turned[left.image[mine] - first], 4), count), 4096, 0)
+    seen += np.repeat(np.tile(((left.image[mine] - first) * n << 12) - left.aspect[mine] + 2047, 4), count)
+    pair = seen >> 12
+    seen &= 4095
+    seen += other
+    slot = (pair + _STEPS[seen]) & (SLOTS - 1)
+    keep = np.flatnonzero((np.bincount(slot, minlength=SLOTS) >= MET)[slot])
+    # of those in slots that are met often enough, the like corners, each once
+    at, pair = at[keep], pair[keep]
+    a = np.searchsorted(upto, keep, "right") % (mine.stop - mine.start) + mine.start
+    b, table = right.order[at], at // len(right.points)
+    off = [left.half[h][a] ^ right.half[h][b] for h in range(2)]
+    keep = np.bitwise_count(off[0]) + np.bitwise_count(off[1]) <= HAMMING
+    for k in range(3):
+        word = off[k // 2] >> np.uint64(32) if k % 2 else off[k // 2].astype(np.uint32)
+        keep &= (table <= k) | (word != 0)
+    if left is right:
+        keep &= left.image[a] < left.image[b]
+    a, b, pair = a[keep], b[keep], pair[keep]
+    # a geometry leads from the image of the smaller id to the other
+    p, q = left.points[a], right.points[b]
+    turned = left.ids[left.image[a]] > right.ids[right.image[b]]
+    p, q = np.where(turned, q, p), np.where(turned, p, q)
+    good = [np.zeros(0, np.int64)]
+    for vote in _votes(p, q):
+        key = pair << 28 | vote
+        ordered = np.sort(key)
+        many = np.unique(ordered[MET - 1 :][ordered[MET - 1 :] == ordered[: len(ordered) - MET + 1]])
+        if not len(many):
+            continue
+        some = np.flatnonzero(many[np.minimum(np.searchsorted(many, key), len(many) - 1)] == key)
+        some = some[np.argsort(key[some], kind="stable")]
+        begin = np.searchsorted(key[some], many)
+        ok = np.ones(len(many), bool)
+        for x in (p[some], q[some]):
+            place = x["x"].astype(np.int64) << 16 | x["y"]
+            ok &= np.minimum.reduceat(place, begin) < np.maximum.reduceat(place, begin)
+        good.append(many[ok] >> 28)
+    found = np.unique(np.concatenate(good))
+    return found // n + first, found % n
+
+
+def _hopeful(points: np.ndarray, half: np.ndarray, pairs: list[tuple[slice, slice]]) -> np.ndarray:
+    """Of pairs of images, given by the places of their corners, whether :func:`same_picture` can confirm them: a lead needs
+    MATCHES that agree with it. All of them at once, and a hair wider than there."""
+    got = []
+    for u, v in pairs:
+        i, j = _matches(half[:, u], half[:, v])
+        got.append((i + u.start, j + v.start))
+    n = np.array([len(a) for a, _ in got])
+    a, b = (points[np.concatenate(x)] for x in zip(*got, strict=True))
+    begin = np.cumsum(n) - n
+    # each of a pair's first LEADS matches as the lead of all its matches
+    leads = np.minimum(n, LEADS)
+    lead = np.repeat(begin - (np.cumsum(leads) - leads), leads) + np.arange(int(leads.sum()))
+    times = np.repeat(n, leads)
+    one = np.repeat(lead, times)
+    two = np.repeat(np.repeat(begin, leads) - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+    p, q = ((x["x"] + 1j * x["y"]) / UNITS for x in (a, b))
+    turn = (b["turn"].astype(float) - a["turn"]) / 256 * 2 * np.pi
+    zoom = _SCALE[b["level"]] / _SCALE[a["level"]] * np.exp(1j * turn)
+    size = np.maximum(_SCALE[b["level"]], _SCALE[a["level"]] * np.abs(zoom))
+    far = zoom[one] * (p[two] - p[one])
+    agree = (np.abs(far + q[one] - q[two]) <= OFF * size[two] + 0.2 * np.abs(far) + 1e-6) & (np.abs(zoom[two] / zoom[one] - 1) < 0.45 + 1e-9)
+    votes = np.bincount(np.repeat(np.arange(len(lead)), times), agree, len(lead))
+    best = np.zeros(len(pairs))
+    np.maximum.at(best, np.repeat(np.arange(len(pairs)), leads), votes)
+    return best >= MATCHES
 
 
 _LINKS = "u long, v long"
 
 
-def _compared(blocks: DataFrame) -> DataFrame:
-    """(u, v): a spanning forest of the links in each group (low, high) of (media_id, wide, tall, points, side); with
-    two sides, only images of different sides are compared."""
-
-    def compare(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("side", "ascending"), ("media_id", "ascending")])
-        ids, side = group["media_id"].to_numpy(), group["side"].to_numpy()
-        size = list(zip(group["wide"].to_pylist(), group["tall"].to_pylist(), strict=True))
-        block, joined = _Block(group["points"]), Forest(len(ids))
-        two = len(side) > 0 and side[0] != side[-1]
-        lefts, rights = (np.flatnonzero(side == side[0]), np.flatnonzero(side == side[-1])) if two else (np.arange(len(ids)),) * 2
-        links = []
-        for us, vs in block.candidates(lefts, rights):
-            for u, v in zip(us.tolist(), vs.tolist(), strict=True):
-                if joined.root(u) != joined.root(v) and same_picture(block.of(u), block.of(v), size[u], size[v]):
+def _links(left: _Block, right: _Block) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the images of two blocks, or of one with itself."""
+    blocks = [left] if left is right else [left, right]
+    points, half = np.concatenate([x.points for x in blocks]), np.concatenate([x.half for x in blocks], axis=1)
+    corners = np.concatenate([[0], *(np.diff(x.edge) for x in blocks)]).cumsum().tolist()
+    ids, wide, tall = (np.concatenate([getattr(x, c) for x in blocks]).tolist() for c in ("ids", "wide", "tall"))
+    joined, shift, out = Forest(len(ids)), 0 if left is right else len(left.ids), []
+    place = lambda u: slice(corners[u], corners[u + 1])
+    for us, vs in _candidates(left, right):
+        for at in range(0, len(us), TRIED):
+            some = zip(us[at : at + TRIED].tolist(), (vs[at : at + TRIED] + shift).tolist(), strict=True)
+            some = [(u, v) if ids[u] < ids[v] else (v, u) for u, v in some if joined.root(u) != joined.root(v)]
+            for k in np.flatnonzero(_hopeful(points, half, [(place(u), place(v)) for u, v in some])) if some else ():
+                u, v = some[k]
+                if joined.root(u) != joined.root(v) and same_picture(
+                    points[place(u)], points[place(v)], (wide[u], tall[u]), (wide[v], tall[v])
+                ):
                     joined.join(u, v)
-                    links.append((ids[u], ids[v]))
-        u, v = np.array(links, np.int64).reshape(-1, 2).T
-        return pa.table({"u": pa.array(u), "v": pa.array(v)})
+                    out.append((ids[u], ids[v]))
+    return out
+
 
-    return blocks.groupBy("low", "high").applyInArrow(compare, _LINKS)
+_BLOCK = {"ids": "array<long>", "wide": "array<int>", "tall": "array<int>", "corners": "array<int>", "points": "binary"}
 
 
-def _keyed(classes: DataFrame, points: bool = False) -> DataFrame:
-    """(key, media_id) for each word of each corner, the number of the word in the key's upper bits; with ``points``
-    also the corner: x, y, level, turn, b0, b1."""
+def _blocks(images: DataFrame, corners: int) -> DataFrame:
+    """Images of (media_id, wide, tall, points) as they come, packed into rows of about so many corners: a scratch table of a file
+    for each row."""
+    kinds = [pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 3, pa.binary()]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, wide, tall, bodies, held = [], [], [], [], 0
+
+        def row() -> pa.RecordBatch:
+            order = sorted(range(len(ids)), key=ids.__getitem__)
+            values = [[x[k] for k in order] for x in (ids, wide, tall, bodies)]
+            values[3:] = [len(x) // POINT.itemsize for x in values[3]], b"".join(values[3])
+            return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(values, kinds, strict=True)], list(_BLOCK))
+
+        for batch in batches:
+            for values in zip(*(batch[c] for c in ("media_id", "wide", "tall", "points")), strict=True):
+                for to, x in zip((ids, wide, tall, bodies), values, strict=True):
+                    to.append(x.as_py())
+                held += len(bodies[-1]) // POINT.itemsize
+                if held >= corners:
+                    yield row()
+                    ids, wide, tall, bodies, held = [], [], [], [], 0
+        if ids:
+            yield row()
+
+    packed = map_batches(images.select("media_id", "wide", "tall", "points"), pack, ", ".join(f"{c} {kind}" for c, kind in _BLOCK.items()))
+    return cut(packed.withColumn("block", F.monotonically_increasing_id()), "media-blocks", maxRecordsPerFile=1)
+
+
+def _compared(blocks: DataFrame, cores: int) -> DataFrame:
+    """(u, v): links between the images of a scratch table of blocks, of any two blocks a spanning forest."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, left = None, None
+        for batch in batches:
+            for k in range(batch.num_rows):
+                sides = [batch[f"block{side}"][k].as_py() for side in "12"]
+
+                def block(side: str, batch: pa.RecordBatch = batch, k: int = k) -> _Block:
+                    numbers = (batch[f"{c}{side}"][k].values.to_numpy() for c in ("ids", "wide", "tall", "corners"))
+                    return _Block(*numbers, np.frombuffer(batch[f"points{side}"][k].as_buffer(), POINT))
+
+                if number != sides[0]:
+                    number, left = sides[0], block("1")
+                links = np.array(_links(left, left if sides[0] == sides[1] else block("2")), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in links.T.copy()], ["u", "v"])
+
+    n = blocks.count()
+    parts = max(1, -(-n // HELD), min(n, 2 * cores))
+    one, two = (blocks.select(*(F.col(c).alias(f"{c}{side}") for c in ("block", *_BLOCK))).coalesce(parts) for side in "12")
+    # each two blocks meet once, in either order
+    first = F.pmod(F.xxhash64(F.least("block1", "block2"), F.greatest("block1", "block2")), F.lit(2)) == 0
+    pairs = one.crossJoin(two).where((F.col("block1") == F.col("block2")) | (F.col("block1") != F.col("block2")) & ((F.col("block1") < F.col("block2")) == first))
+    return map_batches(pairs, compare, _LINKS)
+
+
+def _keyed(classes: DataFrame, points: bool = False, parts: int = 1) -> DataFrame:
+    """(key, media_id) for each word of each corner, the number of the word in the key's upper bits, of all keys or of one of so many
+    parts of them; with ``points`` also the corner: x, y, level, turn, b0, b1."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for media_id, packed in zip(batch["media_id"], batch["points"], strict=True):
-                p = np.frombuffer(packed.as_buffer(), POINT)
-                for k in range(4):
-                    key = p["bits"][:, k].astype(np.int64) | k << 32
-                    columns = {"key": pa.array(key), "media_id": pa.repeat(media_id, len(p))}
-                    if points:
-                        columns |= {c: pa.array(p[c].astype(np.int32)) for c in ("x", "y", "level", "turn")}
-                        columns |= {f"b{h}": pa.array(np.ascontiguousarray(p["bits"]).view(np.int64)[:, h].copy()) for h in range(2)}
-                    yield pa.RecordBatch.from_pydict(columns)
+            bodies = [np.frombuffer(x.as_buffer(), POINT) for x in batch["points"]]
+            body = np.concatenate([np.zeros(0, POINT), *bodies])
+            ids = np.repeat(batch["media_id"].to_numpy(), [len(x) for x in bodies])
+            for k in range(4):
+                key = body["bits"][:, k].astype(np.int64) | k << 32
+                mine = np.flatnonzero(mix64(key.view(np.uint64)) % np.uint64(parts) == 0)
+                p, columns = body[mine], {"key": pa.array(key[mine]), "media_id": pa.array(ids[mine])}
+                if points:
+                    columns |= {c: pa.array(p[c].astype(np.int32)) for c in ("x", "y", "level", "turn")}
+                    columns |= {f"b{h}": pa.array(x.view(np.int64)) for h, x in enumerate(_halves(p))}
+                yield pa.RecordBatch.from_pydict(columns)
 
     more = ", x int, y int, level int, turn int, b0 long, b1 long" if points else ""
     return map_batches(classes.select("media_id", "points"), make, f"key long, media_id long{more}")
@@ -416,25 +577,40 @@ def _confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_batches(both.select("u", "v", "wide", "tall", "points", "wide2", "tall2", "points2"), check, _LINKS)
 
 
+def _hot_images(keyed: DataFrame, counted: DataFrame) -> DataFrame:
+    """A scratch table of media_id: the images that have a key which ``counted`` (key, n) says is hot. A count for each key stays in
+    the scratch table that it reads."""
+    hot = _fits(cut(counted.where(F.col("n") > HOT).select("key"), "media-hot-keys"))
+    return cut(keyed.join(hot, "key", "left_semi").select("media_id").distinct(), "media-hot")
+
+
 def copy_links(classes: DataFrame) -> DataFrame:
-    """(u, v) for a scratch table of (media_id, wide, tall, points): links that join every two images with MET matches that share a
-    word and lie in one cell of the geometry, if :func:`same_picture` confirms them. Between images with hot keys only a spanning forest of a
-    block's links comes out."""
-    keys = cut(_keyed(classes).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "media-keys")
-    hot_keys = _fits(cut(keys.where(F.col("n") > HOT).select("key"), "media-hot-keys"))
-    hot = cut(_keyed(classes).join(hot_keys, "key", "left_semi").select("media_id").distinct(), "media-hot")
-    packed = classes.join(_fits(hot), "media_id")
-    cold = cut(classes.join(_fits(hot), "media_id", "left_anti"), "media-cold")
-    total = packed.agg(F.sum(F.octet_length("points"))).first()[0] or 0
-    blocks = max(1, -(-total // (BLOCK_CORNERS * POINT.itemsize)))
-    packed = packed.withColumn("block", F.pmod(F.xxhash64("media_id"), F.lit(blocks)).cast("int"))
-    paired = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    paired = paired.select(
-        "media_id", "wide", "tall", "points", F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side")
-    )
-    found = _compared(paired.repartition(2 * blocks * (blocks + 1), "low", "high"))  # groups take long and are few: one a task
-    rare = cut(_rare_candidates(cold, classes, keys), "media-candidates")
+    """(u, v) for (media_id, wide, tall, points) that scratch tables hold: links that join every two images with MET matches that share
+    a word and lie in one cell of the geometry, if :func:`same_picture` confirms them. Between images with hot keys only a spanning forest
+    of two blocks' links comes out."""
+    number = lambda keyed: keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # one part of the keys shows most images that have a hot one, and spares the others the rest
+    part = _keyed(classes, parts=KEY_PARTS)
+    hot = _hot_images(part, number(part))
+    rest = cut(classes.select("media_id").join(_fits(hot), "media_id", "left_anti"), "media-rest")
+    if rest.isEmpty():
+        cold = keys = None
+        packed = classes
+    else:
+        wanted = cut(_keyed(classes.join(_fits(rest), "media_id")).select("key").distinct(), "media-wanted")
+        keyed = _keyed(classes)
+        keys = cut(number(keyed.join(F.broadcast(wanted), "key", "left_semi") if wanted.count() <= BROADCAST_IDS else keyed), "media-keys")
+        cold = cut(rest.join(_fits(_hot_images(_keyed(classes.join(_fits(rest), "media_id")), keys)), "media_id", "left_anti"), "media-cold")
+        packed = classes.join(_fits(cold), "media_id", "left_anti")
+    cores = classes.sparkSession.sparkContext.defaultParallelism
+    total = (packed.agg(F.sum(F.octet_length("points"))).first()[0] or 0) // POINT.itemsize
+    blocks = _blocks(packed, min(BLOCK_CORNERS, max(BLOCK_CORNERS // SPREAD, -(-total // cores))))
+    found = cut(_compared(blocks, cores), "media-found")
+    drop(blocks)
+    if cold is None or cold.isEmpty():
+        return found
+    bodies = classes.join(_fits(cold), "media_id")
+    rare = cut(_rare_candidates(bodies, classes, keys), "media-candidates")
     return found.unionByName(_confirmed(rare, classes))
 
 
@@ -445,18 +621,24 @@ def image_copies(images: DataFrame) -> DataFrame:
     and is kept; other columns are not read; an empty table gives no rows."""
     packs = describe(images)
     packs = cut(packs.withColumns({f"h{k}": F.xxhash64(F.lit(k), "wide", "tall", "points") for k in range(2)}), "media-packs")
-    named = packs.groupBy("media_id").agg(F.min(F.struct("h0", "h1")).alias("h")).select("media_id", "h.h0", "h.h1")
-    classes = cut(named.groupBy("h0", "h1").agg(F.min("media_id").alias("least")), "media-classes")
-    bodies = packs.join(classes.withColumnRenamed("least", "media_id"), ["media_id", "h0", "h1"]).dropDuplicates(["media_id"])
-    able = cut(
-        bodies.where(F.octet_length("points") >= MATCHES * POINT.itemsize).select("media_id", "wide", "tall", "points"),
-        "media-bodies"
+    picture = ["media_id", "h0", "h1"]
+    heads = packs.groupBy(*picture).agg(
+        F.first((F.octet_length("points") / POINT.itemsize).cast("long")).alias("n_corners"), F.count(F.lit(1)).alias("times")
     )
+    heads = cut(heads, "media-heads")
+    named = heads.groupBy("media_id").agg(F.min(F.struct("h0", "h1", "n_corners")).alias("h")).select("media_id", "h.*")
+    classes = cut(named.groupBy("h0", "h1").agg(F.min("media_id").alias("least")), "media-classes")
+    # bodies stay where they are; what is taken from them is mostly little
+    gone = cut(heads.join(classes.withColumnRenamed("least", "media_id"), picture, "left_anti").select(*picture), "media-gone")
+    able = packs.join(fits(gone), picture, "left_anti").where(F.octet_length("points") >= MATCHES * POINT.itemsize)
+    able = able.select("media_id", "wide", "tall", "points")
+    if not heads.where("times > 1").isEmpty():
+        able = cut(able.dropDuplicates(["media_id"]), "media-bodies")
     links = cut(copy_links(able), "media-links")
+    drop(packs)
     roots = components(links, "media").select(F.col("u").alias("least"), "v")
     classes = classes.join(roots, "least", "left").select("h0", "h1", F.coalesce("v", "least").alias("root"))
-    sizes = packs.select("media_id", "h0", "h1", (F.octet_length("points") / POINT.itemsize).cast("long").alias("n_corners")).distinct()
-    counts = named.join(sizes, ["media_id", "h0", "h1"]).join(classes, ["h0", "h1"]).select("media_id", "n_corners", "root")
+    counts = named.join(classes, ["h0", "h1"]).select("media_id", "n_corners", "root")
     out = images.select("media_id").join(counts, "media_id", "left")
     component = F.coalesce("root", "media_id")
     return out.select(
